@@ -1,0 +1 @@
+"""No operator here: all inputs are bounded tables and every job is a batch job."""
