@@ -167,7 +167,7 @@ def book_page_one(spark, folder):
 
 
 def book_page_reviews(spark, folder):
-    pages = search.book_pages(proxy.books(spark, folder), proxy.reviews(spark, folder), URL_ROOT)
+    pages = search.book_pages(book_detail(spark, folder), reviews_top_n_per_item(spark, folder))
     return pages.select("asin", "title", "cover", "review_no", "avg_rating", F.inline("reviews"))
 
 

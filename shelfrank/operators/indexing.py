@@ -68,14 +68,14 @@ def item_dimension(ratings: DataFrame) -> DataFrame:
     """One (asin_index, asin, title) per book, whatever the titles on its rating rows.
 
     Of several candidates the smallest is taken, a blank title only if there is
-    no other. The partial aggregate leaves at most one row per book and task,
-    so a popular book costs no more than any other.
+    no other. Equal rows collapse in hash tables before anything moves or is
+    sorted, so a popular book costs no more than any other.
     """
-    candidate = F.struct(
-        (F.coalesce(F.length("title"), F.lit(0)) == 0).alias("blank"), "asin", "title"
-    )
+    index = F.col("asin_index").cast("int").alias("asin_index")
+    variants = ratings.select(index, "asin", "title").distinct()
+    blank = (F.coalesce(F.length("title"), F.lit(0)) == 0).alias("blank")
     return (
-        ratings.groupBy(F.col("asin_index").cast("int").alias("asin_index"))
-        .agg(F.min(candidate).alias("pick"))
+        variants.groupBy("asin_index")
+        .agg(F.min(F.struct(blank, "asin", "title")).alias("pick"))
         .select("asin_index", "pick.asin", "pick.title")
     )

@@ -9,16 +9,22 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfrank.operators.scoring import best_items, broadcast_items, nested
 from shelfrank.operators.split_als import fit_split_als
 from shelfrank.operators.statistics import one_per_book
 from shelfrank.session import use_checkpoints
 
+# Book factors up to this size are broadcast for scoring.
+BROADCAST_BYTES = 256 << 20
+ROWS_PER_BLOCK = 10_000_000
+MOST_BLOCKS = 1000
+
 USER, ITEM, RATING = "reviewerID_index", "asin_index", "overall"
 
 
 @dataclass(frozen=True)
 class AlsSettings:
-    """Training settings; `blocks` is derived from the cluster size when left out."""
+    """Training settings; `blocks` follows from the cluster and the data when left out."""
 
     max_iter: int = 20
     reg: float = 0.01
@@ -30,25 +36,24 @@ class AlsSettings:
     largest_group: int = 50_000_000
 
 
-def als_blocks(spark: SparkSession) -> int:
-    """One block per core, from 10 (Spark's default) up.
+def als_triples(ratings: DataFrame) -> DataFrame:
+    return ratings.select(USER, ITEM, RATING)
 
-    Each partitioning task holds a buffer per pair of blocks, hence the ceiling.
-    """
-    return max(10, min(spark.sparkContext.defaultParallelism, 1000))
 
+def group_sizes(ratings: DataFrame) -> tuple[int, int]:
+    """(rows, rows of the most active user or the most rated book)."""
+    counts = [ratings.groupBy(key).agg(F.count(F.lit(1)).alias("n")) for key in (USER, ITEM)]
+    sides = [c.agg(F.sum("n").alias("rows"), F.max("n").alias("largest")) for c in counts]
+    found = sides[0].union(sides[1]).agg(F.max("rows"), F.max("largest")).first()
+    return found[0] or 0, found[1] or 0
 
-def als_triples(ratings: DataFrame) -> DataFrame:
-    return ratings.select(USER, ITEM, RATING)
 
+def als_blocks(spark: SparkSession, rows: int) -> int:
+    """A block per core, more if blocks would exceed ROWS_PER_BLOCK.
 
-def largest_group(ratings: DataFrame) -> int:
-    """Number of ratings of the most active user or the most rated book."""
-    sizes = [
-        ratings.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n"))
-        for key in (USER, ITEM)
-    ]
-    return sizes[0].union(sizes[1]).agg(F.max("n")).first()[0] or 0
+    Each partitioning task holds a buffer per pair of blocks, hence the ceiling.
+    """
+    return min(max(spark.sparkContext.defaultParallelism, rows // ROWS_PER_BLOCK + 1), MOST_BLOCKS)
 
 
 def fit_als(ratings: DataFrame, settings: AlsSettings = AlsSettings()) -> ALSModel:
@@ -59,11 +64,12 @@ def fit_als(ratings: DataFrame, settings: AlsSettings = AlsSettings()) -> ALSMod
     split groups instead.
     """
     triples = als_triples(ratings)
-    if largest_group(triples) > settings.largest_group:
+    rows, largest = group_sizes(triples)
+    if largest > settings.largest_group:
         return fit_split_als(triples, settings)
     spark = ratings.sparkSession
     use_checkpoints(spark)
-    blocks = settings.blocks or als_blocks(spark)
+    blocks = settings.blocks or als_blocks(spark, rows)
     als = ALS(
         rank=settings.rank,
         maxIter=settings.max_iter,
@@ -90,13 +96,23 @@ def evaluate_rmse(predictions: DataFrame) -> float:
     return evaluator.evaluate(predictions)
 
 
+def _fits_broadcast(model: ALSModel) -> bool:
+    return model.itemFactors.count() * (model.rank + 2) * 4 <= BROADCAST_BYTES
+
+
 def recommend_all(model: ALSModel, n: int = 5) -> DataFrame:
     """Top n books for every user, as an array of (asin_index, rating) per user."""
+    if _fits_broadcast(model):
+        return nested(best_items(model.userFactors, broadcast_items(model), n), USER, ITEM)
     return model.recommendForAllUsers(n)
 
 
 def recommend_subset(model: ALSModel, users: DataFrame, n: int = 5) -> DataFrame:
     """Top n books for the users in the frame; users the model does not know give no row."""
+    if _fits_broadcast(model):
+        wanted = users.select(F.col(USER).cast("int").alias("id")).distinct()
+        factors = model.userFactors.join(wanted, "id", "left_semi")
+        return nested(best_items(factors, broadcast_items(model), n), USER, ITEM)
     return model.recommendForUserSubset(users, n)
 
 

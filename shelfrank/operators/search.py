@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfrank.functions.columns import cover_or_placeholder, or_default
-from shelfrank.operators.statistics import item_review_stats, one_item_stats, one_per_book
+from shelfrank.operators.statistics import item_review_stats, one_per_book
 
 REVIEW_COLUMNS = ("summary", "reviewerName", "reviewText", "overall")
 
@@ -57,37 +57,19 @@ def book_details(books: DataFrame, reviews: DataFrame, url_root: str) -> DataFra
     )
 
 
-def book_pages(books: DataFrame, reviews: DataFrame, url_root: str, n: int = 10) -> DataFrame:
-    """Page header of every book with its first n reviews as an array."""
+def book_pages(details: DataFrame, first_reviews: DataFrame) -> DataFrame:
+    """Page headers with the books' first reviews as an array, empty if there are none."""
     entry = F.struct("pos", *REVIEW_COLUMNS)
-    lists = (
-        top_reviews_per_item(reviews, n)
-        .groupBy("asin")
-        .agg(F.sort_array(F.collect_list(entry)).alias("reviews"))
+    lists = first_reviews.groupBy("asin").agg(
+        F.sort_array(F.collect_list(entry)).alias("reviews")
     )
-    return book_details(books, reviews, url_root).join(lists, "asin", "left")
+    pages = details.join(lists, "asin", "left")
+    return pages.withColumn("reviews", F.coalesce("reviews", F.array()))
 
 
 def one_book_page(
     books: DataFrame, reviews: DataFrame, asin: str, url_root: str, n: int = 10
 ) -> DataFrame:
     """The page of one book; no row if the book is unknown."""
-    book = books.where(F.col("asin") == asin).orderBy("title", "imUrl").limit(1)
-    shown = reviews_for_item(reviews, asin, n).agg(
-        F.sort_array(F.collect_list(F.struct(*REVIEW_COLUMNS)), asc=False).alias("reviews")
-    )
-    # Both right sides are global aggregates, hence exactly one row each.
-    stats = one_item_stats(reviews, asin).withColumn("asin", F.lit(asin))
-    return (
-        book.join(F.broadcast(stats), "asin")
-        .join(F.broadcast(shown.withColumn("asin", F.lit(asin))), "asin")
-        .select(
-            "asin",
-            or_default("title", "").alias("title"),
-            cover_or_placeholder("imUrl", url_root).alias("cover"),
-            "description",
-            "review_no",
-            "avg_rating",
-            "reviews",
-        )
-    )
+    book, own = books.where(F.col("asin") == asin), reviews.where(F.col("asin") == asin)
+    return book_pages(book_details(book, own, url_root), top_reviews_per_item(own, n))

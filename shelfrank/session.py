@@ -16,6 +16,8 @@ ADAPTIVE = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join even when a later aggregate then needs its own shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Join partitions whose smaller side turns out this small by hash, without sorting.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
 }
 
 _local_folders: dict[str, str] = {}
@@ -24,7 +26,13 @@ _local_folders: dict[str, str] = {}
 def build_session(app_name: str = "shelfrank", **settings: str) -> SparkSession:
     """Session for a job; memory, cores and spark.checkpoint.dir come from spark-submit."""
     builder = SparkSession.builder.appName(app_name)
-    options = {**ADAPTIVE, "spark.ui.enabled": "false", "spark.sql.session.timeZone": "UTC"}
+    options = {
+        **ADAPTIVE,
+        "spark.ui.enabled": "false",
+        "spark.sql.session.timeZone": "UTC",
+        # Delete checkpoint files of frames that are no longer referenced.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    }
     for key, value in {**options, **settings}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

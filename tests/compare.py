@@ -51,6 +51,7 @@ def main(folder: str, names: list[str]) -> None:
 
     spark = (
         SparkSession.builder.master("local[8]")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")

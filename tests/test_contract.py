@@ -1,0 +1,31 @@
+"""Every registered query against its SQL oracle on the smallest data set."""
+
+import pytest
+from compare import differences, oracle_connection
+
+import __spark_entry__ as contract
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def oracle():
+    return oracle_connection(FOLDER)
+
+
+def test_every_query_has_an_oracle():
+    assert set(contract.queries()) == set(contract.oracle_sql())
+
+
+@pytest.mark.parametrize("name", list(contract.QUERIES))
+def test_query_equals_oracle(spark, oracle, name):
+    got = contract.queries()[name](spark, FOLDER).toPandas()
+    want = oracle.execute(contract.oracle_sql()[name]).df()
+    assert differences(got, want) is None
+    assert len(got) > 0
+
+
+def test_entry_lists_ten_books(spark):
+    result = contract.entry(spark)
+    assert result.columns == ["Product ID", "Title", "Average Rating", "Price"]
+    assert result.count() == 10

@@ -1,0 +1,62 @@
+from conftest import rows
+from pyspark.sql import functions as F
+
+from shelfrank.operators import sampling
+
+
+def pairs(spark, n=2000):
+    return spark.range(n).select(
+        F.concat(F.lit("u"), F.col("id") % 97).alias("reviewerID"),
+        F.concat(F.lit("b"), F.col("id") % 89).alias("asin"),
+        (F.col("id") % 5 + 1).cast("double").alias("overall"),
+    )
+
+
+def test_random_split_loses_nothing(spark):
+    df = pairs(spark)
+    train, test = sampling.random_split(df)
+    assert rows(train.unionAll(test)) == rows(df)
+    assert 0.75 < train.count() / df.count() < 0.85
+
+
+def test_hash_split_is_the_same_on_any_partitioning(spark):
+    df = pairs(spark)
+    train, test = sampling.hash_split(df.repartition(3))
+    again, _ = sampling.hash_split(df.repartition(8))
+    assert rows(train) == rows(again)
+    assert rows(train.unionAll(test)) == rows(df)
+
+
+def test_hash_split_keeps_rows_with_null_keys(spark):
+    df = spark.createDataFrame([(None, "a"), ("u", None)], "reviewerID string, asin string")
+    train, test = sampling.hash_split(df)
+    assert train.count() + test.count() == 2
+
+
+def test_sample_is_exact_and_repeatable(spark):
+    df = spark.range(1000).select(F.col("id").cast("string").alias("asin"))
+    first = sampling.sample_rows(df.repartition(5), 100, "asin")
+    assert first.distinct().count() == 100
+    assert rows(first) == rows(sampling.sample_rows(df.repartition(2), 100, "asin"))
+    assert sampling.sample_rows(df, 100, "asin", seed=1).distinct().count() == 100
+
+
+def test_sample_of_fewer_rows_gives_all(spark):
+    df = spark.createDataFrame([("a",), ("b",), ("c",)], "asin string")
+    assert sampling.sample_rows(df, 10_000, "asin").count() == 3
+    assert sampling.sample_rows(df, None, "asin").count() == 3
+
+
+def test_random_books_come_from_rating_rows(spark):
+    ratings = spark.createDataFrame(
+        [("a", 0, "A")] * 50 + [("b", 1, "B")], "asin string, asin_index int, title string"
+    )
+    assert sampling.random_books(ratings, 5, seed=3).count() == 5
+    assert sampling.random_books(ratings, 5, seed=3, distinct=True).count() == 2
+
+
+def test_covers_for_few(spark):
+    picked = spark.createDataFrame([("a", 0, "A"), ("a", 0, "A"), ("b", 1, "B")], "asin string, asin_index int, title string")
+    books = spark.createDataFrame([("a", "u2"), ("a", "u1"), ("c", "u3")], "asin string, imUrl string")
+    got = sampling.covers_for_few(picked, books)
+    assert rows(got.select("asin", "imUrl")) == [("a", "u1"), ("a", "u1"), ("b", None)]

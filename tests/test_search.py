@@ -1,0 +1,105 @@
+from conftest import plan_of, rows
+from pyspark.sql import functions as F
+
+from shelfrank.operators import search
+from shelfrank.session import stored
+
+BOOKS = "asin string, title string, imUrl string, description string"
+ROOT = "http://h/"
+
+
+def books(spark):
+    return spark.createDataFrame(
+        [
+            ("1", "A_one", None, "d1"),
+            ("2", "Abone", "", "d2"),
+            ("3", "O'Brien", "http://c/3", "d3"),
+            ("4", "100% sure", "http://c/4", "d4"),
+            ("5", None, None, None),
+            ("6", "", None, None),
+        ],
+        BOOKS,
+    )
+
+
+def reviews(spark, counts):
+    return spark.createDataFrame(
+        [
+            (asin, f"u{i:03d}", f"name{i}", f"s{i}", f"t{i}", float(i % 5 + 1))
+            for asin, n in counts.items()
+            for i in range(n)
+        ],
+        "asin string, reviewerID string, reviewerName string, summary string, "
+        "reviewText string, overall double",
+    )
+
+
+def found(df):
+    return [r.asin for r in df.collect()]
+
+
+def test_prefix_is_literal_and_case_sensitive(spark):
+    df = books(spark)
+    assert found(search.search_titles(df, "A_")) == ["1"]
+    assert found(search.search_titles(df, "100%")) == ["4"]
+    assert found(search.search_titles(df, "O'Br")) == ["3"]
+    assert found(search.search_titles(df, "ab")) == []
+    assert len(found(search.search_titles(df, ""))) == 5
+
+
+def test_wildcards(spark):
+    df = books(spark)
+    assert found(search.search_titles(df, "A_", wildcards=True)) == ["1", "2"]
+    assert found(search.search_titles(df, "%sure", wildcards=True)) == ["4"]
+
+
+def test_prefix_reaches_the_scan(spark):
+    table = stored(books(spark), "books")
+    assert "StringStartsWith(title,Ab)" in plan_of(search.search_titles(table, "Ab"))
+
+
+def test_limit_is_fifty(spark):
+    many = spark.range(80).select(
+        F.col("id").cast("string").alias("asin"),
+        F.format_string("T%03d", "id").alias("title"),
+        F.lit(None).cast("string").alias("imUrl"),
+    )
+    titles = [r.title for r in search.search_titles(many, "T").collect()]
+    assert titles == [f"T{i:03d}" for i in range(50)]
+
+
+def test_details_fill_defaults(spark):
+    got = {r.asin: r for r in search.book_details(books(spark), reviews(spark, {"1": 2}), ROOT).collect()}
+    assert (got["1"].review_no, got["1"].avg_rating) == (2, 1.5)
+    assert (got["2"].review_no, got["2"].avg_rating) == (0, 0.0)
+    assert got["5"].title == "" and got["6"].title == ""
+    assert got["2"].cover == ROOT + "static/image404.png" and got["3"].cover == "http://c/3"
+
+
+def test_one_book_page(spark):
+    all_reviews = reviews(spark, {"1": 30, "3": 1})
+    page = search.one_book_page(books(spark), all_reviews, "1", ROOT).first()
+    assert page.review_no == 30 and page.avg_rating == 3.0
+    assert [r.pos for r in page.reviews] == list(range(1, 11))
+    assert [r.overall for r in page.reviews] == [5.0] * 6 + [4.0] * 4
+    bare = search.one_book_page(books(spark), all_reviews, "2", ROOT).first()
+    assert (bare.review_no, bare.avg_rating, bare.reviews) == (0, 0.0, [])
+    assert search.one_book_page(books(spark), all_reviews, "nope", ROOT).count() == 0
+
+
+def test_reviews_for_item_are_the_first_of_the_bulk_form(spark):
+    df = reviews(spark, {"a": 40, "b": 3})
+    bulk = search.top_reviews_per_item(df, 10)
+    for asin, n in (("a", 10), ("b", 3)):
+        one = search.reviews_for_item(df, asin)
+        assert one.count() == n
+        assert rows(one) == rows(bulk.where(F.col("asin") == asin).select(one.columns))
+
+
+def test_hot_book_is_cut_before_the_shuffle(spark):
+    df = stored(reviews(spark, {"hot": 500, "b": 5, "c": 1}).repartition(4), "reviews")
+    top = search.top_reviews_per_item(df, 3)
+    plan = plan_of(top)
+    below_shuffle = plan[plan.rindex("Exchange hashpartitioning") :]
+    assert "WindowGroupLimit" in below_shuffle
+    assert rows(top.groupBy("asin").count()) == [("b", 3), ("c", 1), ("hot", 3)]
