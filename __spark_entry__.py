@@ -517,8 +517,9 @@ RANKED = (
 RANKS = f"(select unnest(range(1, {TOP_N + 1})) as rank)"
 
 PER_USER = (
-    f"select distinct reviewerID_index, {TOP_N} as n_books, {TOP_N} as n_distinct, "
-    f"{TOP_N} as n_known, true as best_first"
+    f"select distinct reviewerID_index, cast({TOP_N} as bigint) as n_books, "
+    f"cast({TOP_N} as bigint) as n_distinct, cast({TOP_N} as bigint) as n_known, "
+    "true as best_first"
 )
 
 USER_RANKS = f"(select distinct reviewerID_index from train) cross join {RANKS}"
@@ -633,5 +634,6 @@ def oracle_sql() -> dict[str, str]:
             select user_id as reviewerID_index, cast(rank as integer) as rank,
                    true as title_right, true as cover_right
             from (select distinct user_id from feedback) cross join {RANKS}""",
-        "random_books_to_rate": f"select {TOP_N} as n_picked, {TOP_N} as n_right",
+        "random_books_to_rate": f"""select cast({TOP_N} as bigint) as n_picked,
+            cast({TOP_N} as bigint) as n_right""",
     }

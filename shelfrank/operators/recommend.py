@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from shelfrank.operators.scoring import best_items, broadcast_items, nested
 from shelfrank.operators.split_als import fit_split_als
 from shelfrank.operators.statistics import one_per_book
-from shelfrank.session import use_checkpoints
+from shelfrank.session import kept, use_checkpoints
 
 # Book factors up to this size are broadcast for scoring.
 BROADCAST_BYTES = 256 << 20
@@ -63,27 +63,28 @@ def fit_als(ratings: DataFrame, settings: AlsSettings = AlsSettings()) -> ALSMod
     largest group is too big for that, the same normal equations are summed by
     split groups instead.
     """
-    triples = als_triples(ratings)
-    rows, largest = group_sizes(triples)
-    if largest > settings.largest_group:
-        return fit_split_als(triples, settings)
     spark = ratings.sparkSession
     use_checkpoints(spark)
-    blocks = settings.blocks or als_blocks(spark, rows)
-    als = ALS(
-        rank=settings.rank,
-        maxIter=settings.max_iter,
-        regParam=settings.reg,
-        numUserBlocks=blocks,
-        numItemBlocks=blocks,
-        userCol=USER,
-        itemCol=ITEM,
-        ratingCol=RATING,
-        coldStartStrategy="drop",
-        checkpointInterval=settings.checkpoint_interval,
-        seed=settings.seed,
-    )
-    return als.fit(triples)
+    # Sizes and fit read the ratings several times; keep the three columns meanwhile.
+    with kept(als_triples(ratings)) as triples:
+        rows, largest = group_sizes(triples)
+        if largest > settings.largest_group:
+            return fit_split_als(triples, settings)
+        blocks = settings.blocks or als_blocks(spark, rows)
+        als = ALS(
+            rank=settings.rank,
+            maxIter=settings.max_iter,
+            regParam=settings.reg,
+            numUserBlocks=blocks,
+            numItemBlocks=blocks,
+            userCol=USER,
+            itemCol=ITEM,
+            ratingCol=RATING,
+            coldStartStrategy="drop",
+            checkpointInterval=settings.checkpoint_interval,
+            seed=settings.seed,
+        )
+        return als.fit(triples)
 
 
 def predict(model: ALSModel, ratings: DataFrame) -> DataFrame:

@@ -30,8 +30,9 @@ def train_and_save(
     """Fit on 80 % of the ratings, store the model, return the RMSE on the rest."""
     ratings = readers.as_view(readers.read_ratings(spark, ratings_path), "ratings")
     train, test = sampling.random_split(ratings)
-    model = rec.fit_als(train, settings)
-    sinks.save_model(model, model_path)
+    sinks.save_model(rec.fit_als(train, settings), model_path)
+    # Score with the stored factors: they outlive any executor.
+    model = sinks.load_model(spark, model_path)
     return rec.evaluate_rmse(rec.predict(model, test))
 
 

@@ -20,6 +20,10 @@ ADAPTIVE = {
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
 }
 
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+PARTITIONS_PER_CORE = 4
+SPARK_DEFAULT_PARTITIONS = 200
+
 _local_folders: dict[str, str] = {}
 
 
@@ -35,13 +39,20 @@ def build_session(app_name: str = "shelfrank", **settings: str) -> SparkSession:
     }
     for key, value in {**options, **settings}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return tune(builder.getOrCreate())
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Turn on run-time replanning for a session somebody else built."""
+    """Turn on run-time replanning for a session somebody else built.
+
+    On a large cluster shuffles start with several partitions per core, which
+    are merged again where the data turns out small.
+    """
     for key, value in ADAPTIVE.items():
         spark.conf.set(key, value)
+    wanted = PARTITIONS_PER_CORE * spark.sparkContext.defaultParallelism
+    if wanted > SPARK_DEFAULT_PARTITIONS and INITIAL_PARTITIONS not in spark.conf.getAll:
+        spark.conf.set(INITIAL_PARTITIONS, str(wanted))
     return spark
 
 

@@ -105,6 +105,22 @@ def test_check_raw_file(spark):
     assert lines.where(F.get_json_object("value", "$.asin").isNull()).count() == 0
 
 
+def test_clustered_files_hold_separate_key_ranges(spark):
+    path = session.scratch_path(spark, "clustered")
+    third_hot = F.when(F.col("id") % 3 == 0, "k0500").otherwise(F.format_string("k%04d", "id"))
+    df = spark.range(3000).select(third_hot.alias("asin"), F.col("id").alias("other"))
+    sinks.write_clustered(df.repartition(7), path, "asin", "other")
+    files = (
+        spark.read.parquet(path)
+        .groupBy(F.input_file_name())
+        .agg(F.min("asin").alias("low"), F.max("asin").alias("high"), F.count("*").alias("n"))
+        .orderBy("low", "high")
+        .collect()
+    )
+    assert sum(f.n for f in files) == 3000
+    assert all(a.high <= b.low for a, b in zip(files, files[1:]))
+
+
 def test_sinks_do_not_overwrite_unasked(spark):
     path = session.scratch_path(spark, "x")
     sinks.write_parquet(spark.range(1), path)
