@@ -238,6 +238,10 @@ def feedback_rows(spark, folder):
     return fb.feedback_rows(proxy.feedback_raw(spark, folder))
 
 
+def feedback_forms(spark, folder):
+    return fb.parse_feedback(fb.answers_from_forms(proxy.feedback_forms(spark, folder)))
+
+
 def feedback_with_titles(spark, folder):
     return fb.feedback_with_titles(proxy.feedback_raw(spark, folder), _items(spark, folder))
 
@@ -300,8 +304,8 @@ def als_predictions(spark, folder):
 def als_rmse(spark, folder):
     scored = rec.predict(_model(spark, folder), _test(spark, folder))
     by_evaluator = rec.evaluate_rmse(scored)
-    summary = statistics.rmse(scored.select("overall", "prediction"))
-    return summary.select(
+    return statistics.rmse(scored).select(
+        "n_scored",
         (F.abs(F.col("rmse") - by_evaluator) < 1e-6).alias("measures_agree"),
         F.col("rmse").between(0, 10).alias("plausible"),
     )
@@ -411,6 +415,7 @@ QUERIES = {
     "review_text_dump": review_text_dump,
     "ratings_json_roundtrip": ratings_json_roundtrip,
     "feedback_rows": feedback_rows,
+    "feedback_forms": feedback_forms,
     "feedback_with_titles": feedback_with_titles,
     "ratings_with_feedback": ratings_with_feedback,
     "als_all_user_recs": als_all_user_recs,
@@ -596,6 +601,12 @@ def oracle_sql() -> dict[str, str]:
                    cast(reviewerID_index as double) as reviewerID_index, title
             from indexed""",
         "feedback_rows": f"with {FEEDBACK} select * from feedback_rows",
+        "feedback_forms": """
+            select cast(l_orderkey as integer) as user_id,
+                   cast(max(l_partkey) as integer) as asin_index,
+                   cast(max(ceil(l_quantity / 10)) as double) as overall
+            from lineitem where l_linenumber between 1 and 5
+            group by l_orderkey, l_linenumber""",
         "feedback_with_titles": f"""with {INDEXED}, {FEEDBACK}
             select user_id, asin_index, title, overall
             from feedback left join (select distinct asin_index, title from indexed)
@@ -610,7 +621,10 @@ def oracle_sql() -> dict[str, str]:
             select reviewerID, asin, overall, true as scored from test
             where reviewerID in (select reviewerID from train)
               and asin in (select asin from train)""",
-        "als_rmse": "select true as measures_agree, true as plausible",
+        "als_rmse": f"""with {INDEXED}
+            select count(*) as n_scored, true as measures_agree, true as plausible from test
+            where reviewerID in (select reviewerID from train)
+              and asin in (select asin from train)""",
         "als_model_roundtrip": f"""with {INDEXED},
             sizes as (select 'user' as side, count(distinct reviewerID) as n_factors from train
                       union all select 'item', count(distinct asin) from train)

@@ -17,8 +17,10 @@ from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-USERS_AT_ONCE = 1024
-BOOKS_AT_ONCE = 16384
+USERS_AT_ONCE = 256
+# The first, longest factors set the marks the remaining books have to beat.
+FIRST_BOOKS = 512
+BOOKS_AT_ONCE = 4096
 # Covers the rounding of single-precision products in the bound below.
 SLACK = 1.0001
 
@@ -46,22 +48,30 @@ def best_for_block(users: np.ndarray, items: tuple, k: int) -> tuple[np.ndarray,
 
     A score is at most the product of both norms. Books come longest first, so
     once no user's k-th best can be beaten by that bound, the rest is settled.
+    Before that, only books that beat some user's k-th best are ranked.
     """
     _, factors, norms = items
     reach = np.linalg.norm(users, axis=1) * SLACK
     scores = np.empty((len(users), 0), dtype=np.float32)
     places = np.empty((len(users), 0), dtype=np.int64)
-    for start in range(0, len(factors), BOOKS_AT_ONCE):
-        if scores.shape[1] == k and (scores[:, -1] >= reach * norms[start]).all():
+    start, step = 0, FIRST_BOOKS
+    while start < len(factors):
+        full = scores.shape[1] == k
+        if full and (scores[:, -1] >= reach * norms[start]).all():
             break
-        chunk = users @ factors[start : start + BOOKS_AT_ONCE].T
-        width = min(k, chunk.shape[1])
-        top = np.argpartition(-chunk, width - 1, axis=1)[:, :width]
-        scores = np.hstack([scores, np.take_along_axis(chunk, top, axis=1)])
-        places = np.hstack([places, top + start])
-        order = np.argsort(-scores, axis=1, kind="stable")[:, :k]
-        scores = np.take_along_axis(scores, order, axis=1)
-        places = np.take_along_axis(places, order, axis=1)
+        chunk = users @ factors[start : start + step].T
+        better = (chunk > scores[:, -1:]).any(axis=0) if full else np.ones(chunk.shape[1], bool)
+        candidates = np.flatnonzero(better)
+        if len(candidates):
+            chunk = chunk[:, candidates]
+            width = min(k, len(candidates))
+            top = np.argpartition(-chunk, width - 1, axis=1)[:, :width]
+            scores = np.hstack([scores, np.take_along_axis(chunk, top, axis=1)])
+            places = np.hstack([places, candidates[top] + start])
+            order = np.argsort(-scores, axis=1, kind="stable")[:, :k]
+            scores = np.take_along_axis(scores, order, axis=1)
+            places = np.take_along_axis(places, order, axis=1)
+        start, step = start + step, BOOKS_AT_ONCE
     return scores, places
 
 

@@ -17,7 +17,7 @@ from pyspark.ml.wrapper import JavaWrapper
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfrank.session import checkpointed, stored
+from shelfrank.session import checkpointed, stored, stored_for_now
 
 if TYPE_CHECKING:
     from shelfrank.operators.recommend import AlsSettings
@@ -35,16 +35,15 @@ def rating_pairs(triples: DataFrame, part_rows: int) -> DataFrame:
     pairs = triples.groupBy(
         F.col(USER).cast("int").alias("user"), F.col(ITEM).cast("int").alias("item")
     ).agg(F.count(F.lit(1)).cast("double").alias("n"), F.sum(RATING).alias("total"))
-    pairs = stored(pairs, "pairs")
-    out = pairs
-    for key, other in (("user", "item"), ("item", "user")):
-        parts = F.ceil(F.count(F.lit(1)) / part_rows).alias("parts")
-        # Only groups above part_rows: at most (number of pairs / part_rows) rows.
-        large = pairs.groupBy(key).agg(parts).where("parts > 1")
-        part = F.pmod(F.xxhash64(other), F.col("parts")).cast("int")
-        out = out.join(large, key, "left").withColumn(f"{key}_part", F.coalesce(part, F.lit(0)))
-        out = out.drop("parts")
-    return stored(out, "split_pairs")
+    with stored_for_now(pairs, "pairs") as pairs:
+        out = pairs
+        for key, other in (("user", "item"), ("item", "user")):
+            parts = F.ceil(F.count(F.lit(1)) / part_rows).alias("parts")
+            # Only groups above part_rows: at most (number of pairs / part_rows) rows.
+            large = pairs.groupBy(key).agg(parts).where("parts > 1")
+            part = F.coalesce(F.pmod(F.xxhash64(other), F.col("parts")).cast("int"), F.lit(0))
+            out = out.join(large, key, "left").withColumn(f"{key}_part", part).drop("parts")
+        return stored(out, "split_pairs")
 
 
 def first_factors(pairs: DataFrame, key: str, rank: int, seed: int) -> DataFrame:
@@ -119,12 +118,12 @@ def fit_split_als(triples: DataFrame, settings: AlsSettings, part_rows: int = 1_
     """Alternate the two half steps; each result is checkpointed, which cuts the lineage."""
     rank, reg = settings.rank, settings.reg
     pairs = rating_pairs(triples, part_rows)
-    parts = {
-        key: stored(pairs.select(key, f"{key}_part").distinct(), f"{key}_parts")
+    user_parts, item_parts = (
+        stored(pairs.select(key, f"{key}_part").distinct(), f"{key}_parts")
         for key in ("user", "item")
-    }
+    )
     items = checkpointed(first_factors(pairs, "item", rank, settings.seed))
     for _ in range(settings.max_iter):
-        users = checkpointed(half_step(pairs, items.join(parts["item"], "item"), "user", rank, reg))
-        items = checkpointed(half_step(pairs, users.join(parts["user"], "user"), "item", rank, reg))
+        users = checkpointed(half_step(pairs, items.join(item_parts, "item"), "user", rank, reg))
+        items = checkpointed(half_step(pairs, users.join(user_parts, "user"), "item", rank, reg))
     return as_model(users, items, rank)

@@ -73,9 +73,11 @@ def bottom_rated(sample: DataFrame, n: int = 10) -> DataFrame:
 
 
 def rmse(predictions: DataFrame, label: str = "overall") -> DataFrame:
-    """Root mean squared error of a `prediction` column, as a one-row frame."""
+    """Root mean squared error of a `prediction` column and the number of rows, in one row."""
     error = F.col(label) - F.col("prediction")
-    return predictions.agg(F.sqrt(F.avg(error * error)).alias("rmse"))
+    return predictions.agg(
+        F.sqrt(F.avg(error * error)).alias("rmse"), F.count("prediction").alias("n_scored")
+    )
 
 
 def item_mean_rmse(ratings: DataFrame, is_train: Column) -> DataFrame:

@@ -10,7 +10,7 @@ from shelfrank.operators import recommend as rec
 from shelfrank.operators import sampling, search, statistics
 from shelfrank.operators.indexing import clean_ratings, index_ids, item_dimension
 from shelfrank.operators.recommend import AlsSettings
-from shelfrank.session import checkpointed, stored
+from shelfrank.session import checkpointed, stored, stored_for_now
 from shelfrank.sources import readers, sinks
 
 
@@ -20,8 +20,8 @@ def prepare_ratings(raw: DataFrame) -> DataFrame:
     The cleaned rows are written once, because every label count and every
     index join reads them again.
     """
-    cleaned = stored(clean_ratings(raw), "cleaned_ratings")
-    return stored(index_ids(cleaned), "indexed_ratings")
+    with stored_for_now(clean_ratings(raw), "cleaned_ratings") as cleaned:
+        return stored(index_ids(cleaned), "indexed_ratings")
 
 
 def train_and_save(

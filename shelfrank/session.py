@@ -87,11 +87,27 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write a frame as a Parquet table in the shared folder and read it back."""
+def _write_scratch(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame as a Parquet table in the shared folder and read it back."""
+    return _write_scratch(df, name)[0]
+
+
+@contextmanager
+def stored_for_now(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """The same for an intermediate step: the table is deleted at the end of the block."""
+    spark = df.sparkSession
+    table, path = _write_scratch(df, name)
+    try:
+        yield table
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 @contextmanager

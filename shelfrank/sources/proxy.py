@@ -87,3 +87,16 @@ def feedback_raw(spark: SparkSession, folder: str) -> DataFrame:
         .alias("book"),
         F.ceil(F.col("value") / 10).cast("string").alias("rating"),
     )
+
+
+def feedback_forms(spark: SparkSession, folder: str) -> DataFrame:
+    """One form per order: line n gives the pair book<n-1>, rating<n-1>; most have gaps."""
+    lines = table(spark, folder, "lineitem")
+    rating = F.ceil(F.col("l_quantity") / 10)
+    answers = [
+        F.max(F.when(F.col("l_linenumber") == i + 1, value)).cast("string").alias(f"{name}{i}")
+        for i in range(5)
+        for name, value in (("book", F.col("l_partkey")), ("rating", rating))
+    ]
+    user = F.col("l_orderkey").cast("int").alias("user_id")
+    return lines.groupBy(user).agg(*answers)

@@ -1,3 +1,4 @@
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -5,6 +6,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from shelfrank import session
+from shelfrank.__main__ import main as cli
 from shelfrank.operators.recommend import AlsSettings
 from shelfrank.plans import jobs
 from shelfrank.sources import proxy, readers, sinks
@@ -52,6 +54,16 @@ def test_train_and_recommend_all(spark, ratings_path):
     assert got.where(F.size("recommendations") == 5).count() == got.count() > 0.9 * users.count()
 
 
+def test_command_line(spark, ratings_path, tmp_path, capsys):
+    raw = str(tmp_path / "raw")
+    sinks.write_json(proxy.titled_ratings(spark, FOLDER), raw)
+    cli(["prepare", raw, str(tmp_path / "ratings")])
+    again = readers.read_ratings(spark, str(tmp_path / "ratings"))
+    assert rows(again) == rows(readers.read_ratings(spark, ratings_path))
+    cli(["check-raw", raw, str(tmp_path / "dump")])
+    assert "6000" in capsys.readouterr().out
+
+
 def test_recommend_for_two_new_visitors(spark, ratings):
     raw = readers.feedback_from_rows(
         spark,
@@ -149,6 +161,13 @@ def test_a_cluster_without_a_shared_folder_is_an_error():
         session.shared_folder(FakeSession("yarn"))
 
 
+def test_intermediate_tables_are_deleted(spark):
+    with session.stored_for_now(spark.range(3), "t") as table:
+        folder = Path(table.inputFiles()[0].removeprefix("file://")).parent
+        assert table.count() == 3 and folder.exists()
+    assert not folder.exists()
+
+
 def test_kept_frames_are_released(spark):
     with session.kept(spark.range(10)) as df:
         assert df.count() == 10 and df.is_cached
