@@ -17,11 +17,13 @@ from pyspark.ml.wrapper import JavaWrapper
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfrank.session import checkpointed, stored, stored_for_now
+from shelfrank.session import checkpointed, kept, stored, stored_for_now
 
 if TYPE_CHECKING:
     from shelfrank.operators.recommend import AlsSettings
 
+PAIRS_PER_PARTITION = 1_000_000
+
 USER, ITEM, RATING = "reviewerID_index", "asin_index", "overall"
 
 
@@ -54,7 +56,7 @@ def first_factors(pairs: DataFrame, key: str, rank: int, seed: int) -> DataFrame
     ]
     ids = pairs.select(key).distinct().withColumn("f", F.array(*draws))
     norm = F.sqrt(F.aggregate("f", F.lit(0.0), lambda total, x: total + x * x))
-    return ids.select(key, F.transform("f", lambda x: x / norm).alias("f"))
+    return ids.select(key, F.transform("f", lambda x: (x / norm).cast("float")).alias("f"))
 
 
 def solve_batches(batches: Iterator[pd.DataFrame], key: str, rank: int, reg: float):
@@ -67,7 +69,7 @@ def solve_batches(batches: Iterator[pd.DataFrame], key: str, rank: int, reg: flo
         left[:, upper[1], upper[0]] = sums[:, : len(upper[0])]
         left += (reg * batch["n"].to_numpy())[:, None, None] * np.eye(rank)
         found = np.linalg.solve(left, sums[:, len(upper[0]) :, None])[:, :, 0]
-        yield pd.DataFrame({key: batch[key], "f": list(found)})
+        yield pd.DataFrame({key: batch[key], "f": list(found.astype(np.float32))})
 
 
 def half_step(pairs: DataFrame, factors: DataFrame, key: str, rank: int, reg: float) -> DataFrame:
@@ -93,7 +95,7 @@ def half_step(pairs: DataFrame, factors: DataFrame, key: str, rank: int, reg: fl
         F.sum("n").alias("n"), F.array(*[F.sum(s) for s in names]).alias("sums")
     )
     return sums.mapInPandas(
-        lambda batches: solve_batches(batches, key, rank, reg), f"{key} int, f array<double>"
+        lambda batches: solve_batches(batches, key, rank, reg), f"{key} int, f array<float>"
     )
 
 
@@ -101,7 +103,7 @@ def as_model(users: DataFrame, items: DataFrame, rank: int) -> ALSModel:
     """Factor tables as an ALSModel, for Spark's own scoring, top-k and storage."""
 
     def side(factors: DataFrame, key: str) -> DataFrame:
-        return factors.select(F.col(key).alias("id"), F.col("f").cast("array<float>").alias("features"))
+        return factors.select(F.col(key).alias("id"), F.col("f").alias("features"))
 
     java_model = JavaWrapper._new_java_obj(
         "org.apache.spark.ml.recommendation.ALSModel",
@@ -115,15 +117,28 @@ def as_model(users: DataFrame, items: DataFrame, rank: int) -> ALSModel:
 
 
 def fit_split_als(triples: DataFrame, settings: AlsSettings, part_rows: int = 1_000_000) -> ALSModel:
-    """Alternate the two half steps; each result is checkpointed, which cuts the lineage."""
+    """Alternate the two half steps; each result is checkpointed, which cuts the lineage.
+
+    The pairs are kept twice, partitioned by the parts of either side, so that
+    only factors move to meet them. Lost partitions come back from the stored
+    table.
+    """
     rank, reg = settings.rank, settings.reg
     pairs = rating_pairs(triples, part_rows)
     user_parts, item_parts = (
         stored(pairs.select(key, f"{key}_part").distinct(), f"{key}_parts")
         for key in ("user", "item")
     )
+    cores = triples.sparkSession.sparkContext.defaultParallelism
+    n = max(cores, pairs.count() // PAIRS_PER_PARTITION + 1)
     items = checkpointed(first_factors(pairs, "item", rank, settings.seed))
-    for _ in range(settings.max_iter):
-        users = checkpointed(half_step(pairs, items.join(item_parts, "item"), "user", rank, reg))
-        items = checkpointed(half_step(pairs, users.join(user_parts, "user"), "item", rank, reg))
+    with (
+        kept(pairs.repartition(n, "item", "item_part")) as by_item,
+        kept(pairs.repartition(n, "user", "user_part")) as by_user,
+    ):
+        for _ in range(settings.max_iter):
+            rated = items.join(item_parts, "item")
+            users = checkpointed(half_step(by_item, rated, "user", rank, reg))
+            rating = users.join(user_parts, "user")
+            items = checkpointed(half_step(by_user, rating, "item", rank, reg))
     return as_model(users, items, rank)
