@@ -60,7 +60,9 @@ def _test(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _items(spark: SparkSession, folder: str) -> DataFrame:
-    return item_dimension(_indexed(spark, folder))
+    return _once(
+        spark, folder, "items", lambda: stored(item_dimension(_indexed(spark, folder)), "items")
+    )
 
 
 def _model(spark: SparkSession, folder: str):
@@ -122,7 +124,9 @@ def sql_view_item_stats(spark, folder):
 
 
 def rating_price_scatter(spark, folder):
-    return _sample(spark, folder)
+    path = scratch_path(spark, "average_ratings")
+    sinks.write_json(_average(spark, folder), path)
+    return statistics.scatter_frame(readers.read_average_ratings(spark, path), SAMPLE)
 
 
 def top_rated_books(spark, folder):
@@ -192,7 +196,7 @@ def string_index_ids(spark, folder):
 
 
 def item_dimension_query(spark, folder):
-    return _items(spark, folder)
+    return item_dimension(_indexed(spark, folder))
 
 
 def train_test_split(spark, folder):

@@ -9,7 +9,7 @@ from shelfrank import session
 from shelfrank.__main__ import main as cli
 from shelfrank.operators.recommend import AlsSettings
 from shelfrank.plans import jobs
-from shelfrank.sources import proxy, readers, sinks
+from shelfrank.sources import proxy, readers, schemas, sinks
 
 FOLDER = "/root/testdata/sf0.001"
 QUICK = AlsSettings(max_iter=2)
@@ -77,7 +77,9 @@ def test_recommend_for_two_new_visitors(spark, ratings):
     assert echo.count() == 10 and echo.where("title is null").count() == 0
     counts = rows(recommended.groupBy("reviewerID_index").count())
     assert counts == [(2000000001, 5), (2000000002, 5)]
-    assert recommended.columns == ["reviewerID_index", "rank", "asin_index", "rating", "asin", "title", "imUrl"]
+    assert recommended.columns == (
+        "reviewerID_index rank asin_index rating asin title imUrl".split()
+    )
     assert recommended.where("title = 'random_title'").count() == 0
 
 
@@ -103,7 +105,7 @@ def test_dashboard_frames_share_one_sample(spark):
 
 def test_average_rating_file(spark):
     path = session.scratch_path(spark, "average")
-    average = spark.createDataFrame([("a", "T", 4.5, 9.99)], "asin string, title string, average_rating double, price double")
+    average = spark.createDataFrame([("a", "T", 4.5, 9.99)], schemas.AVERAGE_RATING)
     sinks.write_json(average, path)
     assert rows(readers.read_average_ratings(spark, path)) == rows(average)
 
@@ -156,6 +158,11 @@ def test_shared_folder_comes_from_the_session():
     assert path.startswith(folder + "/shelfrank-") and path.endswith("/t")
 
 
+def test_local_mode_falls_back_to_one_folder_per_application():
+    fake = FakeSession("local[2]")
+    assert session.shared_folder(fake) == session.shared_folder(fake)
+
+
 def test_a_cluster_without_a_shared_folder_is_an_error():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.shared_folder(FakeSession("yarn"))

@@ -1,6 +1,8 @@
+import hypothesis
 import numpy as np
 import pytest
 from conftest import rows
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from shelfrank.operators import recommend as rec
@@ -75,6 +77,25 @@ def test_pruned_scan_of_many_books_is_exact():
     assert np.allclose(scores, -np.sort(-(users @ factors.T), axis=1)[:, :5])
 
 
+@hypothesis.settings(max_examples=60, deadline=None)
+@hypothesis.given(
+    st.integers(1, 40), st.integers(1, 5000), st.integers(1, 7), st.integers(0, 2**32 - 1), st.booleans()
+)
+def test_best_books_for_any_shape(n_users, n_items, k, seed, with_copies):
+    random = np.random.default_rng(seed)
+    factors = random.normal(size=(n_items, 3)).astype(np.float32)
+    if with_copies:
+        factors[n_items // 3 :] = factors[0]
+    factors = factors[np.argsort(-np.linalg.norm(factors, axis=1))]
+    users = random.normal(size=(n_users, 3)).astype(np.float32)
+    users[0] = 0
+    items = (np.arange(n_items, dtype=np.int32), factors, np.linalg.norm(factors, axis=1))
+    scores, places = best_for_block(users, items, k)
+    want = -np.sort(-(users @ factors.T), axis=1)[:, :k]
+    assert np.allclose(scores, want, atol=1e-5)
+    assert all(len(set(row)) == min(k, n_items) for row in places.tolist())
+
+
 def test_fewer_books_than_asked_for(spark):
     df = spark.createDataFrame([(1, 1, 5.0), (2, 1, 4.0), (2, 2, 3.0)], SCHEMA)
     got = rec.recommend_all(rec.fit_als(df, rec.AlsSettings(max_iter=2)), 5)

@@ -56,7 +56,12 @@ def test_random_books_come_from_rating_rows(spark):
 
 
 def test_covers_for_few(spark):
-    picked = spark.createDataFrame([("a", 0, "A"), ("a", 0, "A"), ("b", 1, "B")], "asin string, asin_index int, title string")
-    books = spark.createDataFrame([("a", "u2"), ("a", "u1"), ("c", "u3")], "asin string, imUrl string")
+    picked = spark.createDataFrame(
+        [("a", 0, "A"), ("a", 0, "A"), ("b", 1, "B")],
+        "asin string, asin_index int, title string",
+    )
+    books = spark.createDataFrame(
+        [("a", "u2"), ("a", "u1"), ("c", "u3")], "asin string, imUrl string"
+    )
     got = sampling.covers_for_few(picked, books)
     assert rows(got.select("asin", "imUrl")) == [("a", "u1"), ("a", "u1"), ("b", None)]

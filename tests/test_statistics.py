@@ -27,7 +27,12 @@ def test_average_rating_table_keeps_books_without_metadata(spark):
 
 def test_scatter_drops_rows_with_null_or_nan(spark):
     df = spark.createDataFrame(
-        [("a", "A", 1.0, 1.0), ("b", None, 1.0, 1.0), ("c", "C", 1.0, None), ("d", "D", 1.0, float("nan"))],
+        [
+            ("a", "A", 1.0, 1.0),
+            ("b", None, 1.0, 1.0),
+            ("c", "C", 1.0, None),
+            ("d", "D", 1.0, float("nan")),
+        ],
         AVERAGE,
     )
     assert [r.asin for r in st.scatter_frame(df).collect()] == ["a"]
