@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfrank.session import checkpointed
+from shelfrank.session import checkpointed, stored
 
 # monotonically_increasing_id keeps the row number in its low 33 bits.
 ROW_BITS = 33
@@ -55,12 +55,15 @@ def frequency_index(rows: DataFrame, label: str) -> DataFrame:
 def index_ids(ratings: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Add `<column>_index` for each id column; rows with a null id are left out.
 
-    The label tables are joined on the ids themselves. A label that holds a
-    large share of the rows is split by the adaptive skew join.
+    The label tables are stored first, so Spark knows their sizes when it plans
+    the joins: a small one is broadcast and the ratings stay where they are. A
+    larger one is joined by shuffle on the ids, where the adaptive skew join
+    splits a label that holds a large share of the rows.
     """
     out = ratings
     for column in columns if columns is not None else columns_to_index(ratings):
-        out = out.join(frequency_index(ratings, column).drop("n"), column)
+        labels = stored(frequency_index(ratings, column).drop("n"), f"{column}_labels")
+        out = out.join(labels, column)
     return out
 
 

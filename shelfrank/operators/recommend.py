@@ -97,20 +97,22 @@ def evaluate_rmse(predictions: DataFrame) -> float:
     return evaluator.evaluate(predictions)
 
 
-def _fits_broadcast(model: ALSModel) -> bool:
-    return model.itemFactors.count() * (model.rank + 2) * 4 <= BROADCAST_BYTES
+def _fits_broadcast(model: ALSModel, limit: int) -> bool:
+    return model.itemFactors.count() * (model.rank + 2) * 4 <= limit
 
 
-def recommend_all(model: ALSModel, n: int = 5) -> DataFrame:
+def recommend_all(model: ALSModel, n: int = 5, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Top n books for every user, as an array of (asin_index, rating) per user."""
-    if _fits_broadcast(model):
+    if _fits_broadcast(model, broadcast_bytes):
         return nested(best_items(model.userFactors, broadcast_items(model), n), USER, ITEM)
     return model.recommendForAllUsers(n)
 
 
-def recommend_subset(model: ALSModel, users: DataFrame, n: int = 5) -> DataFrame:
+def recommend_subset(
+    model: ALSModel, users: DataFrame, n: int = 5, broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
     """Top n books for the users in the frame; users the model does not know give no row."""
-    if _fits_broadcast(model):
+    if _fits_broadcast(model, broadcast_bytes):
         wanted = users.select(F.col(USER).cast("int").alias("id")).distinct()
         factors = model.userFactors.join(wanted, "id", "left_semi")
         return nested(best_items(factors, broadcast_items(model), n), USER, ITEM)

@@ -14,7 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.recommendation import ALSModel
 from pyspark.ml.wrapper import JavaWrapper
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfrank.session import checkpointed, kept, stored, stored_for_now
@@ -27,6 +27,13 @@ PAIRS_PER_PARTITION = 1_000_000
 USER, ITEM, RATING = "reviewerID_index", "asin_index", "overall"
 
 
+def whole(index: str) -> Column:
+    """An index as int; a fraction is an error, as in Spark's ALS."""
+    value = F.col(index)
+    problem = F.raise_error(F.lit(f"{index} must be a whole number in integer range"))
+    return F.when(value == F.floor(value), value.cast("int")).otherwise(problem.cast("int"))
+
+
 def rating_pairs(triples: DataFrame, part_rows: int) -> DataFrame:
     """One row per (user, book): occurrences n, rating total and the part it is summed in.
 
@@ -34,9 +41,9 @@ def rating_pairs(triples: DataFrame, part_rows: int) -> DataFrame:
     or book with more than part_rows pairs gets several parts, chosen by the
     hash of the other id.
     """
-    pairs = triples.groupBy(
-        F.col(USER).cast("int").alias("user"), F.col(ITEM).cast("int").alias("item")
-    ).agg(F.count(F.lit(1)).cast("double").alias("n"), F.sum(RATING).alias("total"))
+    pairs = triples.groupBy(whole(USER).alias("user"), whole(ITEM).alias("item")).agg(
+        F.count(F.lit(1)).cast("double").alias("n"), F.sum(RATING).alias("total")
+    )
     with stored_for_now(pairs, "pairs") as pairs:
         out = pairs
         for key, other in (("user", "item"), ("item", "user")):

@@ -74,7 +74,7 @@ def recommend_for_feedback(
     One fit serves the whole batch of visitors. Titles come from the base
     ratings only, not from the placeholder titles of the feedback rows.
     """
-    items = checkpointed(item_dimension(ratings))
+    items = stored(item_dimension(ratings), "items")
     feedback = checkpointed(fb.feedback_rows(raw_feedback))
     model = rec.fit_als(fb.add_feedback(ratings, feedback), settings)
     recommended = rec.exploded(rec.recommend_subset(model, feedback, n))

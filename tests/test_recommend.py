@@ -55,11 +55,10 @@ def test_recommendations_equal_brute_force(model):
         assert np.allclose([r.rating for r in row.recommendations], [scores[i] for i in best], atol=1e-4)
 
 
-def test_own_and_built_in_scoring_agree(model, monkeypatch):
+def test_own_and_built_in_scoring_agree(model):
     users = model.userFactors.where("id < 7").select(F.col("id").alias("reviewerID_index"))
     ours = rec.recommend_all(model, 4), rec.recommend_subset(model, users, 4)
-    monkeypatch.setattr(rec, "BROADCAST_BYTES", 0)
-    theirs = rec.recommend_all(model, 4), rec.recommend_subset(model, users, 4)
+    theirs = rec.recommend_all(model, 4, 0), rec.recommend_subset(model, users, 4, 0)
     for a, b in zip(ours, theirs):
         index = ("reviewerID_index", "recommendations.asin_index")
         assert rows(a.select(*index)) == rows(b.select(*index))
@@ -117,6 +116,8 @@ def test_fractional_index_is_an_error(spark):
     df = spark.createDataFrame([(1.0, 0.5, 3.0), (2.0, 1.0, 3.0)], SCHEMA.replace("int", "double"))
     with pytest.raises(Exception, match="Integer range|integer"):
         rec.fit_als(df, rec.AlsSettings(max_iter=1))
+    with pytest.raises(Exception, match="whole number"):
+        split_als.fit_split_als(df, rec.AlsSettings(max_iter=1))
 
 
 def test_one_user_and_exploded(spark, model):
