@@ -257,19 +257,28 @@ def ratings_with_feedback(spark, folder):
 # Recommendations
 
 
-def _per_user(recommendations: DataFrame, items: DataFrame) -> DataFrame:
-    """Per user: how many books, how many distinct, how many known, and whether best first."""
+def _per_user(recommendations: DataFrame, items: DataFrame, model) -> DataFrame:
+    """Per user: how many books, distinct books, known books and scores equal to the product
+    of the factors, and whether the best comes first."""
     scores = F.col("recommendations.rating")
-    best_first = recommendations.select(
-        rec.USER, (scores == F.sort_array(scores, asc=False)).alias("best_first")
+    lists = recommendations.select(
+        rec.USER,
+        F.size("recommendations").alias("n_books"),
+        F.size(F.array_distinct("recommendations.asin_index")).alias("n_distinct"),
+        (scores == F.sort_array(scores, asc=False)).alias("best_first"),
     )
-    known = rec.exploded(recommendations).join(items, rec.ITEM, "left")
-    counts = known.groupBy(rec.USER).agg(
-        F.count(F.lit(1)).alias("n_books"),
-        F.countDistinct(rec.ITEM).alias("n_distinct"),
+    users = model.userFactors.select(F.col("id").alias(rec.USER), F.col("features").alias("u"))
+    books = model.itemFactors.select(F.col("id").alias(rec.ITEM), F.col("features").alias("v"))
+    product = F.aggregate(
+        F.zip_with("u", "v", lambda u, v: (u * v).cast("double")), F.lit(0.0), lambda t, x: t + x
+    )
+    right = F.abs(product - F.col("rating")) < 1e-3
+    rows = rec.exploded(recommendations).join(users, rec.USER).join(books, rec.ITEM)
+    counts = rows.join(items, rec.ITEM, "left").groupBy(rec.USER).agg(
         F.count("asin").alias("n_known"),
+        F.count(F.when(right, 1)).alias("n_right_scores"),
     )
-    return counts.join(best_first, rec.USER)
+    return lists.join(counts, rec.USER)
 
 
 def _title_check(rows: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
@@ -284,19 +293,22 @@ def _title_check(rows: DataFrame, spark: SparkSession, folder: str) -> DataFrame
 
 
 def als_all_user_recs(spark, folder):
-    return _per_user(_recommendations(spark, folder), _items(spark, folder))
+    recommendations = _recommendations(spark, folder)
+    return _per_user(recommendations, _items(spark, folder), _model(spark, folder))
 
 
 def als_subset_recs(spark, folder):
-    subset = rec.recommend_subset(_model(spark, folder), _test(spark, folder), TOP_N)
-    return _per_user(subset, _items(spark, folder))
+    model = _model(spark, folder)
+    subset = rec.recommend_subset(model, _test(spark, folder), TOP_N)
+    return _per_user(stored(subset, "subset"), _items(spark, folder), model)
 
 
 def als_split_groups_recs(spark, folder):
     """The training path for very large groups, made to split groups of the test data."""
     triples = rec.als_triples(_train(spark, folder))
     model = fit_split_als(triples, SPLIT_TRAINING, SPLIT_PART_ROWS)
-    return _per_user(rec.recommend_all(model, TOP_N), _items(spark, folder))
+    recommendations = stored(rec.recommend_all(model, TOP_N), "split_recommendations")
+    return _per_user(recommendations, _items(spark, folder), model)
 
 
 def als_predictions(spark, folder):
@@ -526,9 +538,9 @@ RANKED = (
 RANKS = f"(select unnest(range(1, {TOP_N + 1})) as rank)"
 
 PER_USER = (
-    f"select distinct reviewerID_index, cast({TOP_N} as bigint) as n_books, "
-    f"cast({TOP_N} as bigint) as n_distinct, cast({TOP_N} as bigint) as n_known, "
-    "true as best_first"
+    f"select distinct reviewerID_index, {TOP_N} as n_books, {TOP_N} as n_distinct, "
+    f"cast({TOP_N} as bigint) as n_known, "
+    f"cast({TOP_N} as bigint) as n_right_scores, true as best_first"
 )
 
 USER_RANKS = f"(select distinct reviewerID_index from train) cross join {RANKS}"

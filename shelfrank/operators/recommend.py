@@ -40,12 +40,11 @@ def als_triples(ratings: DataFrame) -> DataFrame:
     return ratings.select(USER, ITEM, RATING)
 
 
-def group_sizes(ratings: DataFrame) -> tuple[int, int]:
-    """(rows, rows of the most active user or the most rated book)."""
+def largest_group(ratings: DataFrame) -> int:
+    """Number of ratings of the most active user or the most rated book."""
     counts = [ratings.groupBy(key).agg(F.count(F.lit(1)).alias("n")) for key in (USER, ITEM)]
-    sides = [c.agg(F.sum("n").alias("rows"), F.max("n").alias("largest")) for c in counts]
-    found = sides[0].union(sides[1]).agg(F.max("rows"), F.max("largest")).first()
-    return found[0] or 0, found[1] or 0
+    sides = [c.agg(F.max("n").alias("n")) for c in counts]
+    return sides[0].union(sides[1]).agg(F.max("n")).first()[0] or 0
 
 
 def als_blocks(spark: SparkSession, rows: int) -> int:
@@ -67,8 +66,8 @@ def fit_als(ratings: DataFrame, settings: AlsSettings = AlsSettings()) -> ALSMod
     use_checkpoints(spark)
     # Sizes and fit read the ratings several times; keep the three columns meanwhile.
     with kept(als_triples(ratings)) as triples:
-        rows, largest = group_sizes(triples)
-        if largest > settings.largest_group:
+        rows, limit = triples.count(), settings.largest_group
+        if rows > limit and largest_group(triples) > limit:
             return fit_split_als(triples, settings)
         blocks = settings.blocks or als_blocks(spark, rows)
         als = ALS(

@@ -227,9 +227,9 @@ def test_hot_groups_are_cut_into_parts(spark):
     assert parts.agg(F.max("count")).first()[0] < 160
 
 
-def test_group_sizes(spark):
+def test_largest_group(spark):
     df = spark.createDataFrame([(1, 1, 1.0), (1, 2, 1.0), (2, 1, 1.0), (3, 1, 1.0)], SCHEMA)
-    assert rec.group_sizes(df) == (4, 3)
+    assert rec.largest_group(df) == 3
 
 
 def test_blocks_follow_the_data(spark):
