@@ -4,13 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfrank.session import checkpointed, stored
-
-# monotonically_increasing_id keeps the row number in its low 33 bits.
-ROW_BITS = 33
+from shelfrank.operators.numbering import numbered
+from shelfrank.session import stored
 
 NOT_INDEXED = ("overall", "title")
 
@@ -29,27 +27,12 @@ def frequency_index(rows: DataFrame, label: str) -> DataFrame:
     """One row per label: the label, its count and its index.
 
     The most frequent label gets 0 and ties follow the label, as StringIndexer
-    numbers them. StringIndexer keeps every label in driver memory; here the
-    counts are range-sorted, each sorted partition numbers its own rows and
-    only one row per partition goes into the running offsets.
+    numbers them. StringIndexer keeps every label in driver memory; these
+    indices are numbered on the executors.
     """
     counts = rows.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    place = F.monotonically_increasing_id()
-    # The checkpoint pins rows to partitions, so both passes below see the same places.
-    ranked = checkpointed(counts.orderBy(F.desc("n"), label).withColumn("place", place))
-    ranked = ranked.select(
-        label,
-        "n",
-        F.shiftright("place", ROW_BITS).alias("part"),
-        F.col("place").bitwiseAND(F.lit((1 << ROW_BITS) - 1)).alias("row"),
-    )
-    sizes = ranked.groupBy("part").agg(F.count(F.lit(1)).alias("size"))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start"))
-    # One row per sort partition: bounded by spark.sql.shuffle.partitions.
-    return ranked.join(F.broadcast(starts), "part").select(
-        label, "n", (F.col("start") + F.col("row")).cast("int").alias(f"{label}_index")
-    )
+    index = F.col("number").cast("int").alias(f"{label}_index")
+    return numbered(counts, F.desc("n"), label).select(label, "n", index)
 
 
 def index_ids(ratings: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

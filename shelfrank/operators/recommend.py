@@ -9,13 +9,13 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfrank.operators.scoring import best_items, broadcast_items, nested
+from shelfrank.operators.scoring import best_items, nested
 from shelfrank.operators.split_als import fit_split_als
 from shelfrank.operators.statistics import one_per_book
 from shelfrank.session import kept, use_checkpoints
 
-# Book factors up to this size are broadcast for scoring.
-BROADCAST_BYTES = 256 << 20
+# Book factors are broadcast for scoring in slices of at most this size.
+SLICE_BYTES = 256 << 20
 ROWS_PER_BLOCK = 10_000_000
 MOST_BLOCKS = 1000
 
@@ -96,26 +96,18 @@ def evaluate_rmse(predictions: DataFrame) -> float:
     return evaluator.evaluate(predictions)
 
 
-def _fits_broadcast(model: ALSModel, limit: int) -> bool:
-    return model.itemFactors.count() * (model.rank + 2) * 4 <= limit
-
-
-def recommend_all(model: ALSModel, n: int = 5, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def recommend_all(model: ALSModel, n: int = 5, slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """Top n books for every user, as an array of (asin_index, rating) per user."""
-    if _fits_broadcast(model, broadcast_bytes):
-        return nested(best_items(model.userFactors, broadcast_items(model), n), USER, ITEM)
-    return model.recommendForAllUsers(n)
+    return nested(best_items(model.userFactors, model, n, slice_bytes), USER, ITEM)
 
 
 def recommend_subset(
-    model: ALSModel, users: DataFrame, n: int = 5, broadcast_bytes: int = BROADCAST_BYTES
+    model: ALSModel, users: DataFrame, n: int = 5, slice_bytes: int = SLICE_BYTES
 ) -> DataFrame:
     """Top n books for the users in the frame; users the model does not know give no row."""
-    if _fits_broadcast(model, broadcast_bytes):
-        wanted = users.select(F.col(USER).cast("int").alias("id")).distinct()
-        factors = model.userFactors.join(wanted, "id", "left_semi")
-        return nested(best_items(factors, broadcast_items(model), n), USER, ITEM)
-    return model.recommendForUserSubset(users, n)
+    wanted = users.select(F.col(USER).cast("int").alias("id")).distinct()
+    factors = model.userFactors.join(wanted, "id", "left_semi")
+    return nested(best_items(factors, model, n, slice_bytes), USER, ITEM)
 
 
 def for_user(recommendations: DataFrame, user: int) -> DataFrame:

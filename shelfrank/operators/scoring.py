@@ -1,9 +1,9 @@
-"""Top-k scoring of users against a broadcast table of book factors.
+"""Top-k scoring of users against broadcast slices of the book factors.
 
 Spark's own scoring pairs every block of users with every block of books in a
-cross join and shuffles k candidates per user and pair. If the book factors fit
-a broadcast, each user block can keep its running best k in place instead: the
-users are read once and nothing is shuffled.
+cross join and shuffles k candidates per user and pair. Here each user block
+keeps its running best k in place, while the books come by in slices of bounded
+size, usually one: the users are read once per slice and nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -17,6 +17,9 @@ from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfrank.operators.numbering import numbered
+from shelfrank.session import checkpointed, stored_for_now
+
 USERS_AT_ONCE = 256
 # The first, longest factors set the marks the remaining books have to beat.
 FIRST_BOOKS = 512
@@ -24,36 +27,53 @@ BOOKS_AT_ONCE = 4096
 # Covers the rounding of single-precision products in the bound below.
 SLACK = 1.0001
 
+STATE = ("id", "features", "item_ids", "scores")
+STATE_TYPES = "id int, features array<float>, item_ids array<int>, scores array<float>"
+
+
+def matrix(lists: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """A column of equally long lists as a two-dimensional array."""
+    if isinstance(lists, pa.ChunkedArray):
+        lists = lists.combine_chunks()
+    flat = lists.flatten().to_numpy(zero_copy_only=False)
+    return flat.reshape(len(lists), len(flat) // max(len(lists), 1))
 
-def matrix(features: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    """A list<float> column as a two-dimensional array."""
-    if isinstance(features, pa.ChunkedArray):
-        features = features.combine_chunks()
-    return features.flatten().to_numpy(zero_copy_only=False).reshape(len(features), -1)
 
+def arrays(values: np.ndarray) -> pa.Array:
+    """The reverse of `matrix`."""
+    ends = np.arange(len(values) + 1, dtype=np.int32) * values.shape[1]
+    return pa.ListArray.from_arrays(ends, values.ravel())
 
-def broadcast_items(model: ALSModel) -> Broadcast:
-    """(ids, factors, norms), longest factor first; the caller has checked the size."""
-    table = model.itemFactors.toArrow()
+
+def broadcast_items(item_factors: DataFrame) -> Broadcast:
+    """(ids, factors, norms), longest factor first; the caller bounds the size."""
+    table = item_factors.select("id", "features").toArrow()
     factors = matrix(table["features"])
     norms = np.linalg.norm(factors, axis=1)
     order = np.argsort(-norms, kind="stable")
     ids = table["id"].to_numpy()
-    context = model.itemFactors.sparkSession.sparkContext
+    context = item_factors.sparkSession.sparkContext
     return context.broadcast((ids[order], factors[order], norms[order]))
 
 
-def best_for_block(users: np.ndarray, items: tuple, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(scores, positions) of the k best books per user, best first.
+def item_slices(model: ALSModel, slice_bytes: int) -> list[tuple[int, int]]:
+    """Row ranges of the book factors that fit slice_bytes each."""
+    count = model.itemFactors.count()
+    size = max(1, slice_bytes // ((model.rank + 2) * 4))
+    return [(first, min(first + size, count)) for first in range(0, count, size)]
+
+
+def improve(
+    users: np.ndarray, items: tuple, k: int, ids: np.ndarray, scores: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """The k best (ids, scores) per user among those given and the items, best first.
 
     A score is at most the product of both norms. Books come longest first, so
     once no user's k-th best can be beaten by that bound, the rest is settled.
     Before that, only books that beat some user's k-th best are ranked.
     """
-    _, factors, norms = items
+    item_ids, factors, norms = items
     reach = np.linalg.norm(users, axis=1) * SLACK
-    scores = np.empty((len(users), 0), dtype=np.float32)
-    places = np.empty((len(users), 0), dtype=np.int64)
     start, step = 0, FIRST_BOOKS
     while start < len(factors):
         full = scores.shape[1] == k
@@ -67,33 +87,49 @@ def best_for_block(users: np.ndarray, items: tuple, k: int) -> tuple[np.ndarray,
             width = min(k, len(candidates))
             top = np.argpartition(-chunk, width - 1, axis=1)[:, :width]
             scores = np.hstack([scores, np.take_along_axis(chunk, top, axis=1)])
-            places = np.hstack([places, candidates[top] + start])
+            ids = np.hstack([ids, item_ids[candidates[top] + start]])
             order = np.argsort(-scores, axis=1, kind="stable")[:, :k]
             scores = np.take_along_axis(scores, order, axis=1)
-            places = np.take_along_axis(places, order, axis=1)
+            ids = np.take_along_axis(ids, order, axis=1)
         start, step = start + step, BOOKS_AT_ONCE
-    return scores, places
+    return ids, scores
 
 
-def best_items(user_factors: DataFrame, items: Broadcast, k: int) -> DataFrame:
-    """id, item_ids, scores: the k best books per user, best first."""
-
-    def lists(values: np.ndarray) -> pa.Array:
-        ends = np.arange(len(values) + 1, dtype=np.int32) * values.shape[1]
-        return pa.ListArray.from_arrays(ends, values.ravel())
+def score_slice(state: DataFrame, items: Broadcast, k: int) -> DataFrame:
+    """The users with their k best books so far, improved by one slice of books."""
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, len(batch), USERS_AT_ONCE):
                 block = batch.slice(start, USERS_AT_ONCE)
-                users = matrix(block.column("features"))
-                scores, places = best_for_block(users, items.value, k)
-                yield pa.RecordBatch.from_arrays(
-                    [block.column("id"), lists(items.value[0][places]), lists(scores)],
-                    names=["id", "item_ids", "scores"],
-                )
-
-    return user_factors.mapInArrow(score, "id int, item_ids array<int>, scores array<float>")
+                users, ids, scores = (matrix(block.column(i)) for i in (1, 2, 3))
+                ids, scores = improve(users, items.value, k, ids, scores)
+                columns = [block.column(0), block.column(1), arrays(ids), arrays(scores)]
+                yield pa.RecordBatch.from_arrays(columns, names=STATE)
+
+    return state.mapInArrow(score, STATE_TYPES)
+
+
+def best_items(users: DataFrame, model: ALSModel, k: int, slice_bytes: int) -> DataFrame:
+    """id, item_ids, scores: the k best books for the users (id, features), best first."""
+    state = users.select(
+        "id",
+        "features",
+        F.array().cast("array<int>").alias("item_ids"),
+        F.array().cast("array<float>").alias("scores"),
+    )
+    slices = item_slices(model, slice_bytes)
+    if len(slices) == 1:
+        return score_slice(state, broadcast_items(model.itemFactors), k)
+    norm = F.aggregate("features", F.lit(0.0), lambda total, x: total + x * x)
+    ranked = numbered(model.itemFactors.withColumn("norm", norm), F.desc("norm"), "id")
+    with stored_for_now(ranked, "ranked_items") as table:
+        for first, end in slices:
+            rows = table.where((F.col("number") >= first) & (F.col("number") < end))
+            items = broadcast_items(rows)
+            state = checkpointed(score_slice(state, items, k))
+            items.unpersist()
+    return state
 
 
 def nested(scored: DataFrame, user: str, item: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfrank.operators import recommend as rec
 from shelfrank.operators import split_als
-from shelfrank.operators.scoring import best_for_block
+from shelfrank.operators.scoring import improve, item_slices
 from shelfrank.session import scratch_path, stored
 from shelfrank.sources import readers, sinks
 
@@ -55,16 +55,30 @@ def test_recommendations_equal_brute_force(model):
         assert np.allclose([r.rating for r in row.recommendations], [scores[i] for i in best], atol=1e-4)
 
 
-def test_own_and_built_in_scoring_agree(model):
+@pytest.mark.parametrize("slice_bytes", [rec.SLICE_BYTES, 20 * 48])
+def test_own_and_built_in_scoring_agree(model, slice_bytes):
     users = model.userFactors.where("id < 7").select(F.col("id").alias("reviewerID_index"))
-    ours = rec.recommend_all(model, 4), rec.recommend_subset(model, users, 4)
-    theirs = rec.recommend_all(model, 4, 0), rec.recommend_subset(model, users, 4, 0)
+    ours = (
+        rec.recommend_all(model, 4, slice_bytes),
+        rec.recommend_subset(model, users, 4, slice_bytes),
+    )
+    theirs = model.recommendForAllUsers(4), model.recommendForUserSubset(users, 4)
     for a, b in zip(ours, theirs):
         index = ("reviewerID_index", "recommendations.asin_index")
         assert rows(a.select(*index)) == rows(b.select(*index))
         assert a.schema.simpleString() == b.schema.simpleString()
 
 
+def test_slices_cover_all_books(model):
+    assert item_slices(model, rec.SLICE_BYTES) == [(0, 60)]
+    assert item_slices(model, 25 * 48) == [(0, 25), (25, 50), (50, 60)]
+
+
+def best_for_block(users, items, k):
+    nothing = np.empty((len(users), 0))
+    return improve(users, items, k, nothing.astype(np.int32), nothing.astype(np.float32))
+
+
 def test_pruned_scan_of_many_books_is_exact():
     random = np.random.default_rng(1)
     factors = random.normal(size=(60_000, 4)) * random.uniform(0, 1, (60_000, 1)) ** 4
@@ -72,7 +86,7 @@ def test_pruned_scan_of_many_books_is_exact():
     factors = factors[np.argsort(-np.linalg.norm(factors, axis=1))]
     users = random.normal(size=(50, 4)).astype(np.float32)
     items = (np.arange(60_000, dtype=np.int32), factors, np.linalg.norm(factors, axis=1))
-    scores, _ = best_for_block(users, items, 5)
+    _, scores = best_for_block(users, items, 5)
     assert np.allclose(scores, -np.sort(-(users @ factors.T), axis=1)[:, :5])
 
 
@@ -89,10 +103,10 @@ def test_best_books_for_any_shape(n_users, n_items, k, seed, with_copies):
     users = random.normal(size=(n_users, 3)).astype(np.float32)
     users[0] = 0
     items = (np.arange(n_items, dtype=np.int32), factors, np.linalg.norm(factors, axis=1))
-    scores, places = best_for_block(users, items, k)
+    ids, scores = best_for_block(users, items, k)
     want = -np.sort(-(users @ factors.T), axis=1)[:, :k]
     assert np.allclose(scores, want, atol=1e-5)
-    assert all(len(set(row)) == min(k, n_items) for row in places.tolist())
+    assert all(len(set(row)) == min(k, n_items) for row in ids.tolist())
 
 
 def test_fewer_books_than_asked_for(spark):
