@@ -17,6 +17,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def part(spark: SparkSession, folder: str, asin: str | None = None) -> DataFrame:
+    """Books; with `asin` the one row of that book."""
+    books = table(spark, folder, "part")
+    return books if asin is None else books.where(F.col("p_partkey") == F.lit(asin).try_cast("bigint"))
+
+
 def ratings(spark: SparkSession, folder: str, asin: str | None = None) -> DataFrame:
     """reviewerID, asin, overall, summary; `asin` filters on the stored key at the scan."""
     lines = table(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
@@ -31,22 +37,28 @@ def ratings(spark: SparkSession, folder: str, asin: str | None = None) -> DataFr
     )
 
 
-def with_text(spark: SparkSession, folder: str, rows: DataFrame) -> DataFrame:
-    """Add reviewerName and reviewText; call it after filters and limits."""
+def with_text(
+    spark: SparkSession, folder: str, rows: DataFrame, asin: str | None = None
+) -> DataFrame:
+    """Add reviewerName and reviewText; call it after filters and limits.
+
+    With `asin`, all rows are of that book: its text is a single row, and the
+    rows of a popular book need not meet in one place to get it.
+    """
     people = table(spark, folder, "customer").select(
         F.col("c_custkey").cast("string").alias("reviewerID"),
         F.col("c_name").alias("reviewerName"),
     )
-    texts = table(spark, folder, "part").select(
+    texts = part(spark, folder, asin).select(
         F.col("p_partkey").cast("string").alias("asin"),
         F.concat("p_name", F.lit(" "), "p_type").alias("reviewText"),
     )
-    return rows.join(people, "reviewerID").join(texts, "asin")
+    return rows.join(people, "reviewerID").join(F.broadcast(texts) if asin else texts, "asin")
 
 
 def reviews(spark: SparkSession, folder: str, asin: str | None = None) -> DataFrame:
     """The full review table."""
-    return with_text(spark, folder, ratings(spark, folder, asin)).select(
+    return with_text(spark, folder, ratings(spark, folder, asin), asin).select(
         "asin", "reviewerID", "reviewerName", "summary", "reviewText", "overall"
     )
 
@@ -62,11 +74,9 @@ def titled_ratings(spark: SparkSession, folder: str) -> DataFrame:
 
 def books(spark: SparkSession, folder: str, asin: str | None = None) -> DataFrame:
     """Book metadata; most books have no cover."""
-    part = table(spark, folder, "part")
-    if asin is not None:
-        part = part.where(F.col("p_partkey") == F.lit(asin).try_cast("bigint"))
+    parts = part(spark, folder, asin)
     pages = table(spark, folder, "pages").select("page_id", F.col("url").alias("imUrl"))
-    return part.join(pages, part.p_partkey == pages.page_id, "left").select(
+    return parts.join(pages, parts.p_partkey == pages.page_id, "left").select(
         F.col("p_partkey").cast("string").alias("asin"),
         F.col("p_name").alias("title"),
         "imUrl",
