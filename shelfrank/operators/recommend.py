@@ -98,7 +98,12 @@ def evaluate_rmse(predictions: DataFrame) -> float:
 
 def recommend_all(model: ALSModel, n: int = 5, slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """Top n books for every user, as an array of (asin_index, rating) per user."""
-    return nested(best_items(model.userFactors, model, n, slice_bytes), USER, ITEM)
+    users = model.userFactors
+    cores = users.sparkSession.sparkContext.defaultParallelism
+    # Factors come in training blocks or files, which may be fewer than the cores.
+    if users.rdd.getNumPartitions() < cores:
+        users = users.repartition(cores, "id")
+    return nested(best_items(users, model, n, slice_bytes), USER, ITEM)
 
 
 def recommend_subset(
