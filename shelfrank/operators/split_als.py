@@ -34,25 +34,30 @@ def whole(index: str) -> Column:
     return F.when(value == F.floor(value), value.cast("int")).otherwise(problem.cast("int"))
 
 
-def rating_pairs(triples: DataFrame, part_rows: int) -> DataFrame:
-    """One row per (user, book): occurrences n, rating total and the part it is summed in.
+def merged_pairs(triples: DataFrame) -> DataFrame:
+    """One row per (user, book) with the number of ratings n and their total.
 
-    Repeated pairs are merged by a partial aggregate before the shuffle. A user
-    or book with more than part_rows pairs gets several parts, chosen by the
-    hash of the other id.
+    Repeated pairs are merged by a partial aggregate before the shuffle.
     """
-    pairs = triples.groupBy(whole(USER).alias("user"), whole(ITEM).alias("item")).agg(
+    return triples.groupBy(whole(USER).alias("user"), whole(ITEM).alias("item")).agg(
         F.count(F.lit(1)).cast("double").alias("n"), F.sum(RATING).alias("total")
     )
-    with stored_for_now(pairs, "pairs") as pairs:
-        out = pairs
-        for key, other in (("user", "item"), ("item", "user")):
-            parts = F.ceil(F.count(F.lit(1)) / part_rows).alias("parts")
-            # Only groups above part_rows: at most (number of pairs / part_rows) rows.
-            large = pairs.groupBy(key).agg(parts).where("parts > 1")
-            part = F.coalesce(F.pmod(F.xxhash64(other), F.col("parts")).cast("int"), F.lit(0))
-            out = out.join(large, key, "left").withColumn(f"{key}_part", part).drop("parts")
-        return stored(out, "split_pairs")
+
+
+def with_parts(pairs: DataFrame, part_rows: int) -> DataFrame:
+    """Pairs with the part of their user and of their book they are summed in.
+
+    A user or book with more than part_rows pairs gets several parts, chosen by
+    the hash of the other id; all others have part 0 only.
+    """
+    out = pairs
+    for key, other in (("user", "item"), ("item", "user")):
+        parts = F.ceil(F.count(F.lit(1)) / part_rows).alias("parts")
+        # At most one row per part_rows pairs; stored, so that the join knows its size.
+        large = stored(pairs.groupBy(key).agg(parts).where("parts > 1"), f"large_{key}s")
+        part = F.coalesce(F.pmod(F.xxhash64(other), F.col("parts")).cast("int"), F.lit(0))
+        out = out.join(large, key, "left").withColumn(f"{key}_part", part).drop("parts")
+    return out
 
 
 def first_factors(pairs: DataFrame, key: str, rank: int, seed: int) -> DataFrame:
@@ -131,21 +136,22 @@ def fit_split_als(triples: DataFrame, settings: AlsSettings, part_rows: int = 1_
     table.
     """
     rank, reg = settings.rank, settings.reg
-    pairs = rating_pairs(triples, part_rows)
-    user_parts, item_parts = (
-        stored(pairs.select(key, f"{key}_part").distinct(), f"{key}_parts")
-        for key in ("user", "item")
-    )
     cores = triples.sparkSession.sparkContext.defaultParallelism
-    n = max(cores, pairs.count() // PAIRS_PER_PARTITION + 1)
-    items = checkpointed(first_factors(pairs, "item", rank, settings.seed))
     with (
-        kept(pairs.repartition(n, "item", "item_part")) as by_item,
-        kept(pairs.repartition(n, "user", "user_part")) as by_user,
+        stored_for_now(merged_pairs(triples), "merged_pairs") as merged,
+        stored_for_now(with_parts(merged, part_rows), "pairs") as pairs,
     ):
-        for _ in range(settings.max_iter):
-            rated = items.join(item_parts, "item")
-            users = checkpointed(half_step(by_item, rated, "user", rank, reg))
-            rating = users.join(user_parts, "user")
-            items = checkpointed(half_step(by_user, rating, "item", rank, reg))
+        n = max(cores, pairs.count() // PAIRS_PER_PARTITION + 1)
+        items = checkpointed(first_factors(pairs, "item", rank, settings.seed))
+        with (
+            kept(pairs.repartition(n, "item", "item_part")) as by_item,
+            kept(pairs.repartition(n, "user", "user_part")) as by_user,
+        ):
+            user_parts = stored(by_user.select("user", "user_part").distinct(), "user_parts")
+            item_parts = stored(by_item.select("item", "item_part").distinct(), "item_parts")
+            for _ in range(settings.max_iter):
+                rated = items.join(item_parts, "item")
+                users = checkpointed(half_step(by_item, rated, "user", rank, reg))
+                rating = users.join(user_parts, "user")
+                items = checkpointed(half_step(by_user, rating, "item", rank, reg))
     return as_model(users, items, rank)

@@ -205,7 +205,7 @@ def test_split_groups_equal_brute_force(spark, data, part_rows):
     triples = stored(data[0].unionByName(copies), "triples")
     settings = rec.AlsSettings(max_iter=2, rank=3)
     model = split_als.fit_split_als(triples, settings, part_rows)
-    pairs = split_als.rating_pairs(triples, part_rows)
+    pairs = split_als.merged_pairs(triples)
     first = split_als.first_factors(pairs, "item", 3, settings.seed)
     start = {r.item: np.array(r.f) for r in first.collect()}
     users, items = brute_force(triples.collect(), 3, settings.reg, 2, start)
@@ -234,7 +234,7 @@ def test_hot_groups_are_cut_into_parts(spark):
         F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50 + 1).cast("int").alias("asin_index"),
         F.lit(3.0).alias("overall"),
     )
-    pairs = split_als.rating_pairs(df, 100)
+    pairs = split_als.with_parts(split_als.merged_pairs(df), 100)
     parts = pairs.groupBy("item", "item_part").count()
     assert pairs.count() == 3000
     assert parts.where("item = 0").count() == 10
