@@ -7,7 +7,9 @@ every user, rank or row, and the oracle states it independently.
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
+from types import ModuleType
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +24,20 @@ from shelfrank.plans import jobs
 from shelfrank.session import scratch_path, stored, tune
 from shelfrank.sources import proxy, readers, schemas, sinks
 
+
+def _optional(name: str) -> ModuleType | None:
+    """The module, or nothing where it has been taken out of the repository."""
+    try:
+        return importlib.import_module(name)
+    except ModuleNotFoundError as missing:
+        if missing.name and (name == missing.name or name.startswith(missing.name + ".")):
+            return None
+        raise
+
+
+corpus = _optional("shelfrank.llm.queries")
+corpus_pipeline = _optional("corpus_pipeline") if corpus else None
+
 BOOK = "7"
 PREFIX = "red"
 URL_ROOT = "http://books.example/"
@@ -454,7 +470,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def tuned(query):
         return lambda spark, folder: query(tune(spark), folder.rstrip("/"))
 
-    return {name: tuned(query) for name, query in QUERIES.items()}
+    every = dict(QUERIES)
+    if corpus:
+        every |= corpus.QUERIES
+    if corpus_pipeline:
+        every["pipeline"] = corpus_pipeline.run
+    return {name: tuned(query) for name, query in every.items()}
 
 
 # Oracles
@@ -547,123 +568,131 @@ USER_RANKS = f"(select distinct reviewerID_index from train) cross join {RANKS}"
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
-        "average_rating_table": f"with {AVERAGE} select * from average",
-        "item_review_stats": f"""with {RATINGS}
-            select asin, count(*) as review_no, {MEAN} as avg_rating from ratings group by asin""",
-        "item_review_stats_one": f"""with {RATINGS}
-            select count(*) as review_no, coalesce({MEAN}, 0) as avg_rating
-            from ratings where asin = '{BOOK}'""",
-        "item_review_stats_empty": f"""with {RATINGS}
-            select count(*) as review_no, coalesce({MEAN}, 0) as avg_rating
-            from ratings where asin = 'nope'""",
-        "sql_view_item_stats": f"""with {RATINGS}
-            select asin, count(*) as review_no, avg(overall) as avg_rating
-            from ratings group by asin""",
-        "rating_price_scatter": f"with {SAMPLED} select * from sampled",
-        "top_rated_books": f"""with {SAMPLED}
-            select {DISPLAY} from sampled order by average_rating desc, asin limit 10""",
-        "bottom_rated_books": f"""with {SAMPLED}
-            select {DISPLAY} from sampled order by average_rating, asin desc limit 10""",
-        "top_rated_of_all": f"""with {AVERAGE}
-            select {DISPLAY} from average where title is not null and price is not null
-            order by average_rating desc, asin limit 10""",
-        "search_title_prefix": f"""with {BOOKS}
-            select imUrl, title, asin from books where starts_with(title, '{PREFIX}')
-            order by title, asin limit 50""",
-        "search_title_like": f"""with {BOOKS}
-            select imUrl, title, asin from books where title like 're_ %o%'
-            order by title, asin limit 50""",
-        "reviews_for_item": f"""with {REVIEWS}
-            select summary, reviewerName, reviewText, overall from reviews
-            where asin = '{BOOK}' order by overall desc, reviewerID, summary limit 10""",
-        "reviews_top_n_per_item": f"""with {REVIEWS}
-            select * from (select *, cast({RANKED} as integer) as pos from reviews)
-            where pos <= 10""",
-        "book_detail": f"with {RATINGS}, {BOOKS} {PAGE}",
-        "book_page_one": f"""with {REVIEWS}, {BOOKS}, page as ({PAGE})
-            select page.*, cast(least(review_no, 10) as integer) as n_shown,
-                   (select max(overall) from ratings where asin = '{BOOK}') as best_shown
-            from page where asin = '{BOOK}'""",
-        "book_page_reviews": f"""with {REVIEWS}, {BOOKS}, page as ({PAGE})
-            select asin, title, cover, review_no, avg_rating, pos, summary, reviewerName,
-                   reviewText, overall
-            from page join (select *, cast({RANKED} as integer) as pos from reviews) using (asin)
-            where pos <= 10""",
-        "clean_ratings": f"""with {RATINGS}
-            select reviewerID, asin, overall from ratings
-            where not (summary = '1-URGENT' and overall in (2, 4))
-              and not (summary = '5-LOW' and overall in (1, 5))""",
-        "string_index_ids": f"with {INDEXED} select * from indexed",
-        "item_dimension": f"with {INDEXED} select distinct asin_index, asin, title from indexed",
-        "train_test_split": f"""with {RATINGS}
-            select count(*) as n_rows, cast(0.8 as double) as train_share from ratings""",
-        "train_test_split_hash": f"""with {RATINGS}
-            select reviewerID, asin, overall,
-                   case when {IN_TRAIN} then 'train' else 'test' end as side
-            from ratings""",
-        "baseline_rmse": f"""with {RATINGS},
-            sides as (select *, {IN_TRAIN} as in_train from ratings),
-            means as (select asin, avg(overall) as mean from sides where in_train group by asin)
-            select cast(count(*) filter (in_train) as bigint) as n_train,
-                   cast(count(*) filter (not in_train) as bigint) as n_test,
-                   round(sqrt(avg(power(overall - mean, 2)) filter (in_train)), 6) as train_rmse,
-                   round(sqrt(avg(power(overall - mean, 2)) filter (not in_train)), 6) as test_rmse
-            from sides join means using (asin)""",
-        "raw_review_count": f"with {REVIEWS} select count(*) as n_rows from reviews",
-        "review_text_dump": f"with {REVIEWS} select * from reviews",
-        "ratings_json_roundtrip": f"""with {INDEXED}
-            select asin, cast(asin_index as double) as asin_index, overall, reviewerID,
-                   cast(reviewerID_index as double) as reviewerID_index, title
-            from indexed""",
-        "feedback_rows": f"with {FEEDBACK} select * from feedback_rows",
-        "feedback_forms": """
-            select cast(l_orderkey as integer) as user_id,
-                   cast(max(l_partkey) as integer) as asin_index,
-                   cast(max(ceil(l_quantity / 10)) as double) as overall
-            from lineitem where l_linenumber between 1 and 5
-            group by l_orderkey, l_linenumber""",
-        "feedback_with_titles": f"""with {INDEXED}, {FEEDBACK}
-            select user_id, asin_index, title, overall
-            from feedback left join (select distinct asin_index, title from indexed)
-            using (asin_index)""",
-        "ratings_with_feedback": f"""with {INDEXED}, {FEEDBACK}
-            select * from indexed union all by name select * from feedback_rows""",
-        "als_all_user_recs": f"with {INDEXED} {PER_USER} from train",
-        "als_subset_recs": f"""with {INDEXED} {PER_USER} from test
-            where reviewerID_index in (select reviewerID_index from train)""",
-        "als_split_groups_recs": f"with {INDEXED} {PER_USER} from train",
-        "als_predictions": f"""with {INDEXED}
-            select reviewerID, asin, overall, true as scored from test
-            where reviewerID in (select reviewerID from train)
-              and asin in (select asin from train)""",
-        "als_rmse": f"""with {INDEXED}
-            select count(*) as n_scored, true as measures_agree, true as plausible from test
-            where reviewerID in (select reviewerID from train)
-              and asin in (select asin from train)""",
-        "als_model_roundtrip": f"""with {INDEXED},
-            sizes as (select 'user' as side, count(distinct reviewerID) as n_factors from train
-                      union all select 'item', count(distinct asin) from train)
-            select side, n_factors, n_factors as n_same from sizes""",
-        "als_recs_json_roundtrip": f"""with {INDEXED}
-            select distinct reviewerID_index, true as same from train""",
-        "recs_exploded": f"""with {INDEXED}
-            select reviewerID_index, cast(rank as integer) as rank, true as known
-            from {USER_RANKS}""",
-        "recs_with_titles": f"""with {INDEXED}
-            select reviewerID_index, cast(rank as integer) as rank, true as title_right
-            from {USER_RANKS}""",
-        "recs_with_covers": f"""with {INDEXED}
-            select reviewerID_index, cast(rank as integer) as rank, true as title_right,
-                   true as cover_right
-            from {USER_RANKS}""",
-        "recs_for_one_user": f"""with {INDEXED}
-            select reviewerID_index, cast(rank as integer) as rank, true as title_right
-            from {USER_RANKS} where reviewerID_index = 0""",
-        "recommend_for_feedback": f"""with {FEEDBACK}
-            select user_id as reviewerID_index, cast(rank as integer) as rank,
-                   true as title_right, true as cover_right
-            from (select distinct user_id from feedback) cross join {RANKS}""",
-        "random_books_to_rate": f"""select cast({TOP_N} as bigint) as n_picked,
-            cast({TOP_N} as bigint) as n_right""",
-    }
+    every = dict(_ORACLES)
+    if corpus:
+        every |= corpus.ORACLES
+    if corpus_pipeline and corpus_pipeline.ORACLE_SQL:
+        every["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return every
+
+
+_ORACLES = {
+    "average_rating_table": f"with {AVERAGE} select * from average",
+    "item_review_stats": f"""with {RATINGS}
+        select asin, count(*) as review_no, {MEAN} as avg_rating from ratings group by asin""",
+    "item_review_stats_one": f"""with {RATINGS}
+        select count(*) as review_no, coalesce({MEAN}, 0) as avg_rating
+        from ratings where asin = '{BOOK}'""",
+    "item_review_stats_empty": f"""with {RATINGS}
+        select count(*) as review_no, coalesce({MEAN}, 0) as avg_rating
+        from ratings where asin = 'nope'""",
+    "sql_view_item_stats": f"""with {RATINGS}
+        select asin, count(*) as review_no, avg(overall) as avg_rating
+        from ratings group by asin""",
+    "rating_price_scatter": f"with {SAMPLED} select * from sampled",
+    "top_rated_books": f"""with {SAMPLED}
+        select {DISPLAY} from sampled order by average_rating desc, asin limit 10""",
+    "bottom_rated_books": f"""with {SAMPLED}
+        select {DISPLAY} from sampled order by average_rating, asin desc limit 10""",
+    "top_rated_of_all": f"""with {AVERAGE}
+        select {DISPLAY} from average where title is not null and price is not null
+        order by average_rating desc, asin limit 10""",
+    "search_title_prefix": f"""with {BOOKS}
+        select imUrl, title, asin from books where starts_with(title, '{PREFIX}')
+        order by title, asin limit 50""",
+    "search_title_like": f"""with {BOOKS}
+        select imUrl, title, asin from books where title like 're_ %o%'
+        order by title, asin limit 50""",
+    "reviews_for_item": f"""with {REVIEWS}
+        select summary, reviewerName, reviewText, overall from reviews
+        where asin = '{BOOK}' order by overall desc, reviewerID, summary limit 10""",
+    "reviews_top_n_per_item": f"""with {REVIEWS}
+        select * from (select *, cast({RANKED} as integer) as pos from reviews)
+        where pos <= 10""",
+    "book_detail": f"with {RATINGS}, {BOOKS} {PAGE}",
+    "book_page_one": f"""with {REVIEWS}, {BOOKS}, page as ({PAGE})
+        select page.*, cast(least(review_no, 10) as integer) as n_shown,
+               (select max(overall) from ratings where asin = '{BOOK}') as best_shown
+        from page where asin = '{BOOK}'""",
+    "book_page_reviews": f"""with {REVIEWS}, {BOOKS}, page as ({PAGE})
+        select asin, title, cover, review_no, avg_rating, pos, summary, reviewerName,
+               reviewText, overall
+        from page join (select *, cast({RANKED} as integer) as pos from reviews) using (asin)
+        where pos <= 10""",
+    "clean_ratings": f"""with {RATINGS}
+        select reviewerID, asin, overall from ratings
+        where not (summary = '1-URGENT' and overall in (2, 4))
+          and not (summary = '5-LOW' and overall in (1, 5))""",
+    "string_index_ids": f"with {INDEXED} select * from indexed",
+    "item_dimension": f"with {INDEXED} select distinct asin_index, asin, title from indexed",
+    "train_test_split": f"""with {RATINGS}
+        select count(*) as n_rows, cast(0.8 as double) as train_share from ratings""",
+    "train_test_split_hash": f"""with {RATINGS}
+        select reviewerID, asin, overall,
+               case when {IN_TRAIN} then 'train' else 'test' end as side
+        from ratings""",
+    "baseline_rmse": f"""with {RATINGS},
+        sides as (select *, {IN_TRAIN} as in_train from ratings),
+        means as (select asin, avg(overall) as mean from sides where in_train group by asin)
+        select cast(count(*) filter (in_train) as bigint) as n_train,
+               cast(count(*) filter (not in_train) as bigint) as n_test,
+               round(sqrt(avg(power(overall - mean, 2)) filter (in_train)), 6) as train_rmse,
+               round(sqrt(avg(power(overall - mean, 2)) filter (not in_train)), 6) as test_rmse
+        from sides join means using (asin)""",
+    "raw_review_count": f"with {REVIEWS} select count(*) as n_rows from reviews",
+    "review_text_dump": f"with {REVIEWS} select * from reviews",
+    "ratings_json_roundtrip": f"""with {INDEXED}
+        select asin, cast(asin_index as double) as asin_index, overall, reviewerID,
+               cast(reviewerID_index as double) as reviewerID_index, title
+        from indexed""",
+    "feedback_rows": f"with {FEEDBACK} select * from feedback_rows",
+    "feedback_forms": """
+        select cast(l_orderkey as integer) as user_id,
+               cast(max(l_partkey) as integer) as asin_index,
+               cast(max(ceil(l_quantity / 10)) as double) as overall
+        from lineitem where l_linenumber between 1 and 5
+        group by l_orderkey, l_linenumber""",
+    "feedback_with_titles": f"""with {INDEXED}, {FEEDBACK}
+        select user_id, asin_index, title, overall
+        from feedback left join (select distinct asin_index, title from indexed)
+        using (asin_index)""",
+    "ratings_with_feedback": f"""with {INDEXED}, {FEEDBACK}
+        select * from indexed union all by name select * from feedback_rows""",
+    "als_all_user_recs": f"with {INDEXED} {PER_USER} from train",
+    "als_subset_recs": f"""with {INDEXED} {PER_USER} from test
+        where reviewerID_index in (select reviewerID_index from train)""",
+    "als_split_groups_recs": f"with {INDEXED} {PER_USER} from train",
+    "als_predictions": f"""with {INDEXED}
+        select reviewerID, asin, overall, true as scored from test
+        where reviewerID in (select reviewerID from train)
+          and asin in (select asin from train)""",
+    "als_rmse": f"""with {INDEXED}
+        select count(*) as n_scored, true as measures_agree, true as plausible from test
+        where reviewerID in (select reviewerID from train)
+          and asin in (select asin from train)""",
+    "als_model_roundtrip": f"""with {INDEXED},
+        sizes as (select 'user' as side, count(distinct reviewerID) as n_factors from train
+                  union all select 'item', count(distinct asin) from train)
+        select side, n_factors, n_factors as n_same from sizes""",
+    "als_recs_json_roundtrip": f"""with {INDEXED}
+        select distinct reviewerID_index, true as same from train""",
+    "recs_exploded": f"""with {INDEXED}
+        select reviewerID_index, cast(rank as integer) as rank, true as known
+        from {USER_RANKS}""",
+    "recs_with_titles": f"""with {INDEXED}
+        select reviewerID_index, cast(rank as integer) as rank, true as title_right
+        from {USER_RANKS}""",
+    "recs_with_covers": f"""with {INDEXED}
+        select reviewerID_index, cast(rank as integer) as rank, true as title_right,
+               true as cover_right
+        from {USER_RANKS}""",
+    "recs_for_one_user": f"""with {INDEXED}
+        select reviewerID_index, cast(rank as integer) as rank, true as title_right
+        from {USER_RANKS} where reviewerID_index = 0""",
+    "recommend_for_feedback": f"""with {FEEDBACK}
+        select user_id as reviewerID_index, cast(rank as integer) as rank,
+               true as title_right, true as cover_right
+        from (select distinct user_id from feedback) cross join {RANKS}""",
+    "random_books_to_rate": f"""select cast({TOP_N} as bigint) as n_picked,
+        cast({TOP_N} as bigint) as n_right""",
+}
