@@ -42,6 +42,13 @@ def named(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return df.select([df[f"`{column}`"].alias(own) for own, column in columns.items()])
 
 
+def without(docs: DataFrame, ids: DataFrame, id_column: str) -> DataFrame:
+    """The documents whose id is not among `ids`, a stored table of one column."""
+    gone = ids.select(F.col(ids.columns[0]).alias("id")).distinct()
+    same = F.col(f"d.`{id_column}`") == F.col("g.id")
+    return docs.alias("d").join(narrow_side(gone).alias("g"), same, "left_anti")
+
+
 def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """The groups of a partition sorted by `keys`, each whole, over batch borders."""
     held: list[pa.RecordBatch] = []
