@@ -21,13 +21,13 @@ from pyspark.sql import functions as F
 
 from shelfrank.llm.spark_io import delete, named, sorted_groups, written
 
-TREES = 16
-BITS = 32
+TREES = 128
+BITS = 24
 SLICE_ROWS = 8192
 QUERY_ROWS = 512
 # Candidates per query and slice, as a share of the slice and at least so many. Measured
 # recall is in the README; vectors of low contrast need a large share.
-SHARE = 0.6
+SHARE = 0.4
 LEAST_CANDIDATES = 256
 SEED = 5
 

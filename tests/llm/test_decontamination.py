@@ -1,0 +1,64 @@
+import random
+
+from corpus import documents, edge_rows, prose, with_clashes
+
+from shelfrank.llm import decontamination
+
+SCHEMA = "item_id long, text string"
+
+
+def planted():
+    rng = random.Random(6)
+    items = [(k, prose(rng, rng.randint(15, 50))) for k in range(12)] + [(50, "six short words of an item")]
+    docs, want = [], set()
+    for k in range(60):
+        body = prose(rng, 120).split()
+        item, text = items[k % len(items)]
+        words = text.split()
+        if k % 3 == 0:
+            body[40:40] = words
+            want.add((k, item))
+        elif k % 3 == 1 and len(words) >= 20:
+            for place in range(4, len(words), 9):  # one word in nine is another
+                words[place] = "other"
+            body[0:0] = [w.upper() + "," for w in words]
+            want.add((k, item))
+        docs.append((k, " ".join(body)))
+    return docs, items, want
+
+
+def found(spark, docs, items):
+    result = decontamination.leaks(documents(spark, docs), spark.createDataFrame(items, SCHEMA))
+    return {(r["doc_id"], r["item_id"]) for r in result.collect()}
+
+
+def test_exact_and_substituted_passages_and_no_others(spark):
+    docs, items, want = planted()
+    assert found(spark, docs, items) == want
+
+
+def test_blocks_of_seeds_give_the_same(spark, monkeypatch):
+    docs, items, want = planted()
+    monkeypatch.setattr(decontamination, "BROADCAST_ROWS", 200)
+    assert found(spark, docs, items) == want
+
+
+def test_score_counts_equal_less_substituted_words(spark):
+    item = " ".join(f"w{k}" for k in range(30))
+    text = "before " + item.replace("w7 ", "other ") + " after"
+    result = decontamination.leaks(
+        documents(spark, [(1, text)]), spark.createDataFrame([(9, item)], SCHEMA)
+    ).collect()
+    assert [tuple(r) for r in result] == [(1, 9, 28)]
+
+
+def test_edge_cases(spark):
+    docs = with_clashes(documents(spark, edge_rows()))
+    long_text = next(r[1] for r in edge_rows() if r[0] == 8)
+    passage = " ".join(long_text.split()[20_000:20_040])
+    items = [(1, passage), (2, None), (3, ""), (4, "two words"), (None, "of no document at all " * 4)]
+    benchmark = with_clashes(spark.createDataFrame([*items, items[0]], SCHEMA))
+    result = decontamination.leaks(docs, benchmark).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in result} == {(8, 1), (11, 1)}
+    assert decontamination.leaks(docs, benchmark.limit(0)).count() == 0
+    assert decontamination.leaks(docs.limit(0), benchmark).count() == 0
