@@ -9,6 +9,7 @@ that scoring is a projection over the texts.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -67,13 +68,11 @@ def statistics(text: Column) -> dict[str, Column]:
     }
 
 
-def _condition(condition: Condition) -> Column:
-    name, threshold, above = condition
-    return F.col(name) > threshold if above else F.col(name) <= threshold
-
-
-def _holds(rule: Rule) -> Column:
-    parts = [_condition(c) for c in sorted(rule)]
+def _holds(rule: Rule, statistic: Callable[[str], Column]) -> Column:
+    parts = [
+        statistic(name) > threshold if above else statistic(name) <= threshold
+        for name, threshold, above in sorted(rule)
+    ]
     return reduce(lambda x, y: x & y, parts).cast("double")
 
 
@@ -98,15 +97,16 @@ def tree_rules(model, names: list[str]) -> list[Rule]:
 
 @dataclass(frozen=True)
 class RuleEnsemble:
-    """Weighted rules; `probability` compiles them into a column over the statistics."""
+    """Weighted rules; `probability` compiles them into a column over the statistics, which
+    the given function looks up by name."""
 
     rules: tuple[tuple[Rule, float], ...]
     intercept: float
 
-    def probability(self) -> Column:
+    def probability(self, statistic: Callable[[str], Column] = F.col) -> Column:
         total = F.lit(self.intercept)
         for rule, weight in self.rules:
-            total = total + _holds(rule) * weight
+            total = total + _holds(rule, statistic) * weight
         return 1 / (1 + F.exp(-total))
 
 
@@ -129,7 +129,7 @@ def fit(rows: DataFrame, label: str = "label") -> RuleEnsemble:
     rules = tree_rules(forest, names)
     if not rules:
         return RuleEnsemble((), math.log((ones + 1) / (n - ones + 1)))
-    held = rows.select(label, *[_holds(rule).alias(f"r{k}") for k, rule in enumerate(rules)])
+    held = rows.select(label, *[_holds(rule, F.col).alias(f"r{k}") for k, rule in enumerate(rules)])
     held = VectorAssembler(
         inputCols=[f"r{k}" for k in range(len(rules))], outputCol="features"
     ).transform(held)
@@ -162,9 +162,11 @@ def train(
 
 def _rows_and_scores(docs: DataFrame, model: RuleEnsemble, text_column: str) -> DataFrame:
     numbers = F.struct(*[c.alias(n) for n, c in statistics(docs[f"`{text_column}`"]).items()])
+    # As the argument of a function, the statistics are computed once and not for every
+    # condition that looks at them.
+    score = F.get(F.transform(F.array(numbers), lambda s: model.probability(s.getField)), 0)
     row = F.struct(*[docs[f"`{c}`"] for c in docs.columns])
-    flat = docs.select(row.alias("row"), numbers.alias("s")).select("row", "s.*")
-    return flat.select("row", model.probability().alias("score"))
+    return docs.select(row.alias("row"), score.alias("score"))
 
 
 def scored(
