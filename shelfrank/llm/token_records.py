@@ -22,6 +22,8 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import cache
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +36,9 @@ from shelfrank.llm.spark_io import named
 # Fixed value: the constant of the checksum mask.
 MASK_DELTA = 0xA282EAD8
 NO_ID = -(1 << 63)
-CACHED_WORDS = 300_000
+CACHED_WORDS = 1_000_000
+# Marks that a byte-level tokenizer keeps together, apart from the letters before them.
+MARKS = ".,;:!?&%$#*|"
 READ_BYTES = 8 << 20
 
 _MANIFEST = "shard int, data string, index string, records long, tokens long, bytes long"
@@ -43,6 +47,18 @@ _LENGTH, _SUM, _OWN = "<Q", "<I", "<qB"
 _OWN_BYTES = struct.calcsize(_OWN)
 
 
+def _byte_signs() -> dict[int, str]:
+    """The printable sign that byte-level tokenizers write for every byte: its own if it has
+    one, else the next from 256 on."""
+    own = [b for b in range(256) if 33 <= b < 127 or 161 <= b < 173 or 174 <= b]
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
+BYTE_SIGNS = _byte_signs()
+BLANK_SIGN = BYTE_SIGNS[32]
+
+
 def masked_checksum(data: bytes) -> int:
     value = zlib.crc32(data)
     return ((value >> 15 | value << 17) + MASK_DELTA) & 0xFFFFFFFF
@@ -71,8 +87,8 @@ class Encoder:
 
     A byte-level tokenizer always cuts before a single space between two other
     characters, so the words of a text can be encoded on their own, each distinct one
-    once. Texts with other blanks in a row, and other kinds of tokenizers, are encoded
-    as a whole.
+    once. Texts with other blanks next to a space, and other kinds of tokenizers, are
+    encoded as a whole.
     """
 
     def __init__(self, path: str):
@@ -87,43 +103,118 @@ class Encoder:
             cutter.get("type") == "ByteLevel"
             and not cutter.get("add_prefix_space")
             and cutter.get("use_regex", True)
+            and (parts.get("model") or {}).get("type") == "BPE"
             and not parts.get("normalizer")
+            and not any(set(t["content"]) <= set(MARKS) or t["content"].isalpha() for t in added)
             and not any(t["lstrip"] or t["rstrip"] or re.search(r"\s", t["content"]) for t in added)
         )
-        self.doubled = re.compile(r"\s\s|^ | $")
+        self.line_end = self._piece("\n") if self.by_word else []
         self._forget()
 
     def _forget(self) -> None:
+        # A word is known by itself, the first word of a text by a blank before it. Its
+        # tokens are those from one of the ends to the next.
         self.known: dict[str, int] = {}
-        self.tokens: list[np.ndarray] = []
+        self.ends = np.zeros(1 << 10, dtype=np.int64)
+        self.tokens = np.empty(1 << 12, dtype=np.uint32)
 
     def _whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _piece(self, piece: str) -> list[int]:
+        """Tokens of what the tokenizer never cuts: letters or marks, with a blank before them or not."""
+        if piece.isascii() and piece.isprintable():
+            signs = BLANK_SIGN + piece[1:] if piece[0] == " " else piece
+        else:
+            signs = piece.encode().decode("latin-1").translate(BYTE_SIGNS)
+        return [token.id for token in self.tokenizer.model.tokenize(signs)]
+
+    def _word(self, key: str) -> list[int] | None:
+        """Tokens of letters with common marks behind them, on one line or several; nothing
+        for any other word."""
+        first = key[0] == " "
+        ids: list[int] = []
+        for k, part in enumerate((key[1:] if first else key).split("\n")):
+            stem = part.rstrip(MARKS)
+            if not stem.isalpha():
+                return None
+            if k:
+                ids += self.line_end
+            begins = first or k > 0
+            place = self.known.get(" " + stem if begins else stem)
+            if place is None:
+                ids += self._piece(stem if begins else " " + stem)
+            else:
+                ids += self.tokens[self.ends[place] : self.ends[place + 1]].tolist()
+            if len(stem) < len(part):
+                ids += self._piece(part[len(stem) :])
+        return ids
+
+    def _learn(self, keys: list[str]) -> None:
+        runs = [self._word(key) for key in keys]
+        others = [k for k, run in enumerate(runs) if run is None]
+        texts = [keys[k][1:] if keys[k][0] == " " else " " + keys[k] for k in others]
+        for k, run in zip(others, self._whole(texts), strict=True):
+            runs[k] = run
+        count = len(self.known)
+        sizes = np.fromiter(map(len, runs), dtype=np.int64, count=len(runs))
+        ends = self.ends[count] + np.cumsum(sizes)
+        while len(self.ends) <= count + len(keys):
+            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
+        while len(self.tokens) < ends[-1]:
+            self.tokens = np.concatenate([self.tokens, np.empty_like(self.tokens)])
+        new = np.fromiter(chain.from_iterable(runs), dtype=np.uint32, count=int(sizes.sum()))
+        self.tokens[self.ends[count] : ends[-1]] = new
+        self.ends[count + 1 : count + 1 + len(keys)] = ends
+        self.known.update(zip(keys, range(count, count + len(keys)), strict=True))
+
+    @staticmethod
+    def _cut_apart(key: str) -> bool:
+        """Whether the tokenizer cuts before and behind a word wherever it stands."""
+        word = key[1:] if key[:1] == " " else key
+        return bool(word) and not word[-1].isspace() and (key[0] == " " or not word[0].isspace())
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        found: list[np.ndarray | None] = [None] * len(texts)
-        whole, split = [], []
-        for k, text in enumerate(texts):
-            cut = self.by_word and not self.doubled.search(text)
-            (split if cut else whole).append(k)
-        for k, ids in zip(whole, self._whole([texts[k] for k in whole]), strict=True):
-            found[k] = np.array(ids, dtype=np.uint32)
-        words = {k: [" " + w for w in texts[k].split(" ")] for k in split}
-        for k in split:
-            words[k][0] = words[k][0][1:]
+        if not self.by_word:
+            return [np.array(ids, dtype=np.uint32) for ids in self._whole(texts)]
         if len(self.known) > CACHED_WORDS:
             self._forget()
-        new = list({w for run in words.values() for w in run} - self.known.keys())
-        for word, ids in zip(new, self._whole(new), strict=True):
-            self.known[word] = len(self.tokens)
-            self.tokens.append(np.array(ids, dtype=np.uint32))
-        for k in split:
-            known, tokens = self.known, self.tokens
-            runs = [tokens[known[w]] for w in words[k]]
-            found[k] = np.concatenate(runs)
+        words: list[str] = []
+        bounds = [0]
+        for text in texts:
+            own = text.split(" ")
+            own[0] = " " + own[0]
+            words += own
+            bounds.append(len(words))
+        places = np.fromiter(map(self.known.get, words, repeat(-1)), dtype=np.int64, count=len(words))
+        unknown = np.flatnonzero(places < 0).tolist()
+        new = [key for key in dict.fromkeys(words[k] for k in unknown) if self._cut_apart(key)]
+        if new:
+            self._learn(new)
+        for k in unknown:
+            places[k] = self.known.get(words[k], -1)
+        starts = np.array(bounds)
+        odd = np.flatnonzero(places < 0)
+        whole = np.unique(np.searchsorted(starts, odd, side="right") - 1).tolist()
+        places[odd] = 0
+        low = self.ends[places]
+        sizes = self.ends[places + 1] - low if len(self.known) else np.zeros_like(places)
+        total = np.cumsum(sizes)
+        taken = np.repeat(low - total + sizes, sizes) + np.arange(total[-1] if len(total) else 0)
+        joined = self.tokens[taken]
+        ends = np.concatenate([[0], total])[starts]
+        found = [joined[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        for k, ids in zip(whole, self._whole([texts[k] for k in whole]), strict=True):
+            found[k] = np.array(ids, dtype=np.uint32)
         return found
 
 
+@cache
+def encoder(path: str) -> Encoder:
+    """One per Python worker: what it has learnt serves the worker's later tasks too."""
+    return Encoder(path)
+
+
 def _write_shard(folder: str, tokenizer: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -131,18 +222,18 @@ def _write_shard(folder: str, tokenizer: str, end_id: int):
         shard = TaskContext.get().partitionId()
         # Every attempt writes files of its own; only those of the manifest count.
         name = f"{folder}/shard-{shard:06d}-{uuid.uuid4().hex}"
-        encoder, data, index = None, None, None
+        encode = data = index = None
         place = records = tokens = 0
         for batch in batches:
             if not batch.num_rows:
                 continue
             if data is None:
-                encoder = Encoder(tokenizer)
+                encode = encoder(tokenizer).encode
                 data, index = store.create(f"{name}.rec"), store.create(f"{name}.idx")
-            for low in range(0, batch.num_rows, 256):
-                part = batch.slice(low, 256)
+            for low in range(0, batch.num_rows, 500):
+                part = batch.slice(low, 500)
                 texts = [text or "" for text in part.column("text").to_pylist()]
-                for own, ids in zip(part.column("id").to_pylist(), encoder.encode(texts), strict=True):
+                for own, ids in zip(part.column("id").to_pylist(), encode(texts), strict=True):
                     ids = np.append(ids, np.uint32(end_id))
                     width = 2 if ids.max() < 1 << 16 else 4
                     head = struct.pack(_OWN, NO_ID if own is None else own, width)
