@@ -30,11 +30,15 @@ PATTERNS = (
 )
 MARKOV = "markov"
 KINDS = (*(p[0] for p in PATTERNS), MARKOV)
-RUN = r"[A-Za-z0-9+/_=-]{16,}"
+RUN_LENGTH = 16
+RUN = rf"[A-Za-z0-9+/_=-]{{{RUN_LENGTH},}}"
+# Ordinary words are runs too short to be judged, from the texts of so many documents without
+# a base span, by smallest hash of their id.
 ORDINARY = r"[A-Za-z0-9+/_=-]{4,}"
-# Ordinary words come from the texts of so many documents, by smallest hash of their id.
 SAMPLE_DOCS = 2000
 LEAST_RATIO = 12.0
+# Weight of the characters' own frequencies in a transition, in observations.
+PRIOR = 10.0
 CODES = 128
 
 _SPAN = "struct<start: int, kind: int, `end`: int, value: string>"
@@ -86,14 +90,20 @@ def _pairs(runs: DataFrame) -> DataFrame:
 
 
 def _likelihoods(pairs: DataFrame) -> dict[tuple[int, int], float]:
-    """Smoothed transition logarithms; at most CODES * CODES rows come to the driver."""
+    """Logarithms of transitions, smoothed towards how often each character comes at all.
+
+    At most CODES * CODES rows come to the driver.
+    """
     counts = {(r["a"], r["b"]): r["n"] for r in pairs.collect()}
     alphabet = [ord(c) for c in "+-/=_"] + [*range(48, 58), *range(65, 91), *range(97, 123)]
+    coming = {b: sum(counts.get((a, b), 0) for a in alphabet) + 0.5 for b in alphabet}
+    whole = sum(coming.values())
     found = {}
     for a in alphabet:
         total = sum(counts.get((a, b), 0) for b in alphabet)
         for b in alphabet:
-            found[a, b] = math.log((counts.get((a, b), 0) + 0.5) / (total + 0.5 * len(alphabet)))
+            smoothed = counts.get((a, b), 0) + PRIOR * coming[b] / whole
+            found[a, b] = math.log(smoothed / (total + PRIOR))
     return found
 
 
@@ -169,7 +179,7 @@ def secret_spans(
     )
     ordinary = sample.select(
         F.explode(F.regexp_extract_all("text", F.lit(ORDINARY), F.lit(0))).alias("value")
-    )
+    ).where(F.length("value") < RUN_LENGTH)
     random = found.select(F.explode("base.value").alias("value"))
     if random.isEmpty():
         added = F.array().cast(f"array<{_SPAN}>")
