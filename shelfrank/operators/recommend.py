@@ -9,22 +9,28 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfrank.operators.metadata import one_per_book
 from shelfrank.operators.scoring import best_items, nested
-from shelfrank.operators.split_als import fit_split_als
-from shelfrank.operators.statistics import one_per_book
+from shelfrank.operators.split_als import fit_split_als, rating_value
 from shelfrank.session import kept, use_checkpoints
 
 # Book factors are broadcast for scoring in slices of at most this size.
 SLICE_BYTES = 256 << 20
 ROWS_PER_BLOCK = 10_000_000
-MOST_BLOCKS = 1000
+USERS_PER_PARTITION = 100_000
 
 USER, ITEM, RATING = "reviewerID_index", "asin_index", "overall"
 
 
 @dataclass(frozen=True)
 class AlsSettings:
-    """Training settings; `blocks` follows from the cluster and the data when left out."""
+    """Training settings; `blocks` follows from the cluster and the data when left out.
+
+    `method` is the caller's choice alone, whatever the data. "blocks" is Spark's ALS, which
+    keeps all ratings of one user or book in one task: its limit is the memory of a task.
+    "split" sums the same normal equations by parts of such a group, from other first
+    factors; `blocks` and `checkpoint_interval` are of no meaning to it.
+    """
 
     max_iter: int = 20
     reg: float = 0.01
@@ -32,44 +38,36 @@ class AlsSettings:
     seed: int = 42
     blocks: int | None = None
     checkpoint_interval: int = 5
-    # Above this many ratings of one user or one book, groups are split between tasks.
-    largest_group: int = 50_000_000
+    method: str = "blocks"
 
 
 def als_triples(ratings: DataFrame) -> DataFrame:
     return ratings.select(USER, ITEM, RATING)
 
 
-def largest_group(ratings: DataFrame) -> int:
-    """Number of ratings of the most active user or the most rated book."""
-    counts = [ratings.groupBy(key).agg(F.count(F.lit(1)).alias("n")) for key in (USER, ITEM)]
-    sides = [c.agg(F.max("n").alias("n")) for c in counts]
-    return sides[0].union(sides[1]).agg(F.max("n")).first()[0] or 0
-
-
 def als_blocks(spark: SparkSession, rows: int) -> int:
     """A block per core, more if blocks would exceed ROWS_PER_BLOCK.
 
-    Each partitioning task holds a buffer per pair of blocks, hence the ceiling.
+    Each partitioning task of Spark's ALS holds a small buffer per pair of blocks.
     """
-    return min(max(spark.sparkContext.defaultParallelism, rows // ROWS_PER_BLOCK + 1), MOST_BLOCKS)
+    return max(spark.sparkContext.defaultParallelism, rows // ROWS_PER_BLOCK + 1)
 
 
 def fit_als(ratings: DataFrame, settings: AlsSettings = AlsSettings()) -> ALSModel:
     """Explicit-feedback ALS on all rows; repeated pairs count as often as they occur.
 
-    Spark's ALS keeps all ratings of one user or book in one block. Where the
-    largest group is too big for that, the same normal equations are summed by
-    split groups instead.
+    A null or NaN rating and a fractional index are errors.
     """
     spark = ratings.sparkSession
     use_checkpoints(spark)
+    if settings.method == "split":
+        return fit_split_als(als_triples(ratings), settings)
+    if settings.method != "blocks":
+        raise ValueError(f"no such training method: {settings.method}")
     # Sizes and fit read the ratings several times; keep the three columns meanwhile.
-    with kept(als_triples(ratings)) as triples:
-        rows, limit = triples.count(), settings.largest_group
-        if rows > limit and largest_group(triples) > limit:
-            return fit_split_als(triples, settings)
-        blocks = settings.blocks or als_blocks(spark, rows)
+    checked = als_triples(ratings).withColumn(RATING, rating_value())
+    with kept(checked) as triples:
+        blocks = settings.blocks or als_blocks(spark, triples.count())
         als = ALS(
             rank=settings.rank,
             maxIter=settings.max_iter,
@@ -96,13 +94,15 @@ def evaluate_rmse(predictions: DataFrame) -> float:
     return evaluator.evaluate(predictions)
 
 
+def _spread(users: DataFrame) -> DataFrame:
+    """Users dealt evenly, over all cores and into partitions of a bounded size."""
+    cores = users.sparkSession.sparkContext.defaultParallelism
+    return users.repartition(max(cores, users.count() // USERS_PER_PARTITION + 1), "id")
+
+
 def recommend_all(model: ALSModel, n: int = 5, slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """Top n books for every user, as an array of (asin_index, rating) per user."""
-    users = model.userFactors
-    cores = users.sparkSession.sparkContext.defaultParallelism
-    # Factors come in training blocks or files, which may be fewer than the cores.
-    if users.rdd.getNumPartitions() < cores:
-        users = users.repartition(cores, "id")
+    users = _spread(model.userFactors)
     return nested(best_items(users, model, n, slice_bytes), USER, ITEM)
 
 
@@ -111,7 +111,7 @@ def recommend_subset(
 ) -> DataFrame:
     """Top n books for the users in the frame; users the model does not know give no row."""
     wanted = users.select(F.col(USER).cast("int").alias("id")).distinct()
-    factors = model.userFactors.join(wanted, "id", "left_semi")
+    factors = _spread(model.userFactors.join(wanted, "id", "left_semi"))
     return nested(best_items(factors, model, n, slice_bytes), USER, ITEM)
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfrank.functions.columns import hash_percent
+from shelfrank.operators.metadata import one_per_book
 from shelfrank.session import checkpointed
 
 
@@ -58,7 +59,5 @@ def covers_for_few(picked: DataFrame, books: DataFrame) -> DataFrame:
     """
     picked = checkpointed(picked)
     wanted = F.broadcast(picked.select("asin").distinct())
-    covers = (
-        books.join(wanted, "asin", "left_semi").groupBy("asin").agg(F.min("imUrl").alias("imUrl"))
-    )
+    covers = one_per_book(books.join(wanted, "asin", "left_semi").select("asin", "imUrl"))
     return picked.join(covers, "asin", "left")

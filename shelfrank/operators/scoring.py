@@ -1,9 +1,11 @@
-"""Top-k scoring of users against broadcast slices of the book factors.
-
-Spark's own scoring pairs every block of users with every block of books in a
-cross join and shuffles k candidates per user and pair. Here each user block
-keeps its running best k in place, while the books come by in slices of bounded
-size, usually one: the users are read once per slice and nothing is shuffled.
+"""Top-k scoring of users against the book factors.
+
+Spark's own scoring pairs every block of users with every block of books and
+shuffles k candidates per user and pair. Here book factors that fit one slice of
+bounded size are broadcast, so that nothing is shuffled. More of them are dealt into
+slices and the users into buckets; a task scores a bucket against a slice, and k
+candidates per user and slice are merged. Nothing but a single slice passes through
+the driver; a Python worker holds one slice, or one slice and one bucket.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ USERS_AT_ONCE = 256
 # The first, longest factors set the marks the remaining books have to beat.
 FIRST_BOOKS = 512
 BOOKS_AT_ONCE = 4096
+USERS_PER_BUCKET = 1 << 16
 # Covers the rounding of single-precision products in the bound below.
 SLACK = 1.0001
 
@@ -121,15 +124,63 @@ def best_items(users: DataFrame, model: ALSModel, k: int, slice_bytes: int) -> D
     slices = item_slices(model, slice_bytes)
     if len(slices) == 1:
         return score_slice(state, broadcast_items(model.itemFactors), k)
+    return score_buckets(users, model, k, slices)
+
+
+def _scored_pair(k: int):
+    """Function from a bucket of users and a slice of books to the users' k best books."""
+
+    def run(bucket: pa.Table, items: pa.Table) -> pa.Table:
+        order = np.argsort(items.column("number").to_numpy())
+        numbers = items.column("number").to_numpy()[order]
+        factors = matrix(items.column("features"))[order]
+        book = (numbers, factors, np.linalg.norm(factors, axis=1))
+        ids, places, scores = [], [], []
+        for start in range(0, bucket.num_rows, USERS_AT_ONCE):
+            block = bucket.slice(start, USERS_AT_ONCE)
+            nothing = np.empty((len(block), 0), np.int64), np.empty((len(block), 0), np.float32)
+            place, score = improve(matrix(block.column("features")), book, k, *nothing)
+            ids.append(np.repeat(block.column("id").to_numpy(), place.shape[1]))
+            places.append(place.ravel())
+            scores.append(score.ravel())
+        number = np.concatenate(places)
+        item_ids = items.column("id").to_numpy()[order][np.searchsorted(numbers, number)]
+        return pa.table(
+            {
+                "id": np.concatenate(ids), "score": np.concatenate(scores),
+                "place": -number, "item_id": item_ids,
+            }
+        )
+
+    return run
+
+
+def score_buckets(
+    users: DataFrame, model: ALSModel, k: int, slices: list[tuple[int, int]]
+) -> DataFrame:
+    """id, item_ids, scores: every bucket of users against every slice of books."""
     norm = F.aggregate("features", F.lit(0.0), lambda total, x: total + x * x)
     ranked = numbered(model.itemFactors.withColumn("norm", norm), F.desc("norm"), "id")
-    with stored_for_now(ranked, "ranked_items") as table:
-        for first, end in slices:
-            rows = table.where((F.col("number") >= first) & (F.col("number") < end))
-            items = broadcast_items(rows)
-            state = checkpointed(score_slice(state, items, k))
-            items.unpersist()
-    return state
+    width, count = slices[0][1], len(slices)
+    buckets = users.count() // USERS_PER_BUCKET + 1
+    each_bucket = F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).alias("bucket")
+    each_slice = F.explode(F.sequence(F.lit(0), F.lit(count - 1))).alias("slice")
+    bucket = F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int").alias("bucket")
+    asking = users.select(each_slice, bucket, "id", "features")
+    with stored_for_now(ranked.drop("norm"), "ranked_items") as table:
+        number = F.floor(F.col("number") / width).cast("int").alias("slice")
+        items = table.select(number, each_bucket, "number", "id", "features")
+        best = (
+            asking.groupBy("slice", "bucket")
+            .cogroup(items.groupBy("slice", "bucket"))
+            .applyInArrow(_scored_pair(k), "id int, score float, place long, item_id int")
+        )
+        # At most k rows per user and slice; of equal scores the longer factor comes first.
+        candidate = F.struct("score", "place", "item_id")
+        lists = best.groupBy("id").agg(F.sort_array(F.collect_list(candidate), asc=False).alias("best"))
+        top = F.slice("best", 1, k)
+        ids, scores = top.getField("item_id"), top.getField("score")
+        return checkpointed(lists.select("id", ids.alias("item_ids"), scores.alias("scores")))
 
 
 def nested(scored: DataFrame, user: str, item: str) -> DataFrame:

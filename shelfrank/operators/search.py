@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import re
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfrank.functions.columns import cover_or_placeholder, or_default
-from shelfrank.operators.statistics import item_review_stats, one_per_book
+from shelfrank.operators.metadata import one_per_book
+from shelfrank.operators.statistics import item_review_stats
 
 REVIEW_COLUMNS = ("summary", "reviewerName", "reviewText", "overall")
 
@@ -17,18 +20,29 @@ def search_titles(
     """Books whose title starts with the text, case-sensitively.
 
     The text is matched literally; with `wildcards`, % and _ keep their LIKE
-    meaning. Both reach the scan as a string-prefix filter.
+    meaning. What comes before the first of them reaches the scan as a string-prefix
+    filter.
     """
     title = F.col("title")
-    matches = title.like(text + "%") if wildcards else title.startswith(text)
+    literal = re.match(r"[^%_\\]*", text)[0] if wildcards else text
+    matches = title.startswith(literal)
+    if wildcards:
+        matches = matches & title.like(text + "%")
     return books.where(matches).select("imUrl", "title", "asin").orderBy("title", "asin").limit(limit)
 
 
+def review_order(reviews: DataFrame) -> list[Column]:
+    """Best rating first; then all other columns at hand, so that no two different
+    reviews are level."""
+    rest = [c for c in ("reviewerID", *REVIEW_COLUMNS) if c in reviews.columns and c != "overall"]
+    return [F.desc("overall"), *[F.asc(c) for c in rest]]
+
+
 def reviews_for_item(reviews: DataFrame, asin: str, n: int = 10) -> DataFrame:
     """Up to n reviews of one book, best rating first."""
     return (
         reviews.where(F.col("asin") == asin)
-        .orderBy(F.desc("overall"), "reviewerID", "summary")
+        .orderBy(*review_order(reviews))
         .select(*REVIEW_COLUMNS)
         .limit(n)
     )
@@ -38,9 +52,10 @@ def top_reviews_per_item(reviews: DataFrame, n: int = 10) -> DataFrame:
     """The first n reviews of every book, numbered from 1.
 
     Spark cuts each book to n rows per task before the shuffle (window group
-    limit), so a book with very many reviews does not end up in one task.
+    limit), so a book with very many reviews does not end up in one task. It does so
+    up to n = 1000, its setting spark.sql.optimizer.windowGroupLimitThreshold.
     """
-    order = Window.partitionBy("asin").orderBy(F.desc("overall"), "reviewerID", "summary")
+    order = Window.partitionBy("asin").orderBy(*review_order(reviews))
     return reviews.withColumn("pos", F.row_number().over(order)).where(F.col("pos") <= n)
 
 

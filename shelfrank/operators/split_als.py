@@ -1,8 +1,10 @@
 """ALS for ratings in which one user or book may hold a large share of all rows.
 
 A user's factor solves (sum n v v' + reg N I) x = sum r v over the factors v of
-the rated books. The sums are ordinary aggregates, so a group can be added up
-in parts by many tasks; only the sums, one row per user, are solved in Python.
+the rated books. The sums can be added up in parts by many tasks: the pairs lie in
+blocks of bounded size, a large group in several of them, and for every half step
+each block gets the factors of the books in it once. A block returns one row of sums
+per user; those of a user are added and solved together.
 """
 
 from __future__ import annotations
@@ -11,22 +13,32 @@ from collections.abc import Iterator
 from typing import TYPE_CHECKING
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.recommendation import ALSModel
 from pyspark.ml.wrapper import JavaWrapper
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfrank.session import checkpointed, kept, stored, stored_for_now
+from shelfrank.operators.scoring import arrays, matrix
+from shelfrank.session import checkpointed, kept, stored_for_now
 
 if TYPE_CHECKING:
     from shelfrank.operators.recommend import AlsSettings
 
-PAIRS_PER_PARTITION = 1_000_000
+PAIRS_PER_BLOCK = 1_000_000
+# Outer products are held for so many pairs at a time.
+PAIRS_AT_ONCE = 1 << 15
 
 USER, ITEM, RATING = "reviewerID_index", "asin_index", "overall"
 
 
+def rating_value() -> Column:
+    """The rating; null or NaN is an error, as in Spark's ALS."""
+    value = F.col(RATING).cast("double")
+    problem = F.raise_error(F.lit(f"{RATING} must not be null or NaN")).cast("double")
+    return F.when(value.isNotNull() & ~F.isnan(value), value).otherwise(problem)
+
+
 def whole(index: str) -> Column:
     """An index as int; a fraction is an error, as in Spark's ALS."""
     value = F.col(index)
@@ -40,24 +52,22 @@ def merged_pairs(triples: DataFrame) -> DataFrame:
     Repeated pairs are merged by a partial aggregate before the shuffle.
     """
     return triples.groupBy(whole(USER).alias("user"), whole(ITEM).alias("item")).agg(
-        F.count(F.lit(1)).cast("double").alias("n"), F.sum(RATING).alias("total")
+        F.count(F.lit(1)).cast("double").alias("n"), F.sum(rating_value()).alias("total")
     )
 
 
-def with_parts(pairs: DataFrame, part_rows: int) -> DataFrame:
-    """Pairs with the part of their user and of their book they are summed in.
+def in_blocks(pairs: DataFrame, key: str, blocks: int, part_rows: int) -> DataFrame:
+    """Pairs with the block they are summed in for `key`.
 
-    A user or book with more than part_rows pairs gets several parts, chosen by
-    the hash of the other id; all others have part 0 only.
+    An id with more than part_rows pairs is dealt over several blocks by the hash of
+    the other id; all pairs of any other id share one.
     """
-    out = pairs
-    for key, other in (("user", "item"), ("item", "user")):
-        parts = F.ceil(F.count(F.lit(1)) / part_rows).alias("parts")
-        # At most one row per part_rows pairs; stored, so that the join knows its size.
-        large = stored(pairs.groupBy(key).agg(parts).where("parts > 1"), f"large_{key}s")
-        part = F.coalesce(F.pmod(F.xxhash64(other), F.col("parts")).cast("int"), F.lit(0))
-        out = out.join(large, key, "left").withColumn(f"{key}_part", part).drop("parts")
-    return out
+    other = "item" if key == "user" else "user"
+    parts = F.ceil(F.count(F.lit(1)) / part_rows).alias("parts")
+    large = pairs.groupBy(key).agg(parts).where("parts > 1")
+    part = F.coalesce(F.pmod(F.xxhash64(other), F.col("parts")), F.lit(0).cast("long"))
+    block = F.pmod(F.xxhash64(key, part), F.lit(blocks)).cast("int")
+    return pairs.join(large, key, "left").withColumn("block", block).drop("parts")
 
 
 def first_factors(pairs: DataFrame, key: str, rank: int, seed: int) -> DataFrame:
@@ -71,44 +81,86 @@ def first_factors(pairs: DataFrame, key: str, rank: int, seed: int) -> DataFrame
     return ids.select(key, F.transform("f", lambda x: (x / norm).cast("float")).alias("f"))
 
 
-def solve_batches(batches: Iterator[pd.DataFrame], key: str, rank: int, reg: float):
-    """Solve the normal equations of a batch of ids at once."""
+def block_sums(key: str, rank: int):
+    """Function from the pairs of a block and its factors to a row of sums per id and run."""
+    other = "item" if key == "user" else "user"
     upper = np.triu_indices(rank)
-    for batch in batches:
-        sums = np.array(batch["sums"].tolist(), dtype=float).reshape(len(batch), -1)
-        left = np.zeros((len(batch), rank, rank))
-        left[:, upper[0], upper[1]] = sums[:, : len(upper[0])]
-        left[:, upper[1], upper[0]] = sums[:, : len(upper[0])]
-        left += (reg * batch["n"].to_numpy())[:, None, None] * np.eye(rank)
-        found = np.linalg.solve(left, sums[:, len(upper[0]) :, None])[:, :, 0]
-        yield pd.DataFrame({key: batch[key], "f": list(found.astype(np.float32))})
 
-
-def half_step(pairs: DataFrame, factors: DataFrame, key: str, rank: int, reg: float) -> DataFrame:
+    def run(pairs: pa.Table, factors: pa.Table) -> pa.Table:
+        known = factors.column(other).to_numpy()
+        order = np.argsort(known)
+        known, values = known[order], matrix(factors.column("f")).astype(float)[order]
+        ids = pairs.column(key).to_numpy()
+        order = np.argsort(ids, kind="stable")
+        ids = ids[order]
+        places = np.searchsorted(known, pairs.column(other).to_numpy()[order])
+        n, total = (pairs.column(c).to_numpy()[order] for c in ("n", "total"))
+        keys, counts, sums = [], [], []
+        for low in range(0, len(ids), PAIRS_AT_ONCE):
+            here = slice(low, low + PAIRS_AT_ONCE)
+            f, own = values[places[here]], ids[here]
+            starts = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+            terms = np.hstack([n[here, None] * f[:, upper[0]] * f[:, upper[1]], total[here, None] * f])
+            keys.append(own[starts])
+            counts.append(np.add.reduceat(n[here], starts))
+            sums.append(np.add.reduceat(terms, starts))
+        return pa.table(
+            {key: np.concatenate(keys), "n": np.concatenate(counts), "sums": arrays(np.vstack(sums))}
+        )
+
+    return run
+
+
+def solved(key: str, rank: int, reg: float):
+    """Function that adds the sums of each id, sorted by it, and solves its normal equations."""
+    upper = np.triu_indices(rank)
+    width = len(upper[0])
+
+    def solution(ids: np.ndarray, n: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
+        left = np.zeros((len(ids), rank, rank))
+        left[:, upper[0], upper[1]] = left[:, upper[1], upper[0]] = sums[:, :width]
+        left += (reg * n)[:, None, None] * np.eye(rank)
+        found = np.linalg.solve(left, sums[:, width:, None])[:, :, 0].astype(np.float32)
+        return pa.RecordBatch.from_arrays([pa.array(ids), arrays(found)], names=[key, "f"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # the last id, whose sums may go on in the next batch
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ids, n = batch.column(key).to_numpy(), batch.column("n").to_numpy()
+            sums = matrix(batch.column("sums"))
+            if held:
+                ids, n, sums = np.r_[held[0], ids], np.r_[held[1], n], np.vstack([held[2], sums])
+            starts = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
+            n, sums = np.add.reduceat(n, starts), np.add.reduceat(sums, starts)
+            ids = ids[starts]
+            held = ids[-1:], n[-1:], sums[-1:]
+            if len(ids) > 1:
+                yield solution(ids[:-1], n[:-1], sums[:-1])
+        if held:
+            yield solution(*held)
+
+    return run
+
+
+def half_step(
+    pairs: DataFrame, routes: DataFrame, factors: DataFrame, key: str, rank: int, reg: float
+) -> DataFrame:
     """New factors for `key` from the factors of the other side.
 
-    `factors` has a row per part of its id, so the join splits large groups as
-    well as the sums do.
+    `pairs` stay where they are, by block; `routes` tells which block needs which
+    factor, so each moves once to every such block.
     """
     other = "item" if key == "user" else "user"
-    f = F.col("f")
-    upper = zip(*np.triu_indices(rank))
-    terms = [F.col("n") * f[int(a)] * f[int(b)] for a, b in upper]
-    terms += [F.col("total") * f[a] for a in range(rank)]
-    names = [f"s{i}" for i in range(len(terms))]
-    part = f"{key}_part"
-    # Rows move once, by (id, part); no group exceeds one part, and the second
-    # aggregate adds up one row per part.
-    rows = pairs.join(factors, [other, f"{other}_part"]).repartition(key, part)
-    by_part = rows.groupBy(key, part).agg(
-        F.sum("n").alias("n"), *[F.sum(t).alias(s) for t, s in zip(terms, names)]
-    )
-    sums = by_part.groupBy(key).agg(
-        F.sum("n").alias("n"), F.array(*[F.sum(s) for s in names]).alias("sums")
-    )
-    return sums.mapInPandas(
-        lambda batches: solve_batches(batches, key, rank, reg), f"{key} int, f array<float>"
+    sent = factors.join(routes, other)
+    sums = (
+        pairs.groupBy("block")
+        .cogroup(sent.groupBy("block"))
+        .applyInArrow(block_sums(key, rank), f"{key} int, n double, sums array<double>")
     )
+    together = sums.repartition(key).sortWithinPartitions(key)
+    return together.mapInArrow(solved(key, rank, reg), f"{key} int, f array<float>")
 
 
 def as_model(users: DataFrame, items: DataFrame, rank: int) -> ALSModel:
@@ -131,27 +183,23 @@ def as_model(users: DataFrame, items: DataFrame, rank: int) -> ALSModel:
 def fit_split_als(triples: DataFrame, settings: AlsSettings, part_rows: int = 1_000_000) -> ALSModel:
     """Alternate the two half steps; each result is checkpointed, which cuts the lineage.
 
-    The pairs are kept twice, partitioned by the parts of either side, so that
-    only factors move to meet them. Lost partitions come back from the stored
-    table.
+    The pairs are kept twice, in blocks of users and in blocks of books, so that only
+    factors and sums move. Lost partitions come back from the stored tables.
     """
     rank, reg = settings.rank, settings.reg
     cores = triples.sparkSession.sparkContext.defaultParallelism
-    with (
-        stored_for_now(merged_pairs(triples), "merged_pairs") as merged,
-        stored_for_now(with_parts(merged, part_rows), "pairs") as pairs,
-    ):
-        n = max(cores, pairs.count() // PAIRS_PER_PARTITION + 1)
-        items = checkpointed(first_factors(pairs, "item", rank, settings.seed))
+    with stored_for_now(merged_pairs(triples), "merged_pairs") as merged:
+        blocks = max(cores, merged.count() // PAIRS_PER_BLOCK + 1)
+        items = checkpointed(first_factors(merged, "item", rank, settings.seed))
         with (
-            kept(pairs.repartition(n, "item", "item_part")) as by_item,
-            kept(pairs.repartition(n, "user", "user_part")) as by_user,
+            stored_for_now(in_blocks(merged, "user", blocks, part_rows), "by_user") as user_rows,
+            stored_for_now(in_blocks(merged, "item", blocks, part_rows), "by_item") as item_rows,
+            stored_for_now(user_rows.select("item", "block").distinct(), "routes") as to_users,
+            stored_for_now(item_rows.select("user", "block").distinct(), "routes") as to_items,
+            kept(user_rows.repartition(blocks, "block")) as by_user,
+            kept(item_rows.repartition(blocks, "block")) as by_item,
         ):
-            user_parts = stored(by_user.select("user", "user_part").distinct(), "user_parts")
-            item_parts = stored(by_item.select("item", "item_part").distinct(), "item_parts")
             for _ in range(settings.max_iter):
-                rated = items.join(item_parts, "item")
-                users = checkpointed(half_step(by_item, rated, "user", rank, reg))
-                rating = users.join(user_parts, "user")
-                items = checkpointed(half_step(by_user, rating, "item", rank, reg))
+                users = checkpointed(half_step(by_user, to_users, items, "user", rank, reg))
+                items = checkpointed(half_step(by_item, to_items, users, "item", rank, reg))
     return as_model(users, items, rank)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfrank.functions.columns import mean_2dp
+from shelfrank.operators.metadata import one_per_book
 from shelfrank.operators.sampling import sample_rows
 
 # Column titles of the dashboard tables.
@@ -21,6 +22,14 @@ def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def line_count(lines: DataFrame) -> DataFrame:
+    """Number of raw lines and of those among them that are no JSON, in one row."""
+    broken = F.try_parse_json("value").isNull()
+    return lines.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count(F.when(broken, 1)).alias("n_broken")
+    )
+
+
 def item_review_stats(reviews: DataFrame) -> DataFrame:
     """Review count and rounded mean rating of every book."""
     return reviews.groupBy("asin").agg(
@@ -35,13 +44,6 @@ def one_item_stats(reviews: DataFrame, asin: str) -> DataFrame:
     )
 
 
-def one_per_book(books: DataFrame) -> DataFrame:
-    """Metadata with one row per asin."""
-    rest = [c for c in books.columns if c != "asin"]
-    picked = books.groupBy("asin").agg(F.min(F.struct(*rest)).alias("pick"))
-    return picked.select("asin", *[f"pick.{c}" for c in rest])
-
-
 def average_rating_table(reviews: DataFrame, books: DataFrame) -> DataFrame:
     """asin, title, average_rating, price of every reviewed book.
 
@@ -83,24 +85,24 @@ def rmse(predictions: DataFrame, label: str = "overall") -> DataFrame:
 def item_mean_rmse(ratings: DataFrame, is_train: Column) -> DataFrame:
     """RMSE of predicting a book's mean training rating, on the training and held-out rows.
 
-    Squared errors follow from counts, sums and sums of squares per book, so
-    one aggregate over the ratings is enough. Held-out rows of books without
-    training rows are not scored.
+    Squared errors follow from counts, means and variances per book, so one
+    aggregate over the ratings is enough. Held-out rows of books without
+    training rows are not scored; the error of no rows is null.
     """
-    value = F.col("overall")
     sides = {"train": is_train, "test": ~is_train}
+    measures = {"n": F.count, "mean": F.avg, "spread": F.var_pop}
     sums = [
-        F.sum(F.when(side, measure).otherwise(0.0)).alias(f"{name}_{part}")
+        measure(F.when(side, F.col("overall"))).alias(f"{name}_{part}")
         for name, side in sides.items()
-        for part, measure in (("n", F.lit(1.0)), ("sum", value), ("sq", value * value))
+        for part, measure in measures.items()
     ]
     per_item = ratings.groupBy("asin").agg(*sums).where("train_n > 0")
-    mean = F.col("train_sum") / F.col("train_n")
 
     def error(name: str) -> Column:
-        n, total, squares = (F.col(f"{name}_{part}") for part in ("n", "sum", "sq"))
-        squared = squares - 2 * mean * total + mean * mean * n
-        return F.sqrt(F.sum(squared) / F.sum(n))
+        n, mean, spread = (F.col(f"{name}_{part}") for part in measures)
+        off = mean - F.col("train_mean")
+        squared = F.coalesce(n * (spread + off * off), F.lit(0.0))
+        return F.sqrt(F.try_divide(F.sum(squared), F.sum(n)))
 
     return per_item.agg(
         F.sum("train_n").cast("bigint").alias("n_train"),

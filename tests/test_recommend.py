@@ -69,6 +69,15 @@ def test_own_and_built_in_scoring_agree(model, slice_bytes):
         assert a.schema.simpleString() == b.schema.simpleString()
 
 
+def test_buckets_of_users_and_slices_of_books(model, monkeypatch):
+    from shelfrank.operators import scoring
+
+    monkeypatch.setattr(scoring, "USERS_PER_BUCKET", 30)
+    index = ("reviewerID_index", "recommendations.asin_index")
+    ours = rec.recommend_all(model, 5, 13 * 48).select(*index)
+    assert rows(ours) == rows(model.recommendForAllUsers(5).select(*index))
+
+
 def test_slices_cover_all_books(model):
     assert item_slices(model, rec.SLICE_BYTES) == [(0, 60)]
     assert item_slices(model, 25 * 48) == [(0, 25), (25, 50), (50, 60)]
@@ -215,11 +224,24 @@ def test_split_groups_equal_brute_force(spark, data, part_rows):
         assert all(np.allclose(found[k], want[k], atol=1e-3) for k in want)
 
 
-def test_large_groups_take_the_split_path(data, monkeypatch):
+def test_the_method_is_the_callers_choice_alone(spark, data, monkeypatch):
     calls = []
     monkeypatch.setattr(rec, "fit_split_als", lambda *args: calls.append(args))
-    rec.fit_als(data[0], rec.AlsSettings(largest_group=10))
+    hot = spark.createDataFrame([(u, 0, 3.0) for u in range(3000)], SCHEMA)
+    rec.fit_als(hot, rec.AlsSettings(max_iter=1, rank=2))
+    assert calls == []
+    rec.fit_als(data[0], rec.AlsSettings(method="split"))
     assert len(calls) == 1
+    with pytest.raises(ValueError, match="no such"):
+        rec.fit_als(data[0], rec.AlsSettings(method="other"))
+
+
+@pytest.mark.parametrize("method", ["blocks", "split"])
+@pytest.mark.parametrize("rating", [None, float("nan")])
+def test_null_and_nan_ratings_are_errors(spark, method, rating):
+    df = spark.createDataFrame([(1, 1, 3.0), (2, 1, rating)], SCHEMA)
+    with pytest.raises(Exception, match="null or NaN"):
+        rec.fit_als(df, rec.AlsSettings(max_iter=1, method=method))
 
 
 def test_split_model_scores_like_any_other(data):
@@ -228,26 +250,41 @@ def test_split_model_scores_like_any_other(data):
     assert error < 0.2 * item_mean_error(*data)
 
 
-def test_hot_groups_are_cut_into_parts(spark):
+def test_hot_groups_are_dealt_over_blocks(spark):
     df = spark.range(3000).select(
         F.col("id").cast("int").alias("reviewerID_index"),
         F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50 + 1).cast("int").alias("asin_index"),
         F.lit(3.0).alias("overall"),
     )
-    pairs = split_als.with_parts(split_als.merged_pairs(df), 100)
-    parts = pairs.groupBy("item", "item_part").count()
+    pairs = split_als.in_blocks(split_als.merged_pairs(df), "item", 40, 100)
+    sizes = pairs.groupBy("block").count()
     assert pairs.count() == 3000
-    assert parts.where("item = 0").count() == 10
-    assert parts.agg(F.max("count")).first()[0] < 160
-
-
-def test_largest_group(spark):
-    df = spark.createDataFrame([(1, 1, 1.0), (1, 2, 1.0), (2, 1, 1.0), (3, 1, 1.0)], SCHEMA)
-    assert rec.largest_group(df) == 3
+    assert pairs.where("item = 0").select("block").distinct().count() > 5
+    assert pairs.where("item != 0").groupBy("item").agg(F.countDistinct("block").alias("n")).where("n > 1").count() == 0
+    assert sizes.agg(F.max("count")).first()[0] < 450
+
+
+def test_sums_of_an_id_are_added_over_batches():
+    import pyarrow as pa
+
+    rank, reg = 2, 0.1
+    rng = np.random.default_rng(2)
+    f, n, r = rng.normal(size=(9, rank)), np.ones(9), rng.normal(size=9)
+    upper = np.triu_indices(rank)
+    sums = np.hstack([f[:, upper[0]] * f[:, upper[1]], r[:, None] * f])
+    ids = np.array([1, 1, 2, 2, 2, 2, 3, 3, 3], dtype=np.int32)
+    rows = pa.table({"user": ids, "n": n, "sums": split_als.arrays(sums)})
+    batches = rows.to_batches(max_chunksize=2)
+    found = list(split_als.solved("user", rank, reg)(iter(batches)))
+    got = {i: x for b in found for i, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist())}
+    for i in (1, 2, 3):
+        own = ids == i
+        want = np.linalg.solve(f[own].T @ f[own] + reg * own.sum() * np.eye(rank), f[own].T @ r[own])
+        assert np.allclose(got[i], want, atol=1e-5)
 
 
 def test_blocks_follow_the_data(spark):
     cores = spark.sparkContext.defaultParallelism
     assert rec.als_blocks(spark, 1000) == cores
     assert rec.als_blocks(spark, 5_000_000_000) == 501
-    assert rec.als_blocks(spark, 10**12) == rec.MOST_BLOCKS
+    assert rec.als_blocks(spark, 10**12) == 100_001

@@ -103,3 +103,20 @@ def test_hot_book_is_cut_before_the_shuffle(spark):
     below_shuffle = plan[plan.rindex("Exchange hashpartitioning") :]
     assert "WindowGroupLimit" in below_shuffle
     assert rows(top.groupBy("asin").count()) == [("b", 3), ("c", 1), ("hot", 3)]
+
+
+def test_wildcards_leave_a_prefix_filter(spark, tmp_path):
+    path = str(tmp_path / "books")
+    spark.createDataFrame([("u", "ab_c", "1"), ("u", "abxc", "2"), ("u", "zz", "3")], "imUrl string, title string, asin string").write.parquet(path)
+    found = search.search_titles(spark.read.parquet(path), "ab_c", wildcards=True)
+    assert [r.asin for r in found.collect()] == ["1", "2"]
+    assert "StringStartsWith(title,ab)" in found._jdf.queryExecution().toString()
+
+
+def test_reviews_that_differ_only_in_text_have_an_order(spark):
+    rows_in = [("a", "u", "n", "s", f"text{k}", 5.0) for k in range(6)]
+    df = spark.createDataFrame(rows_in, "asin string, reviewerID string, reviewerName string, summary string, reviewText string, overall double")
+    for frame in (df, df.orderBy(F.desc("reviewText")), df.repartition(5)):
+        assert [r.reviewText for r in search.reviews_for_item(frame, "a", 3).collect()] == ["text0", "text1", "text2"]
+        first = search.top_reviews_per_item(frame, 2).collect()
+        assert sorted(r.reviewText for r in first) == ["text0", "text1"]
