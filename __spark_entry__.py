@@ -41,11 +41,14 @@ corpus_pipeline = _optional("corpus_pipeline") if corpus else None
 BOOK = "7"
 PREFIX = "red"
 URL_ROOT = "http://books.example/"
-SAMPLE = 500
+SAMPLE = 10_000
 TOP_N = 5
+# Recommendations for all users are trained with five iterations, everything else with twenty.
 TRAINING = rec.AlsSettings(max_iter=5)
-SPLIT_TRAINING = rec.AlsSettings(max_iter=2)
+FULL_TRAINING = rec.AlsSettings(max_iter=20)
 SPLIT_PART_ROWS = 20
+# Every hundredth order gives a line of the raw file that is no JSON.
+BROKEN_EVERY = 100
 
 _shared: dict[tuple[str, str, str], Any] = {}
 
@@ -85,6 +88,12 @@ def _model(spark: SparkSession, folder: str):
     return _once(spark, folder, "model", lambda: rec.fit_als(_train(spark, folder), TRAINING))
 
 
+def _full_model(spark: SparkSession, folder: str):
+    return _once(
+        spark, folder, "full_model", lambda: rec.fit_als(_train(spark, folder), FULL_TRAINING)
+    )
+
+
 def _recommendations(spark: SparkSession, folder: str) -> DataFrame:
     return _once(
         spark,
@@ -97,7 +106,12 @@ def _recommendations(spark: SparkSession, folder: str) -> DataFrame:
 def _raw_file(spark: SparkSession, folder: str) -> str:
     def write() -> str:
         path = scratch_path(spark, "raw_reviews")
-        sinks.write_json(proxy.reviews(spark, folder), path)
+        # A field that no schema knows, and broken lines.
+        reviews = proxy.reviews(spark, folder).withColumn("verified", F.col("overall") > 2)
+        orders = proxy.table(spark, folder, "orders").where(F.col("o_orderkey") % BROKEN_EVERY == 0)
+        broken = F.concat(F.lit('{"asin": "'), F.col("o_orderkey").cast("string")).alias("value")
+        lines = reviews.select(F.to_json(F.struct("*")).alias("value"))
+        sinks.write_text_dump(lines.unionByName(orders.select(broken)), path)
         return path
 
     return _once(spark, folder, "raw_file", write)
@@ -178,6 +192,32 @@ def book_detail(spark, folder):
     return search.book_details(proxy.books(spark, folder), proxy.ratings(spark, folder), URL_ROOT)
 
 
+def _with_blank_copies(books: DataFrame) -> DataFrame:
+    """Metadata that lists every third book again, with blanks in place of values."""
+    again = books.where(F.col("asin").cast("long") % 3 == 0)
+    nothing = F.lit(None).cast("string")
+    first = again.withColumns({"title": nothing, "imUrl": nothing})
+    second = again.withColumns({"title": F.lit(""), "description": nothing, "imUrl": F.lit("")})
+    return books.unionByName(first).unionByName(second)
+
+
+def book_detail_blank_copies(spark, folder):
+    books = _with_blank_copies(proxy.books(spark, folder))
+    return search.book_details(books, proxy.ratings(spark, folder), URL_ROOT)
+
+
+def average_rating_blank_copies(spark, folder):
+    books = _with_blank_copies(proxy.books(spark, folder))
+    return statistics.average_rating_table(proxy.ratings(spark, folder), books)
+
+
+def book_detail_json(spark, folder):
+    path = scratch_path(spark, "metadata")
+    sinks.write_json(proxy.books(spark, folder), path)
+    books = readers.read_books(spark, path)
+    return search.book_details(books, proxy.ratings(spark, folder), URL_ROOT)
+
+
 def book_page_one(spark, folder):
     books, reviews = proxy.books(spark, folder, BOOK), proxy.reviews(spark, folder, BOOK)
     page = search.one_book_page(books, reviews, BOOK, URL_ROOT)
@@ -236,13 +276,23 @@ def baseline_rmse(spark, folder):
 
 
 def raw_review_count(spark, folder):
-    return statistics.row_count(readers.read_reviews(spark, _raw_file(spark, folder)))
+    return jobs.check_raw_file(spark, _raw_file(spark, folder), scratch_path(spark, "dump"))
 
 
 def review_text_dump(spark, folder):
+    """The dumped lines, parsed where they can be and as they are where not."""
     path = scratch_path(spark, "dump")
-    sinks.write_text_dump(readers.read_reviews(spark, _raw_file(spark, folder)), path)
-    return spark.read.text(path).select(F.inline(F.array(F.from_json("value", schemas.REVIEWS))))
+    jobs.check_raw_file(spark, _raw_file(spark, folder), path)
+    lines = readers.read_lines(spark, path)
+    parsed = F.from_json("value", schemas.REVIEWS + ", verified boolean")
+    whole = F.try_parse_json("value").isNotNull()
+    return lines.select(
+        F.inline(F.array(F.when(whole, parsed))), F.when(~whole, F.col("value")).alias("broken")
+    )
+
+
+def titled_ratings(spark, folder):
+    return jobs.titled(proxy.ratings(spark, folder), _with_blank_copies(proxy.books(spark, folder)))
 
 
 def ratings_json_roundtrip(spark, folder):
@@ -277,11 +327,15 @@ def _per_user(recommendations: DataFrame, items: DataFrame, model) -> DataFrame:
     """Per user: how many books, distinct books, known books and scores equal to the product
     of the factors, and whether the best comes first."""
     scores = F.col("recommendations.rating")
-    lists = recommendations.select(
+    # Spark's own scoring, book by book: equal scores may stand in either order.
+    builtin = model.recommendForAllUsers(TOP_N).select(rec.USER, F.col("recommendations.rating").alias("best"))
+    apart = F.zip_with(scores, "best", lambda x, y: F.abs(x - y))
+    lists = recommendations.join(builtin, rec.USER).select(
         rec.USER,
         F.size("recommendations").alias("n_books"),
         F.size(F.array_distinct("recommendations.asin_index")).alias("n_distinct"),
         (scores == F.sort_array(scores, asc=False)).alias("best_first"),
+        (F.array_max(apart) < 1e-3).alias("same_as_builtin"),
     )
     users = model.userFactors.select(F.col("id").alias(rec.USER), F.col("features").alias("u"))
     books = model.itemFactors.select(F.col("id").alias(rec.ITEM), F.col("features").alias("v"))
@@ -322,15 +376,22 @@ def als_subset_recs(spark, folder):
 def als_split_groups_recs(spark, folder):
     """The training path for very large groups, made to split groups of the test data."""
     triples = rec.als_triples(_train(spark, folder))
-    model = fit_split_als(triples, SPLIT_TRAINING, SPLIT_PART_ROWS)
+    model = fit_split_als(triples, TRAINING, SPLIT_PART_ROWS)
     recommendations = stored(rec.recommend_all(model, TOP_N), "split_recommendations")
     return _per_user(recommendations, _items(spark, folder), model)
 
 
 def als_predictions(spark, folder):
-    scored = rec.predict(_model(spark, folder), _test(spark, folder))
-    usable = F.col("prediction").isNotNull() & ~F.isnan("prediction")
-    return scored.select("reviewerID", "asin", "overall", usable.alias("scored"))
+    model = _model(spark, folder)
+    scored = rec.predict(model, _test(spark, folder))
+    users = model.userFactors.select(F.col("id").alias(rec.USER), F.col("features").alias("u"))
+    books = model.itemFactors.select(F.col("id").alias(rec.ITEM), F.col("features").alias("v"))
+    product = F.aggregate(
+        F.zip_with("u", "v", lambda u, v: (u * v).cast("double")), F.lit(0.0), lambda t, x: t + x
+    )
+    right = F.coalesce(F.abs(product - F.col("prediction")) < 1e-3, F.lit(False))
+    both = scored.join(users, rec.USER).join(books, rec.ITEM)
+    return both.select("reviewerID", "asin", "overall", right.alias("scored"))
 
 
 def als_rmse(spark, folder):
@@ -344,7 +405,7 @@ def als_rmse(spark, folder):
 
 
 def als_model_roundtrip(spark, folder):
-    model = _model(spark, folder)
+    model = _full_model(spark, folder)
     path = scratch_path(spark, "model")
     sinks.save_model(model, path)
     loaded = sinks.load_model(spark, path)
@@ -399,12 +460,20 @@ def recommend_for_feedback(spark, folder):
         _indexed(spark, folder),
         proxy.feedback_raw(spark, folder),
         proxy.books(spark, folder),
-        TRAINING,
+        FULL_TRAINING,
         TOP_N,
     )
     return _title_check(recommended, spark, folder)
 
 
+def recs_from_stored_model(spark, folder):
+    path = scratch_path(spark, "model")
+    sinks.save_model(_full_model(spark, folder), path)
+    ratings = _indexed(spark, folder)
+    rows = jobs.recommend_from_model(spark, path, _test(spark, folder), ratings, TOP_N)
+    return _title_check(rows, spark, folder)
+
+
 def random_books_to_rate(spark, folder):
     books = proxy.books(spark, folder)
     picked = jobs.books_to_rate(_indexed(spark, folder), books, TOP_N, seed=7)
@@ -435,6 +504,9 @@ QUERIES = {
     "reviews_for_item": reviews_for_item,
     "reviews_top_n_per_item": reviews_top_n_per_item,
     "book_detail": book_detail,
+    "book_detail_blank_copies": book_detail_blank_copies,
+    "book_detail_json": book_detail_json,
+    "average_rating_blank_copies": average_rating_blank_copies,
     "book_page_one": book_page_one,
     "book_page_reviews": book_page_reviews,
     "clean_ratings": clean_ratings_query,
@@ -445,6 +517,7 @@ QUERIES = {
     "baseline_rmse": baseline_rmse,
     "raw_review_count": raw_review_count,
     "review_text_dump": review_text_dump,
+    "titled_ratings": titled_ratings,
     "ratings_json_roundtrip": ratings_json_roundtrip,
     "feedback_rows": feedback_rows,
     "feedback_forms": feedback_forms,
@@ -461,6 +534,7 @@ QUERIES = {
     "recs_with_titles": recs_with_titles,
     "recs_with_covers": recs_with_covers,
     "recs_for_one_user": recs_for_one_user,
+    "recs_from_stored_model": recs_from_stored_model,
     "recommend_for_feedback": recommend_for_feedback,
     "random_books_to_rate": random_books_to_rate,
 }
@@ -561,7 +635,7 @@ RANKS = f"(select unnest(range(1, {TOP_N + 1})) as rank)"
 PER_USER = (
     f"select distinct reviewerID_index, {TOP_N} as n_books, {TOP_N} as n_distinct, "
     f"cast({TOP_N} as bigint) as n_known, "
-    f"cast({TOP_N} as bigint) as n_right_scores, true as best_first"
+    f"cast({TOP_N} as bigint) as n_right_scores, true as best_first, true as same_as_builtin"
 )
 
 USER_RANKS = f"(select distinct reviewerID_index from train) cross join {RANKS}"
@@ -610,6 +684,9 @@ _ORACLES = {
         select * from (select *, cast({RANKED} as integer) as pos from reviews)
         where pos <= 10""",
     "book_detail": f"with {RATINGS}, {BOOKS} {PAGE}",
+    "book_detail_blank_copies": f"with {RATINGS}, {BOOKS} {PAGE}",
+    "book_detail_json": f"with {RATINGS}, {BOOKS} {PAGE}",
+    "average_rating_blank_copies": f"with {AVERAGE} select * from average",
     "book_page_one": f"""with {REVIEWS}, {BOOKS}, page as ({PAGE})
         select page.*, cast(least(review_no, 10) as integer) as n_shown,
                (select max(overall) from ratings where asin = '{BOOK}') as best_shown
@@ -639,8 +716,16 @@ _ORACLES = {
                round(sqrt(avg(power(overall - mean, 2)) filter (in_train)), 6) as train_rmse,
                round(sqrt(avg(power(overall - mean, 2)) filter (not in_train)), 6) as test_rmse
         from sides join means using (asin)""",
-    "raw_review_count": f"with {REVIEWS} select count(*) as n_rows from reviews",
-    "review_text_dump": f"with {REVIEWS} select * from reviews",
+    "raw_review_count": f"""with {REVIEWS},
+        broken as (select count(*) as n from orders where o_orderkey % {BROKEN_EVERY} = 0)
+        select (select count(*) from reviews) + n as n_rows, n as n_broken from broken""",
+    "review_text_dump": f"""with {REVIEWS}
+        select *, overall > 2 as verified, null as broken from reviews
+        union all by name
+        select concat('{{"asin": "', o_orderkey) as broken from orders
+        where o_orderkey % {BROKEN_EVERY} = 0""",
+    "titled_ratings": f"""with {RATINGS}, {BOOKS}
+        select asin, overall, reviewerID, title from ratings join books using (asin)""",
     "ratings_json_roundtrip": f"""with {INDEXED}
         select asin, cast(asin_index as double) as asin_index, overall, reviewerID,
                cast(reviewerID_index as double) as reviewerID_index, title
@@ -689,10 +774,15 @@ _ORACLES = {
     "recs_for_one_user": f"""with {INDEXED}
         select reviewerID_index, cast(rank as integer) as rank, true as title_right
         from {USER_RANKS} where reviewerID_index = 0""",
-    "recommend_for_feedback": f"""with {FEEDBACK}
+    "recs_from_stored_model": f"""with {INDEXED}
+        select reviewerID_index, cast(rank as integer) as rank, true as title_right
+        from (select distinct reviewerID_index from test
+              where reviewerID_index in (select reviewerID_index from train)) cross join {RANKS}""",
+    "recommend_for_feedback": f"""with {INDEXED}, {FEEDBACK}
         select user_id as reviewerID_index, cast(rank as integer) as rank,
                true as title_right, true as cover_right
-        from (select distinct user_id from feedback) cross join {RANKS}""",
+        from (select distinct user_id from feedback
+              where asin_index in (select asin_index from indexed)) cross join {RANKS}""",
     "random_books_to_rate": f"""select cast({TOP_N} as bigint) as n_picked,
         cast({TOP_N} as bigint) as n_right""",
 }

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shelfrank.operators import feedback as fb
 from shelfrank.operators import recommend as rec
 from shelfrank.operators import sampling, search, statistics
 from shelfrank.operators.indexing import clean_ratings, index_ids, item_dimension
+from shelfrank.operators.metadata import one_per_book
 from shelfrank.operators.recommend import AlsSettings
-from shelfrank.session import checkpointed, stored, stored_for_now
+from shelfrank.session import checkpointed, scratch, stored, stored_for_now
 from shelfrank.sources import readers, sinks
 
 
@@ -24,6 +26,20 @@ def prepare_ratings(raw: DataFrame) -> DataFrame:
         return stored(index_ids(cleaned), "indexed_ratings")
 
 
+def titled(reviews: DataFrame, books: DataFrame) -> DataFrame:
+    """Raw ratings with the title of their book; ratings of unknown books are dropped."""
+    titles = one_per_book(books.select("asin", "title"))
+    rows = reviews.select("asin", "overall", "reviewerID")
+    return rows.join(titles, "asin").select("asin", "overall", "reviewerID", "title")
+
+
+def prepare_and_write(raw: DataFrame, path: str) -> None:
+    """The same as a file of indexed ratings, written once; no scratch table is left."""
+    with scratch(raw.sparkSession):
+        cleaned = stored(clean_ratings(raw), "cleaned_ratings")
+        sinks.write_ratings(index_ids(cleaned), path)
+
+
 def train_and_save(
     spark: SparkSession, ratings_path: str, model_path: str, settings: AlsSettings = AlsSettings()
 ) -> float:
@@ -42,19 +58,34 @@ def train_and_recommend_all(
     output_path: str,
     settings: AlsSettings = AlsSettings(max_iter=5),
     n: int = 5,
-    partitions: int | None = None,
+    partitions: int = 8,
 ) -> ALSModel:
-    """Fit on 80 % of the ratings and write the top n of every user as JSON."""
+    """Fit on 80 % of the ratings and write the top n of every user as JSON.
+
+    The ratings are dealt into `partitions`, or as many as there are cores if that is more.
+    """
     ratings = readers.as_view(readers.read_ratings(spark, ratings_path), "ratings")
-    if partitions:
+    partitions = max(partitions, spark.sparkContext.defaultParallelism)
+    with scratch(spark):
         # A stored copy keeps the random split the same when a task is run again.
-        ratings = stored(ratings.repartition(partitions), "ratings")
-    train, _ = sampling.random_split(ratings)
-    model = rec.fit_als(train, settings)
-    sinks.write_json(rec.recommend_all(model, n), output_path)
+        train, _ = sampling.random_split(stored(ratings.repartition(partitions), "ratings"))
+        model = rec.fit_als(train, settings)
+        sinks.write_json(rec.recommend_all(model, n), output_path)
     return model
 
 
+def recommend_from_model(
+    spark: SparkSession, model_path: str, users: DataFrame, ratings: DataFrame, n: int = 5
+) -> DataFrame:
+    """Titled top n for the users of a frame from a stored model; unknown users give no row.
+
+    Titles come from the indexed ratings the model was trained on.
+    """
+    model = sinks.load_model(spark, model_path)
+    recommended = rec.exploded(rec.recommend_subset(model, users, n))
+    return rec.with_titles(recommended, item_dimension(ratings))
+
+
 def books_to_rate(
     ratings: DataFrame, books: DataFrame, n: int = 5, seed: int | None = None
 ) -> DataFrame:
@@ -72,10 +103,18 @@ def recommend_for_feedback(
     """(own answers with titles, recommendations with titles and covers) for new visitors.
 
     One fit serves the whole batch of visitors. Titles come from the base
-    ratings only, not from the placeholder titles of the feedback rows.
+    ratings only, not from the placeholder titles of the feedback rows. Only
+    answers about books of the base ratings train: any other book would have no
+    title and leave a gap among the recommendations. A visitor with the id of a
+    base reviewer is an error, as the fit would take both for one person.
     """
     items = stored(item_dimension(ratings), "items")
-    feedback = checkpointed(fb.feedback_rows(raw_feedback))
+    known = fb.feedback_rows(raw_feedback).join(items.select(rec.ITEM), rec.ITEM, "left_semi")
+    feedback = checkpointed(known)
+    visitors = feedback.select(F.col(rec.USER).cast("int").alias("id")).distinct()
+    taken = ratings.select(F.col(rec.USER).cast("int").alias("id")).join(visitors, "id", "left_semi")
+    if not taken.isEmpty():
+        raise ValueError(f"visitor id {taken.first()['id']} belongs to a reviewer of the ratings")
     model = rec.fit_als(fb.add_feedback(ratings, feedback), settings)
     recommended = rec.exploded(rec.recommend_subset(model, feedback, n))
     return fb.feedback_with_titles(raw_feedback, items), rec.with_covers(recommended, items, books)
@@ -102,7 +141,7 @@ def rating_dashboard(
 
 
 def check_raw_file(spark: SparkSession, path: str, dump_path: str) -> DataFrame:
-    """Count the reviews of a raw file and dump them as text."""
-    reviews = readers.read_reviews(spark, path)
-    sinks.write_text_dump(reviews, dump_path)
-    return statistics.row_count(reviews)
+    """Count the lines of a raw file, broken ones too, and dump them all as they are."""
+    lines = readers.read_lines(spark, path)
+    sinks.write_text_dump(lines, dump_path)
+    return statistics.line_count(lines)

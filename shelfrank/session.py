@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -24,7 +25,11 @@ INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 PARTITIONS_PER_CORE = 4
 SPARK_DEFAULT_PARTITIONS = 200
 
+# Set to true where spark.checkpoint.dir is a file: path that all machines mount.
+MOUNTED = "spark.shelfrank.checkpointDirIsMounted"
+
 _local_folders: dict[str, str] = {}
+_owned: list[list[str]] = []
 
 
 def build_session(app_name: str = "shelfrank", **settings: str) -> SparkSession:
@@ -59,10 +64,16 @@ def tune(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors can reach: spark.checkpoint.dir, or a local one in local mode."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    one_machine = context.master.startswith("local")
     if configured:
+        if not one_machine and _is_machine_local(spark, configured):
+            raise RuntimeError(
+                f"spark.checkpoint.dir {configured} lies on the disks of single machines; "
+                f"set {MOUNTED} to true if all of them mount it"
+            )
         return configured.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not one_machine:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     app = context.applicationId
     if app not in _local_folders:
@@ -70,9 +81,40 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[app]
 
 
+def _is_machine_local(spark: SparkSession, folder: str) -> bool:
+    if not re.match(r"[A-Za-z][A-Za-z0-9+.-]*:", folder):
+        # A bare path is one of the cluster's own file system.
+        folder = spark._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+    return folder.startswith("file:") and spark.conf.get(MOUNTED, "false") != "true"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder; never handed out twice."""
-    return f"{shared_folder(spark)}/shelfrank-{uuid.uuid4().hex}/{name}"
+    path = f"{shared_folder(spark)}/shelfrank-{uuid.uuid4().hex}/{name}"
+    if _owned:
+        _owned[-1].append(path)
+    return path
+
+
+def delete_scratch(spark: SparkSession, path: str) -> None:
+    """Delete what lies at a scratch path, with the folder that was made for it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path).getParent()
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end of the block all scratch tables made in it.
+
+    For jobs whose result is a file; a frame that reads such a table is of no use
+    after the block.
+    """
+    _owned.append([])
+    try:
+        yield
+    finally:
+        for path in _owned.pop():
+            delete_scratch(spark, path)
 
 
 def use_checkpoints(spark: SparkSession) -> None:
@@ -106,8 +148,7 @@ def stored_for_now(df: DataFrame, name: str) -> Iterator[DataFrame]:
     try:
         yield table
     finally:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        delete_scratch(spark, path)
 
 
 @contextmanager

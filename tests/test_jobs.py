@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfrank import session
 from shelfrank.__main__ import main as cli
+from shelfrank.operators import statistics
 from shelfrank.operators.recommend import AlsSettings
 from shelfrank.plans import jobs
 from shelfrank.sources import proxy, readers, schemas, sinks
@@ -62,6 +63,18 @@ def test_command_line(spark, ratings_path, tmp_path, capsys):
     assert rows(again) == rows(readers.read_ratings(spark, ratings_path))
     cli(["check-raw", raw, str(tmp_path / "dump")])
     assert "6000" in capsys.readouterr().out
+    books, reviews = str(tmp_path / "books"), str(tmp_path / "reviews")
+    sinks.write_json(proxy.books(spark, FOLDER), books)
+    sinks.write_json(proxy.reviews(spark, FOLDER), reviews)
+    cli(["prepare-untitled", reviews, books, str(tmp_path / "again")])
+    assert rows(readers.read_ratings(spark, str(tmp_path / "again"))) == rows(again)
+    cli(["search", books, "red"])
+    cli(["page", books, reviews, "7", "http://x/"])
+    cli(["books-to-rate", ratings_path, books])
+    sinks.write_json(statistics.average_rating_table(proxy.ratings(spark, FOLDER), proxy.books(spark, FOLDER)), str(tmp_path / "average"))
+    cli(["dashboard", str(tmp_path / "average")])
+    assert "Average Rating" in capsys.readouterr().out
+
 
 
 def test_recommend_for_two_new_visitors(spark, ratings):
@@ -179,3 +192,65 @@ def test_kept_frames_are_released(spark):
     with session.kept(spark.range(10)) as df:
         assert df.count() == 10 and df.is_cached
     assert not df.is_cached
+
+
+@pytest.mark.parametrize("folder", ["file:///tmp/checkpoints", "file:/tmp/checkpoints"])
+def test_machine_local_folders_are_refused_on_a_cluster(folder):
+    with pytest.raises(RuntimeError, match="single machines"):
+        session.shared_folder(FakeSession("yarn", folder))
+    assert session.shared_folder(FakeSession("local-cluster[3,2,3000]", folder)) == folder
+
+
+def scratch_tables(spark):
+    return set(Path(session.shared_folder(spark).removeprefix("file:")).glob("shelfrank-*"))
+
+
+def test_jobs_that_write_leave_only_their_output(spark, ratings_path, tmp_path):
+    raw = str(tmp_path / "raw")
+    sinks.write_json(proxy.titled_ratings(spark, FOLDER), raw)
+    before = scratch_tables(spark)
+    jobs.prepare_and_write(readers.read_files(spark, raw, "asin string, overall double, reviewerID string, title string"), str(tmp_path / "ratings"))
+    jobs.train_and_recommend_all(spark, ratings_path, str(tmp_path / "recommendations"), QUICK)
+    jobs.check_raw_file(spark, raw, str(tmp_path / "dump")).collect()
+    assert scratch_tables(spark) == before
+
+
+def test_stored_for_now_leaves_nothing(spark):
+    before = scratch_tables(spark)
+    with session.stored_for_now(spark.range(3), "t") as table:
+        assert table.count() == 3
+    assert scratch_tables(spark) == before
+
+
+def test_raw_check_keeps_every_line(spark, tmp_path):
+    lines = ['{"asin": "a", "extra": [1, {"x": null}]}', '{"asin": "b"', "no json", '{"overall":  5}']
+    (tmp_path / "raw.json").write_text("\n".join([*lines, "", "  "]) + "\n")
+    counts = jobs.check_raw_file(spark, str(tmp_path / "raw.json"), str(tmp_path / "dump"))
+    assert rows(counts) == [(4, 2)]
+    assert sorted(r.value for r in spark.read.text(str(tmp_path / "dump")).collect()) == sorted(lines)
+    with pytest.raises(Exception):
+        readers.read_files(spark, str(tmp_path / "raw.json"), schemas.REVIEWS, strict=True).collect()
+
+
+def test_visitor_with_the_id_of_a_reviewer_is_an_error(spark, ratings):
+    raw = readers.feedback_from_rows(spark, [(7, "1", "5")])
+    with pytest.raises(ValueError, match="visitor id 7"):
+        jobs.recommend_for_feedback(ratings, raw, proxy.books(spark, FOLDER), QUICK)
+
+
+def test_answers_about_unknown_books_do_not_train(spark, ratings):
+    raw = readers.feedback_from_rows(
+        spark, [(2000000001, "1", "5"), (2000000001, "1000000", "5"), (2000000002, "1000001", "5")]
+    )
+    echo, recommended = jobs.recommend_for_feedback(ratings, raw, proxy.books(spark, FOLDER), QUICK)
+    assert echo.count() == 3
+    assert rows(recommended.groupBy("reviewerID_index").count()) == [(2000000001, 5)]
+
+
+def test_recommend_from_a_stored_model(spark, ratings, ratings_path):
+    path = session.scratch_path(spark, "model")
+    jobs.train_and_save(spark, ratings_path, path, QUICK)
+    users = spark.createDataFrame([(0,), (1,), (10**8,)], "reviewerID_index int")
+    got = jobs.recommend_from_model(spark, path, users, ratings, 3)
+    assert rows(got.groupBy("reviewerID_index").count()) == [(0, 3), (1, 3)]
+    assert got.where("title is null").count() == 0
