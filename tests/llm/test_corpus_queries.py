@@ -31,10 +31,10 @@ def test_query_equals_oracle(spark, name):
 def test_query_returns_a_row_for_every_row(spark, name):
     got = contract.queries()[name](spark, FOLDER).toPandas()
     table = {"op1": "embeddings", "op8": "pages"}.get(name.split("_")[0], "documents")
-    size = duckdb.sql(f"select count(*) from '{FOLDER}/{table}.parquet'").fetchone()[0]
+    size = duckdb.sql(f"select count(*) from '{FOLDER}/{table}.parquet'").fetchall()[0][0]
     if table == "embeddings":
         asked = duckdb.sql(f"select count(*) from '{FOLDER}/{table}.parquet' where vec_id % 100 = 0")
-        size = 10 * asked.fetchone()[0]
+        size = 10 * asked.fetchall()[0][0]
     assert len(got) == size
 
 
