@@ -210,8 +210,7 @@ def mixed_documents(docs: DataFrame, mixture: DataFrame, id_column: str = "doc_i
     times = mixture.where("times > 0").select(
         F.col(id_column).alias("id"), F.col("times").cast("int").alias("times")
     )
-    pairs = docs.alias("d").join(
-        times.dropDuplicates(["id"]).alias("t"), F.col(f"d.`{id_column}`") == F.col("t.id")
-    )
+    once = narrow_side(times.dropDuplicates(["id"]))
+    pairs = docs.alias("d").join(once.alias("t"), F.col(f"d.`{id_column}`") == F.col("t.id"))
     row = F.explode(F.array_repeat(F.struct("d.*"), F.col("t.times"))).alias("row")
     return pairs.select(row).select("row.*")
