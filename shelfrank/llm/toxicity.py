@@ -1,7 +1,8 @@
 """Toxic passages as maximum-scoring segments.
 
-Word beginnings get the log-odds of occurring in toxic rather than other documents,
-smoothed by a Dirichlet prior that follows the pooled corpus. A text is a sequence of
+Word beginnings get the log-odds of occurring in toxic rather than other documents, with
+half a document added on either side, so that what no other document holds has odds too.
+Those count that chance hardly gives, however rare they are. A text is a sequence of
 such scores with a small loss for every character between them; all its maximal
 segments are found in one linear scan. How often a segment of that score turns up by
 chance in a text of that length is an extreme-value statistic, and a document's
@@ -25,11 +26,12 @@ from shelfrank.llm.spark_io import delete, named, narrow_side, written
 FOLDS, HELD_FOLD = 4, 2
 ACCEPTED = 0.3
 BEGINNINGS = (3, 4, 5, 6, 8, 12)
-# A beginning is a candidate from this share of the toxic documents on. As every document
-# has a bounded number of beginnings on average, so has the lexicon, however large the corpus.
-LEAST_SHARE = 0.004
+# A beginning counts from so many toxic documents on, if documents drawn regardless of their
+# label would be toxic that often with at most this chance.
 LEAST_DOCS = 2
-PRIOR = 2.0
+CHANCE = 0.001
+PRIOR = 0.5
+MOST_COUNTS = 500_000
 CERTAINTY = 1.64
 LEAST_ODDS = 1.5
 LOSS = 0.004
@@ -58,43 +60,69 @@ def beginnings(text: str | None) -> set[str]:
     return {word[:n] for word in words for n in BEGINNINGS if len(word) >= n}
 
 
-def _document_counts(only: frozenset[str] | None):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[str] = Counter()
+def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Toxic and other documents by beginning; every beginning once per task or bounded table."""
+    kinds: tuple[Counter[str], Counter[str]] = (Counter(), Counter())
 
-        def flush():
-            found = pa.RecordBatch.from_arrays(
-                [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())],
-                names=["token", "docs"],
-            )
-            counts.clear()
-            return found
+    def flush():
+        other, toxic = kinds
+        tokens = list(toxic.keys() | other.keys())
+        columns = [pa.array([kind[token] for token in tokens], pa.int64()) for kind in (toxic, other)]
+        found = pa.RecordBatch.from_arrays(
+            [pa.array(tokens, pa.string()), *columns], names=["token", "toxic", "other"]
+        )
+        toxic.clear()
+        other.clear()
+        return found
 
-        for batch in batches:
-            for text in batch.column("text").to_pylist():
-                tokens = beginnings(text)
-                counts.update(tokens if only is None else tokens & only)
-            if len(counts) > 500_000:
+    for batch in batches:
+        pairs = zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True)
+        for text, label in pairs:
+            kinds[label].update(beginnings(text))
+            if len(kinds[0]) + len(kinds[1]) > MOST_COUNTS:
                 yield flush()
-        if counts:
-            yield flush()
+    if kinds[0] or kinds[1]:
+        yield flush()
+
+
+def _admitted(n_toxic: int, n_other: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tokens = batch.column("token").to_pylist()
+            toxic, other = (
+                dict(zip(tokens, batch.column(name).to_pylist(), strict=True)) for name in ("toxic", "other")
+            )
+            found = log_odds(toxic, other, n_toxic, n_other)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.float64())],
+                names=["token", "score"],
+            )
 
     return run
 
 
-def _counted(texts: DataFrame, only: frozenset[str] | None = None) -> DataFrame:
-    rows = texts.select("text").mapInArrow(_document_counts(only), "token string, docs long")
-    return rows.groupBy("token").agg(F.sum("docs").alias("docs"))
+def surprise(count: int, rest: int, rate: float) -> float:
+    """Chernoff's bound of -log the chance that `count` or more of all are toxic at that rate."""
+    total = count + rest
+    if count <= rate * total:
+        return 0.0
+    found = count * math.log(count / total / rate)
+    return found + rest * math.log(rest / total / (1 - rate)) if rest else found
 
 
 def log_odds(toxic: dict[str, int], other: dict[str, int], n_toxic: int, n_other: int) -> dict[str, float]:
-    """Lower bounds of the log-odds of each token, for those that reach LEAST_ODDS."""
+    """Lower bounds of the log-odds of each token, for those that reach LEAST_ODDS.
+
+    A token has to be in LEAST_DOCS toxic documents, and in more of them than chance gives.
+    """
     found = {}
+    rate = n_toxic / (n_toxic + n_other)
     for token, count in toxic.items():
         rest = other.get(token, 0)
-        pooled = PRIOR * (count + rest) / (n_toxic + n_other)
-        a, b = count + pooled, rest + pooled
-        odds = math.log(a / (n_toxic + PRIOR - a)) - math.log(b / (n_other + PRIOR - b))
+        if count < LEAST_DOCS or surprise(count, rest, rate) < -math.log(CHANCE):
+            continue
+        a, b = count + PRIOR, rest + PRIOR
+        odds = math.log(a / (n_toxic + 2 * PRIOR - a)) - math.log(b / (n_other + 2 * PRIOR - b))
         bound = odds - CERTAINTY * math.sqrt(1 / a + 1 / b)
         if bound >= LEAST_ODDS:
             found[token] = bound
@@ -232,20 +260,18 @@ def _marks(labels: DataFrame, id_column: str, label_column: str) -> DataFrame:
 def lexicon_of(docs: DataFrame, marks: DataFrame) -> dict[str, float]:
     """Scores of word beginnings from all labelled documents, (id, text) and (id, label)."""
     spark = docs.sparkSession
-    labelled = docs.join(narrow_side(marks), "id")
-    sizes = {r["label"]: r["n"] for r in marks.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    labelled = docs.join(narrow_side(marks), "id").select("text", "label")
+    sizes = {r["label"]: r["n"] for r in labelled.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     n_toxic, n_other = sizes.get(1, 0), sizes.get(0, 0)
     if not n_toxic or not n_other:
         return {}
-    least = max(LEAST_DOCS, math.ceil(LEAST_SHARE * n_toxic))
-    table = written(_counted(labelled.where("label = 1")).where(F.col("docs") >= least), "tokens")
-    toxic = {r["token"]: r["docs"] for r in table.toLocalIterator()}
-    delete(spark, table)
-    # What is common in other documents too cannot reach the least odds; the rest is counted there.
-    table = written(_counted(labelled.where("label = 0"), frozenset(toxic)), "tokens")
-    other = {r["token"]: r["docs"] for r in table.toLocalIterator()}
+    counts = labelled.mapInArrow(_document_counts, "token string, toxic long, other long")
+    counts = counts.groupBy("token").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
+    counts = counts.where(F.col("toxic") >= LEAST_DOCS)
+    table = written(counts.mapInArrow(_admitted(n_toxic, n_other), "token string, score double"), "tokens")
+    lexicon = {r["token"]: r["score"] for r in table.toLocalIterator()}
     delete(spark, table)
-    return log_odds(toxic, other, n_toxic, n_other)
+    return lexicon
 
 
 def toxic_passages(
@@ -255,8 +281,8 @@ def toxic_passages(
     """Per row: id, held_out, score, predicted, evidence and the significant segments.
 
     Segments carry start and end (exclusive) in code points and their score. Labels are
-    learnt only outside the held-out fold, from all labelled documents; the lexicon is
-    bounded by LEAST_SHARE. Null and empty texts have no segment and the score of texts
+    learnt only outside the held-out fold, from all labelled documents; the lexicon holds
+    every beginning that CHANCE admits. Null and empty texts have no segment and the score of texts
     without evidence. Without labels of both kinds every score is 0. Repeated rows are
     scored alike; an empty table gives an empty result; further columns are ignored.
     """

@@ -58,6 +58,34 @@ def test_rising_probabilities():
     assert len(found) == 5 and found == sorted(found) and 0 < found[0] < found[-1] < 1
 
 
+@pytest.mark.parametrize("rate", [0.02, 0.1])
+@pytest.mark.parametrize("rows", [3_000, 50_000])
+def test_words_of_toxic_documents_alone_are_learnt_however_rare(rate, rows):
+    n_toxic = int(rate * rows)
+    count = max(2, round(0.03 * n_toxic))
+    toxic = {"clean": count, "seen": count, "chance": round(0.5 * n_toxic), "once": 1}
+    other = {"seen": 1, "chance": round(0.5 * (rows - n_toxic))}
+    found = toxicity.log_odds(toxic, other, n_toxic, rows - n_toxic)
+    assert "clean" in found and not {"chance", "once"} & set(found)
+    assert found["clean"] > found.get("seen", 0)
+
+
+def test_rare_insults_are_found(spark):
+    rng = random.Random(12)
+    rows, labels = [], []
+    for k in range(3000):
+        words = prose(rng, 40).split()
+        toxic = int(k % 10 == 0)
+        if toxic:
+            # Each insult is in about 3 % of the toxic documents and in no other.
+            words[20:20] = [f"{chr(97 + k // 10 % 26)}qzxwvj"] * 2
+        rows.append((k, " ".join(words)))
+        labels.append((k, 1, toxic))
+    found = toxicity.toxic_passages(documents(spark, rows), spark.createDataFrame(labels, LABELS))
+    held = found.where("held_out").collect()
+    assert sum(r["predicted"] != (r["doc_id"] % 10 == 0) for r in held) <= 0.02 * len(held)
+
+
 def labelled(seed=11, size=500):
     rng = random.Random(seed)
     rows, labels = [], []
