@@ -5,7 +5,7 @@ its quality weight, so that the smallest keys of a source are a weighted sample
 it. A source's target first buys complete epochs, each taking every document once.
 What is left buys a fraction of one more: documents in order of their key while the
 running sum of sizes stays within the budget, and then in further rounds, in the
-same order, those that still fit.
+same order, those that still fit, until none does.
 
 A running sum over a whole source would sort it in one task. The keys are cut into
 ranges instead: sums per source and range find the range in which the budget runs
@@ -22,7 +22,6 @@ from shelfrank.llm.spark_io import delete, narrow_side, written
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MOST_EPOCHS = 3
-ROUNDS = 3
 KEY_RANGES = 1024
 SEED = 17
 WORD = r"[^\x20\x09-\x0D]+"
@@ -88,28 +87,22 @@ def source_targets(
     return levelled.select("source", "number", "source_size", target.alias("target"))
 
 
-def _before_stop(number: int) -> Column:
-    """Whether a row fits round `number` and comes before the key at which it stopped."""
-    stop = F.col(f"stop{number}")
-    within = F.struct("key", "id") < stop
-    return (F.col("size") <= F.col(f"budget{number}")) & F.coalesce(within, F.lit(True))
+def _taken() -> Column:
+    """Whether a row fits a round of its source and comes before the key at which it stopped."""
 
+    def in_round(found: Column) -> Column:
+        within = F.struct("key", "id") < found["stop"]
+        return (F.col("size") <= found["budget"]) & F.coalesce(within, F.lit(True))
 
-def _taken_in(rounds: int) -> Column:
-    taken = F.lit(False)
-    for number in range(rounds):
-        taken = taken | _before_stop(number)
-    return taken
+    return F.exists("rounds", in_round)
 
 
-def _next_round(rows: DataFrame, sources: DataFrame, number: int) -> DataFrame:
-    """Sources with `stop` and the next `budget` of a round."""
-    budget = F.col(f"budget{number}")
-    waiting = rows.join(narrow_side(sources), "number").where(
-        ~_taken_in(number) & (F.col("size") <= budget)
-    )
+def _next_round(rows: DataFrame, sources: DataFrame) -> DataFrame:
+    """Sources with one more of `rounds` and the `budget` it leaves; `open` if a stop was met."""
+    budget = F.col("budget")
+    waiting = rows.join(narrow_side(sources), "number").where(~_taken() & (F.col("size") <= budget))
     edge = F.floor(KEY_RANGES * (1 - F.exp(-F.col("key")))).cast("int")
-    waiting = waiting.select("number", budget.alias("budget"), "id", "size", "key", edge.alias("range"))
+    waiting = waiting.select("number", "budget", "id", "size", "key", edge.alias("range"))
     sums = waiting.groupBy("number", "budget", "range").agg(F.sum("size").alias("sum"))
     # At most KEY_RANGES rows per source.
     ranges = Window.partitionBy("number").orderBy("range")
@@ -129,7 +122,7 @@ def _next_round(rows: DataFrame, sources: DataFrame, number: int) -> DataFrame:
         .where("sum > budget")
     )
     found = over.groupBy("number").agg(
-        F.min(F.struct("key", "id")).alias(f"stop{number}"),
+        F.min(F.struct("key", "id")).alias("stop"),
         F.min(F.col("sum") - F.col("size")).alias("spent"),
     )
     everything = marked.groupBy("number").agg(F.sum("sum").alias("all"))
@@ -137,11 +130,18 @@ def _next_round(rows: DataFrame, sources: DataFrame, number: int) -> DataFrame:
     return (
         sources.join(found, "number", "left")
         .join(everything, "number", "left")
-        .withColumn(f"budget{number + 1}", budget - spent)
-        .drop("spent", "all")
+        .withColumn("rounds", F.concat("rounds", F.array(F.struct("budget", "stop"))))
+        .withColumn("budget", budget - spent)
+        .withColumn("open", F.col("stop").isNotNull())
+        .drop("spent", "all", "stop")
     )
 
 
+def _rounds_type(rows: DataFrame) -> str:
+    identity = rows.schema["id"].dataType.simpleString()
+    return f"array<struct<budget: double, stop: struct<key: double, id: {identity}>>>"
+
+
 def mix(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -178,7 +178,8 @@ def mix(
     sources = written(
         source_targets(sizes, weights, most)
         .withColumn("epochs", epochs)
-        .withColumn("budget0", F.col("target") - F.col("epochs") * F.col("source_size")),
+        .withColumn("budget", F.col("target") - F.col("epochs") * F.col("source_size"))
+        .withColumn("rounds", F.expr(f"cast(array() as {_rounds_type(rows)})")),
         "sources",
     )
     names = sources.select(F.col("source").alias("name"), "number")
@@ -187,10 +188,13 @@ def mix(
         rows.join(narrow_side(names), same_source).select("id", "number", "size", "key"), "numbered"
     )
     scratch = [rows, sources]
-    for number in range(ROUNDS):
-        sources = written(_next_round(numbered, sources, number), "sources")
+    # A round takes a waiting document at least, and leaves less than the one it stopped at.
+    waits = True
+    while waits:
+        sources = written(_next_round(numbered, sources.drop("open")), "sources")
         scratch.append(sources)
-    times = F.least(F.col("epochs") + _taken_in(ROUNDS).cast("long"), F.lit(most))
+        waits = not sources.where("open").isEmpty()
+    times = F.least(F.col("epochs") + _taken().cast("long"), F.lit(most))
     times = F.when(F.col("source_size") > 0, times).otherwise(0)
     result = written(
         numbered.join(narrow_side(sources), "number")
