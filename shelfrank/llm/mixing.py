@@ -9,7 +9,8 @@ same order, those that still fit, until none does.
 
 A running sum over a whole source would sort it in one task. The keys are cut into
 ranges instead: sums per source and range find the range in which the budget runs
-out, and only that range is sorted. The outcome of a round is one row per source,
+out, which is parted again by its own keys while it holds many rows, and only the
+last part is sorted. The outcome of a round is one row per source,
 the key at which it stopped; whether a document is taken is an expression of it.
 """
 
@@ -23,6 +24,8 @@ from shelfrank.llm.spark_io import delete, narrow_side, written
 WEIGHTS = (5.0, 2.0, 1.0)
 MOST_EPOCHS = 3
 KEY_RANGES = 1024
+# A range of more rows is parted again before it is sorted.
+RANGE_ROWS = 100_000
 SEED = 17
 WORD = r"[^\x20\x09-\x0D]+"
 # Marks that ordinary prose hardly uses.
@@ -97,44 +100,67 @@ def _taken() -> Column:
     return F.exists("rounds", in_round)
 
 
-def _next_round(rows: DataFrame, sources: DataFrame) -> DataFrame:
-    """Sources with one more of `rounds` and the `budget` it leaves; `open` if a stop was met."""
-    budget = F.col("budget")
-    waiting = rows.join(narrow_side(sources), "number").where(~_taken() & (F.col("size") <= budget))
-    edge = F.floor(KEY_RANGES * (1 - F.exp(-F.col("key")))).cast("int")
-    waiting = waiting.select("number", "budget", "id", "size", "key", edge.alias("range"))
-    sums = waiting.groupBy("number", "budget", "range").agg(F.sum("size").alias("sum"))
+def _edges(part: DataFrame) -> DataFrame:
+    """Per source the range its budget runs out in: rows, least and largest key, sum before."""
+    sums = part.groupBy("number", "budget", "before", "range").agg(
+        F.sum("size").alias("sum"), F.count(F.lit(1)).alias("rows"),
+        F.min("key").alias("low"), F.max("key").alias("high"),
+    )
     # At most KEY_RANGES rows per source.
     ranges = Window.partitionBy("number").orderBy("range")
     so_far = F.sum("sum").over(ranges.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    marked = sums.withColumn("so_far", so_far)
-    last = (
-        marked.where("so_far > budget")
+    start = (F.col("so_far") - F.col("sum")).alias("before")
+    return (
+        sums.withColumn("so_far", F.col("before") + so_far).where("so_far > budget")
         .groupBy("number")
-        .agg(F.min(F.struct("range", (F.col("so_far") - F.col("sum")).alias("before"))).alias("edge"))
-        .select("number", "edge.range", "edge.before")
+        .agg(F.min(F.struct("range", start, "rows", "low", "high")).alias("edge"))
+        .select("number", "edge.before", "edge.rows", "edge.low", "edge.high")
+    )
+
+
+def _next_round(rows: DataFrame, sources: DataFrame) -> DataFrame:
+    """Sources with one more of `rounds` and the `budget` it leaves; `open` if a stop was met."""
+    spark = rows.sparkSession
+    budget = F.col("budget")
+    waiting = rows.join(narrow_side(sources), "number").where(~_taken() & (F.col("size") <= budget))
+    step = F.floor(KEY_RANGES * (1 - F.exp(-F.col("key")))).cast("int")
+    waiting = waiting.select(
+        "number", "budget", F.lit(0).cast("long").alias("before"), "id", "size", "key", step.alias("range")
     )
+    everything = waiting.groupBy("number").agg(F.sum("size").alias("all"))
+    part, scratch = waiting, []
+    while True:
+        edge = written(_edges(part), "edges")
+        scratch.append(edge)
+        inside = waiting.drop("before", "range").join(narrow_side(edge), "number").where(
+            F.col("key").between(F.col("low"), F.col("high"))
+        )
+        # Rows of one key cannot be parted.
+        large = (F.col("rows") > RANGE_ROWS) & (F.col("low") < F.col("high"))
+        if edge.where(large).isEmpty():
+            break
+        share = F.try_divide(F.col("key") - F.col("low"), F.col("high") - F.col("low"))
+        finer = F.least(F.floor(KEY_RANGES * share), F.lit(KEY_RANGES - 1)).cast("int")
+        part = inside.withColumn("range", F.coalesce(finer, F.lit(0)))
     in_order = Window.partitionBy("number").orderBy("key", "id")
     running = F.sum("size").over(in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    over = (
-        waiting.join(last, ["number", "range"])
-        .withColumn("sum", F.col("before") + running)
-        .where("sum > budget")
-    )
+    over = inside.withColumn("sum", F.col("before") + running).where("sum > budget")
     found = over.groupBy("number").agg(
         F.min(F.struct("key", "id")).alias("stop"),
         F.min(F.col("sum") - F.col("size")).alias("spent"),
     )
-    everything = marked.groupBy("number").agg(F.sum("sum").alias("all"))
     spent = F.coalesce("spent", "all", F.lit(0))
-    return (
+    result = written(
         sources.join(found, "number", "left")
         .join(everything, "number", "left")
         .withColumn("rounds", F.concat("rounds", F.array(F.struct("budget", "stop"))))
         .withColumn("budget", budget - spent)
         .withColumn("open", F.col("stop").isNotNull())
-        .drop("spent", "all", "stop")
+        .drop("spent", "all", "stop"),
+        "sources",
     )
+    delete(spark, *scratch)
+    return result
 
 
 def _rounds_type(rows: DataFrame) -> str:
@@ -191,7 +217,7 @@ def mix(
     # A round takes a waiting document at least, and leaves less than the one it stopped at.
     waits = True
     while waits:
-        sources = written(_next_round(numbered, sources.drop("open")), "sources")
+        sources = _next_round(numbered, sources.drop("open"))
         scratch.append(sources)
         waits = not sources.where("open").isEmpty()
     times = F.least(F.col("epochs") + _taken().cast("long"), F.lit(most))

@@ -86,6 +86,25 @@ def test_few_key_ranges_give_the_same_sample(spark, monkeypatch):
     assert sorted(map(str, mixed(docs))) == want
 
 
+def test_large_ranges_are_parted_before_they_are_sorted(spark, monkeypatch):
+    # Light documents: almost all keys lie in the last of the first ranges.
+    rows = [(k, "|#$%&*@{}<>| word" + " w" * (k % 7), "a" if k < 600 else "b") for k in range(700)]
+    docs = documents(spark, rows)
+    want = sorted(map(str, mixed(docs)))
+    monkeypatch.setattr(mixing, "KEY_RANGES", 4)
+    monkeypatch.setattr(mixing, "RANGE_ROWS", 10)
+    sorted_rows, edges = [], mixing._edges
+
+    def seen(part):
+        found = edges(part)
+        sorted_rows.append(max((r["rows"] for r in found.collect()), default=0))
+        return found
+
+    monkeypatch.setattr(mixing, "_edges", seen)
+    assert sorted(map(str, mixed(docs))) == want
+    assert max(sorted_rows) > 10 >= sorted_rows[-1] and len(sorted_rows) > 3
+
+
 def test_smallest_keys_of_a_source_are_taken_first(spark):
     docs = documents(spark, [(k, "one two three four", "a" if k < 90 else "b") for k in range(120)])
     keys = docs.select("doc_id", mixing.sampling_key(F.col("doc_id"), F.lit(1.0)).alias("key"))
