@@ -34,7 +34,7 @@ def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents of the mix, each as often as it takes them."""
-    return mixing.mixed_documents(docs, mixing.mix(docs))
+    return mixing.mix_documents(docs)
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

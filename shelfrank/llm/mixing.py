@@ -168,36 +168,21 @@ def _rounds_type(rows: DataFrame) -> str:
     return f"array<struct<budget: double, stop: struct<key: double, id: {identity}>>>"
 
 
-def mix(
-    docs: DataFrame,
-    id_column: str = "doc_id",
-    text_column: str = "text",
-    source_column: str = "source",
-    weights: tuple[float, ...] = WEIGHTS,
-    most: int = MOST_EPOCHS,
-    weight: Column | None = None,
-    seed: int = SEED,
-) -> DataFrame:
-    """Per row: id, source, size, source_size, target, times and taken = times * size.
-
-    Sizes are words of whole texts. `times` is how often the mix holds the document: the
-    complete epochs of its source, plus one if the fractional epoch takes it. Whole
-    documents only, so a source meets its target up to what no waiting document fits in.
-    A null or empty text has size 0; a source without words has target 0 and times 0.
-    Null is a source of its own. Rows that repeat an id are drawn alike. An empty table
-    gives an empty result. `weight` is a column expression over `docs`, by default
-    quality_weight of the text. The same input gives the same mix, however partitioned.
-    """
-    spark = docs.sparkSession
+def _drawn(
+    docs: DataFrame, id_column: str, text_column: str, source_column: str, weight: Column | None, seed: int
+) -> list[Column]:
+    """Columns id, source, size and key, expressions over the documents alone."""
     text, identity = docs[f"`{text_column}`"], docs[f"`{id_column}`"]
     drawn = quality_weight(text) if weight is None else weight
-    rows = docs.select(
-        identity.alias("id"),
-        docs[f"`{source_column}`"].alias("source"),
-        word_count(text).alias("size"),
+    return [
+        identity.alias("id"), docs[f"`{source_column}`"].alias("source"), word_count(text).alias("size"),
         sampling_key(identity, drawn, seed).alias("key"),
-    )
-    rows = written(rows, "sizes")
+    ]
+
+
+def _sources(rows: DataFrame, weights: tuple[float, ...], most: int) -> DataFrame:
+    """The outcome of the mix, a stored row per source: target, epochs and rounds."""
+    spark = rows.sparkSession
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     whole = F.floor(F.col("target") / F.col("source_size") + F.lit(1e-9))
     epochs = F.when(F.col("source_size") > 0, F.least(whole, F.lit(most))).otherwise(0).cast("long")
@@ -213,30 +198,92 @@ def mix(
     numbered = written(
         rows.join(narrow_side(names), same_source).select("id", "number", "size", "key"), "numbered"
     )
-    scratch = [rows, sources]
+    scratch = [numbered]
     # A round takes a waiting document at least, and leaves less than the one it stopped at.
     waits = True
     while waits:
-        sources = _next_round(numbered, sources.drop("open"))
         scratch.append(sources)
+        sources = _next_round(numbered, sources.drop("open"))
         waits = not sources.where("open").isEmpty()
+    delete(spark, *scratch)
+    return sources
+
+
+def _with_times(rows: DataFrame, sources: DataFrame, most: int) -> DataFrame:
+    """Rows of id, source, size and key with what is known of their source, and `times`."""
+    known = sources.select(F.col("source").alias("name"), "source_size", "target", "epochs", "rounds")
     times = F.least(F.col("epochs") + _taken().cast("long"), F.lit(most))
     times = F.when(F.col("source_size") > 0, times).otherwise(0)
+    same_source = F.col("source").eqNullSafe(F.col("name"))
+    return rows.join(narrow_side(known), same_source).withColumn("times", times)
+
+
+def mix(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    source_column: str = "source",
+    weights: tuple[float, ...] = WEIGHTS,
+    most: int = MOST_EPOCHS,
+    weight: Column | None = None,
+    seed: int = SEED,
+) -> DataFrame:
+    """Per row: id, source, size, source_size, target, times and taken = times * size.
+
+    Sizes are words of whole texts. `times` is how often the mix holds the document: the
+    complete epochs of its source, plus one if the fractional epoch takes it. Whole
+    documents only, so a source meets its target up to what no waiting document fits in.
+    A null or empty text has size 0; a source without words has target 0 and times 0.
+    Null is a source of its own. Rows that repeat an id are drawn alike. An empty table
+    gives an empty result. `weight` is a column expression over `docs`, by default
+    quality_weight of the text. The same input gives the same mix, however partitioned.
+    """
+    spark = docs.sparkSession
+    rows = written(docs.select(*_drawn(docs, id_column, text_column, source_column, weight, seed)), "sizes")
+    sources = _sources(rows, weights, most)
     result = written(
-        numbered.join(narrow_side(sources), "number")
-        .withColumn("times", times)
-        .select(
+        _with_times(rows, sources, most).select(
             F.col("id").alias(id_column), F.col("source").alias(source_column), "size", "source_size",
             "target", "times", (F.col("times") * F.col("size")).alias("taken"),
         ),
         "mix",
     )
-    delete(spark, numbered, *scratch)
+    delete(spark, rows, sources)
     return result
 
 
+def mix_documents(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    source_column: str = "source",
+    weights: tuple[float, ...] = WEIGHTS,
+    most: int = MOST_EPOCHS,
+    weight: Column | None = None,
+    seed: int = SEED,
+) -> DataFrame:
+    """The documents, each as often as `mix` takes it, with their own columns.
+
+    Size and key of a row are expressions of it and are computed again, so that only the
+    table of one row per source is joined, and every row, with a null or repeated id too,
+    follows its own draw. Stored documents are read once more for it.
+    """
+    drawn = _drawn(docs, id_column, text_column, source_column, weight, seed)
+    rows = written(docs.select(*drawn), "sizes")
+    sources = _sources(rows, weights, most)
+    delete(docs.sparkSession, rows)
+    own = F.struct(*[docs[f"`{column}`"] for column in docs.columns]).alias("row")
+    placed = _with_times(docs.select(own, *drawn), sources, most).where("times > 0")
+    copies = F.explode(F.array_repeat("row", F.col("times").cast("int"))).alias("row")
+    return placed.select(copies).select("row.*")
+
+
 def mixed_documents(docs: DataFrame, mixture: DataFrame, id_column: str = "doc_id") -> DataFrame:
-    """The documents of a mix, each as often as the mix takes it, with their own columns."""
+    """The documents of a mix, each as often as the mix takes it, with their own columns.
+
+    Rows are found by their id: those without one are left out, and rows that repeat an id
+    take one count. `mix_documents` needs no ids.
+    """
     times = mixture.where("times > 0").select(
         F.col(id_column).alias("id"), F.col("times").cast("int").alias("times")
     )

@@ -141,3 +141,18 @@ def test_mixed_documents_keep_their_columns(spark):
     assert copies.columns == docs.columns
     counted = Counter(r["doc_id"] for r in copies.collect())
     assert counted == {r["doc_id"]: r["times"] for r in mixture.collect() if r["times"]}
+
+
+def test_documents_follow_their_own_draw_without_a_join_of_their_own(spark):
+    rows = corpus()
+    rows += [(None, text, source) for _, text, source in corpus(9)[:60]]
+    rows += [(k, text, source) for k, (_, text, source) in enumerate(corpus(10)[:60])]
+    docs = with_clashes(documents(spark, rows))
+    copies = mixing.mix_documents(docs)
+    assert copies.columns == docs.columns
+    assert copies._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
+    want = Counter()
+    for r in mixed(docs):
+        want[r["doc_id"], r["source"], r["size"]] += r["times"]
+    counted = Counter((r["doc_id"], r["source"], len(r["text"].split())) for r in copies.collect())
+    assert counted == +want and any(k[0] is None for k in counted)
