@@ -43,7 +43,8 @@ PREFIX = "red"
 URL_ROOT = "http://books.example/"
 SAMPLE = 10_000
 TOP_N = 5
-# Recommendations for all users are trained with five iterations, everything else with twenty.
+# Recommendations for all users, by either method, are trained with five iterations, everything
+# else with twenty.
 TRAINING = rec.AlsSettings(max_iter=5)
 FULL_TRAINING = rec.AlsSettings(max_iter=20)
 SPLIT_PART_ROWS = 20
@@ -368,7 +369,7 @@ def als_all_user_recs(spark, folder):
 
 
 def als_subset_recs(spark, folder):
-    model = _model(spark, folder)
+    model = _full_model(spark, folder)
     subset = rec.recommend_subset(model, _test(spark, folder), TOP_N)
     return _per_user(stored(subset, "subset"), _items(spark, folder), model)
 
@@ -382,7 +383,7 @@ def als_split_groups_recs(spark, folder):
 
 
 def als_predictions(spark, folder):
-    model = _model(spark, folder)
+    model = _full_model(spark, folder)
     scored = rec.predict(model, _test(spark, folder))
     users = model.userFactors.select(F.col("id").alias(rec.USER), F.col("features").alias("u"))
     books = model.itemFactors.select(F.col("id").alias(rec.ITEM), F.col("features").alias("v"))
@@ -395,7 +396,7 @@ def als_predictions(spark, folder):
 
 
 def als_rmse(spark, folder):
-    scored = rec.predict(_model(spark, folder), _test(spark, folder))
+    scored = rec.predict(_full_model(spark, folder), _test(spark, folder))
     by_evaluator = rec.evaluate_rmse(scored)
     return statistics.rmse(scored).select(
         "n_scored",

@@ -30,3 +30,17 @@ def test_entry_lists_ten_books(spark):
     result = contract.entry(spark)
     assert result.columns == ["Product ID", "Title", "Average Rating", "Price"]
     assert result.count() == 10
+
+
+@pytest.mark.parametrize("name", ["als_subset_recs", "als_predictions", "als_rmse"])
+def test_all_but_recommendations_for_all_train_twenty_iterations(spark, monkeypatch, name):
+    class Trained(Exception):
+        pass
+
+    def fit(ratings, settings):
+        raise Trained(settings.max_iter)
+
+    monkeypatch.setattr(contract, "_shared", {})
+    monkeypatch.setattr(contract.rec, "fit_als", fit)
+    with pytest.raises(Trained, match="20"):
+        getattr(contract, name)(spark, "/root/testdata/sf0.001")
