@@ -106,8 +106,18 @@ select page_id, payload_bytes, {_base32("digits")} as payload_digest,
 from firsts
 """
 
+EXACT = r"""
+with texts as (
+  select doc_id, length(coalesce(text, '')) as points,
+         regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') as body from documents)
+select doc_id, first_value(doc_id) over same as keep_id, count(*) over (partition by body) as group_size,
+       doc_id = first_value(doc_id) over same as kept, sha256(body) as text_sha256
+from texts window same as (partition by body order by points desc, doc_id)
+"""
+
 ORACLES = {
     "op5_minhash_lsh_forest": NEAR_DUPLICATES,
     "op7_spaced_seeds": LEAKS,
     "op10_revisit_archives": ARCHIVES,
+    "op11_fuse_filter_dedup": EXACT,
 }

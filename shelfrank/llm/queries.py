@@ -8,13 +8,16 @@ from pyspark.sql import functions as F
 
 from shelfrank.llm import (
     decontamination,
+    exact_dedup,
     language_id,
     mixing,
     near_dedup,
     oracles,
+    periodic_runs,
     prefix_forest,
     quality,
     secret_scan,
+    token_alignment,
     token_records,
     toxicity,
     warc,
@@ -24,6 +27,7 @@ from shelfrank.session import scratch_path
 # Whole texts are long: few of them go to Python at a time.
 BATCH_ROWS = 1000
 TOKENIZER = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -97,6 +101,46 @@ def op10_revisit_archives(spark: SparkSession, folder: str) -> DataFrame:
     return resolved.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_fuse_filter_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(table(spark, folder, "documents"))
+
+
+def repeated_tails(docs: DataFrame) -> DataFrame:
+    """The documents, the tail of every tenth made periodic: doc_id and text."""
+    h, place = F.crc32(F.col("doc_id").cast("string")), F.floor(F.col("h") / 10)
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    chosen = docs.select("doc_id", "text", h.alias("h")).withColumn("words", F.when(F.col("h") % 10 == 0, words))
+    n = F.size("words")
+    cut = chosen.withColumn("n", n).withColumn("a", F.when(F.col("n") > 0, place % F.col("n")).cast("int"))
+    period = 1 + F.floor((F.col("n") - F.col("a")) / (3 + place % 8))
+    tail = F.slice("words", F.col("a") + 1, F.col("p"))
+    times = F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")
+    tiled = F.concat(F.slice("words", F.lit(1), F.col("a")), F.flatten(F.array_repeat(tail, times)))
+    made = F.array_join(F.slice(tiled, F.lit(1), F.col("n")), " ")
+    with_period = cut.withColumn("p", period.cast("int"))
+    return with_period.select("doc_id", F.when(F.col("a").isNotNull(), made).otherwise(F.col("text")).alias("text"))
+
+
+def op12_minimizer_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(repeated_tails(table(spark, folder, "documents")))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r.start, r.length, r.period))
+    listed = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    best = F.col("strongest")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[best[name].alias(name) for name in ("start", "length", "period")],
+        F.floor(1000 * best.length / best.period).cast("long").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_spill_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    first, second = map(public_tokenizers.path, (TOKENIZER, PIECES))
+    return token_alignment.align(table(spark, folder, "documents"), first, second).documents
+
+
 QUERIES = {
     "op1_hash_prefix_forest": op1_hash_prefix_forest,
     "op2_source_mix": op2_source_mix,
@@ -108,6 +152,9 @@ QUERIES = {
     "op8_language_evidence": op8_language_evidence,
     "op9_markov_secrets": op9_markov_secrets,
     "op10_revisit_archives": op10_revisit_archives,
+    "op11_fuse_filter_dedup": op11_fuse_filter_dedup,
+    "op12_minimizer_runs": op12_minimizer_runs,
+    "op13_spill_alignment": op13_spill_alignment,
 }
 
 ORACLES = oracles.ORACLES
