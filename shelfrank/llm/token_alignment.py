@@ -24,7 +24,7 @@ import os
 import re
 import struct
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import cache
 from itertools import chain
@@ -139,15 +139,22 @@ class Tokenizers:
             return [text]
         return _CUT.split(text) if _ODD_BLANK.search(text) else text.split(" ")
 
-    def encoded(self, cells: list[str]) -> Iterator[tuple[str, list[int], list[int]]]:
+    def encoded(self, cells: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         a = self.first.encode_batch_fast([" " + cell for cell in cells], add_special_tokens=False)
         b = self.second.encode(cells, num_threads=1)
-        for cell, first, second in zip(cells, a, b, strict=True):
-            yield cell, first.ids, second if cell else self.trailing
+        return [one.ids for one in a], [ids if cell else self.trailing for cell, ids in zip(cells, b, strict=True)]
 
-    def same_bytes(self, cell: str, a: list[int], b: list[int]) -> bool:
-        want = (" " + cell).encode()
-        return all(b"".join(map(of.__getitem__, ids)) == want for of, ids in ((self.bytes_a, a), (self.bytes_b, b)))
+    def lossy(self, cells: list[str], a: list[list[int]], b: list[list[int]]) -> list[int]:
+        """Places of cells that the tokens of either side do not give back byte for byte."""
+
+        def joined(of: list[bytes], ids: Iterable[int]) -> bytes:
+            return b"".join(map(of.__getitem__, ids))
+
+        want = [(" " + cell).encode() for cell in cells]
+        sides = ((self.bytes_a, a), (self.bytes_b, b))
+        if all(joined(of, chain.from_iterable(ids)) == b"".join(want) for of, ids in sides):
+            return []
+        return [k for k, own in enumerate(want) if any(joined(of, ids[k]) != own for of, ids in sides)]
 
 
 @cache
@@ -155,22 +162,15 @@ def tokenizers(first: str, second: str) -> Tokenizers:
     return Tokenizers(first, second)
 
 
-def laid_over(a: list[int], b: list[int], length_a: list[int], length_b: list[int]) -> tuple[list, list]:
-    """(groups, links) of two token lists over the same bytes; a link is (a, b)."""
-    groups: list[tuple[list[int], list[int]]] = []
-    links: list[tuple[int, int]] = []
-    i = j = first_i = first_j = end_a = end_b = 0
-    while i < len(a) and j < len(b):
-        links.append((a[i], b[j]))
-        next_a, next_b = end_a + length_a[a[i]], end_b + length_b[b[j]]
-        if next_a <= next_b:
-            i, end_a = i + 1, next_a
-        if next_b <= next_a:
-            j, end_b = j + 1, next_b
-        if next_a == next_b:
-            groups.append((a[first_i:i], b[first_j:j]))
-            first_i, first_j = i, j
-    return groups, links
+def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers in a row, and how many each list holds."""
+    sizes = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
+    return np.fromiter(chain.from_iterable(lists), dtype=np.int64, count=int(sizes.sum())), sizes
+
+
+def _per_cell(ends: np.ndarray, cell_ends: np.ndarray) -> np.ndarray:
+    """How many of the ascending ends lie in each cell."""
+    return np.diff(np.searchsorted(ends, cell_ends, side="right"), prepend=0)
 
 
 class Aligner:
@@ -178,8 +178,12 @@ class Aligner:
 
     def __init__(self, both: Tokenizers):
         self.both = both
-        self.length_a, self.length_b = list(map(len, both.bytes_a)), list(map(len, both.bytes_b))
+        self.length_a, self.length_b = (np.array(list(map(len, x))) for x in (both.bytes_a, both.bytes_b))
         self.rows = -(-len(both.bytes_b) // RADIXES)
+        self.b_end = 2 * len(both.bytes_a)
+        # Every token as text: within or at the end of its side of a group, of a cell.
+        kinds = ((both.bytes_a, ",|"), (both.bytes_b, ",;\n"))
+        self.written = [f"{k}{end}" for of, ends in kinds for end in ends for k in range(len(of))]
         self._forget()
 
     def _forget(self) -> None:
@@ -191,30 +195,53 @@ class Aligner:
         self.ends = np.zeros(1 << 10, dtype=np.int64)
         self.links = np.empty(1 << 12, dtype=_U)
 
-    def _key(self, a: int, b: int) -> int:
-        order = b % RADIXES * self.rows + b // RADIXES
-        return (order << ID_BITS | a) << PLACE_BITS
+    def _laid_over(self, a: list[list[int]], b: list[list[int]]) -> tuple[np.ndarray, np.ndarray, list[str]]:
+        """(tokens of either side, groups and links of each cell; keys of all links; groups as text).
+
+        All cells lie end to end, so that an end of a token is a place in their bytes. Every
+        stretch between neighbouring ends of either side belongs to one token of each: a link.
+        """
+        (flat_a, size_a), (flat_b, size_b) = _flat(a), _flat(b)
+        ends_a, ends_b = np.cumsum(self.length_a[flat_a]), np.cumsum(self.length_b[flat_b])
+        cell_ends = ends_a[np.cumsum(size_a) - 1]
+        both, group_ends = np.union1d(ends_a, ends_b), np.intersect1d(ends_a, ends_b, assume_unique=True)
+        own_a, own_b = flat_a[np.searchsorted(ends_a, both)], flat_b[np.searchsorted(ends_b, both)]
+        order = own_b % RADIXES * self.rows + own_b // RADIXES
+        keys = (order << ID_BITS | own_a).astype(_U) << _U(PLACE_BITS)
+        groups, links = _per_cell(group_ends, cell_ends), _per_cell(both, cell_ends)
+        # A group is written as its tokens of one side, then those of the other.
+        group_a, group_b = np.searchsorted(group_ends, ends_a), np.searchsorted(group_ends, ends_b)
+        last_a, last_b = ends_a == group_ends[group_a], ends_b == group_ends[group_b]
+        codes = np.empty(len(flat_a) + len(flat_b), dtype=np.int64)
+        before_b = np.searchsorted(group_b, group_a, side="left")
+        before_a = np.searchsorted(group_a, group_b, side="right")
+        codes[np.arange(len(flat_a)) + before_b] = flat_a + last_a * len(self.length_a)
+        in_cell = np.isin(ends_b, cell_ends, assume_unique=True)
+        codes[np.arange(len(flat_b)) + before_a] = (
+            self.b_end + flat_b + (last_b.astype(np.int64) + in_cell) * len(self.length_b)
+        )
+        text = "".join(map(self.written.__getitem__, codes.tolist()))
+        return np.stack([size_a, size_b, groups, links], axis=1), keys, text.split("\n")[:-1]
 
     def _learn(self, cells: list[str]) -> None:
         count, place = len(self.listed), int(self.ends[len(self.listed)])
-        sizes, keys, ends = [], [], []
-        for cell, a, b in self.both.encoded(cells):
-            if self.both.same_bytes(cell, a, b):
-                groups, links = laid_over(a, b, self.length_a, self.length_b)
-                sizes.append((len(a), len(b), len(groups), len(links), 0))
-                keys += [self._key(*link) for link in links]
-                text = ";".join(f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in groups)
-            else:
-                sizes.append((0, 0, 0, 0, 1))
-                text = ""
-            self.listed.append(text)
-            ends.append(place + len(keys))
+        a, b = self.both.encoded(cells)
+        sizes, listed = np.zeros((len(cells), 5), dtype=np.int64), np.full(len(cells), "", dtype=object)
+        lossy = self.both.lossy(cells, a, b)
+        sizes[lossy, 4] = 1
+        good = np.flatnonzero(sizes[:, 4] == 0)
+        keys = np.empty(0, dtype=_U)
+        if len(good):
+            laid = self._laid_over([a[k] for k in good], [b[k] for k in good])
+            sizes[good, :4], keys, listed[good] = laid
+        self.listed += listed.tolist()
+        ends = place + np.cumsum(sizes[:, 3])
         while len(self.ends) <= len(self.listed):
             self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
             self.sizes = np.concatenate([self.sizes, np.zeros_like(self.sizes)])
         while len(self.links) < place + len(keys):
             self.links = np.concatenate([self.links, np.empty_like(self.links)])
-        self.links[place : place + len(keys)] = np.array(keys, dtype=_U)
+        self.links[place : place + len(keys)] = keys
         self.ends[count + 1 : count + 1 + len(cells)] = ends
         self.sizes[count : count + len(cells)] = sizes
         self.known.update(zip(cells, range(count, count + len(cells)), strict=True))
