@@ -26,10 +26,11 @@ USER, ITEM, RATING = "reviewerID_index", "asin_index", "overall"
 class AlsSettings:
     """Training settings; `blocks` follows from the cluster and the data when left out.
 
-    `method` is the caller's choice alone, whatever the data. "blocks" is Spark's ALS, which
-    keeps all ratings of one user or book in one task: its limit is the memory of a task.
-    "split" sums the same normal equations by parts of such a group, from other first
-    factors; `blocks` and `checkpoint_interval` are of no meaning to it.
+    `method` is the caller's choice alone, whatever the data. "split" sums the normal
+    equations of a user or book by parts of its ratings, so that no group lies in one task;
+    `blocks` and `checkpoint_interval` are of no meaning to it. "blocks" is Spark's ALS, which
+    keeps all ratings of one user or book in one task: its limit is the memory of a task. The
+    two start from different first factors.
     """
 
     max_iter: int = 20
@@ -38,7 +39,7 @@ class AlsSettings:
     seed: int = 42
     blocks: int | None = None
     checkpoint_interval: int = 5
-    method: str = "blocks"
+    method: str = "split"
 
 
 def als_triples(ratings: DataFrame) -> DataFrame:

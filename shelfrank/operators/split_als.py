@@ -1,10 +1,12 @@
 """ALS for ratings in which one user or book may hold a large share of all rows.
 
-A user's factor solves (sum n v v' + reg N I) x = sum r v over the factors v of
-the rated books. The sums can be added up in parts by many tasks: the pairs lie in
-blocks of bounded size, a large group in several of them, and for every half step
-each block gets the factors of the books in it once. A block returns one row of sums
-per user; those of a user are added and solved together.
+A user's factor solves (sum n v v' + reg N I) x = sum r v over the factors v of the rated
+books. The pairs lie twice in blocks of bounded size, once by user and once by book. A user
+whose pairs lie in one block is solved there; one with more pairs than a part holds lies in
+several blocks, which return sums that are added and solved together. Every pair knows its
+block of the other side, so a new factor leaves with the list of blocks that need it, and
+a half step sends it once to each of them: one exchange of factors, and one of the sums of
+large groups only.
 """
 
 from __future__ import annotations
@@ -26,6 +28,9 @@ if TYPE_CHECKING:
     from shelfrank.operators.recommend import AlsSettings
 
 PAIRS_PER_BLOCK = 1_000_000
+# Blocks stay alike if the groups they are made of are small against them.
+PARTS_PER_BLOCK = 8
+LEAST_PART = 1000
 # Outer products are held for so many pairs at a time.
 PAIRS_AT_ONCE = 1 << 15
 
@@ -57,149 +62,221 @@ def merged_pairs(triples: DataFrame) -> DataFrame:
 
 
 def in_blocks(pairs: DataFrame, key: str, blocks: int, part_rows: int) -> DataFrame:
-    """Pairs with the block they are summed in for `key`.
+    """Pairs with the block they are summed in for `key` and the number of its parts.
 
     An id with more than part_rows pairs is dealt over several blocks by the hash of
     the other id; all pairs of any other id share one.
     """
     other = "item" if key == "user" else "user"
-    parts = F.ceil(F.count(F.lit(1)) / part_rows).alias("parts")
-    large = pairs.groupBy(key).agg(parts).where("parts > 1")
-    part = F.coalesce(F.pmod(F.xxhash64(other), F.col("parts")), F.lit(0).cast("long"))
+    parts = F.ceil(F.count(F.lit(1)) / part_rows).cast("int").alias(f"{key}_parts")
+    large = pairs.groupBy(key).agg(parts).where(f"{key}_parts > 1")
+    count = F.coalesce(f"{key}_parts", F.lit(1))
+    part = F.pmod(F.xxhash64(other), count)
     block = F.pmod(F.xxhash64(key, part), F.lit(blocks)).cast("int")
-    return pairs.join(large, key, "left").withColumn("block", block).drop("parts")
+    return pairs.join(large, key, "left").withColumns({f"{key}_block": block, f"{key}_parts": count})
 
 
-def first_factors(pairs: DataFrame, key: str, rank: int, seed: int) -> DataFrame:
-    """A unit vector per id, drawn from hashes: the same on every run and partitioning."""
+def side_of(pairs: DataFrame, key: str, blocks: int) -> DataFrame:
+    """The pairs by blocks of `key`, in its order, each with its block of the other side."""
+    other = "item" if key == "user" else "user"
+    rows = pairs.select(
+        F.col(f"{key}_block").alias("block"),
+        F.col(key).alias("id"),
+        F.col(other).alias("other"),
+        "n",
+        "total",
+        (F.col(f"{key}_parts") > 1).alias("large"),
+        F.col(f"{other}_block").alias("target"),
+    )
+    return rows.repartition(blocks, "block").sortWithinPartitions("block", "id")
+
+
+def first_factors(ids: DataFrame, key: str, rank: int, seed: int) -> DataFrame:
+    """The rows with a unit vector `f`, drawn from hashes of the id: the same on every run and
+    partitioning."""
     draws = [
         (F.pmod(F.xxhash64(key, F.lit(seed), F.lit(i)), F.lit(1 << 20)) + 0.5) / (1 << 20)
         for i in range(rank)
     ]
-    ids = pairs.select(key).distinct().withColumn("f", F.array(*draws))
+    drawn = ids.withColumn("f", F.array(*draws))
     norm = F.sqrt(F.aggregate("f", F.lit(0.0), lambda total, x: total + x * x))
-    return ids.select(key, F.transform("f", lambda x: (x / norm).cast("float")).alias("f"))
+    return drawn.withColumn("f", F.transform("f", lambda x: (x / norm).cast("float")))
 
 
-def block_sums(key: str, rank: int):
-    """Function from the pairs of a block and its factors to a row of sums per id and run."""
-    other = "item" if key == "user" else "user"
+def _targets(places: np.ndarray, targets: np.ndarray, count: int) -> pa.ListArray:
+    """Per id the distinct blocks that need its factor."""
+    both = np.unique(places.astype(np.int64) << 32 | targets.astype(np.int64))
+    ends = np.searchsorted(both, np.arange(count + 1, dtype=np.int64) << 32)
+    own = (both & 0xFFFFFFFF).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(own, pa.int32()))
+
+
+def solve(n: np.ndarray, sums: np.ndarray, rank: int, reg: float) -> np.ndarray:
+    """Factors from the sums of each id: the upper triangle of n v v', then r v."""
+    upper = np.triu_indices(rank)
+    width = len(upper[0])
+    left = np.zeros((len(n), rank, rank))
+    left[:, upper[0], upper[1]] = left[:, upper[1], upper[0]] = sums[:, :width]
+    left += (reg * n)[:, None, None] * np.eye(rank)
+    return np.linalg.solve(left, sums[:, width:, None])[:, :, 0].astype(np.float32)
+
+
+def summed(
+    places: np.ndarray, n: np.ndarray, total: np.ndarray, factors: np.ndarray, count: int
+) -> np.ndarray:
+    """The sums of `count` ids over pairs in the order of their places."""
+    rank = factors.shape[1]
     upper = np.triu_indices(rank)
+    out = np.zeros((count, len(upper[0]) + rank))
+    for low in range(0, len(places), PAIRS_AT_ONCE):
+        here = slice(low, low + PAIRS_AT_ONCE)
+        own, f = places[here], factors[here]
+        starts = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+        outer = n[here, None] * f[:, upper[0]] * f[:, upper[1]]
+        out[own[starts]] += np.add.reduceat(np.hstack([outer, total[here, None] * f]), starts)
+    return out
+
+
+_STEP = "id int, f array<float>, n double, sums array<double>, targets array<int>"
+
+
+def _step_rows(ids, found, n, sums, targets) -> pa.Table:
+    none_f, none_s = pa.nulls(len(ids), pa.list_(pa.float32())), pa.nulls(len(ids), pa.list_(pa.float64()))
+    return pa.table(
+        {
+            "id": pa.array(ids, pa.int32()),
+            "f": none_f if found is None else arrays(found),
+            "n": n,
+            "sums": none_s if sums is None else arrays(sums),
+            "targets": targets,
+        }
+    )
+
+
+def block_step(rank: int, reg: float):
+    """Function from the pairs of a block and the factors they need to a row per id: its new
+    factor, or its sums if it has pairs in other blocks too."""
 
     def run(pairs: pa.Table, factors: pa.Table) -> pa.Table:
-        known = factors.column(other).to_numpy()
+        known = factors.column("id").to_numpy()
         order = np.argsort(known)
-        known, values = known[order], matrix(factors.column("f")).astype(float)[order]
-        ids = pairs.column(key).to_numpy()
-        order = np.argsort(ids, kind="stable")
-        ids = ids[order]
-        places = np.searchsorted(known, pairs.column(other).to_numpy()[order])
-        n, total = (pairs.column(c).to_numpy()[order] for c in ("n", "total"))
-        keys, counts, sums = [], [], []
-        for low in range(0, len(ids), PAIRS_AT_ONCE):
-            here = slice(low, low + PAIRS_AT_ONCE)
-            f, own = values[places[here]], ids[here]
-            starts = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
-            terms = np.hstack([n[here, None] * f[:, upper[0]] * f[:, upper[1]], total[here, None] * f])
-            keys.append(own[starts])
-            counts.append(np.add.reduceat(n[here], starts))
-            sums.append(np.add.reduceat(terms, starts))
-        return pa.table(
-            {key: np.concatenate(keys), "n": np.concatenate(counts), "sums": arrays(np.vstack(sums))}
-        )
+        values = matrix(factors.column("f")).astype(float)[order]
+        needed = np.searchsorted(known[order], pairs.column("other").to_numpy())
+        ids, n, total, target = (pairs.column(c).to_numpy() for c in ("id", "n", "total", "target"))
+        large = pairs.column("large").to_numpy()
+        if (ids[1:] < ids[:-1]).any():
+            order = np.argsort(ids, kind="stable")
+            ids, n, total, target, needed, large = (x[order] for x in (ids, n, total, target, needed, large))
+        starts = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
+        ends = np.r_[starts[1:], len(ids)]
+        out, low = [], 0
+        while low < len(starts):
+            # Ids of about PAIRS_AT_ONCE pairs, or one with more.
+            high = max(int(np.searchsorted(ends, starts[low] + PAIRS_AT_ONCE, side="right")), low + 1)
+            rows = slice(starts[low], ends[high - 1])
+            places = np.repeat(np.arange(high - low), ends[low:high] - starts[low:high])
+            own, count = ids[starts[low:high]], np.add.reduceat(n, starts[low:high])
+            if high < len(starts):
+                count[-1] = n[starts[high - 1] : ends[high - 1]].sum()
+            sums = summed(places, n[rows], total[rows], values[needed[rows]], high - low)
+            parted = large[starts[low:high]]
+            for chosen, is_whole in ((~parted, True), (parted, False)):
+                k = np.flatnonzero(chosen)
+                if len(k):
+                    renumber = np.cumsum(chosen) - 1
+                    mine = chosen[places]
+                    blocks = _targets(renumber[places[mine]], target[rows][mine], len(k))
+                    found = solve(count[k], sums[k], rank, reg) if is_whole else None
+                    out.append(_step_rows(own[k], found, count[k], None if is_whole else sums[k], blocks))
+            low = high
+        return pa.concat_tables(out)
 
     return run
 
 
-def solved(key: str, rank: int, reg: float):
+def solved(rank: int, reg: float):
     """Function that adds the sums of each id, sorted by it, and solves its normal equations."""
-    upper = np.triu_indices(rank)
-    width = len(upper[0])
 
-    def solution(ids: np.ndarray, n: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
-        left = np.zeros((len(ids), rank, rank))
-        left[:, upper[0], upper[1]] = left[:, upper[1], upper[0]] = sums[:, :width]
-        left += (reg * n)[:, None, None] * np.eye(rank)
-        found = np.linalg.solve(left, sums[:, width:, None])[:, :, 0].astype(np.float32)
-        return pa.RecordBatch.from_arrays([pa.array(ids), arrays(found)], names=[key, "f"])
+    def solution(ids, n, sums, targets) -> pa.RecordBatch:
+        places, counts = np.repeat(np.arange(len(ids)), list(map(len, targets))), np.concatenate(targets)
+        columns = [pa.array(ids, pa.int32()), arrays(solve(n, sums, rank, reg)), _targets(places, counts, len(ids))]
+        return pa.RecordBatch.from_arrays(columns, names=["id", "f", "targets"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None  # the last id, whose sums may go on in the next batch
         for batch in batches:
             if not batch.num_rows:
                 continue
-            ids, n = batch.column(key).to_numpy(), batch.column("n").to_numpy()
-            sums = matrix(batch.column("sums"))
+            ids, n, sums = batch.column("id").to_numpy(), batch.column("n").to_numpy(), matrix(batch.column("sums"))
+            targets = [np.array(t, dtype=np.int32) for t in batch.column("targets").to_pylist()]
             if held:
                 ids, n, sums = np.r_[held[0], ids], np.r_[held[1], n], np.vstack([held[2], sums])
+                targets = held[3] + targets
             starts = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
-            n, sums = np.add.reduceat(n, starts), np.add.reduceat(sums, starts)
-            ids = ids[starts]
-            held = ids[-1:], n[-1:], sums[-1:]
+            ends = np.r_[starts[1:], len(ids)]
+            targets = [np.unique(np.concatenate(targets[a:b])) for a, b in zip(starts, ends, strict=True)]
+            n, sums, ids = np.add.reduceat(n, starts), np.add.reduceat(sums, starts), ids[starts]
+            held = ids[-1:], n[-1:], sums[-1:], targets[-1:]
             if len(ids) > 1:
-                yield solution(ids[:-1], n[:-1], sums[:-1])
+                yield solution(ids[:-1], n[:-1], sums[:-1], targets[:-1])
         if held:
             yield solution(*held)
 
     return run
 
 
-def half_step(
-    pairs: DataFrame, routes: DataFrame, factors: DataFrame, key: str, rank: int, reg: float
-) -> DataFrame:
-    """New factors for `key` from the factors of the other side.
+def factors_of(step: DataFrame, rank: int, reg: float) -> DataFrame:
+    """id, f and targets of every id of a half step; large groups are put together here."""
+    parts = step.where("sums is not null").select("id", "n", "sums", "targets")
+    together = parts.repartition("id").sortWithinPartitions("id")
+    large = together.mapInArrow(solved(rank, reg), "id int, f array<float>, targets array<int>")
+    return step.where("sums is null").select("id", "f", "targets").unionByName(large)
 
-    `pairs` stay where they are, by block; `routes` tells which block needs which
-    factor, so each moves once to every such block.
-    """
-    other = "item" if key == "user" else "user"
-    sent = factors.join(routes, other)
-    sums = (
-        pairs.groupBy("block")
-        .cogroup(sent.groupBy("block"))
-        .applyInArrow(block_sums(key, rank), f"{key} int, n double, sums array<double>")
-    )
-    together = sums.repartition(key).sortWithinPartitions(key)
-    return together.mapInArrow(solved(key, rank, reg), f"{key} int, f array<float>")
 
+def half_step(pairs: DataFrame, sent: DataFrame, rank: int, reg: float) -> DataFrame:
+    """The step rows of one side from its pairs by block and the factors sent to the blocks."""
+    both = pairs.groupBy("block").cogroup(sent.groupBy("block"))
+    return checkpointed(both.applyInArrow(block_step(rank, reg), _STEP))
 
-def as_model(users: DataFrame, items: DataFrame, rank: int) -> ALSModel:
-    """Factor tables as an ALSModel, for Spark's own scoring, top-k and storage."""
-
-    def side(factors: DataFrame, key: str) -> DataFrame:
-        return factors.select(F.col(key).alias("id"), F.col("f").alias("features"))
 
+def as_model(users: DataFrame, items: DataFrame, rank: int) -> ALSModel:
+    """Factor tables (id, f) as an ALSModel, for Spark's own scoring, top-k and storage."""
     java_model = JavaWrapper._new_java_obj(
         "org.apache.spark.ml.recommendation.ALSModel",
         "split_als",
         rank,
-        side(users, "user")._jdf,
-        side(items, "item")._jdf,
+        *[side.select("id", F.col("f").alias("features"))._jdf for side in (users, items)],
     )
     java_model.setUserCol(USER).setItemCol(ITEM).setColdStartStrategy("drop")
     return ALSModel(java_model)
 
 
-def fit_split_als(triples: DataFrame, settings: AlsSettings, part_rows: int = 1_000_000) -> ALSModel:
+def fit_split_als(triples: DataFrame, settings: AlsSettings, part_rows: int | None = None) -> ALSModel:
     """Alternate the two half steps; each result is checkpointed, which cuts the lineage.
 
     The pairs are kept twice, in blocks of users and in blocks of books, so that only
-    factors and sums move. Lost partitions come back from the stored tables.
+    factors and the sums of large groups move. A group is parted when it has more than
+    `part_rows` pairs, if not given an eighth of a block. Lost partitions come back from the
+    stored tables.
     """
     rank, reg = settings.rank, settings.reg
     cores = triples.sparkSession.sparkContext.defaultParallelism
     with stored_for_now(merged_pairs(triples), "merged_pairs") as merged:
-        blocks = max(cores, merged.count() // PAIRS_PER_BLOCK + 1)
-        items = checkpointed(first_factors(merged, "item", rank, settings.seed))
+        count = merged.count()
+        blocks = max(cores, count // PAIRS_PER_BLOCK + 1)
+        part_rows = part_rows or max(count // (blocks * PARTS_PER_BLOCK), LEAST_PART)
+        both = in_blocks(in_blocks(merged, "user", blocks, part_rows), "item", blocks, part_rows)
         with (
-            stored_for_now(in_blocks(merged, "user", blocks, part_rows), "by_user") as user_rows,
-            stored_for_now(in_blocks(merged, "item", blocks, part_rows), "by_item") as item_rows,
-            stored_for_now(user_rows.select("item", "block").distinct(), "routes") as to_users,
-            stored_for_now(item_rows.select("user", "block").distinct(), "routes") as to_items,
-            kept(user_rows.repartition(blocks, "block")) as by_user,
-            kept(item_rows.repartition(blocks, "block")) as by_item,
+            stored_for_now(both, "blocks") as pairs,
+            kept(side_of(pairs, "user", blocks)) as by_user,
+            kept(side_of(pairs, "item", blocks)) as by_item,
         ):
+            routes = pairs.select(F.col("item").alias("id"), F.col("user_block").alias("block")).distinct()
+            sent = first_factors(routes, "id", rank, settings.seed)
             for _ in range(settings.max_iter):
-                users = checkpointed(half_step(by_user, to_users, items, "user", rank, reg))
-                items = checkpointed(half_step(by_item, to_items, users, "item", rank, reg))
+                users = factors_of(half_step(by_user, sent, rank, reg), rank, reg)
+                sent = users.select("id", "f", F.explode("targets").alias("block"))
+                items = factors_of(half_step(by_item, sent, rank, reg), rank, reg)
+                sent = items.select("id", "f", F.explode("targets").alias("block"))
+            users, items = (checkpointed(side.drop("targets")) for side in (users, items))
     return as_model(users, items, rank)

@@ -208,15 +208,15 @@ def brute_force(triples, rank, reg, iterations, items):
     return users, items
 
 
-@pytest.mark.parametrize("part_rows", [7, 1_000_000])
+@pytest.mark.parametrize("part_rows", [7, 1_000_000, None])
 def test_split_groups_equal_brute_force(spark, data, part_rows):
     copies = spark.createDataFrame([(0, 0, 2.0)] * 500 + [(0, 0, 1.0)] * 20, SCHEMA)
     triples = stored(data[0].unionByName(copies), "triples")
     settings = rec.AlsSettings(max_iter=2, rank=3)
     model = split_als.fit_split_als(triples, settings, part_rows)
-    pairs = split_als.merged_pairs(triples)
-    first = split_als.first_factors(pairs, "item", 3, settings.seed)
-    start = {r.item: np.array(r.f) for r in first.collect()}
+    ids = split_als.merged_pairs(triples).select(F.col("item").alias("id")).distinct()
+    first = split_als.first_factors(ids, "id", 3, settings.seed)
+    start = {r.id: np.array(r.f) for r in first.collect()}
     users, items = brute_force(triples.collect(), 3, settings.reg, 2, start)
     for found, want in ((model.userFactors, users), (model.itemFactors, items)):
         found = {r.id: r.features for r in found.collect()}
@@ -227,10 +227,9 @@ def test_split_groups_equal_brute_force(spark, data, part_rows):
 def test_the_method_is_the_callers_choice_alone(spark, data, monkeypatch):
     calls = []
     monkeypatch.setattr(rec, "fit_split_als", lambda *args: calls.append(args))
-    hot = spark.createDataFrame([(u, 0, 3.0) for u in range(3000)], SCHEMA)
-    rec.fit_als(hot, rec.AlsSettings(max_iter=1, rank=2))
+    rec.fit_als(data[0], rec.AlsSettings(max_iter=1, rank=2, method="blocks"))
     assert calls == []
-    rec.fit_als(data[0], rec.AlsSettings(method="split"))
+    rec.fit_als(data[0], rec.AlsSettings(max_iter=1, rank=2))
     assert len(calls) == 1
     with pytest.raises(ValueError, match="no such"):
         rec.fit_als(data[0], rec.AlsSettings(method="other"))
@@ -257,13 +256,30 @@ def test_hot_groups_are_dealt_over_blocks(spark):
         F.lit(3.0).alias("overall"),
     )
     pairs = split_als.in_blocks(split_als.merged_pairs(df), "item", 40, 100)
-    sizes = pairs.groupBy("block").count()
+    sizes = pairs.groupBy("item_block").count()
     assert pairs.count() == 3000
-    assert pairs.where("item = 0").select("block").distinct().count() > 5
-    assert pairs.where("item != 0").groupBy("item").agg(F.countDistinct("block").alias("n")).where("n > 1").count() == 0
+    assert pairs.where("item = 0").select("item_block").distinct().count() > 5
+    single = pairs.where("item != 0").groupBy("item").agg(F.countDistinct("item_block").alias("n"))
+    assert single.where("n > 1").count() == 0
+    assert rows(pairs.select(F.col("item") == 0, F.col("item_parts") > 1).distinct()) == [(False, False), (True, True)]
     assert sizes.agg(F.max("count")).first()[0] < 450
 
 
+def test_blocks_of_either_side_are_alike_with_a_book_that_has_a_third_of_all_ratings(spark):
+    """What a task of a half step reads follows its block."""
+    df = spark.range(200_000).select(
+        F.pmod(F.xxhash64("id"), F.lit(20_000)).cast("int").alias("reviewerID_index"),
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.pmod(F.xxhash64(F.col("id") + 7), F.lit(4000))).cast("int").alias("asin_index"),
+        F.lit(3.0).alias("overall"),
+    )
+    merged = stored(split_als.merged_pairs(df), "merged")
+    part = merged.count() // (8 * split_als.PARTS_PER_BLOCK)
+    pairs = split_als.in_blocks(split_als.in_blocks(merged, "user", 8, part), "item", 8, part)
+    for key in ("user", "item"):
+        sizes = sorted(r["count"] for r in pairs.groupBy(f"{key}_block").count().collect())
+        assert len(sizes) == 8 and sizes[-1] <= 2 * sizes[4]
+
+
 def test_sums_of_an_id_are_added_over_batches():
     import pyarrow as pa
 
@@ -273,10 +289,13 @@ def test_sums_of_an_id_are_added_over_batches():
     upper = np.triu_indices(rank)
     sums = np.hstack([f[:, upper[0]] * f[:, upper[1]], r[:, None] * f])
     ids = np.array([1, 1, 2, 2, 2, 2, 3, 3, 3], dtype=np.int32)
-    rows = pa.table({"user": ids, "n": n, "sums": split_als.arrays(sums)})
+    targets = [[1], [2], [3], [3, 1], [2], [1], [5], [5], [5]]
+    rows = pa.table({"id": ids, "n": n, "sums": split_als.arrays(sums), "targets": targets})
     batches = rows.to_batches(max_chunksize=2)
-    found = list(split_als.solved("user", rank, reg)(iter(batches)))
+    found = list(split_als.solved(rank, reg)(iter(batches)))
     got = {i: x for b in found for i, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist())}
+    sent = {i: x for b in found for i, x in zip(b.column(0).to_pylist(), b.column(2).to_pylist())}
+    assert sent == {1: [1, 2], 2: [1, 2, 3], 3: [5]}
     for i in (1, 2, 3):
         own = ids == i
         want = np.linalg.solve(f[own].T @ f[own] + reg * own.sum() * np.eye(rank), f[own].T @ r[own])
