@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from shelfrank.operators.metadata import one_per_book
 from shelfrank.operators.scoring import best_items, nested
-from shelfrank.operators.split_als import fit_split_als, rating_value
-from shelfrank.session import kept, use_checkpoints
+from shelfrank.operators.split_als import fit_split_als, rating_sums, rating_value, solved
+from shelfrank.session import checkpointed, kept, use_checkpoints
 
 # Book factors are broadcast for scoring in slices of at most this size.
 SLICE_BYTES = 256 << 20
@@ -101,19 +101,72 @@ def _spread(users: DataFrame) -> DataFrame:
     return users.repartition(max(cores, users.count() // USERS_PER_PARTITION + 1), "id")
 
 
-def recommend_all(model: ALSModel, n: int = 5, slice_bytes: int = SLICE_BYTES) -> DataFrame:
-    """Top n books for every user, as an array of (asin_index, rating) per user."""
+def seen_pairs(ratings: DataFrame) -> DataFrame:
+    """Distinct (id, item) of rated books; repeated ratings collapse before anything moves."""
+    user, item = F.col(USER).cast("int").alias("id"), F.col(ITEM).cast("int").alias("item")
+    return ratings.select(user, item).distinct()
+
+
+def recommend_all(
+    model: ALSModel, n: int = 5, slice_bytes: int = SLICE_BYTES, exclude_seen: DataFrame | None = None
+) -> DataFrame:
+    """Top n books for every user, as an array of (asin_index, rating) per user.
+
+    With `exclude_seen`, a table of ratings, books that a user rated there are passed over; a
+    user with fewer than n others gets those.
+    """
     users = _spread(model.userFactors)
-    return nested(best_items(users, model, n, slice_bytes), USER, ITEM)
+    hidden = None if exclude_seen is None else seen_pairs(exclude_seen)
+    return nested(best_items(users, model, n, slice_bytes, hidden), USER, ITEM)
 
 
 def recommend_subset(
-    model: ALSModel, users: DataFrame, n: int = 5, slice_bytes: int = SLICE_BYTES
+    model: ALSModel,
+    users: DataFrame,
+    n: int = 5,
+    slice_bytes: int = SLICE_BYTES,
+    exclude_seen: DataFrame | None = None,
 ) -> DataFrame:
-    """Top n books for the users in the frame; users the model does not know give no row."""
+    """The same for the users in the frame; users the model does not know give no row."""
     wanted = users.select(F.col(USER).cast("int").alias("id")).distinct()
     factors = _spread(model.userFactors.join(wanted, "id", "left_semi"))
-    return nested(best_items(factors, model, n, slice_bytes), USER, ITEM)
+    hidden = None if exclude_seen is None else seen_pairs(exclude_seen).join(wanted, "id", "left_semi")
+    return nested(best_items(factors, model, n, slice_bytes, hidden), USER, ITEM)
+
+
+def fold_in(model: ALSModel, feedback: DataFrame, reg: float = AlsSettings.reg) -> DataFrame:
+    """(id, features) of new users from their ratings of known books, without training.
+
+    Each solves the ridge system that a half step of training would solve against the model's
+    book factors, its regularisation scaled by their number of ratings. Ratings of books
+    the model does not know count for nothing; users with no other give no row. The sums are
+    added up per batch before they move, so a user with very many ratings is no hot group.
+    """
+    rank = model.rank
+    rated = als_triples(feedback).select(
+        F.col(USER).cast("int").alias("id"), F.col(ITEM).cast("int").alias("item"), rating_value().alias("total")
+    )
+    books = model.itemFactors.select(F.col("id").alias("item"), "features")
+    sums = rated.join(books, "item").select("id", "total", "features").mapInArrow(
+        rating_sums, "id int, n double, sums array<double>, targets array<int>"
+    )
+    together = sums.repartition("id").sortWithinPartitions("id")
+    found = together.mapInArrow(solved(rank, reg), "id int, f array<float>, targets array<int>")
+    return found.select("id", F.col("f").alias("features"))
+
+
+def recommend_folded(
+    model: ALSModel,
+    feedback: DataFrame,
+    n: int = 5,
+    reg: float = AlsSettings.reg,
+    slice_bytes: int = SLICE_BYTES,
+    exclude_seen: bool = False,
+) -> DataFrame:
+    """Top n books for new users from their feedback and a trained model as it is."""
+    users = _spread(checkpointed(fold_in(model, feedback, reg)))
+    hidden = seen_pairs(feedback) if exclude_seen else None
+    return nested(best_items(users, model, n, slice_bytes, hidden), USER, ITEM)
 
 
 def for_user(recommendations: DataFrame, user: int) -> DataFrame:

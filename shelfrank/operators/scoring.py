@@ -49,14 +49,14 @@ def arrays(values: np.ndarray) -> pa.Array:
 
 
 def broadcast_items(item_factors: DataFrame) -> Broadcast:
-    """(ids, factors, norms), longest factor first; the caller bounds the size."""
+    """(ids, factors, norms, order by id), longest factor first; the caller bounds the size."""
     table = item_factors.select("id", "features").toArrow()
     factors = matrix(table["features"])
     norms = np.linalg.norm(factors, axis=1)
     order = np.argsort(-norms, kind="stable")
     ids = table["id"].to_numpy()
     context = item_factors.sparkSession.sparkContext
-    return context.broadcast((ids[order], factors[order], norms[order]))
+    return context.broadcast((ids[order], factors[order], norms[order], np.argsort(ids[order])))
 
 
 def item_slices(model: ALSModel, slice_bytes: int) -> list[tuple[int, int]]:
@@ -66,16 +66,32 @@ def item_slices(model: ALSModel, slice_bytes: int) -> list[tuple[int, int]]:
     return [(first, min(first + size, count)) for first in range(0, count, size)]
 
 
+def places_of(lists: pa.Array | pa.ChunkedArray, ids: np.ndarray, by_id: np.ndarray) -> tuple:
+    """(place, row) of the listed ids among `ids`, in the order of places; ids not there are left out."""
+    if isinstance(lists, pa.ChunkedArray):
+        lists = lists.combine_chunks()
+    rows = np.repeat(np.arange(len(lists)), np.asarray(lists.value_lengths().fill_null(0)))
+    wanted = lists.flatten().to_numpy(zero_copy_only=False)
+    found = np.searchsorted(ids, wanted, sorter=by_id)
+    found = by_id[np.minimum(found, len(ids) - 1)] if len(ids) else found
+    known = ids[found] == wanted if len(ids) else np.zeros(len(wanted), dtype=bool)
+    place, row = found[known], rows[known]
+    order = np.argsort(place, kind="stable")
+    return place[order], row[order]
+
+
 def improve(
-    users: np.ndarray, items: tuple, k: int, ids: np.ndarray, scores: np.ndarray
+    users: np.ndarray, items: tuple, k: int, ids: np.ndarray, scores: np.ndarray, hidden: tuple | None = None
 ) -> tuple[np.ndarray, np.ndarray]:
     """The k best (ids, scores) per user among those given and the items, best first.
 
     A score is at most the product of both norms. Books come longest first, so
     once no user's k-th best can be beaten by that bound, the rest is settled.
-    Before that, only books that beat some user's k-th best are ranked.
+    Before that, only books that beat some user's k-th best are ranked. `hidden` are (place,
+    user) pairs in the order of places that must not be chosen: they score minus infinity, and
+    stand for nothing where a user has fewer than k other books.
     """
-    item_ids, factors, norms = items
+    item_ids, factors, norms = items[:3]
     reach = np.linalg.norm(users, axis=1) * SLACK
     start, step = 0, FIRST_BOOKS
     while start < len(factors):
@@ -83,6 +99,9 @@ def improve(
         if full and (scores[:, -1] >= reach * norms[start]).all():
             break
         chunk = users @ factors[start : start + step].T
+        if hidden is not None:
+            low, high = np.searchsorted(hidden[0], (start, start + step))
+            chunk[hidden[1][low:high], hidden[0][low:high] - start] = -np.inf
         better = (chunk > scores[:, -1:]).any(axis=0) if full else np.ones(chunk.shape[1], bool)
         candidates = np.flatnonzero(better)
         if len(candidates):
@@ -106,25 +125,38 @@ def score_slice(state: DataFrame, items: Broadcast, k: int) -> DataFrame:
             for start in range(0, len(batch), USERS_AT_ONCE):
                 block = batch.slice(start, USERS_AT_ONCE)
                 users, ids, scores = (matrix(block.column(i)) for i in (1, 2, 3))
-                ids, scores = improve(users, items.value, k, ids, scores)
+                hidden = places_of(block.column(4), items.value[0], items.value[3])
+                ids, scores = improve(users, items.value, k, ids, scores, hidden)
                 columns = [block.column(0), block.column(1), arrays(ids), arrays(scores)]
                 yield pa.RecordBatch.from_arrays(columns, names=STATE)
 
     return state.mapInArrow(score, STATE_TYPES)
 
 
-def best_items(users: DataFrame, model: ALSModel, k: int, slice_bytes: int) -> DataFrame:
-    """id, item_ids, scores: the k best books for the users (id, features), best first."""
+def best_items(
+    users: DataFrame, model: ALSModel, k: int, slice_bytes: int, hidden: DataFrame | None = None
+) -> DataFrame:
+    """id, item_ids, scores: the k best books for the users (id, features), best first.
+
+    `hidden` are distinct (id, item) pairs that are passed over: each user's lie with the user
+    while the books are scored, so k candidates are enough. Where fewer than k books remain,
+    the rest of a list scores minus infinity.
+    """
+    slices = item_slices(model, slice_bytes)
+    if len(slices) > 1:
+        return score_buckets(users, model, k, slices, hidden)
+    if hidden is None:
+        users = users.withColumn("hidden", F.array().cast("array<int>"))
+    else:
+        users = users.join(hidden.groupBy("id").agg(F.collect_list("item").alias("hidden")), "id", "left")
     state = users.select(
         "id",
         "features",
         F.array().cast("array<int>").alias("item_ids"),
         F.array().cast("array<float>").alias("scores"),
+        "hidden",
     )
-    slices = item_slices(model, slice_bytes)
-    if len(slices) == 1:
-        return score_slice(state, broadcast_items(model.itemFactors), k)
-    return score_buckets(users, model, k, slices)
+    return score_slice(state, broadcast_items(model.itemFactors), k)
 
 
 def _scored_pair(k: int):
@@ -135,16 +167,19 @@ def _scored_pair(k: int):
         numbers = items.column("number").to_numpy()[order]
         factors = matrix(items.column("features"))[order]
         book = (numbers, factors, np.linalg.norm(factors, axis=1))
+        own_ids = items.column("id").to_numpy()[order]
+        by_id = np.argsort(own_ids)
         ids, places, scores = [], [], []
         for start in range(0, bucket.num_rows, USERS_AT_ONCE):
             block = bucket.slice(start, USERS_AT_ONCE)
             nothing = np.empty((len(block), 0), np.int64), np.empty((len(block), 0), np.float32)
-            place, score = improve(matrix(block.column("features")), book, k, *nothing)
+            hidden = places_of(block.column("hidden"), own_ids, by_id)
+            place, score = improve(matrix(block.column("features")), book, k, *nothing, hidden)
             ids.append(np.repeat(block.column("id").to_numpy(), place.shape[1]))
             places.append(place.ravel())
             scores.append(score.ravel())
         number = np.concatenate(places)
-        item_ids = items.column("id").to_numpy()[order][np.searchsorted(numbers, number)]
+        item_ids = own_ids[np.searchsorted(numbers, number)]
         return pa.table(
             {
                 "id": np.concatenate(ids), "score": np.concatenate(scores),
@@ -156,9 +191,16 @@ def _scored_pair(k: int):
 
 
 def score_buckets(
-    users: DataFrame, model: ALSModel, k: int, slices: list[tuple[int, int]]
+    users: DataFrame,
+    model: ALSModel,
+    k: int,
+    slices: list[tuple[int, int]],
+    hidden: DataFrame | None = None,
 ) -> DataFrame:
-    """id, item_ids, scores: every bucket of users against every slice of books."""
+    """id, item_ids, scores: every bucket of users against every slice of books.
+
+    Of the hidden pairs a bucket gets only those of the slice it is scored against.
+    """
     norm = F.aggregate("features", F.lit(0.0), lambda total, x: total + x * x)
     ranked = numbered(model.itemFactors.withColumn("norm", norm), F.desc("norm"), "id")
     width, count = slices[0][1], len(slices)
@@ -170,6 +212,12 @@ def score_buckets(
     with stored_for_now(ranked.drop("norm"), "ranked_items") as table:
         number = F.floor(F.col("number") / width).cast("int").alias("slice")
         items = table.select(number, each_bucket, "number", "id", "features")
+        if hidden is None:
+            asking = asking.withColumn("hidden", F.array().cast("array<int>"))
+        else:
+            placed = hidden.join(table.select(F.col("id").alias("item"), number), "item")
+            own = placed.groupBy("id", "slice").agg(F.collect_list("item").alias("hidden"))
+            asking = asking.join(own, ["id", "slice"], "left")
         best = (
             asking.groupBy("slice", "bucket")
             .cogroup(items.groupBy("slice", "bucket"))
@@ -188,4 +236,6 @@ def nested(scored: DataFrame, user: str, item: str) -> DataFrame:
     pairs = F.zip_with(
         "item_ids", "scores", lambda i, s: F.struct(i.alias(item), s.alias("rating"))
     )
+    # What was passed over scores minus infinity.
+    pairs = F.filter(pairs, lambda pair: pair["rating"] > F.lit(float("-inf")))
     return scored.select(F.col("id").alias(user), pairs.alias("recommendations"))

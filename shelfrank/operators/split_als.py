@@ -225,6 +225,20 @@ def solved(rank: int, reg: float):
     return run
 
 
+def rating_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums per id and batch of rows (id, total, features): one rating each."""
+    for batch in batches:
+        if batch.num_rows:
+            ids, places = np.unique(batch.column("id").to_numpy(), return_inverse=True)
+            order = np.argsort(places, kind="stable")
+            places, ones = places[order], np.ones(len(order))
+            total, factors = batch.column("total").to_numpy()[order], matrix(batch.column("features"))
+            sums = summed(places, ones, total, factors.astype(float)[order], len(ids))
+            nowhere = _targets(np.arange(len(ids)), np.zeros(len(ids)), len(ids))
+            columns = [pa.array(ids, pa.int32()), np.bincount(places).astype(float), arrays(sums), nowhere]
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=["id", "n", "sums", "targets"])
+
+
 def factors_of(step: DataFrame, rank: int, reg: float) -> DataFrame:
     """id, f and targets of every id of a half step; large groups are put together here."""
     parts = step.where("sums is not null").select("id", "n", "sums", "targets")

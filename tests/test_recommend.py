@@ -78,6 +78,54 @@ def test_buckets_of_users_and_slices_of_books(model, monkeypatch):
     assert rows(ours) == rows(model.recommendForAllUsers(5).select(*index))
 
 
+@pytest.mark.parametrize("slice_bytes", [rec.SLICE_BYTES, 13 * 48])
+def test_seen_books_are_passed_over(spark, data, model, slice_bytes, monkeypatch):
+    from shelfrank.operators import scoring
+
+    monkeypatch.setattr(scoring, "USERS_PER_BUCKET", 30)
+    # User 0 has seen all but two books, one of them twice, and one the model does not know.
+    more = [(0, i, 3.0) for i in range(58)] + [(0, 1, 2.0), (0, 999, 1.0), (777, 1, 1.0)]
+    ratings = stored(data[0].unionByName(spark.createDataFrame(more, SCHEMA)), "seen")
+    seen = {tuple(r) for r in rec.seen_pairs(ratings).collect()}
+    users = {r.id: np.array(r.features) for r in model.userFactors.collect()}
+    items = {r.id: np.array(r.features) for r in model.itemFactors.collect()}
+    for got in (
+        rec.recommend_all(model, 4, slice_bytes, ratings),
+        rec.recommend_subset(model, ratings.where("reviewerID_index < 50"), 4, slice_bytes, ratings),
+    ):
+        lists = {r.reviewerID_index: r.recommendations for r in got.collect()}
+        assert len(lists) in (50, len(users)) and 777 not in lists
+        for user, books in lists.items():
+            scores = sorted((float(users[user] @ f) for i, f in items.items() if (user, i) not in seen), reverse=True)
+            assert np.allclose([b.rating for b in books], scores[:4], atol=1e-4)
+            assert not seen & {(user, b.asin_index) for b in books}
+        assert len(lists[0]) == sum((0, i) not in seen for i in items) <= 2
+
+
+def test_fold_in_equals_numpy(spark, model):
+    rng = np.random.default_rng(6)
+    answers = [(2000000000 + u, int(i), float(rng.integers(1, 6))) for u in range(40) for i in rng.integers(0, 60, 1 + u % 5)]
+    hot = [(2000000099, int(i), float(r)) for i, r in zip(rng.integers(0, 60, 30_000), rng.integers(1, 6, 30_000))]
+    unknown = [(2000000200, 999, 5.0), (2000000001, 999, 1.0)]
+    feedback = spark.createDataFrame(answers + hot + unknown, SCHEMA)
+    items = {r.id: np.array(r.features, dtype=float) for r in model.itemFactors.collect()}
+    want = {}
+    for user in {a[0] for a in answers + hot}:
+        own = [(items[i], r) for u, i, r in answers + hot if u == user]
+        v, r = np.array([x for x, _ in own]), np.array([x for _, x in own])
+        want[user] = np.linalg.solve(v.T @ v + 0.01 * len(r) * np.eye(10), v.T @ r)
+    folded = rec.fold_in(model, feedback)
+    got = {r.id: r.features for r in folded.collect()}
+    assert got.keys() == want.keys()
+    assert all(np.allclose(got[u], want[u], atol=2e-3) for u in want)
+    plan = folded._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1
+    books = rec.recommend_folded(model, feedback, 3, exclude_seen=True).collect()
+    rated = {(u, i) for u, i, _ in answers + hot}
+    assert not rated & {(b.reviewerID_index, r.asin_index) for b in books for r in b.recommendations}
+    assert {len(b.recommendations) for b in books if b.reviewerID_index != 2000000099} == {3}
+
+
 def test_slices_cover_all_books(model):
     assert item_slices(model, rec.SLICE_BYTES) == [(0, 60)]
     assert item_slices(model, 25 * 48) == [(0, 25), (25, 50), (50, 60)]
