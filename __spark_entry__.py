@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import importlib
 from collections.abc import Callable
+from functools import reduce
 from types import ModuleType
 from typing import Any
 
@@ -19,20 +20,20 @@ from shelfrank.operators import feedback as fb
 from shelfrank.operators import recommend as rec
 from shelfrank.operators import sampling, search, statistics
 from shelfrank.operators.indexing import clean_ratings, item_dimension
+from shelfrank.operators.metadata import one_per_book
 from shelfrank.operators.split_als import fit_split_als
 from shelfrank.plans import jobs
 from shelfrank.session import scratch_path, stored, tune
-from shelfrank.sources import proxy, readers, schemas, sinks
+from shelfrank.sources import clustered, proxy, quarantine, readers, schemas, sinks
+from shelfrank.sources.artefact import load_artefact, save_artefact
 
 
 def _optional(name: str) -> ModuleType | None:
-    """The module, or nothing where it has been taken out of the repository."""
+    """The module, or nothing where it or what it needs cannot be imported."""
     try:
         return importlib.import_module(name)
-    except ModuleNotFoundError as missing:
-        if missing.name and (name == missing.name or name.startswith(missing.name + ".")):
-            return None
-        raise
+    except ImportError:
+        return None
 
 
 corpus = _optional("shelfrank.llm.queries")
@@ -42,6 +43,7 @@ BOOK = "7"
 PREFIX = "red"
 URL_ROOT = "http://books.example/"
 SAMPLE = 10_000
+SMALL_SAMPLE = 120
 TOP_N = 5
 # Recommendations for all users, by either method, are trained with five iterations, everything
 # else with twenty.
@@ -232,6 +234,78 @@ def book_page_reviews(spark, folder):
     return pages.select("asin", "title", "cover", "review_no", "avg_rating", F.inline("reviews"))
 
 
+def rating_price_sample(spark, folder):
+    """A sample smaller than the table, so that books are left out."""
+    return statistics.scatter_frame(stored(_average(spark, folder), "average"), SMALL_SAMPLE)
+
+
+def average_rating_merged(spark, folder):
+    """Averages from stored sums of two batches, the second of them merged twice."""
+    path = scratch_path(spark, "rating_sums")
+    for name, batch in zip(("first", "second", "second"), (*(p := _halves(spark, folder)), p[1]), strict=True):
+        sums = jobs.update_average_sums(path, batch, name)
+    return statistics.averages_from_sums(sums, proxy.books(spark, folder))
+
+
+def _halves(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    return sampling.hash_split(proxy.ratings(spark, folder), 50)
+
+
+def merged_metadata(spark, folder):
+    """Books whose values are spread over several rows, put together again."""
+    books = proxy.books(spark, folder)
+    nothing = F.lit(None).cast("string")
+    third = F.col("asin").cast("long") % 3
+    # A third has its title in one row and everything else in others, a third is listed twice.
+    titles = books.where(third == 0).withColumns({"imUrl": nothing, "description": F.lit(""), "price": F.lit(float("nan"))})
+    covers = books.where(third == 0).withColumns({"title": F.lit(""), "description": nothing})
+    texts = books.where(third == 0).withColumns({"title": nothing, "imUrl": F.lit(""), "price": F.lit(None).cast("double")})
+    rest = books.where(third != 0)
+    return one_per_book(reduce(DataFrame.unionByName, (titles, covers, texts, rest, rest.where(third == 1))))
+
+
+def _clustered(spark: SparkSession, folder: str) -> str:
+    """Books by title and reviews by book, stored in many files of separate key ranges."""
+
+    def write() -> str:
+        path = scratch_path(spark, "clustered")
+        partitions = "spark.sql.adaptive.coalescePartitions.enabled"
+        before = spark.conf.get(partitions)
+        # The given tables are small: merged partitions would make a file or two.
+        spark.conf.set(partitions, "false")
+        clustered.write_with_zones(proxy.books(spark, folder), f"{path}/titles", "title", "asin")
+        clustered.write_with_zones(proxy.books(spark, folder), f"{path}/books", "asin")
+        clustered.write_with_zones(proxy.reviews(spark, folder), f"{path}/reviews", "asin", "reviewerID")
+        spark.conf.set(partitions, before)
+        return path
+
+    return _once(spark, folder, "clustered", write)
+
+
+def _few_files(rows: DataFrame, path: str) -> bool:
+    """Whether a lookup reads at most two files, and fewer than there are."""
+    spark, read = rows.sparkSession, len(rows.inputFiles())
+    return read <= 2 and read < spark.read.parquet(f"{path}/zones").count()
+
+
+def book_page_clustered(spark, folder):
+    path = _clustered(spark, folder)
+    books = clustered.rows_of_key(spark, f"{path}/books", "asin", BOOK)
+    reviews = clustered.rows_of_key(spark, f"{path}/reviews", "asin", BOOK)
+    few = _few_files(books, f"{path}/books") and _few_files(reviews, f"{path}/reviews")
+    page = search.one_book_page(books, reviews, BOOK, URL_ROOT)
+    shown = F.size("reviews").alias("n_shown")
+    best = F.array_max("reviews.overall").alias("best_shown")
+    few_files = F.lit(few).alias("few_files")
+    return page.select("asin", "title", "cover", "description", "review_no", "avg_rating", shown, best, few_files)
+
+
+def search_title_clustered(spark, folder):
+    path = f"{_clustered(spark, folder)}/titles"
+    found = clustered.rows_of_prefix(spark, path, "title", PREFIX)
+    return search.search_titles(found, PREFIX).withColumn("few_files", F.lit(_few_files(found, path)))
+
+
 # Preparation, splits, baseline
 
 
@@ -256,6 +330,27 @@ def item_dimension_query(spark, folder):
     return item_dimension(_indexed(spark, folder))
 
 
+def _early(rows: DataFrame) -> DataFrame:
+    """A first batch that lacks a third of the books and a quarter of the reviewers."""
+    return rows.where((F.col("asin").cast("long") % 3 != 0) & (F.col("reviewerID").cast("long") % 4 != 0))
+
+
+def stable_ids(spark, folder):
+    """Index a first batch, then everything: old ids keep their index, new ones come after."""
+    path, rows = scratch_path(spark, "dictionaries"), proxy.titled_ratings(spark, folder)
+    first = jobs.prepare_with_dictionaries(_early(rows), path)
+    every = jobs.prepare_with_dictionaries(rows, path)
+    sides = []
+    for label in ("asin", "reviewerID"):
+        index = f"{label}_index"
+        before = first.select(label, F.col(index).alias("before")).distinct()
+        after = every.groupBy(label, index).agg(F.count(F.lit(1)).alias("n_rows"))
+        both = after.join(before, label, "left")
+        kept = F.when(F.col("before").isNotNull(), F.col("before") == F.col(index)).alias("kept_index")
+        sides.append(both.select(F.lit(label).alias("side"), F.col(label).alias("label"), F.col(index).alias("i"), kept, "n_rows"))
+    return sides[0].unionByName(sides[1])
+
+
 def train_test_split(spark, folder):
     train, test = sampling.random_split(_indexed(spark, folder))
     sides = train.select(F.lit(1).alias("in_train")).unionByName(test.select(F.lit(0).alias("in_train")))
@@ -292,6 +387,15 @@ def review_text_dump(spark, folder):
     )
 
 
+def reviews_quarantine(spark, folder):
+    """Good rows per book of a file with broken lines, and the broken lines themselves."""
+    path = scratch_path(spark, "quarantine")
+    good = quarantine.read_and_quarantine(spark, _raw_file(spark, folder), schemas.REVIEWS, path)
+    counts = good.groupBy("asin").agg(F.count(F.lit(1)).alias("n_good"), F.sum("overall").alias("total"))
+    broken = spark.read.schema("file string, line string").json(path).select(F.col("line").alias("broken"))
+    return counts.unionByName(broken, allowMissingColumns=True)
+
+
 def titled_ratings(spark, folder):
     return jobs.titled(proxy.ratings(spark, folder), _with_blank_copies(proxy.books(spark, folder)))
 
@@ -467,6 +571,58 @@ def recommend_for_feedback(spark, folder):
     return _title_check(recommended, spark, folder)
 
 
+def als_unseen_recs(spark, folder):
+    """Per user: how many books, how many of them the user rated, whether the scores fall."""
+    train = _train(spark, folder)
+    lists = stored(rec.recommend_all(_model(spark, folder), TOP_N, exclude_seen=train), "unseen")
+    rated = rec.seen_pairs(train).select(F.col("id").alias(rec.USER), F.col("item").alias(rec.ITEM), F.lit(1).alias("rated"))
+    rows = rec.exploded(lists).join(rated, [rec.USER, rec.ITEM], "left")
+    scores = F.col("recommendations.rating")
+    order = lists.select(rec.USER, (scores == F.sort_array(scores, asc=False)).alias("best_first"))
+    counts = rows.groupBy(rec.USER).agg(
+        F.count(F.lit(1)).alias("n_books"), F.count("rated").alias("n_rated"), F.countDistinct(rec.ITEM).alias("n_distinct")
+    )
+    return order.join(counts, rec.USER)
+
+
+def fold_in_recs(spark, folder):
+    """Recommendations for visitors from the trained model as it is."""
+    _, recommended = jobs.recommend_for_feedback(
+        _indexed(spark, folder), proxy.feedback_raw(spark, folder), proxy.books(spark, folder),
+        FULL_TRAINING, TOP_N, method="fold_in", model=_full_model(spark, folder),
+    )
+    return _title_check(recommended, spark, folder)
+
+
+def fold_in_factors(spark, folder):
+    """Per visitor the number of ratings that count, and whether the factor solves its equations."""
+    model = _full_model(spark, folder)
+    feedback = stored(fb.feedback_rows(proxy.feedback_raw(spark, folder)), "feedback")
+    folded = stored(rec.fold_in(model, feedback, FULL_TRAINING.reg), "folded").select(F.col("id"), F.col("features").alias("x"))
+    books = model.itemFactors.select(F.col("id").alias(rec.ITEM), F.col("features").alias("v"))
+    rated = feedback.select(F.col(rec.USER).alias("id"), rec.ITEM, rec.RATING).join(books, rec.ITEM).join(folded, "id")
+    product = F.aggregate(F.zip_with("x", "v", lambda x, v: (x * v).cast("double")), F.lit(0.0), lambda t, z: t + z)
+    error = product - F.col(rec.RATING)
+    # v (v'x - r) summed over the ratings, and the regularisation of each of them.
+    terms = F.zip_with("v", "x", lambda v, x: v * error + FULL_TRAINING.reg * x)
+    left = rated.select("id", F.posexplode(terms).alias("place", "term")).groupBy("id", "place").agg(
+        F.count(F.lit(1)).alias("n"), F.abs(F.sum("term")).alias("left")
+    )
+    return left.groupBy("id").agg(F.max("n").alias("n_ratings"), (F.max("left") < 0.05).alias("solved"))
+
+
+def recs_from_artefact(spark, folder):
+    """Recommendations from a stored artefact alone, for reviewers by their own id."""
+    path, train = scratch_path(spark, "artefact"), _train(spark, folder)
+    users = train.select("reviewerID", rec.USER).distinct()
+    save_artefact(path, _full_model(spark, folder), users, item_dimension(train))
+    asked = _test(spark, folder).select("reviewerID")
+    rows = load_artefact(spark, path).recommend(asked, TOP_N, exclude_seen=train)
+    truth = proxy.books(spark, folder).select("asin", F.col("title").alias("true_title"))
+    right = (F.col("title") == F.col("true_title")).alias("title_right")
+    return rows.join(truth, "asin", "left").select("reviewerID", "rank", right)
+
+
 def recs_from_stored_model(spark, folder):
     path = scratch_path(spark, "model")
     sinks.save_model(_full_model(spark, folder), path)
@@ -492,6 +648,13 @@ def entry(spark: SparkSession) -> DataFrame:
 
 QUERIES = {
     "average_rating_table": average_rating_table,
+    "average_rating_merged": average_rating_merged,
+    "rating_price_sample": rating_price_sample,
+    "merged_metadata": merged_metadata,
+    "book_page_clustered": book_page_clustered,
+    "search_title_clustered": search_title_clustered,
+    "reviews_quarantine": reviews_quarantine,
+    "stable_ids": stable_ids,
     "item_review_stats": item_review_stats,
     "item_review_stats_one": item_review_stats_one,
     "item_review_stats_empty": item_review_stats_empty,
@@ -527,6 +690,10 @@ QUERIES = {
     "als_all_user_recs": als_all_user_recs,
     "als_subset_recs": als_subset_recs,
     "als_split_groups_recs": als_split_groups_recs,
+    "als_unseen_recs": als_unseen_recs,
+    "fold_in_recs": fold_in_recs,
+    "fold_in_factors": fold_in_factors,
+    "recs_from_artefact": recs_from_artefact,
     "als_predictions": als_predictions,
     "als_rmse": als_rmse,
     "als_model_roundtrip": als_model_roundtrip,
@@ -651,8 +818,62 @@ def oracle_sql() -> dict[str, str]:
     return every
 
 
+EARLY = "cast(asin as bigint) % 3 <> 0 and cast(reviewerID as bigint) % 4 <> 0"
+
+
+def _stable(label: str) -> str:
+    """The first batch is numbered by frequency, the labels that come later after its last."""
+    return f"""
+        select '{label}' as side, {label} as label, cast(i as integer) as i,
+               case when i_early is not null then true end as kept_index, n_rows
+        from (
+          select {label}, n_rows, i_early,
+                 coalesce(i_early, (select count(distinct {label}) from early)
+                   + row_number() over (partition by i_early is null order by n_rows desc, {label}) - 1) as i
+          from (select {label}, count(*) as n_rows from ratings group by {label})
+          left join (select {label}, row_number() over (order by count(*) desc, {label}) - 1 as i_early
+                     from early group by {label}) using ({label}))"""
+
+
 _ORACLES = {
     "average_rating_table": f"with {AVERAGE} select * from average",
+    "average_rating_merged": f"with {AVERAGE} select * from average",
+    "rating_price_sample": f"""with {AVERAGE}
+        select * from average where title is not null and price is not null
+        order by md5(asin), asin limit {SMALL_SAMPLE}""",
+    "merged_metadata": f"with {BOOKS} select * from books",
+    "book_page_clustered": f"""with {REVIEWS}, {BOOKS}, page as ({PAGE})
+        select page.*, cast(least(review_no, 10) as integer) as n_shown,
+               (select max(overall) from ratings where asin = '{BOOK}') as best_shown, true as few_files
+        from page where asin = '{BOOK}'""",
+    "search_title_clustered": f"""with {BOOKS}
+        select imUrl, title, asin, true as few_files from books where starts_with(title, '{PREFIX}')
+        order by title, asin limit 50""",
+    "reviews_quarantine": f"""with {REVIEWS}
+        select asin, count(*) as n_good, sum(overall) as total, null as broken from reviews group by asin
+        union all by name
+        select concat('{{"asin": "', o_orderkey) as broken from orders
+        where o_orderkey % {BROKEN_EVERY} = 0""",
+    "stable_ids": f"""with {RATINGS}, early as (select * from ratings where {EARLY})
+        {_stable("asin")} union all {_stable("reviewerID")}""",
+    "als_unseen_recs": f"""with {INDEXED},
+        rated as (select reviewerID_index, count(distinct asin) as n from train group by reviewerID_index),
+        known as (select count(distinct asin) as n from train)
+        select reviewerID_index, true as best_first, cast(0 as bigint) as n_rated,
+               least({TOP_N}, known.n - rated.n) as n_books, least({TOP_N}, known.n - rated.n) as n_distinct
+        from rated cross join known where known.n > rated.n""",
+    "fold_in_recs": f"""with {INDEXED}, {FEEDBACK}
+        select user_id as reviewerID_index, cast(rank as integer) as rank,
+               true as title_right, true as cover_right
+        from (select distinct user_id from feedback
+              where asin_index in (select asin_index from train)) cross join {RANKS}""",
+    "fold_in_factors": f"""with {INDEXED}, {FEEDBACK}
+        select user_id as id, count(*) as n_ratings, true as solved from feedback
+        where asin_index in (select asin_index from train) group by user_id""",
+    "recs_from_artefact": f"""with {INDEXED}
+        select reviewerID, cast(rank as integer) as rank, true as title_right
+        from (select distinct reviewerID from test
+              where reviewerID in (select reviewerID from train)) cross join {RANKS}""",
     "item_review_stats": f"""with {RATINGS}
         select asin, count(*) as review_no, {MEAN} as avg_rating from ratings group by asin""",
     "item_review_stats_one": f"""with {RATINGS}

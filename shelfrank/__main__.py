@@ -6,9 +6,12 @@ import argparse
 
 from pyspark.sql import SparkSession
 
+from shelfrank.operators import statistics
 from shelfrank.plans import jobs
 from shelfrank.session import build_session, scratch
 from shelfrank.sources import readers, schemas, sinks
+from shelfrank.sources.artefact import load_artefact
+from shelfrank.sources.quarantine import read_and_quarantine
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -17,14 +20,18 @@ def main(argv: list[str] | None = None) -> None:
     for name, arguments in {
         "prepare": ("titled_reviews", "output"),
         "prepare-untitled": ("reviews", "books", "output"),
+        "prepare-batch": ("titled_reviews", "dictionaries", "output", "quarantine"),
         "train": ("ratings", "model"),
+        "train-artefact": ("ratings", "artefact"),
         "recommend-all": ("ratings", "output"),
+        "recommend-reviewers": ("artefact", "reviewers", "output"),
         "recommend": ("model", "users", "ratings", "output"),
         "feedback": ("ratings", "answers", "books", "output"),
         "check-raw": ("reviews", "output"),
         "search": ("books", "text"),
         "page": ("books", "reviews", "asin", "url_root"),
         "dashboard": ("average_ratings",),
+        "update-averages": ("reviews", "batch", "sums", "books", "output"),
         "books-to-rate": ("ratings", "books"),
     }.items():
         command = commands.add_parser(name)
@@ -43,6 +50,19 @@ def _run(spark: SparkSession, args: argparse.Namespace) -> None:
         schema = "asin string, overall double, reviewerID string, title string"
         raw = readers.read_files(spark, args.titled_reviews, schema)
         jobs.prepare_and_write(raw, args.output)
+    elif args.job == "prepare-batch":
+        schema = "asin string, overall double, reviewerID string, title string"
+        good = read_and_quarantine(spark, args.titled_reviews, schema, args.quarantine)
+        sinks.write_ratings(jobs.prepare_with_dictionaries(good, args.dictionaries), args.output)
+    elif args.job == "train-artefact":
+        print("version", jobs.train_artefact(readers.read_ratings(spark, args.ratings), args.artefact))
+    elif args.job == "recommend-reviewers":
+        reviewers = readers.read_files(spark, args.reviewers, "reviewerID string")
+        sinks.write_json(load_artefact(spark, args.artefact).recommend(reviewers), args.output)
+    elif args.job == "update-averages":
+        sums = jobs.update_average_sums(args.sums, readers.read_reviews(spark, args.reviews), args.batch)
+        table = statistics.averages_from_sums(sums, readers.read_books(spark, args.books))
+        sinks.write_json(table, args.output)
     elif args.job == "prepare-untitled":
         reviews = readers.read_reviews(spark, args.reviews)
         titled = jobs.titled(reviews, readers.read_books(spark, args.books))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,9 +35,16 @@ def frequency_index(rows: DataFrame, label: str) -> DataFrame:
     return numbered(counts, F.desc("n"), label).select(label, "n", index)
 
 
-def index_ids(ratings: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def index_ids(
+    ratings: DataFrame,
+    columns: Sequence[str] | None = None,
+    dictionaries: Mapping[str, DataFrame] | None = None,
+) -> DataFrame:
     """Add `<column>_index` for each id column; rows with a null id are left out.
 
+    `dictionaries` are stored label tables to use instead of new indices; rows whose label
+    is not in them are left out.
+
     The label tables are stored first, so Spark knows their sizes when it plans
     the joins: a small one is broadcast and the ratings stay where they are. A
     larger one is joined by shuffle on the ids, where the adaptive skew join
@@ -45,7 +52,10 @@ def index_ids(ratings: DataFrame, columns: Sequence[str] | None = None) -> DataF
     """
     out = ratings
     for column in columns if columns is not None else columns_to_index(ratings):
-        labels = stored(frequency_index(ratings, column).drop("n"), f"{column}_labels")
+        if dictionaries and column in dictionaries:
+            labels = dictionaries[column]
+        else:
+            labels = stored(frequency_index(ratings, column).drop("n"), f"{column}_labels")
         out = out.join(labels, column)
     return out
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StringType
 
@@ -17,13 +17,20 @@ def _is_blank(books: DataFrame, column: str) -> Column:
 
 
 def one_per_book(books: DataFrame) -> DataFrame:
-    """Metadata with one row per asin: of several that with the fewest blank values.
+    """Metadata with one row per asin; of repeated rows every column keeps its best value.
 
-    Blank is null, an empty text or NaN; rows with equally many are told apart by their
-    values, column by column. The window moves every row once and keeps one row per book
-    and task before that; no aggregate holds the texts.
+    Blank is null, an empty text or NaN. A value that is not blank beats a blank one, then that
+    of the row with fewer blanks, then the smaller value. Only the keys are counted over
+    the whole table; texts move for books that are listed more than once.
     """
     rest = [c for c in books.columns if c != "asin"]
+    counts = books.groupBy("asin").agg(F.count(F.lit(1)).alias("n"))
+    again = counts.where("n > 1").select("asin")
     blanks = sum((_is_blank(books, c).cast("int") for c in rest), F.lit(0))
-    order = Window.partitionBy("asin").orderBy(blanks, *[F.asc_nulls_last(c) for c in rest])
-    return books.withColumn("place", F.row_number().over(order)).where("place = 1").drop("place")
+    repeated = books.join(again, "asin", "left_semi").withColumn("blanks", blanks)
+    best = [F.min(F.struct(_is_blank(books, c).alias("blank"), "blanks", c)).alias(c) for c in rest]
+    picked = [F.when(~F.col(c)["blank"], F.col(c)[c]).alias(c) for c in rest]
+    merged = repeated.groupBy("asin").agg(*best).select("asin", *picked) if rest else again
+    # A null asin joins nothing and stays as it is listed.
+    single = books.join(again, "asin", "left_anti")
+    return single.select(*books.columns).unionByName(merged.select(*books.columns))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,6 +56,24 @@ def average_rating_table(reviews: DataFrame, books: DataFrame) -> DataFrame:
     return means.join(details, "asin", "left").select("asin", "title", "average_rating", "price")
 
 
+def rating_sums(reviews: DataFrame) -> DataFrame:
+    """asin, n and total of the ratings: what averages of several batches are merged from."""
+    return reviews.groupBy("asin").agg(F.count("overall").alias("n"), F.sum("overall").alias("total"))
+
+
+def merged_sums(*parts: DataFrame) -> DataFrame:
+    """The sums of several batches as one; a row per book and batch moves, no review."""
+    every = reduce(DataFrame.unionByName, parts)
+    return every.groupBy("asin").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
+
+
+def averages_from_sums(sums: DataFrame, books: DataFrame) -> DataFrame:
+    """The average-rating table from merged sums, without the reviews."""
+    means = sums.select("asin", F.try_divide("total", "n").alias("average_rating"))
+    details = one_per_book(books.select("asin", "title", "price"))
+    return means.join(details, "asin", "left").select("asin", "title", "average_rating", "price")
+
+
 def scatter_frame(average: DataFrame, n: int | None = 10_000, seed: int | None = None) -> DataFrame:
     """n sampled books with no value missing: title, average_rating and price."""
     return sample_rows(average.na.drop("any"), n, "asin", seed)

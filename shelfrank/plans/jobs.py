@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 from shelfrank.operators import feedback as fb
 from shelfrank.operators import recommend as rec
 from shelfrank.operators import sampling, search, statistics
-from shelfrank.operators.indexing import clean_ratings, index_ids, item_dimension
+from shelfrank.operators.dictionary import IdDictionary
+from shelfrank.operators.indexing import clean_ratings, columns_to_index, index_ids, item_dimension
 from shelfrank.operators.metadata import one_per_book
 from shelfrank.operators.recommend import AlsSettings
 from shelfrank.session import checkpointed, scratch, stored, stored_for_now
-from shelfrank.sources import readers, sinks
+from shelfrank.sources import readers, sinks, versions
+from shelfrank.sources.artefact import save_artefact
 
 
 def prepare_ratings(raw: DataFrame) -> DataFrame:
@@ -26,6 +28,52 @@ def prepare_ratings(raw: DataFrame) -> DataFrame:
         return stored(index_ids(cleaned), "indexed_ratings")
 
 
+def prepare_with_dictionaries(raw: DataFrame, dictionaries: str) -> DataFrame:
+    """The same with indices from the dictionaries stored in a folder, which first get the new ids.
+
+    An id keeps its index from one batch to the next, so models stay valid.
+    """
+    spark = raw.sparkSession
+    with stored_for_now(clean_ratings(raw), "cleaned_ratings") as cleaned:
+        labels = {
+            column: IdDictionary(spark, f"{dictionaries}/{column}", column).append(cleaned)
+            for column in columns_to_index(cleaned)
+        }
+        return stored(index_ids(cleaned, dictionaries=labels), "indexed_ratings")
+
+
+def train_artefact(
+    ratings: DataFrame, path: str, settings: AlsSettings = AlsSettings()
+) -> int:
+    """Fit on all indexed ratings and store model, ids and titles together; the new version."""
+    users = ratings.select("reviewerID", rec.USER).distinct()
+    return save_artefact(path, rec.fit_als(ratings, settings), users, item_dimension(ratings))
+
+
+def update_average_sums(path: str, reviews: DataFrame, batch: str) -> DataFrame:
+    """Merge the reviews of a batch into the stored rating sums; the merged sums.
+
+    Only sums are read back, never earlier reviews. A batch that has been merged before
+    changes nothing, so a job that is run again counts none twice.
+    """
+    spark = reviews.sparkSession
+    schema, done = "asin string, n long, total double", "batch string"
+    last = max(versions.committed(spark, path, "batches"), default=None)
+    own = statistics.rating_sums(reviews)
+    names = spark.createDataFrame([(batch,)], done)
+    if last is not None:
+        before = versions.folder_of(path, last)
+        merged = spark.read.schema(schema).parquet(f"{before}/sums")
+        batches = spark.read.schema(done).parquet(f"{before}/batches")
+        if not batches.where(F.col("batch") == batch).isEmpty():
+            return merged
+        own, names = statistics.merged_sums(merged, own), batches.unionByName(names)
+    folder = versions.new_folder(spark, path)[1]
+    own.select("asin", "n", F.col("total").cast("double")).write.parquet(f"{folder}/sums")
+    names.coalesce(1).write.parquet(f"{folder}/batches")
+    return spark.read.schema(schema).parquet(f"{folder}/sums")
+
+
 def titled(reviews: DataFrame, books: DataFrame) -> DataFrame:
     """Raw ratings with the title of their book; ratings of unknown books are dropped."""
     titles = one_per_book(books.select("asin", "title"))
@@ -58,14 +106,14 @@ def train_and_recommend_all(
     output_path: str,
     settings: AlsSettings = AlsSettings(max_iter=5),
     n: int = 5,
-    partitions: int = 8,
+    partitions: int | None = None,
 ) -> ALSModel:
     """Fit on 80 % of the ratings and write the top n of every user as JSON.
 
-    The ratings are dealt into `partitions`, or as many as there are cores if that is more.
+    The ratings are dealt into `partitions`, by default as many as there are cores.
     """
     ratings = readers.as_view(readers.read_ratings(spark, ratings_path), "ratings")
-    partitions = max(partitions, spark.sparkContext.defaultParallelism)
+    partitions = partitions or spark.sparkContext.defaultParallelism
     with scratch(spark):
         # A stored copy keeps the random split the same when a task is run again.
         train, _ = sampling.random_split(stored(ratings.repartition(partitions), "ratings"))
@@ -75,14 +123,21 @@ def train_and_recommend_all(
 
 
 def recommend_from_model(
-    spark: SparkSession, model_path: str, users: DataFrame, ratings: DataFrame, n: int = 5
+    spark: SparkSession,
+    model_path: str,
+    users: DataFrame,
+    ratings: DataFrame,
+    n: int = 5,
+    exclude_seen: bool = False,
 ) -> DataFrame:
     """Titled top n for the users of a frame from a stored model; unknown users give no row.
 
-    Titles come from the indexed ratings the model was trained on.
+    Titles come from the indexed ratings the model was trained on; with `exclude_seen`, books
+    a user rated there are passed over.
     """
     model = sinks.load_model(spark, model_path)
-    recommended = rec.exploded(rec.recommend_subset(model, users, n))
+    seen = ratings if exclude_seen else None
+    recommended = rec.exploded(rec.recommend_subset(model, users, n, exclude_seen=seen))
     return rec.with_titles(recommended, item_dimension(ratings))
 
 
@@ -99,10 +154,15 @@ def recommend_for_feedback(
     books: DataFrame,
     settings: AlsSettings = AlsSettings(),
     n: int = 5,
+    method: str = "refit",
+    model: ALSModel | None = None,
+    exclude_seen: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """(own answers with titles, recommendations with titles and covers) for new visitors.
 
-    One fit serves the whole batch of visitors. Titles come from the base
+    With "refit", one fit over ratings and answers serves the whole batch of visitors. With
+    "fold_in", each visitor's factor is solved against the book factors of `model`, which
+    was trained on the ratings before and stays as it is. Titles come from the base
     ratings only, not from the placeholder titles of the feedback rows. Only
     answers about books of the base ratings train: any other book would have no
     title and leave a gap among the recommendations. A visitor with the id of a
@@ -115,8 +175,16 @@ def recommend_for_feedback(
     taken = ratings.select(F.col(rec.USER).cast("int").alias("id")).join(visitors, "id", "left_semi")
     if not taken.isEmpty():
         raise ValueError(f"visitor id {taken.first()['id']} belongs to a reviewer of the ratings")
-    model = rec.fit_als(fb.add_feedback(ratings, feedback), settings)
-    recommended = rec.exploded(rec.recommend_subset(model, feedback, n))
+    if method == "fold_in":
+        if model is None:
+            raise ValueError("folding in needs a trained model")
+        lists = rec.recommend_folded(model, feedback, n, settings.reg, exclude_seen=exclude_seen)
+    elif method == "refit":
+        model = rec.fit_als(fb.add_feedback(ratings, feedback), settings)
+        lists = rec.recommend_subset(model, feedback, n, exclude_seen=feedback if exclude_seen else None)
+    else:
+        raise ValueError(f"no such method for new visitors: {method}")
+    recommended = rec.exploded(lists)
     return fb.feedback_with_titles(raw_feedback, items), rec.with_covers(recommended, items, books)
 
 

@@ -72,6 +72,16 @@ def test_command_line(spark, ratings_path, tmp_path, capsys):
     cli(["page", books, reviews, "7", "http://x/"])
     cli(["books-to-rate", ratings_path, books])
     sinks.write_json(statistics.average_rating_table(proxy.ratings(spark, FOLDER), proxy.books(spark, FOLDER)), str(tmp_path / "average"))
+    cli(["prepare-batch", raw, str(tmp_path / "ids"), str(tmp_path / "batch"), str(tmp_path / "broken")])
+    assert rows(readers.read_ratings(spark, str(tmp_path / "batch"))) == rows(again)
+    cli(["train-artefact", str(tmp_path / "batch"), str(tmp_path / "artefact")])
+    asked = again.select("reviewerID").distinct().limit(3)
+    sinks.write_json(asked, str(tmp_path / "reviewers"))
+    cli(["recommend-reviewers", str(tmp_path / "artefact"), str(tmp_path / "reviewers"), str(tmp_path / "found")])
+    assert spark.read.json(str(tmp_path / "found")).count() == 15
+    cli(["update-averages", reviews, "monday", str(tmp_path / "sums"), books, str(tmp_path / "merged")])
+    whole = statistics.average_rating_table(proxy.ratings(spark, FOLDER), proxy.books(spark, FOLDER))
+    assert rows(readers.read_average_ratings(spark, str(tmp_path / "merged"))) == rows(whole)
     cli(["dashboard", str(tmp_path / "average")])
     assert "Average Rating" in capsys.readouterr().out
 

@@ -92,4 +92,5 @@ def test_of_several_metadata_rows_the_fullest_counts(spark):
     got = st.one_per_book(df)
     assert rows(got) == rows(spark.createDataFrame(
         [("a", "A", 3.0), ("b", "B", None), ("c", "C", 1.0), ("d", None, None)], df.schema))
-    assert "Aggregate" not in plan_of(got)
+    # Only keys are counted over the whole table; no sort moves all texts.
+    assert "Window" not in plan_of(got)
