@@ -38,22 +38,27 @@ def _hash(mask: str, tokens: Column, at: Column) -> Column:
 
 
 def _windows(rows: DataFrame, masks: tuple[str, ...], *keep: str) -> DataFrame:
-    """(keep, at, seed) for every window of `words` that the masks, all of one span, fit in."""
+    """(keep, at, mask, seed) for every window of `words` that the masks, all of one span, fit in."""
     span, tokens = len(masks[0]), F.col("words")
     starts = F.sequence(F.lit(0), F.size(tokens) - span)
     at = rows.where(F.size(tokens) >= span).select(*keep, F.explode(starts).alias("at"))
     seeds = F.array(*[_hash(mask, tokens, F.col("at")) for mask in masks])
     if "words" not in keep:
         raise ValueError("the windows read the words")
-    return at.select(*keep, "at", F.explode(seeds).alias("seed"))
+    return at.select(*keep, "at", F.posexplode(seeds).alias("mask", "seed"))
 
 
-def _score(tokens: Column, item: Column, shift: Column) -> Column:
-    """Best score of a stretch with `item` laid over `tokens`, its first word at `shift`."""
-    low = F.greatest(F.lit(0), -shift)
-    length = F.least(F.size(item), F.size(tokens) - shift) - low
-    over = F.slice(tokens, low + shift + 1, length)
-    equal = F.zip_with(F.slice(item, low + 1, length), over, lambda x, y: x == y)
+def _hash_before(masks: tuple[str, ...], tokens: Column) -> Column:
+    """Seed of the window one word earlier, under the mask of the row; null for the first window."""
+    earlier = F.when(F.lit(False), F.lit(0).cast("long"))
+    for number, mask in enumerate(masks):
+        earlier = earlier.when(F.col("mask") == number, _hash(mask, tokens, F.col("at") - 1))
+    return F.when(F.col("at") > 0, earlier)
+
+
+def _score(item: Column, over: Column) -> Column:
+    """Best score of a stretch of words laid over each other."""
+    equal = F.zip_with(item, over, lambda x, y: x == y)
     start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("best"))
 
     def step(state, same):
@@ -64,16 +69,28 @@ def _score(tokens: Column, item: Column, shift: Column) -> Column:
 
 
 def _leaks(docs: DataFrame, seeds: DataFrame, items: DataFrame, masks: tuple[str, ...]) -> DataFrame:
-    """Overlaps around the hits of a bounded block of seeds."""
-    spot = (
+    """Overlaps around the hits of a bounded block of seeds.
+
+    Of neighbouring hits that lay document and item over each other alike, only the first under
+    a mask goes on, and only with the words that the item covers. So a text that says one word
+    over and over has a row per way to lay it, not per hit, and no row carries the text.
+    """
+    first = (F.col("mask") == F.col("item_mask")) & ~F.coalesce(
+        _hash_before(masks, F.col("words")) == F.col("before"), F.lit(False)
+    )
+    shift = F.col("at") - F.col("place")
+    low = F.greatest(F.lit(0), -shift)
+    length = F.least(F.col("item_size"), F.size("words") - shift) - low
+    laid = (
         _windows(docs, masks, "id", "words")
         .join(F.broadcast(seeds), "seed")
-        .withColumn("shift", F.col("at") - F.col("place"))
-        .join(F.broadcast(items), "item_id")
-    )
-    return spot.select(
-        "id", "item_id", "needed", _score(F.col("words"), F.col("item"), F.col("shift")).alias("score")
+        .where(first)
+        .select("id", "item_id", "item_digest", low.alias("low"), F.slice("words", low + shift + 1, length).alias("over"))
+        .distinct()
     )
+    both = laid.join(F.broadcast(items), ["item_id", "item_digest"])
+    part = F.slice("item", F.col("low") + 1, F.size("over"))
+    return both.select("id", "item_id", "needed", _score(part, F.col("over")).alias("score"))
 
 
 def leaks(
@@ -103,6 +120,8 @@ def leaks(
     items = items.withColumn(
         "needed", F.least(F.lit(least_score), F.ceil(F.size("words") * F.lit(least_share)))
     )
+    # Rows that repeat an item's id are told apart by their words.
+    items = items.withColumn("item_digest", F.xxhash64("words"))
     found, scratch = [], []
     span = len(MASKS[0])
     for masks, fits in (
@@ -110,8 +129,13 @@ def leaks(
         ((SHORT_MASK,), F.size("words").between(len(SHORT_MASK), span - 1)),
     ):
         side = written(items.where(fits), "items")
-        seeds = _windows(side, masks, "item_id", "words").drop("words")
-        seeds = written(seeds.withColumnRenamed("at", "place"), "seeds")
+        seeds = written(
+            _windows(side, masks, "item_id", "item_digest", "words").select(
+                "seed", "item_id", "item_digest", F.size("words").alias("item_size"), F.col("mask").alias("item_mask"),
+                F.col("at").alias("place"), _hash_before(masks, F.col("words")).alias("before"),
+            ),
+            "seeds",
+        )
         scratch += [side, seeds]
         total = seeds.count()
         blocks = -(-total // BROADCAST_ROWS)

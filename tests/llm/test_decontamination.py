@@ -1,4 +1,5 @@
 import random
+import time
 
 from corpus import documents, edge_rows, prose, with_clashes
 
@@ -62,3 +63,21 @@ def test_edge_cases(spark):
     assert {(r["doc_id"], r["item_id"]) for r in result} == {(8, 1), (11, 1)}
     assert decontamination.leaks(docs, benchmark.limit(0)).count() == 0
     assert decontamination.leaks(docs.limit(0), benchmark).count() == 0
+
+
+def test_one_word_over_and_over(spark):
+    """Work follows the ways to lay an item over a text, not the hits."""
+    item, docs = "same " * 60, [(1, "same " * 20_000), (2, "same other " * 3000), (3, "x " * 500 + "same " * 30)]
+    started = time.time()
+    got = decontamination.leaks(
+        documents(spark, docs), spark.createDataFrame([(9, item), (8, "same other " * 20)], SCHEMA)
+    ).collect()
+    assert time.time() - started < 20
+    assert {tuple(r) for r in got} == {(1, 9, 60), (3, 9, 30), (2, 8, 40)}
+
+
+def test_items_that_share_an_id_are_both_looked_for(spark):
+    first, second = (" ".join(f"{c}{k}" for k in range(20)) for c in "ab")
+    docs = documents(spark, [(1, first), (2, second), (3, first + " " + second)])
+    got = decontamination.leaks(docs, spark.createDataFrame([(9, first), (9, second), (None, first)], SCHEMA))
+    assert {tuple(r)[:2] for r in got.collect()} == {(1, 9), (2, 9), (3, 9)}
