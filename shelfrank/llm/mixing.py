@@ -12,6 +12,10 @@ ranges instead: sums per source and range find the range in which the budget run
 out, which is parted again by its own keys while it holds many rows, and only the
 last part is sorted. The outcome of a round is one row per source,
 the key at which it stopped; whether a document is taken is an expression of it.
+
+Keys are drawn from id and text, so that only rows that repeat both share one. Among those it
+does not matter which are taken, only how many: they are told apart by their place in the
+input.
 """
 
 from __future__ import annotations
@@ -47,7 +51,7 @@ def quality_weight(text: str | Column) -> Column:
 
 
 def sampling_key(identity: Column, weight: Column, seed: int = SEED) -> Column:
-    """Exponential draw over weight; the draw depends on the seed and the id alone."""
+    """Exponential draw over weight; the draw depends on the seed and the identity alone."""
     drawn = F.shiftrightunsigned(F.xxhash64(F.lit(seed), identity), 64 - _BITS)
     return -F.log((drawn + 0.5) / float(1 << _BITS)) / weight
 
@@ -94,7 +98,7 @@ def _taken() -> Column:
     """Whether a row fits a round of its source and comes before the key at which it stopped."""
 
     def in_round(found: Column) -> Column:
-        within = F.struct("key", "id") < found["stop"]
+        within = F.struct("key", "tie") < found["stop"]
         return (F.col("size") <= found["budget"]) & F.coalesce(within, F.lit(True))
 
     return F.exists("rounds", in_round)
@@ -105,6 +109,7 @@ def _edges(part: DataFrame) -> DataFrame:
     sums = part.groupBy("number", "budget", "before", "range").agg(
         F.sum("size").alias("sum"), F.count(F.lit(1)).alias("rows"),
         F.min("key").alias("low"), F.max("key").alias("high"),
+        F.min("tie").alias("low_tie"), F.max("tie").alias("high_tie"),
     )
     # At most KEY_RANGES rows per source.
     ranges = Window.partitionBy("number").orderBy("range")
@@ -113,8 +118,8 @@ def _edges(part: DataFrame) -> DataFrame:
     return (
         sums.withColumn("so_far", F.col("before") + so_far).where("so_far > budget")
         .groupBy("number")
-        .agg(F.min(F.struct("range", start, "rows", "low", "high")).alias("edge"))
-        .select("number", "edge.before", "edge.rows", "edge.low", "edge.high")
+        .agg(F.min(F.struct("range", start, "rows", "low", "high", "low_tie", "high_tie")).alias("edge"))
+        .select("number", *[f"edge.{c}" for c in ("before", "rows", "low", "high", "low_tie", "high_tie")])
     )
 
 
@@ -125,28 +130,31 @@ def _next_round(rows: DataFrame, sources: DataFrame) -> DataFrame:
     waiting = rows.join(narrow_side(sources), "number").where(~_taken() & (F.col("size") <= budget))
     step = F.floor(KEY_RANGES * (1 - F.exp(-F.col("key")))).cast("int")
     waiting = waiting.select(
-        "number", "budget", F.lit(0).cast("long").alias("before"), "id", "size", "key", step.alias("range")
+        "number", "budget", F.lit(0).cast("long").alias("before"), "tie", "size", "key", step.alias("range")
     )
     everything = waiting.groupBy("number").agg(F.sum("size").alias("all"))
     part, scratch = waiting, []
     while True:
         edge = written(_edges(part), "edges")
         scratch.append(edge)
+        one_key = F.col("low") == F.col("high")
         inside = waiting.drop("before", "range").join(narrow_side(edge), "number").where(
             F.col("key").between(F.col("low"), F.col("high"))
+            & (~one_key | F.col("tie").between(F.col("low_tie"), F.col("high_tie")))
         )
-        # Rows of one key cannot be parted.
-        large = (F.col("rows") > RANGE_ROWS) & (F.col("low") < F.col("high"))
-        if edge.where(large).isEmpty():
+        if edge.where(F.col("rows") > RANGE_ROWS).isEmpty():
             break
-        share = F.try_divide(F.col("key") - F.col("low"), F.col("high") - F.col("low"))
+        # Rows of one key are parted by their places.
+        by_key = F.try_divide(F.col("key") - F.col("low"), F.col("high") - F.col("low"))
+        by_tie = F.try_divide(F.col("tie") - F.col("low_tie"), F.col("high_tie") - F.col("low_tie"))
+        share = F.when(one_key, by_tie).otherwise(by_key)
         finer = F.least(F.floor(KEY_RANGES * share), F.lit(KEY_RANGES - 1)).cast("int")
         part = inside.withColumn("range", F.coalesce(finer, F.lit(0)))
-    in_order = Window.partitionBy("number").orderBy("key", "id")
+    in_order = Window.partitionBy("number").orderBy("key", "tie")
     running = F.sum("size").over(in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     over = inside.withColumn("sum", F.col("before") + running).where("sum > budget")
     found = over.groupBy("number").agg(
-        F.min(F.struct("key", "id")).alias("stop"),
+        F.min(F.struct("key", "tie")).alias("stop"),
         F.min(F.col("sum") - F.col("size")).alias("spent"),
     )
     spent = F.coalesce("spent", "all", F.lit(0))
@@ -163,20 +171,19 @@ def _next_round(rows: DataFrame, sources: DataFrame) -> DataFrame:
     return result
 
 
-def _rounds_type(rows: DataFrame) -> str:
-    identity = rows.schema["id"].dataType.simpleString()
-    return f"array<struct<budget: double, stop: struct<key: double, id: {identity}>>>"
+_ROUNDS = "array<struct<budget: double, stop: struct<key: double, tie: bigint>>>"
 
 
 def _drawn(
     docs: DataFrame, id_column: str, text_column: str, source_column: str, weight: Column | None, seed: int
 ) -> list[Column]:
-    """Columns id, source, size and key, expressions over the documents alone."""
+    """Columns id, source, size, key and tie, expressions over the documents alone."""
     text, identity = docs[f"`{text_column}`"], docs[f"`{id_column}`"]
     drawn = quality_weight(text) if weight is None else weight
     return [
         identity.alias("id"), docs[f"`{source_column}`"].alias("source"), word_count(text).alias("size"),
-        sampling_key(identity, drawn, seed).alias("key"),
+        sampling_key(F.struct(identity, text), drawn, seed).alias("key"),
+        F.monotonically_increasing_id().alias("tie"),
     ]
 
 
@@ -190,13 +197,13 @@ def _sources(rows: DataFrame, weights: tuple[float, ...], most: int) -> DataFram
         source_targets(sizes, weights, most)
         .withColumn("epochs", epochs)
         .withColumn("budget", F.col("target") - F.col("epochs") * F.col("source_size"))
-        .withColumn("rounds", F.expr(f"cast(array() as {_rounds_type(rows)})")),
+        .withColumn("rounds", F.expr(f"cast(array() as {_ROUNDS})")),
         "sources",
     )
     names = sources.select(F.col("source").alias("name"), "number")
     same_source = F.col("source").eqNullSafe(F.col("name"))
     numbered = written(
-        rows.join(narrow_side(names), same_source).select("id", "number", "size", "key"), "numbered"
+        rows.join(narrow_side(names), same_source).select("number", "size", "key", "tie"), "numbered"
     )
     scratch = [numbered]
     # A round takes a waiting document at least, and leaves less than the one it stopped at.
@@ -234,7 +241,8 @@ def mix(
     complete epochs of its source, plus one if the fractional epoch takes it. Whole
     documents only, so a source meets its target up to what no waiting document fits in.
     A null or empty text has size 0; a source without words has target 0 and times 0.
-    Null is a source of its own. Rows that repeat an id are drawn alike. An empty table
+    Null is a source of its own. Null and repeated ids change nothing: a row is drawn by id and
+    text, and of rows that repeat both as many are taken as fit. An empty table
     gives an empty result. `weight` is a column expression over `docs`, by default
     quality_weight of the text. The same input gives the same mix, however partitioned.
     """
@@ -266,7 +274,9 @@ def mix_documents(
 
     Size and key of a row are expressions of it and are computed again, so that only the
     table of one row per source is joined, and every row, with a null or repeated id too,
-    follows its own draw. Stored documents are read once more for it.
+    follows its own draw. Documents are read once more for it; of rows that repeat id and
+    text, the same ones are taken where both reads divide the input alike, as those of a
+    stored table do.
     """
     drawn = _drawn(docs, id_column, text_column, source_column, weight, seed)
     rows = written(docs.select(*drawn), "sizes")

@@ -6,6 +6,7 @@ from corpus import documents, edge_rows, prose, with_clashes
 from pyspark.sql import functions as F
 
 from shelfrank.llm import mixing
+from shelfrank.llm.spark_io import written
 
 
 def targets(sizes, weights=(5, 2, 1), most=3):
@@ -107,7 +108,7 @@ def test_large_ranges_are_parted_before_they_are_sorted(spark, monkeypatch):
 
 def test_smallest_keys_of_a_source_are_taken_first(spark):
     docs = documents(spark, [(k, "one two three four", "a" if k < 90 else "b") for k in range(120)])
-    keys = docs.select("doc_id", mixing.sampling_key(F.col("doc_id"), F.lit(1.0)).alias("key"))
+    keys = docs.select("doc_id", mixing.sampling_key(F.struct("doc_id", "text"), F.lit(1.0)).alias("key"))
     rows = mixing.mix(docs).join(keys, "doc_id").where("source = 'a'").orderBy("key").collect()
     times = [r["times"] for r in rows]
     assert times == sorted(times, reverse=True) and len(set(times)) == 2
@@ -156,3 +157,26 @@ def test_documents_follow_their_own_draw_without_a_join_of_their_own(spark):
         want[r["doc_id"], r["source"], r["size"]] += r["times"]
     counted = Counter((r["doc_id"], r["source"], len(r["text"].split())) for r in copies.collect())
     assert counted == +want and any(k[0] is None for k in counted)
+
+
+def test_null_and_repeated_ids_lose_no_budget(spark, monkeypatch):
+    rng = random.Random(12)
+    texts = [prose(rng, rng.randint(1, 40)) for _ in range(300)]
+    lone = [(9000 + k, prose(rng, 30), "b") for k in range(20)]
+    monkeypatch.setattr(mixing, "RANGE_ROWS", 20)
+    for rows in (
+        [(None, t, "a") for t in texts],
+        [(k % 3, t, "a") for k, t in enumerate(texts)],
+        [(k // 100, "one two three", "a") for k in range(300)],
+        [(None, "seven words are in this short text", "a")] * 300,
+    ):
+        found = mixed(documents(spark, rows + lone))
+        for source in "ab":
+            own = [r for r in found if r["source"] == source]
+            target, taken = own[0]["target"], sum(r["taken"] for r in own)
+            least = min(r["times"] for r in own)
+            waiting = [r["size"] for r in own if r["times"] == least < 3]
+            assert taken <= target + 1e-6
+            assert not waiting or taken + min(waiting) > target
+        copies = mixing.mix_documents(written(documents(spark, rows + lone).repartition(3), "docs"))
+        assert copies.count() == sum(r["times"] for r in found)
