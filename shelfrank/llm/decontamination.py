@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfrank.llm.spark_io import BROADCAST_ROWS, delete, named, written
+from shelfrank.llm.spark_io import BROADCAST_ROWS, delete, free_name, named, without, written
 
 # Fixed masks over eleven words; 1 marks the words that must agree.
 MASKS = ("11100100101", "11010001011", "10110100011", "10011101001")
@@ -159,3 +159,17 @@ def leaks(
     )
     delete(spark, *scratch)
     return result
+
+
+def clean_documents(
+    docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """The documents without a passage of the benchmark, with all columns.
+
+    Rows are known by a hash of id and text, so that one without an id, or with that of another
+    row, is judged by its own text.
+    """
+    name = free_name(docs, "decontamination_id")
+    keyed = docs.withColumn(name, F.xxhash64(docs[f"`{id_column}`"], docs[f"`{text_column}`"]))
+    found = leaks(keyed, benchmark, name, text_column)
+    return without(keyed, found.select(name), name).drop(name)

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfrank.llm.spark_io import BROADCAST_ROWS, delete, named, written
@@ -24,6 +24,7 @@ from shelfrank.llm.spark_io import BROADCAST_ROWS, delete, named, written
 BINS = 1 << 15
 # Labelled texts per language that the trigram models are fitted on, by smallest hash of id.
 SAMPLE_DOCS = 1500
+RANGE_BITS = 10
 # Trigrams of a text are far from independent: it counts as at most so many.
 EFFECTIVE = 40
 SMOOTHING = 4.0
@@ -88,6 +89,29 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _least_hashes(ids: DataFrame, n: int) -> DataFrame:
+    """The n rows (lang, id) of least hash of every language.
+
+    Counts by ranges of the hash show up to which range all rows belong; only the rows of
+    the range at the border are sorted, so no task sorts a language.
+    """
+    hashed = ids.withColumn("hash", F.xxhash64("id"))
+    hashed = hashed.withColumn("range", F.shiftright("hash", 64 - RANGE_BITS))
+    counts = hashed.groupBy("lang", "range").agg(F.count(F.lit(1)).alias("rows"))
+    # At most 2 ** RANGE_BITS rows a language.
+    upto = Window.partitionBy("lang").orderBy("range").rowsBetween(Window.unboundedPreceding, 0)
+    before = (F.sum("rows").over(upto) - F.col("rows")).alias("before")
+    wanted = counts.select("lang", "range", before).where(F.col("before") < n)
+    last = wanted.groupBy("lang").agg(F.max(F.struct("range", "before")).alias("last"))
+    # One row a language.
+    border = last.select("lang", F.col("last.range").alias("border"), F.col("last.before").alias("sure"))
+    near = hashed.join(F.broadcast(border), "lang").where(F.col("range") <= F.col("border"))
+    order = Window.partitionBy("lang").orderBy("hash", "id")
+    edge = near.where(F.col("range") == F.col("border")).withColumn("place", F.row_number().over(order))
+    edge = edge.where(F.col("place") <= F.lit(n) - F.col("sure"))
+    return near.where(F.col("range") < F.col("border")).select("id", "lang").unionByName(edge.select("id", "lang"))
+
+
 def fit_text_model(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     lang_column: str = "lang", sample_docs: int = SAMPLE_DOCS,
@@ -96,12 +120,9 @@ def fit_text_model(
 
     The ids are chosen before any text is read. Rows without text, id or language are left out.
     """
-    from pyspark.sql import Window
-
     rows = named(docs, {"id": id_column, "text": text_column, "lang": lang_column})
     ids = rows.where("id is not null and lang is not null").select("id", "lang")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    chosen = ids.withColumn("place", F.row_number().over(order)).where(F.col("place") <= sample_docs)
+    chosen = _least_hashes(ids, sample_docs)
     sample = rows.join(F.broadcast(chosen.select("id", "lang")), ["id", "lang"], "left_semi")
     table = (
         sample.where("text is not null").select("lang", "text")

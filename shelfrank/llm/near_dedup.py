@@ -26,8 +26,10 @@ from pyspark.sql import functions as F
 
 from shelfrank.llm.components import components
 from shelfrank.llm.hashing import flat, mixed, shingle_sets
-from shelfrank.llm.spark_io import delete, named, narrow_side, sorted_groups, written
+from shelfrank.llm.spark_io import delete, free_name, named, narrow_side, sorted_groups, without, written
 
+# Ids that rows without one get; greater than any id in use.
+FIRST_NUMBER = 1 << 62
 SHINGLE_WORDS = 5
 PERCENT = 75
 TREES = 20
@@ -229,7 +231,8 @@ def near_duplicates(
     by its smallest id, and only the row of that id has `kept`.
 
     A null or empty text has an empty set and is linked with nothing. A row without an
-    id is kept, with a null component, unless its text equals that of another row. Rows
+    id is kept, with a null component, unless its set equals that of a row with an id; then it
+    has that row's component and is not kept. Rows
     that repeat an id count as one document; an empty table gives an empty result. Further columns are
     ignored. Sets are compared by 64-bit hashes of their shingles.
     """
@@ -290,10 +293,27 @@ def near_duplicates(
             F.col("id").alias(id_column),
             "n_shingles",
             component.alias("component_id"),
-            F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"),
+            F.when(F.col("id").isNull(), component.isNull()).otherwise(component == F.col("id")).alias("kept"),
         ),
         "near_duplicates",
     )
     delete(spark, sketches, sets, regions, clusters, members)
     return result
 
+
+
+def distinct_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """One document of every group of near-duplicates, that with the smallest id, with all columns.
+
+    Rows without an id take part too: they are numbered above all ids first, in a stored copy
+    that all steps read, so that of copies without an id one stays. Rows that repeat an id count
+    as one document and stay or go together.
+    """
+    name = free_name(docs, "near_dedup_id")
+    own = F.col(f"`{id_column}`").cast("long")
+    keyed = docs.withColumn(name, own)
+    if not docs.where(own.isNull()).isEmpty():
+        number = F.lit(FIRST_NUMBER) + F.monotonically_increasing_id()
+        keyed = written(docs.withColumn(name, F.coalesce(own, number)), "numbered")
+    judged = near_duplicates(keyed, name, text_column)
+    return without(keyed, judged.where("not kept").select(name), name).drop(name)

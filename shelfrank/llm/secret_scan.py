@@ -47,32 +47,38 @@ _SPAN = "struct<start: int, kind: int, `end`: int, value: string>"
 def _spans(text: Column, kind: int, pattern: str, group: int, least: int) -> Column:
     """All leftmost matches that do not overlap, with places in code points.
 
-    The pieces between the matches and the matches themselves make up the text, so the
-    places are sums of their lengths.
+    The pieces between the matches and the matches themselves make up the text, so one pass
+    that adds up their lengths gives all places.
     """
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     value = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else whole
-    piece = F.transform(F.split(text, pattern, -1), F.length)
-    parts = F.struct(
-        F.transform(whole, F.length).alias("length"), value.alias("value"), piece.alias("piece")
+    lengths = F.zip_with(
+        F.split(text, pattern, -1),
+        value,
+        lambda piece, v: F.struct(F.length(piece).alias("piece"), v.alias("value")),
+    )
+    parts = F.zip_with(
+        lengths,
+        whole,
+        lambda p, match: F.struct(
+            p["piece"].alias("piece"), F.length(match).alias("length"), p["value"].alias("value")
+        ),
     )
 
-    def add(total, x):
-        return total + x
-
-    def span(p):
-        def one(v, i):
-            before = F.aggregate(F.slice(p["piece"], 1, i + 1), F.lit(0), add)
-            start = before + F.aggregate(F.slice(p["length"], 1, i), F.lit(0), add)
-            end = start + F.get(p["length"], i)
-            return F.struct(
-                start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), v.alias("value")
-            )
-
-        return one
-
-    found = F.transform(F.array(parts), lambda p: F.transform(p["value"], span(p)))
-    long_enough = F.filter(F.get(found, 0), lambda s: F.length(s["value"]) >= least)
+    def step(state, part):
+        start = state["at"] + part["piece"]
+        end = start + part["length"]
+        one = F.struct(
+            start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), part["value"].alias("value")
+        )
+        # The last piece has no match behind it.
+        long_enough = F.length(part["value"]) >= least
+        found = F.when(long_enough, F.concat(state["found"], F.array(one))).otherwise(state["found"])
+        return F.struct(end.alias("at"), found.alias("found"))
+
+    none = F.array().cast(f"array<{_SPAN}>")
+    first = F.struct(F.lit(0).alias("at"), none.alias("found"))
+    long_enough = F.aggregate(parts, first, step, lambda state: state["found"])
     return F.when(F.regexp_like(text, F.lit(pattern)), long_enough).otherwise(
         F.array().cast(f"array<{_SPAN}>")
     )

@@ -42,6 +42,14 @@ def named(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return df.select([df[f"`{column}`"].alias(own) for own, column in columns.items()])
 
 
+def free_name(docs: DataFrame, wanted: str) -> str:
+    """A column name that the frame does not have, whatever the case of letters."""
+    taken = {column.lower() for column in docs.columns}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
+
+
 def without(docs: DataFrame, ids: DataFrame, id_column: str) -> DataFrame:
     """The documents whose id is not among `ids`, a stored table of one column."""
     gone = ids.select(F.col(ids.columns[0]).alias("id")).distinct()

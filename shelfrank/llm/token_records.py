@@ -36,7 +36,8 @@ from shelfrank.llm.spark_io import named
 # Fixed value: the constant of the checksum mask.
 MASK_DELTA = 0xA282EAD8
 NO_ID = -(1 << 63)
-CACHED_WORDS = 1_000_000
+# Words a worker keeps while it writes a shard; forgotten when they are more, and at its end.
+CACHED_WORDS = 400_000
 # Marks that a byte-level tokenizer keeps together, apart from the letters before them.
 MARKS = ".,;:!?&%$#*|"
 READ_BYTES = 8 << 20
@@ -48,7 +49,7 @@ _OWN_BYTES = struct.calcsize(_OWN)
 
 
 def _byte_signs() -> dict[int, str]:
-    """The printable sign that byte-level tokenizers write for every byte: its own if it has
+    """Fixed values of byte-level tokenizer files: the printable sign that byte-level tokenizers write for every byte: its own if it has
     one, else the next from 256 on."""
     own = [b for b in range(256) if 33 <= b < 127 or 161 <= b < 173 or 174 <= b]
     rest = [b for b in range(256) if b not in own]
@@ -109,9 +110,9 @@ class Encoder:
             and not any(t["lstrip"] or t["rstrip"] or re.search(r"\s", t["content"]) for t in added)
         )
         self.line_end = self._piece("\n") if self.by_word else []
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
         # A word is known by itself, the first word of a text by a blank before it. Its
         # tokens are those from one of the ends to the next.
         self.known: dict[str, int] = {}
@@ -178,7 +179,7 @@ class Encoder:
         if not self.by_word:
             return [np.array(ids, dtype=np.uint32) for ids in self._whole(texts)]
         if len(self.known) > CACHED_WORDS:
-            self._forget()
+            self.forget()
         words: list[str] = []
         bounds = [0]
         for text in texts:
@@ -211,7 +212,7 @@ class Encoder:
 
 @cache
 def encoder(path: str) -> Encoder:
-    """One per Python worker: what it has learnt serves the worker's later tasks too."""
+    """One per Python worker, as a tokenizer file is slow to load."""
     return Encoder(path)
 
 
@@ -222,18 +223,18 @@ def _write_shard(folder: str, tokenizer: str, end_id: int):
         shard = TaskContext.get().partitionId()
         # Every attempt writes files of its own; only those of the manifest count.
         name = f"{folder}/shard-{shard:06d}-{uuid.uuid4().hex}"
-        encode = data = index = None
+        coder = data = index = None
         place = records = tokens = 0
         for batch in batches:
             if not batch.num_rows:
                 continue
             if data is None:
-                encode = encoder(tokenizer).encode
+                coder = encoder(tokenizer)
                 data, index = store.create(f"{name}.rec"), store.create(f"{name}.idx")
             for low in range(0, batch.num_rows, 500):
                 part = batch.slice(low, 500)
                 texts = [text or "" for text in part.column("text").to_pylist()]
-                for own, ids in zip(part.column("id").to_pylist(), encode(texts), strict=True):
+                for own, ids in zip(part.column("id").to_pylist(), coder.encode(texts), strict=True):
                     ids = np.append(ids, np.uint32(end_id))
                     width = 2 if ids.max() < 1 << 16 else 4
                     head = struct.pack(_OWN, NO_ID if own is None else own, width)
@@ -244,6 +245,8 @@ def _write_shard(folder: str, tokenizer: str, end_id: int):
         if data is not None:
             data.close()
             index.close()
+            # Workers live on, and other stages need the memory.
+            coder.forget()
             row = {
                 "shard": [shard], "data": [f"{name}.rec"], "index": [f"{name}.idx"],
                 "records": [records], "tokens": [tokens], "bytes": [place],
@@ -268,7 +271,8 @@ def write_token_records(
     spark = docs.sparkSession
     rows = named(docs, {"id": id_column, "text": text_column})
     rows = rows.withColumn("id", F.col("id").cast("long"))
-    ordered = rows.repartitionByRange("id").sortWithinPartitions("id")
+    # The hash divides rows without an id and rows that repeat one.
+    ordered = rows.repartitionByRange("id", F.xxhash64("text")).sortWithinPartitions("id")
     ordered.mapInArrow(_write_shard(folder, tokenizer, end_id), _MANIFEST).write.parquet(
         f"{folder}/manifest"
     )

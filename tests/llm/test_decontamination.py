@@ -81,3 +81,13 @@ def test_items_that_share_an_id_are_both_looked_for(spark):
     docs = documents(spark, [(1, first), (2, second), (3, first + " " + second)])
     got = decontamination.leaks(docs, spark.createDataFrame([(9, first), (9, second), (None, first)], SCHEMA))
     assert {tuple(r)[:2] for r in got.collect()} == {(1, 9), (2, 9), (3, 9)}
+
+
+def test_rows_without_an_id_are_cleaned_too(spark):
+    item = " ".join(f"w{k}" for k in range(30))
+    rows = [(None, "a " + item), (None, "clean words"), (3, item + " b"), (3, "clean too"), (4, None), (None, None)]
+    docs = with_clashes(documents(spark, rows))
+    kept = decontamination.clean_documents(docs, spark.createDataFrame([(9, item)], SCHEMA))
+    assert kept.columns == docs.columns
+    got = sorted((str(r["doc_id"]), str(r["text"])) for r in kept.collect())
+    assert got == [("3", "clean too"), ("4", "None"), ("None", "None"), ("None", "clean words")]

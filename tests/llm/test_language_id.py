@@ -1,6 +1,7 @@
 import random
 
 from corpus import DOCUMENTS, with_clashes
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from shelfrank.llm import language_id
@@ -84,3 +85,14 @@ def test_edge_cases(spark):
     assert language_id.identify(df.limit(0), model(spark)).count() == 0
     empty = language_id.fit_text_model(spark.createDataFrame([], DOCUMENTS))
     assert {r["lang"] for r in language_id.identify(df, empty).collect()} == {None}
+
+
+def test_sample_holds_the_least_hashes_of_every_language(spark):
+    langs = F.when(F.col("id") % 3 > 0, "en").when(F.col("id") % 9 == 0, "de").otherwise("fr")
+    ids = spark.range(20_000).select("id", langs.alias("lang"))
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"))
+    placed = ids.withColumn("place", F.row_number().over(order))
+    for n in (1, 700, 5000):
+        want = placed.where(F.col("place") <= n).select("id", "lang")
+        got = language_id._least_hashes(ids, n).select("id", "lang")
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))

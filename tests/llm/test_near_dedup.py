@@ -87,3 +87,29 @@ def test_threshold_is_exact(spark, extra, linked):
     words = [f"w{k}" for k in range(13)]
     rows = [(1, " ".join(words)), (2, " ".join(words + [f"x{k}" for k in range(extra)]))]
     assert judged(documents(spark, rows))[2][1] == (1 if linked else 2)
+
+
+def test_rows_without_an_id(spark):
+    rng = random.Random(9)
+    first, second = prose(rng, 30), prose(rng, 30)
+    rows = [(7, first), (None, first), (None, first), (None, second), (None, second), (None, None)]
+    found = near_dedup.near_duplicates(documents(spark, rows))
+    got = sorted(map(str, ((r["doc_id"], r["component_id"], r["kept"]) for r in found.collect())))
+    want = [(7, 7, True)] + [(None, 7, False)] * 2 + [(None, None, True)] * 3
+    assert got == sorted(map(str, want))
+
+
+def test_one_document_of_each_group_stays_also_without_ids(spark):
+    rng = random.Random(10)
+    base = prose(rng, 60)
+    near = base.split()
+    near[30] = "other"
+    rows = [(5, base), (None, base), (4, " ".join(near)), (None, "alone " + prose(rng, 30)), (None, None)]
+    rows += [(None, "twice " * 9), (None, "twice " * 9)]
+    docs = with_clashes(documents(spark, rows))
+    kept = near_dedup.distinct_documents(docs)
+    assert kept.columns == docs.columns
+    texts = sorted((r["doc_id"] or 0, (r["text"] or "")[:6]) for r in kept.collect())
+    assert texts == [(0, ""), (0, "alone "), (0, "twice "), (4, base[:6])]
+    whole = near_dedup.distinct_documents(documents(spark, rows[:1]))
+    assert whole.count() == 1

@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 import string
+import time
 
 from corpus import documents, edge_rows, prose, with_clashes
 
@@ -93,3 +94,12 @@ def test_edge_cases(spark):
     many = " ".join(["0123456789abcdef01234567"] * 300)
     (row,) = listed(spark, documents(spark, [(1, many)]))
     assert row["n_hex"] == 300 and row["spans"] == brute(many)
+
+
+def test_many_spans_in_one_text(spark):
+    """Places are added up in one pass, so a text of very many spans takes no square of them."""
+    text = " ".join("0123456789abcdef" * 2 for _ in range(20_000))
+    started = time.time()
+    (found,) = listed(spark, documents(spark, [(1, text)]))
+    assert time.time() - started < 20
+    assert found["n_hex"] == 20_000 and found["spans"] == brute(text)
