@@ -10,26 +10,27 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shelfrank.llm import decontamination, mixing, near_dedup, quality
 from shelfrank.llm.queries import bounded_batches, table, token_digests
-from shelfrank.llm.spark_io import delete, without, written
+from shelfrank.llm.spark_io import delete, written
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rule ensemble accepts."""
+    """Documents that the rule ensemble accepts; null and empty texts are judged as empty ones."""
     model = quality.train(docs, table(spark, sf_dir, "labels"))
     return quality.accepted_documents(docs, model)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group of near-duplicates, that with the smallest id."""
+    """One document of every group of near-duplicates, that with the smallest id.
+
+    Of copies without an id one stays; rows that repeat an id count as one document.
+    """
     bounded_batches(spark)
-    judged = near_dedup.near_duplicates(docs)
-    return without(docs, judged.where("not kept").select("doc_id"), "doc_id")
+    return near_dedup.distinct_documents(docs)
 
 
 def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
-    found = decontamination.leaks(docs, table(spark, sf_dir, "benchmark"))
-    return without(docs, found.select("doc_id"), "doc_id")
+    """Documents without a passage of the benchmark; every row is judged by its own text."""
+    return decontamination.clean_documents(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
