@@ -72,19 +72,26 @@ def shared_folder(spark: SparkSession) -> str:
                 f"spark.checkpoint.dir {configured} lies on the disks of single machines; "
                 f"set {MOUNTED} to true if all of them mount it"
             )
-        return configured.rstrip("/")
+        return _qualified(spark, configured.rstrip("/"))
     if not one_machine:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     app = context.applicationId
     if app not in _local_folders:
-        _local_folders[app] = tempfile.mkdtemp(prefix="shelfrank-")
+        _local_folders[app] = "file:" + tempfile.mkdtemp(prefix="shelfrank-")
     return _local_folders[app]
 
 
+def _qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with its file system: a bare path is one of the cluster's own, for Spark and
+    for tasks that write files of their own alike."""
+    if re.match(r"[A-Za-z][A-Za-z0-9+.-]*:", folder):
+        return folder
+    system = spark._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+    return f"{system.rstrip('/')}/{folder.lstrip('/')}"
+
+
 def _is_machine_local(spark: SparkSession, folder: str) -> bool:
-    if not re.match(r"[A-Za-z][A-Za-z0-9+.-]*:", folder):
-        # A bare path is one of the cluster's own file system.
-        folder = spark._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+    folder = _qualified(spark, folder)
     return folder.startswith("file:") and spark.conf.get(MOUNTED, "false") != "true"
 
 

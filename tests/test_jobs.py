@@ -181,6 +181,22 @@ def test_shared_folder_comes_from_the_session():
     assert path.startswith(folder + "/shelfrank-") and path.endswith("/t")
 
 
+@pytest.mark.parametrize(
+    ("system", "folder"),
+    [("hdfs://cluster:9000", "hdfs://cluster:9000/shared"), ("hdfs://cluster/", "hdfs://cluster/shared")],
+)
+def test_a_bare_folder_is_one_of_the_default_file_system(system, folder):
+    fake = FakeSession("yarn", "/shared/")
+    settings = SimpleNamespace(get=lambda key, default: system)
+    fake._jsc = SimpleNamespace(hadoopConfiguration=lambda: settings)
+    assert session.shared_folder(fake) == folder
+    settings.get = lambda key, default: "file:///"
+    with pytest.raises(RuntimeError, match="single machines"):
+        session.shared_folder(fake)
+    fake.conf[session.MOUNTED] = "true"
+    assert session.shared_folder(fake) == "file:/shared"
+
+
 def test_local_mode_falls_back_to_one_folder_per_application():
     fake = FakeSession("local[2]")
     assert session.shared_folder(fake) == session.shared_folder(fake)
