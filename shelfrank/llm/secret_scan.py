@@ -40,10 +40,46 @@ LEAST_RATIO = 12.0
 # Weight of the characters' own frequencies in a transition, in observations.
 PRIOR = 10.0
 CODES = 128
+BLOCK = 128
 
 _SPAN = "struct<start: int, kind: int, `end`: int, value: string>"
 
 
+def _bound(value: Column, use) -> Column:
+    """use(value) with the value computed once."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def _folded(items: Column, first: Column, step) -> Column:
+    """(carry, found): a pass over items that carries a value and collects spans.
+
+    `step` takes what is carried and an item; it returns what to carry on and a span or null.
+    Spans are collected by blocks, as every addition copies what it adds to.
+    """
+    none = F.array().cast(f"array<{_SPAN}>").alias("found")
+
+    def one(state, item):
+        carry, span = step(state["carry"], item)
+        more = F.when(span.isNull(), state["found"]).otherwise(F.concat(state["found"], F.array(span)))
+        return F.struct(carry.alias("carry"), more.alias("found"))
+
+    def over(all_items):
+        def block(state, number):
+            part = F.slice(all_items, number * BLOCK + 1, BLOCK)
+            inner = F.aggregate(part, F.struct(state["carry"].alias("carry"), none), one)
+            return _bound(
+                inner,
+                lambda i: F.struct(
+                    i["carry"].alias("carry"), F.concat(state["found"], i["found"]).alias("found")
+                ),
+            )
+
+        last = F.floor(F.greatest(F.size(all_items) - 1, F.lit(0)) / BLOCK).cast("int")
+        return F.aggregate(F.sequence(F.lit(0), last), F.struct(first.alias("carry"), none), block)
+
+    return _bound(items, over)
+
+
 def _spans(text: Column, kind: int, pattern: str, group: int, least: int) -> Column:
     """All leftmost matches that do not overlap, with places in code points.
 
@@ -65,20 +101,16 @@ def _spans(text: Column, kind: int, pattern: str, group: int, least: int) -> Col
         ),
     )
 
-    def step(state, part):
-        start = state["at"] + part["piece"]
+    def step(at, part):
+        start = at + part["piece"]
         end = start + part["length"]
         one = F.struct(
             start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), part["value"].alias("value")
         )
         # The last piece has no match behind it.
-        long_enough = F.length(part["value"]) >= least
-        found = F.when(long_enough, F.concat(state["found"], F.array(one))).otherwise(state["found"])
-        return F.struct(end.alias("at"), found.alias("found"))
+        return end, F.when(F.length(part["value"]) >= least, one)
 
-    none = F.array().cast(f"array<{_SPAN}>")
-    first = F.struct(F.lit(0).alias("at"), none.alias("found"))
-    long_enough = F.aggregate(parts, first, step, lambda state: state["found"])
+    long_enough = _folded(parts, F.lit(0), step)["found"]
     return F.when(F.regexp_like(text, F.lit(pattern)), long_enough).otherwise(
         F.array().cast(f"array<{_SPAN}>")
     )
@@ -143,8 +175,29 @@ def fit(random: DataFrame, ordinary: DataFrame) -> MarkovRatio:
     )
 
 
-def _apart(run: Column, base: Column) -> Column:
-    return ~F.exists(base, lambda s: (s["start"] < run["end"]) & (run["start"] < s["end"]))
+def _apart(runs: Column, base: Column) -> Column:
+    """The runs that no base span overlaps, from one pass over both in the order of places.
+
+    Runs do not overlap each other, so a base span can only meet the last run before it; and a
+    run meets a base span before it if any of those reaches beyond its start.
+    """
+    first = F.struct(F.lit(0).alias("reach"), F.lit(None).cast(_SPAN).alias("open"))
+
+    def step(state, s):
+        is_run = s["kind"] == len(PATTERNS)
+        met = s["start"] < state["open"]["end"]
+        still_open = F.when(is_run, F.when(s["start"] >= state["reach"], s)).otherwise(
+            F.when(~F.coalesce(met, F.lit(False)), state["open"])
+        )
+        reach = F.when(is_run, state["reach"]).otherwise(F.greatest(state["reach"], s["end"]))
+        return F.struct(reach.alias("reach"), still_open.alias("open")), F.when(is_run, state["open"])
+
+    def with_last(state):
+        last = state["carry"]["open"]
+        return F.when(last.isNull(), state["found"]).otherwise(F.concat(state["found"], F.array(last)))
+
+    swept = _bound(_folded(F.array_sort(F.concat(base, runs)), first, step), with_last)
+    return F.when(F.size(base) == 0, runs).otherwise(swept)
 
 
 def _listed(spans: Column) -> Column:
@@ -191,9 +244,8 @@ def secret_spans(
         added = F.array().cast(f"array<{_SPAN}>")
     else:
         ratio = fit(random, ordinary)
-        added = F.filter(
-            "runs", lambda s: _apart(s, F.col("base")) & (ratio.of(s["value"]) >= least_ratio)
-        )
+        apart = _apart(F.col("runs"), F.col("base"))
+        added = F.filter(apart, lambda s: ratio.of(s["value"]) >= least_ratio)
     result = written(found.select(F.col("id").alias(id_column), "base", added.alias("added")), "secrets")
     delete(spark, found)
     return result

@@ -5,6 +5,7 @@ import string
 import time
 
 from corpus import documents, edge_rows, prose, with_clashes
+from pyspark.sql import functions as F
 
 from shelfrank.llm import secret_scan
 
@@ -103,3 +104,21 @@ def test_many_spans_in_one_text(spark):
     (found,) = listed(spark, documents(spark, [(1, text)]))
     assert time.time() - started < 20
     assert found["n_hex"] == 20_000 and found["spans"] == brute(text)
+
+
+def test_runs_that_no_base_span_overlaps(spark):
+    rng = random.Random(31)
+    kind, rows = len(secret_scan.PATTERNS), []
+    for _ in range(300):
+        at, runs = 0, []
+        while at < 200:
+            at += rng.randint(1, 30)
+            runs.append((at, kind, at + rng.randint(16, 40), "r"))
+            at = runs[-1][2]
+        base = sorted((s, rng.randrange(kind), s + rng.randint(6, 60), "b") for s in rng.sample(range(260), rng.randint(0, 5)))
+        rows.append((runs, base))
+    spans = f"array<{secret_scan._SPAN}>"
+    df = spark.createDataFrame(rows, f"runs {spans}, base {spans}")
+    for got, runs, base in df.select(secret_scan._apart(F.col("runs"), F.col("base")), "runs", "base").collect():
+        want = [r for r in runs if not any(b["start"] < r["end"] and r["start"] < b["end"] for b in base)]
+        assert got == want
