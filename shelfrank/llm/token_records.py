@@ -37,7 +37,7 @@ from shelfrank.llm.spark_io import named
 MASK_DELTA = 0xA282EAD8
 NO_ID = -(1 << 63)
 # Words a worker keeps while it writes a shard; forgotten when they are more, and at its end.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 600_000
 # Marks that a byte-level tokenizer keeps together, apart from the letters before them.
 MARKS = ".,;:!?&%$#*|"
 READ_BYTES = 8 << 20
@@ -271,8 +271,9 @@ def write_token_records(
     spark = docs.sparkSession
     rows = named(docs, {"id": id_column, "text": text_column})
     rows = rows.withColumn("id", F.col("id").cast("long"))
-    # The hash divides rows without an id and rows that repeat one.
-    ordered = rows.repartitionByRange("id", F.xxhash64("text")).sortWithinPartitions("id")
+    # The place divides rows without an id and rows that repeat one.
+    placed = rows.withColumn("place", F.monotonically_increasing_id())
+    ordered = placed.repartitionByRange("id", "place").sortWithinPartitions("id")
     ordered.mapInArrow(_write_shard(folder, tokenizer, end_id), _MANIFEST).write.parquet(
         f"{folder}/manifest"
     )
