@@ -1,5 +1,9 @@
 """Every registered query against its SQL oracle on the smallest data set."""
 
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 from compare import differences, oracle_connection
 
@@ -44,3 +48,11 @@ def test_all_but_recommendations_for_all_train_twenty_iterations(spark, monkeypa
     monkeypatch.setattr(contract.rec, "fit_als", fit)
     with pytest.raises(Trained, match="20"):
         getattr(contract, name)(spark, "/root/testdata/sf0.001")
+
+
+def test_the_book_queries_stand_without_the_optional_part():
+    """Whatever the optional part cannot import, the rest is registered."""
+    code = "import sys; sys.modules['public_tokenizers'] = None; import __spark_entry__ as c; print(*c.queries())"
+    folder = str(Path(contract.__file__).parent)
+    done = subprocess.run([sys.executable, "-c", code], cwd=folder, capture_output=True, text=True, check=True)
+    assert set(done.stdout.split()) == set(contract.QUERIES)
