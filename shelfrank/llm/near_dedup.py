@@ -1,14 +1,15 @@
 """MinHash near-duplicates with an LSH forest.
 
-Every distinct shingle set gets a long MinHash signature, cut into one label per
-tree. Each tree orders the sets by their label. Sets with a longest common prefix
+Every distinct shingle set gets a long MinHash signature. A tree is an order of some of
+its values, the label, and sorts the sets by it. Sets with a longest common prefix
 of at least the least depth stand next to each other in that order and form a
-region; a region with too many sets is parted at the next label value, so dense
-regions of a tree are read at a greater depth than sparse ones. Within a region
-a walk joins sets whose signatures agree, which yields one link less than sets and
-never all pairs.
+region. The sets of a region that holds too many are read again at a greater depth, in
+so many more trees that a similar pair is missed there no more often than before: dense
+regions are parted finely and sparse ones are not. What is still dense at the greatest
+depth is one cluster as it is. Within every other region a walk joins sets whose
+signatures agree, which yields one link less than sets and never all pairs.
 
-The walks of all trees make clusters: whatever shares a region and looks similar.
+These links make clusters: whatever shares a region and looks similar.
 Inside a cluster the full shingle sets decide, block against block, again as
 walks: two sets end up in the same component exactly if a chain of links of the
 cluster joins them. Copies of a set are represented by one document throughout.
@@ -32,13 +33,13 @@ from shelfrank.llm.spark_io import delete, free_name, named, narrow_side, sorted
 FIRST_NUMBER = 1 << 62
 SHINGLE_WORDS = 5
 PERCENT = 75
-TREES = 20
+VALUES = 160
 LABEL = 8
-# A set pair of similarity 0.75 misses all trees at the least depth with chance 2e-5; pairs
-# that a parted region separates are lost more often.
-DEPTHS = (3, 4, 6, 8)
+# Depth and trees of each level; a set pair of similarity 0.75 misses all trees of a level
+# with a chance of at most 2e-5.
+LEVELS = ((3, 20), (5, 60), (8, 240))
 REGION_ROWS = 1024
-# Signatures of 160 values: similarity 0.75 falls below this share with chance 1e-5.
+# Similarity 0.75 falls below this share of the values with chance 1e-5.
 LOOKS_SIMILAR = 0.60
 BLOCK_ROWS = 512
 BLOCK_SHINGLES = 500_000
@@ -65,7 +66,7 @@ def _sketches(width: int):
                 signatures: list = [None] * len(sets)
                 if full:
                     values, offsets = flat([sets[k] for k in full])
-                    rows = _signatures(values, offsets, TREES * LABEL)
+                    rows = _signatures(values, offsets, VALUES)
                     for k, row in zip(full, rows, strict=True):
                         signatures[k] = row.tobytes()
                 digests = [
@@ -85,19 +86,53 @@ def _sketches(width: int):
     return run
 
 
-def _prefix_key(depth: int):
-    label = F.expr(f"substring(signature, tree * {2 * LABEL} + 1, {2 * depth})")
-    return F.xxhash64("tree", F.lit(depth), label).alias("region")
+def _labels(trees: int) -> np.ndarray:
+    """The places of a signature that each tree's label takes, in order, a row per tree.
 
+    The first trees share no value; further ones take the values in other orders.
+    """
+    places = np.arange(VALUES, dtype=np.uint64)
+    orders = [places.astype(np.int64)]
+    while len(orders) * VALUES < trees * LABEL:
+        orders.append(np.argsort(mixed(places + np.uint64(len(orders) * VALUES)), kind="stable"))
+    return np.concatenate(orders).reshape(-1, LABEL)[:trees]
+
+
+def _prefixes(depth: int, trees: int):
+    """(region, id): every set once per tree, the region named by tree and label prefix."""
+    labels = _labels(trees)[:, :depth]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        start = mixed(np.arange(1, trees + 1, dtype=np.uint64) * np.uint64(LABEL + 1) + np.uint64(depth))
+        for batch in batches:
+            joined = b"".join(batch.column("signature").to_pylist())
+            matrix = np.frombuffer(joined, dtype="<u2").reshape(-1, VALUES)
+            region = np.tile(start, (len(matrix), 1))
+            for k in range(depth):
+                region = mixed(region ^ (matrix[:, labels[:, k]].astype(np.uint64) + np.uint64(1)))
+            ids = np.repeat(batch.column("id").to_numpy(), trees)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(region.ravel().view(np.int64)), pa.array(ids)], names=["region", "id"]
+            )
 
-def _regions(sets: DataFrame) -> DataFrame:
-    """(region, id): the sets of every region of the forest with at least two of them."""
+    return run
+
+
+def _regions(sets: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """The regions to walk, (region, id), and what is joined without a walk, (node, component).
+
+    A pair that shares only dense regions has both its sets among those that the next level
+    reads, so no pair is lost by parting. Regions whose sets are all joined already are left out.
+    """
     spark = sets.sparkSession
-    trees = F.explode(F.expr(f"sequence(0, {TREES - 1})")).alias("tree")
-    rows = sets.select("id", trees, "signature").select("id", "tree", _prefix_key(DEPTHS[0]))
     parts = []
     scratch = []
-    for place, depth in enumerate(DEPTHS):
+    joined = None
+    level = sets
+    for depth, trees in LEVELS:
+        rows = level.select("id", "signature").mapInArrow(
+            _prefixes(depth, trees), "region long, id long"
+        )
         # The order of a tree puts equal prefixes together; only their number is needed here.
         sizes = rows.groupBy("region").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
         sized = written(rows.join(sizes, "region"), "regions")
@@ -106,31 +141,21 @@ def _regions(sets: DataFrame) -> DataFrame:
         dense = sized.where(F.col("size") > REGION_ROWS)
         if dense.isEmpty():
             break
-        if place + 1 < len(DEPTHS):
-            rows = dense.join(sets.select("id", "signature"), "id").select(
-                "id", "tree", _prefix_key(DEPTHS[place + 1])
-            )
-        else:
-            # Whole labels are equal, so any two sets of the region are near: blocks
-            # of it, each with the region's smallest set as the common member.
-            blocks = F.ceil(F.col("size") / REGION_ROWS)
-            spread = F.xxhash64("region", F.pmod(F.xxhash64("id"), blocks))
-            anchors = dense.groupBy("region", "size").agg(F.min("id").alias("id")).select(
-                F.explode(
-                    F.expr(
-                        f"transform(sequence(0L, ceil(size / {REGION_ROWS}) - 1), "
-                        "b -> xxhash64(region, b))"
-                    )
-                ).alias("region"),
-                "id",
-            )
-            parts.append(dense.select(spread.alias("region"), "id").unionByName(anchors).distinct())
+        level = sets.join(dense.select("id").distinct(), "id", "left_semi")
+    else:
+        least = dense.groupBy("region").agg(F.min("id").alias("a"))
+        joined = components(dense.join(least, "region").select("a", F.col("id").alias("b")))
     whole = parts[0]
     for part in parts[1:]:
         whole = whole.unionByName(part)
+    if joined is not None:
+        owner = F.coalesce("component", "id")
+        owned = whole.join(joined, F.col("id") == F.col("node"), "left").groupBy("region")
+        several = owned.agg(F.min(owner).alias("low"), F.max(owner).alias("high")).where("low != high")
+        whole = whole.join(several.select("region"), "region", "left_semi")
     found = written(whole, "regions")
     delete(spark, *scratch)
-    return found
+    return found, joined
 
 
 def _walk(size: int, near) -> list[tuple[int, int]]:
@@ -158,7 +183,7 @@ def _links(ids: np.ndarray, links: list[tuple[int, int]]) -> pa.RecordBatch:
 
 def _look_alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Walk every region in the order of its label; links where signatures agree."""
-    needed = LOOKS_SIMILAR * TREES * LABEL
+    needed = LOOKS_SIMILAR * VALUES
     for group in sorted_groups(batches, ["region"]):
         ids = group.column("id").to_numpy()
         if len(ids) < 2:
@@ -250,9 +275,11 @@ def near_duplicates(
         "sets",
     )
 
-    regions = _regions(sets)
+    regions, joined = _regions(sets)
     walked = regions.join(sets, "id").repartition("region").sortWithinPartitions("region", "signature", "id")
     alike = walked.select("region", "id", "signature").mapInArrow(_look_alike, "a long, b long")
+    if joined is not None:
+        alike = alike.unionByName(joined.select(F.col("node").alias("a"), F.col("component").alias("b")))
     clusters = written(components(alike).withColumnRenamed("component", "cluster"), "clusters")
 
     counted = clusters.join(sets.select(F.col("id").alias("node"), "n_shingles"), "node")

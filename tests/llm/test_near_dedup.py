@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from corpus import changed, documents, edge_rows, prose, with_clashes
+from corpus import changed, documents, edge_rows, prose, with_clashes, word
 
 from shelfrank.llm import near_dedup
 
@@ -61,6 +61,31 @@ def test_dense_regions_are_parted_without_losing_links(spark, monkeypatch):
     assert judged(documents(spark, rows)) == brute_force(rows)
 
 
+def test_links_inside_common_passages_are_found(spark, monkeypatch):
+    # All share a passage and are half alike, so that nearly every region of the forest is dense.
+    monkeypatch.setattr(near_dedup, "REGION_ROWS", 4)
+    rng = random.Random(21)
+    common, rows = prose(rng, 100), []
+    for number in range(0, 300, 2):
+        own = prose(rng, 50)
+        rows.append((number, f"{common} {own}"))
+        near = own.split()
+        for place in rng.sample(range(8, 44), 3):
+            near[place] = word(rng)
+        rows.append((number + 1, f"{common} {' '.join(near)}"))
+    found = judged(documents(spark, rows))
+    assert found == brute_force(rows)
+    assert sum(not kept for _, _, kept in found.values()) >= 120
+
+
+def test_labels_of_the_trees(spark):
+    labels = near_dedup._labels(240)
+    assert labels.shape == (240, near_dedup.LABEL)
+    assert sorted(labels[:20].ravel().tolist()) == list(range(near_dedup.VALUES))
+    assert all(len(set(label)) == near_dedup.LABEL for label in labels.tolist())
+    assert len({tuple(label) for label in labels.tolist()}) == 240
+
+
 def test_edge_cases(spark):
     found = near_dedup.near_duplicates(with_clashes(documents(spark, edge_rows()))).collect()
     assert len(found) == len(edge_rows())
