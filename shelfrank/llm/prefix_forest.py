@@ -133,7 +133,9 @@ def nearest(
     take no part, nor do null ids; vectors are compared with those of their own length.
     Of copies of a vector only the k + 1 with the smallest ids can be among the k nearest
     of anything, so no more of them enter the slices, however common the vector is. Rows
-    that repeat an id and a vector count once. An empty table gives an empty result.
+    that repeat an id and a vector count once. An id with several vectors is several points:
+    what is near any of a query's own is ranked in one list, with a row for each pair of points,
+    so that an id can occur in it again. An empty table gives an empty result.
     """
     spark = vectors.sparkSession
     vector = F.transform(vectors[f"`{vector_column}`"], lambda x: x.cast("double"))

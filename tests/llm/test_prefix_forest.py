@@ -87,3 +87,14 @@ def test_edge_cases(spark):
     assert [x[:3] for x in got if x[0] == 700] == [(700, 1, 800)]
     assert [x[2] for x in got if x[0] == 0] == [x[2] for x in brute(rows, [0])]
     assert searched(table(spark, [])) == []
+
+
+def test_an_id_with_several_vectors_is_several_points(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (1, [1.0, 0.25]), (2, [0.5, 1.0]), (1, [0.0, 1.5]), (1, [0.0, 1.5])]
+    points = sorted({(i, tuple(v)) for i, v in rows})
+    pairs = sorted(
+        (float(np.hypot(a[0] - b[0], a[1] - b[1])), i) for q, a in points if q == 0 for i, b in points if i
+    )
+    got = searched(table(spark, rows), 100, k=4)
+    assert [(x[2], x[1]) for x in got] == [(i, rank + 1) for rank, (_, i) in enumerate(pairs[:4])]
+    assert np.allclose([x[3] for x in got], [d for d, _ in pairs[:4]])
