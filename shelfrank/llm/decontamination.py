@@ -18,8 +18,10 @@ from shelfrank.llm.spark_io import BROADCAST_ROWS, delete, free_name, named, wit
 
 # Fixed masks over eleven words; 1 marks the words that must agree.
 MASKS = ("11100100101", "11010001011", "10110100011", "10011101001")
-# For items too short for them.
-SHORT_MASK = "11111"
+# Items of 5 to 14 words are read by four words in a row, those of seven also around their middle
+# word: every overlap that scores enough has such a hit.
+SHORT_ITEM = (5, 14)
+SHORT_MASKS = {"1111": SHORT_ITEM, "1110111": (7, 7)}
 # A stretch scores one for an equal word and minus one for a substituted one.
 LEAST_SCORE = 12
 LEAST_SHARE = 0.7
@@ -106,8 +108,9 @@ def leaks(
     """(id, item, score) for every document that holds a passage of a benchmark item.
 
     The score is that of the best stretch around any hit; it must reach `least_score`,
-    or `least_share` of the words of a shorter item. Texts are whole; null and empty
-    texts, and items of fewer words than the short mask, match nothing. Rows that repeat
+    or `least_share` of the words of a shorter item. Overlaps with items of 5 to 14 words are
+    all found; those with longer items if a mask of eleven words fits between the substitutions.
+    Texts are whole; null and empty texts, and items of fewer than five words, match nothing. Rows that repeat
     an id or an item's id count as one with either text. Empty tables give an empty
     result. Only windows of the benchmark are broadcast, in blocks of at most
     BROADCAST_ROWS seeds, with a pass over the documents for each block.
@@ -123,11 +126,9 @@ def leaks(
     # Rows that repeat an item's id are told apart by their words.
     items = items.withColumn("item_digest", F.xxhash64("words"))
     found, scratch = [], []
-    span = len(MASKS[0])
-    for masks, fits in (
-        (MASKS, F.size("words") >= span),
-        ((SHORT_MASK,), F.size("words").between(len(SHORT_MASK), span - 1)),
-    ):
+    kinds = [(MASKS, F.size("words") > SHORT_ITEM[1])]
+    kinds += [((mask,), F.size("words").between(*sizes)) for mask, sizes in SHORT_MASKS.items()]
+    for masks, fits in kinds:
         side = written(items.where(fits), "items")
         seeds = written(
             _windows(side, masks, "item_id", "item_digest", "words").select(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shelfrank.llm.decontamination import LEAST_SCORE, LEAST_SHARE, MASKS, SHORT_MASK
+from shelfrank.llm.decontamination import LEAST_SCORE, LEAST_SHARE, MASKS, SHORT_ITEM, SHORT_MASKS
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -43,13 +43,14 @@ def _seeds(side: str, key: str, mask: str, fits: str) -> str:
         where len(w) >= {len(mask)} and {fits})"""
 
 
-def _all_seeds(side: str, key: str, long: str, short: str) -> str:
-    parts = [_seeds(side, key, mask, long) for mask in MASKS]
-    return "\n  union all ".join([*parts, _seeds(side, key, SHORT_MASK, short)])
+def _all_seeds(side: str, key: str, size: str) -> str:
+    """Windows of all masks; `size` states which items a mask reads, with gaps for the bounds."""
+    parts = [_seeds(side, key, mask, size.format(SHORT_ITEM[1] + 1, 1 << 31)) for mask in MASKS]
+    parts += [_seeds(side, key, mask, size.format(*sizes)) for mask, sizes in SHORT_MASKS.items()]
+    return "\n  union all ".join(parts)
 
 
 _WORDS = r"list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '')"
-_SPAN = len(MASKS[0])
 
 # The best stretch is the largest rise of the running sum of +1 and -1 along an overlap.
 LEAKS = f"""
@@ -57,9 +58,8 @@ with texts as (select doc_id, {_WORDS} as w from documents),
 items as (
   select item_id, w, least({LEAST_SCORE}, cast(ceil(len(w) * {LEAST_SHARE}) as bigint)) as needed
   from (select item_id, {_WORDS} as w from benchmark)),
-doc_seeds as ({_all_seeds("texts", "doc_id", "true", "true")}),
-item_seeds as ({_all_seeds(
-    "items", "item_id", f"len(w) >= {_SPAN}", f"len(w) between {len(SHORT_MASK)} and {_SPAN - 1}")}),
+doc_seeds as ({_all_seeds("texts", "doc_id", "true")}),
+item_seeds as ({_all_seeds("items", "item_id", "len(w) between {} and {}")}),
 laid as (
   select distinct doc_id, item_id, d.pos - i.pos as shift
   from doc_seeds d join item_seeds i using (mask, seed)),

@@ -1,3 +1,5 @@
+import itertools
+import math
 import random
 import time
 
@@ -91,3 +93,41 @@ def test_rows_without_an_id_are_cleaned_too(spark):
     assert kept.columns == docs.columns
     got = sorted((str(r["doc_id"]), str(r["text"])) for r in kept.collect())
     assert got == [("3", "clean too"), ("4", "None"), ("None", "None"), ("None", "clean words")]
+
+
+def plain_score(same):
+    now = best = 0
+    for equal in same:
+        now = max(0, now + (1 if equal else -1))
+        best = max(best, now)
+    return best
+
+
+def test_short_items_with_every_choice_of_substituted_words(spark):
+    """Items of five to ten words against a plain score, whatever words are substituted."""
+    items, docs, want = [], [], set()
+    for size in range(3, 11):
+        item = [f"i{size}w{k}" for k in range(size)]
+        items.append((size, " ".join(item)))
+        for same in itertools.product([True, False], repeat=size):
+            number = len(docs)
+            body = [word if equal else f"x{number}" for word, equal in zip(item, same, strict=True)]
+            docs.append((number, " ".join(["before", *body, "after"])))
+            score = plain_score(same)
+            if size >= 5 and score >= min(12, math.ceil(size * 0.7)):
+                want.add((number, size, score))
+    result = decontamination.leaks(documents(spark, docs), spark.createDataFrame(items, SCHEMA))
+    assert {tuple(r) for r in result.collect()} == want
+
+
+def test_short_masks_hit_every_overlap_that_scores_enough():
+    low, high = decontamination.SHORT_ITEM
+    for size in range(low, high + 1):
+        for same in itertools.product([1, 0], repeat=size):
+            if plain_score(same) < min(12, math.ceil(size * 0.7)):
+                continue
+            masks = [m for m, (least, most) in decontamination.SHORT_MASKS.items() if least <= size <= most]
+            assert any(
+                all(same[at + k] for k, mark in enumerate(mask) if mark == "1")
+                for mask in masks for at in range(size - len(mask) + 1)
+            ), (size, same)
