@@ -7,7 +7,9 @@ region. The sets of a region that holds too many are read again at a greater dep
 so many more trees that a similar pair is missed there no more often than before: dense
 regions are parted finely and sparse ones are not. What is still dense at the greatest
 depth is one cluster as it is. Within every other region a walk joins sets whose
-signatures agree, which yields one link less than sets and never all pairs.
+signatures agree, which yields one link less than sets and never all pairs. The least depth and
+a tenth of the deeper trees are walked first; every set is then owned by the smallest
+one it is linked with, and the walks of the other trees link owners instead of sets.
 
 These links make clusters: whatever shares a region and looks similar.
 Inside a cluster the full shingle sets decide, block against block, again as
@@ -19,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +42,8 @@ LABEL = 8
 # with a chance of at most 2e-5.
 LEVELS = ((3, 20), (5, 60), (8, 240))
 REGION_ROWS = 1024
+# Of the deeper levels every tenth tree is walked before the others.
+EARLY = 10
 # Similarity 0.75 falls below this share of the values with chance 1e-5.
 LOOKS_SIMILAR = 0.60
 BLOCK_ROWS = 512
@@ -99,8 +104,9 @@ def _labels(trees: int) -> np.ndarray:
 
 
 def _prefixes(depth: int, trees: int):
-    """(region, id): every set once per tree, the region named by tree and label prefix."""
+    """(region, id, early): every set once per tree, the region named by tree and label prefix."""
     labels = _labels(trees)[:, :depth]
+    early = (np.arange(trees) % EARLY == 0) | (depth == LEVELS[0][0])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start = mixed(np.arange(1, trees + 1, dtype=np.uint64) * np.uint64(LABEL + 1) + np.uint64(depth))
@@ -112,14 +118,15 @@ def _prefixes(depth: int, trees: int):
                 region = mixed(region ^ (matrix[:, labels[:, k]].astype(np.uint64) + np.uint64(1)))
             ids = np.repeat(batch.column("id").to_numpy(), trees)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(region.ravel().view(np.int64)), pa.array(ids)], names=["region", "id"]
+                [pa.array(region.ravel().view(np.int64)), pa.array(ids), pa.array(np.tile(early, len(matrix)))],
+                names=["region", "id", "early"],
             )
 
     return run
 
 
 def _regions(sets: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """The regions to walk, (region, id), and what is joined without a walk, (node, component).
+    """The regions to walk, (region, id, early), and what is joined without a walk, (node, component).
 
     A pair that shares only dense regions has both its sets among those that the next level
     reads, so no pair is lost by parting. Regions whose sets are all joined already are left out.
@@ -131,13 +138,13 @@ def _regions(sets: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     level = sets
     for depth, trees in LEVELS:
         rows = level.select("id", "signature").mapInArrow(
-            _prefixes(depth, trees), "region long, id long"
+            _prefixes(depth, trees), "region long, id long, early boolean"
         )
         # The order of a tree puts equal prefixes together; only their number is needed here.
         sizes = rows.groupBy("region").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
         sized = written(rows.join(sizes, "region"), "regions")
         scratch.append(sized)
-        parts.append(sized.where(F.col("size") <= REGION_ROWS).select("region", "id"))
+        parts.append(sized.where(F.col("size") <= REGION_ROWS).select("region", "id", "early"))
         dense = sized.where(F.col("size") > REGION_ROWS)
         if dense.isEmpty():
             break
@@ -181,22 +188,71 @@ def _links(ids: np.ndarray, links: list[tuple[int, int]]) -> pa.RecordBatch:
     )
 
 
+def _owner_links(owners: list[int], links: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """(smallest owner, other owner) for all owners that links between their sets join."""
+    over: dict[int, int] = {}
+
+    def top(owner: int) -> int:
+        while (above := over.get(owner, owner)) != owner:
+            over[owner] = owner = over.get(above, above)
+        return owner
+
+    for a, b in links:
+        low, high = sorted((top(owners[a]), top(owners[b])))
+        if low != high:
+            over[high] = low
+    return [(top(owner), owner) for owner in over if top(owner) != owner]
+
+
 def _look_alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Walk every region in the order of its label; links where signatures agree."""
+    """Walk every region in the order of its label; links of owners where signatures agree."""
     needed = LOOKS_SIMILAR * VALUES
     for group in sorted_groups(batches, ["region"]):
-        ids = group.column("id").to_numpy()
-        if len(ids) < 2:
+        owners = group.column("owner").to_pylist()
+        if len(owners) < 2:
             continue
         joined = b"".join(group.column("signature").to_pylist())
-        matrix = np.frombuffer(joined, dtype="<u2").reshape(len(ids), -1)
+        matrix = np.frombuffer(joined, dtype="<u2").reshape(len(owners), -1)
 
         def near(k, rest, matrix=matrix):
             return np.count_nonzero(matrix[rest] == matrix[k], axis=1) >= needed
 
-        links = _walk(len(ids), near)
+        links = _owner_links(owners, _walk(len(owners), near))
         if links:
-            yield _links(ids, links)
+            low, high = zip(*links, strict=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(low, pa.int64()), pa.array(high, pa.int64())], names=["a", "b"]
+            )
+
+
+def _walked(regions: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b), a < b, of the walks of all regions, (region, id, owner)."""
+    rows = regions.join(sets, "id").select("region", "id", "owner", "signature")
+    ordered = rows.repartition("region").sortWithinPartitions("region", "signature", "id")
+    return written(ordered.mapInArrow(_look_alike, "a long, b long"), "alike")
+
+
+def _alike(sets: DataFrame) -> DataFrame:
+    """Links (a, b), stored, whose components are the clusters that the full sets decide.
+
+    A set is joined with its owner by a link of the early walks, so links between owners
+    stand for all links of the later ones; regions of one owner need no walk.
+    """
+    regions, joined = _regions(sets)
+    links = [_walked(regions.where("early").withColumn("owner", F.col("id")), sets)]
+    if joined is not None:
+        links.append(joined.select(F.col("component").alias("a"), F.col("node").alias("b")))
+    late = regions.where("not early")
+    if not late.isEmpty():
+        owners = reduce(DataFrame.unionByName, links).groupBy("b").agg(F.min("a").alias("owner"))
+        owned = late.join(owners, F.col("id") == F.col("b"), "left")
+        owned = written(owned.select("region", "id", F.coalesce("owner", "id").alias("owner")), "owned")
+        span = owned.groupBy("region").agg(F.min("owner").alias("low"), F.max("owner").alias("high"))
+        several = owned.join(span.where("low != high").select("region"), "region", "left_semi")
+        links.append(_walked(several, sets))
+        delete(sets.sparkSession, owned)
+    delete(sets.sparkSession, regions)
+    return reduce(DataFrame.unionByName, links)
 
 
 def _shingles(width: int):
@@ -275,11 +331,7 @@ def near_duplicates(
         "sets",
     )
 
-    regions, joined = _regions(sets)
-    walked = regions.join(sets, "id").repartition("region").sortWithinPartitions("region", "signature", "id")
-    alike = walked.select("region", "id", "signature").mapInArrow(_look_alike, "a long, b long")
-    if joined is not None:
-        alike = alike.unionByName(joined.select(F.col("node").alias("a"), F.col("component").alias("b")))
+    alike = _alike(sets)
     clusters = written(components(alike).withColumnRenamed("component", "cluster"), "clusters")
 
     counted = clusters.join(sets.select(F.col("id").alias("node"), "n_shingles"), "node")
@@ -324,7 +376,7 @@ def near_duplicates(
         ),
         "near_duplicates",
     )
-    delete(spark, sketches, sets, regions, clusters, members)
+    delete(spark, sketches, sets, alike, clusters, members)
     return result
 
 

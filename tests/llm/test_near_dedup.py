@@ -78,6 +78,13 @@ def test_links_inside_common_passages_are_found(spark, monkeypatch):
     assert sum(not kept for _, _, kept in found.values()) >= 120
 
 
+def test_links_join_owners_not_sets():
+    links = near_dedup._owner_links([5, 9, 5, 7, 3], [(0, 1), (0, 2), (1, 2), (3, 4)])
+    assert sorted(links) == [(3, 7), (5, 9)]
+    assert near_dedup._owner_links([4, 4, 4], [(0, 1), (1, 2)]) == []
+    assert sorted(near_dedup._owner_links([8, 2, 6], [(0, 2), (1, 2)])) == [(2, 6), (2, 8)]
+
+
 def test_labels_of_the_trees(spark):
     labels = near_dedup._labels(240)
     assert labels.shape == (240, near_dedup.LABEL)
