@@ -227,6 +227,41 @@ def test_machine_local_folders_are_refused_on_a_cluster(folder):
     assert session.shared_folder(FakeSession("local-cluster[3,2,3000]", folder)) == folder
 
 
+class ClusterSession:
+    """The session of the tests as that of a cluster of its own, with other settings."""
+
+    def __init__(self, spark, checkpoint_dir=None, **settings):
+        self.inner, self.conf = spark, {"spark.checkpoint.dir": checkpoint_dir} | settings
+        context = spark.sparkContext
+        self.sparkContext = SimpleNamespace(
+            master="spark://host:7077", applicationId=str(id(self)), defaultParallelism=context.defaultParallelism
+        )
+
+    def __getattr__(self, name):
+        return getattr(self.inner, name)
+
+
+def test_a_mounted_folder_of_a_cluster_is_used(spark, tmp_path):
+    folder = f"file:{tmp_path}"
+    assert session.shared_folder(ClusterSession(spark, folder)) == folder
+    assert list(tmp_path.iterdir()) == []
+
+
+def test_a_folder_that_does_not_hold_what_tasks_write_is_refused(spark, tmp_path):
+    blocked = tmp_path / "file"
+    blocked.write_text("")
+    with pytest.raises(RuntimeError, match="single machines"):
+        session.shared_folder(ClusterSession(spark, f"file:{blocked}"))
+
+
+def test_a_cluster_without_a_checkpoint_folder_uses_the_warehouse(spark, tmp_path):
+    warehouse = {"spark.sql.warehouse.dir": f"file:{tmp_path}"}
+    assert session.shared_folder(ClusterSession(spark, **warehouse)) == f"file:{tmp_path}"
+    named = ClusterSession(spark, **warehouse)
+    named.sparkContext.getCheckpointDir = lambda: "hdfs://cluster/checkpoints/0f3a"
+    assert session.shared_folder(named) == "hdfs://cluster/checkpoints"
+
+
 def scratch_tables(spark):
     return set(Path(session.shared_folder(spark).removeprefix("file:")).glob("shelfrank-*"))
 
