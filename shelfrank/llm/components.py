@@ -26,7 +26,19 @@ def _stars(edges: DataFrame, larger: bool) -> DataFrame:
     else:
         hung = near.where("b != least").select(F.col("b").alias("a"), F.col("least").alias("b"))
         moved = hung.unionByName(least.select("a", F.col("least").alias("b")))
-    return moved.where("a != b").distinct()
+    moved = moved.where("a != b")
+    # Repeats that the larger step leaves go with those of the other one.
+    return moved if larger else moved.distinct()
+
+
+def _settled(edges: DataFrame) -> bool:
+    """Whether every node hangs below one other that hangs below none, (a, b) with a > b."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up")).unionByName(
+        edges.select(F.col("b").alias("node"), F.lit(0).alias("up"))
+    )
+    # A node that hangs below one and has nothing below it occurs once, a root never as `a`.
+    nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.count(F.lit(1)).alias("n"))
+    return nodes.where("up > 0 and n > 1").isEmpty()
 
 
 def components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame:
@@ -42,14 +54,8 @@ def components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame
     start = edges.where(a.isNotNull() & b.isNotNull() & (a != b)).select(
         F.greatest(a, b).alias("a"), F.least(a, b).alias("b")
     )
-    current, before = written(start.distinct(), "links"), None
-    while True:
-        state = current.agg(
-            F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)")).alias("s")
-        ).first()
-        if before == state:
-            break
-        before = state
+    current = written(start.distinct(), "links")
+    while not _settled(current):
         following = written(_stars(_stars(current, True), False), "links")
         delete(spark, current)
         current = following

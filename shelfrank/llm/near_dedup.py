@@ -7,9 +7,10 @@ region. The sets of a region that holds too many are read again at a greater dep
 so many more trees that a similar pair is missed there no more often than before: dense
 regions are parted finely and sparse ones are not. What is still dense at the greatest
 depth is one cluster as it is. Within every other region a walk joins sets whose
-signatures agree, which yields one link less than sets and never all pairs. The least depth and
-a tenth of the deeper trees are walked first; every set is then owned by the smallest
-one it is linked with, and the walks of the other trees link owners instead of sets.
+signatures agree, which yields one link less than sets and never all pairs. Dense regions of
+the least depth are walked too, in parts. Every set is then owned by the smallest one that the
+walks join it with, and deeper regions are only kept if they hold several owners, which is
+all that their walks link.
 
 These links make clusters: whatever shares a region and looks similar.
 Inside a cluster the full shingle sets decide, block against block, again as
@@ -21,7 +22,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -42,8 +42,6 @@ LABEL = 8
 # with a chance of at most 2e-5.
 LEVELS = ((3, 20), (5, 60), (8, 240))
 REGION_ROWS = 1024
-# Of the deeper levels every tenth tree is walked before the others.
-EARLY = 10
 # Similarity 0.75 falls below this share of the values with chance 1e-5.
 LOOKS_SIMILAR = 0.60
 BLOCK_ROWS = 512
@@ -104,9 +102,8 @@ def _labels(trees: int) -> np.ndarray:
 
 
 def _prefixes(depth: int, trees: int):
-    """(region, id, early): every set once per tree, the region named by tree and label prefix."""
+    """(region, id, owner): every set once per tree, the region named by tree and label prefix."""
     labels = _labels(trees)[:, :depth]
-    early = (np.arange(trees) % EARLY == 0) | (depth == LEVELS[0][0])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start = mixed(np.arange(1, trees + 1, dtype=np.uint64) * np.uint64(LABEL + 1) + np.uint64(depth))
@@ -116,53 +113,24 @@ def _prefixes(depth: int, trees: int):
             region = np.tile(start, (len(matrix), 1))
             for k in range(depth):
                 region = mixed(region ^ (matrix[:, labels[:, k]].astype(np.uint64) + np.uint64(1)))
-            ids = np.repeat(batch.column("id").to_numpy(), trees)
+            ids, owners = (np.repeat(batch.column(c).to_numpy(), trees) for c in ("id", "owner"))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(region.ravel().view(np.int64)), pa.array(ids), pa.array(np.tile(early, len(matrix)))],
-                names=["region", "id", "early"],
+                [pa.array(region.ravel().view(np.int64)), pa.array(ids), pa.array(owners)],
+                names=["region", "id", "owner"],
             )
 
     return run
 
 
-def _regions(sets: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """The regions to walk, (region, id, early), and what is joined without a walk, (node, component).
-
-    A pair that shares only dense regions has both its sets among those that the next level
-    reads, so no pair is lost by parting. Regions whose sets are all joined already are left out.
-    """
-    spark = sets.sparkSession
-    parts = []
-    scratch = []
-    joined = None
-    level = sets
-    for depth, trees in LEVELS:
-        rows = level.select("id", "signature").mapInArrow(
-            _prefixes(depth, trees), "region long, id long, early boolean"
-        )
-        # The order of a tree puts equal prefixes together; only their number is needed here.
-        sizes = rows.groupBy("region").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-        sized = written(rows.join(sizes, "region"), "regions")
-        scratch.append(sized)
-        parts.append(sized.where(F.col("size") <= REGION_ROWS).select("region", "id", "early"))
-        dense = sized.where(F.col("size") > REGION_ROWS)
-        if dense.isEmpty():
-            break
-        level = sets.join(dense.select("id").distinct(), "id", "left_semi")
-    else:
-        least = dense.groupBy("region").agg(F.min("id").alias("a"))
-        joined = components(dense.join(least, "region").select("a", F.col("id").alias("b")))
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
-    if joined is not None:
-        owner = F.coalesce("component", "id")
-        owned = whole.join(joined, F.col("id") == F.col("node"), "left").groupBy("region")
-        several = owned.agg(F.min(owner).alias("low"), F.max(owner).alias("high")).where("low != high")
-        whole = whole.join(several.select("region"), "region", "left_semi")
-    found = written(whole, "regions")
-    delete(spark, *scratch)
-    return found, joined
+def _regions(level: DataFrame, depth: int, trees: int) -> DataFrame:
+    """(region, id, owner, size), stored: the regions that hold sets of several owners."""
+    rows = level.mapInArrow(_prefixes(depth, trees), "region long, id long, owner long")
+    # The order of a tree puts equal prefixes together; only their number is needed here.
+    sizes = rows.groupBy("region").agg(
+        F.count(F.lit(1)).alias("size"), F.min("owner").alias("low"), F.max("owner").alias("high")
+    )
+    several = sizes.where("low != high").select("region", "size")
+    return written(rows.join(several, "region"), "regions")
 
 
 def _walk(size: int, near) -> list[tuple[int, int]]:
@@ -227,32 +195,53 @@ def _look_alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _walked(regions: DataFrame, sets: DataFrame) -> DataFrame:
     """Links (a, b), a < b, of the walks of all regions, (region, id, owner)."""
-    rows = regions.join(sets, "id").select("region", "id", "owner", "signature")
+    rows = regions.join(sets.select("id", "signature"), "id").select("region", "id", "owner", "signature")
     ordered = rows.repartition("region").sortWithinPartitions("region", "signature", "id")
     return written(ordered.mapInArrow(_look_alike, "a long, b long"), "alike")
 
 
-def _alike(sets: DataFrame) -> DataFrame:
-    """Links (a, b), stored, whose components are the clusters that the full sets decide.
+def _in_parts(sized: DataFrame) -> DataFrame:
+    """Dense regions as parts of about REGION_ROWS sets, which every tree draws anew."""
+    part = F.pmod(F.xxhash64("id", "region"), F.ceil(F.col("size") / REGION_ROWS))
+    return sized.withColumn("region", F.when(F.col("size") > REGION_ROWS, F.xxhash64("region", part)).otherwise(F.col("region")))
 
-    A set is joined with its owner by a link of the early walks, so links between owners
-    stand for all links of the later ones; regions of one owner need no walk.
+
+def _clusters(sets: DataFrame) -> DataFrame:
+    """(node, component), stored: the clusters that the full sets decide.
+
+    Every set is owned by the least set that the levels so far join it with, and regions of one owner
+    need no walk: links between owners stand for all links of their sets. A pair of several owners
+    that shares only dense regions has both its sets among those that the next level reads, so no pair is
+    lost by parting. What the parts of dense regions join at the least depth is left out there.
     """
-    regions, joined = _regions(sets)
-    links = [_walked(regions.where("early").withColumn("owner", F.col("id")), sets)]
-    if joined is not None:
-        links.append(joined.select(F.col("component").alias("a"), F.col("node").alias("b")))
-    late = regions.where("not early")
-    if not late.isEmpty():
-        owners = reduce(DataFrame.unionByName, links).groupBy("b").agg(F.min("a").alias("owner"))
-        owned = late.join(owners, F.col("id") == F.col("b"), "left")
-        owned = written(owned.select("region", "id", F.coalesce("owner", "id").alias("owner")), "owned")
-        span = owned.groupBy("region").agg(F.min("owner").alias("low"), F.max("owner").alias("high"))
-        several = owned.join(span.where("low != high").select("region"), "region", "left_semi")
-        links.append(_walked(several, sets))
-        delete(sets.sparkSession, owned)
-    delete(sets.sparkSession, regions)
-    return reduce(DataFrame.unionByName, links)
+    spark = sets.sparkSession
+    level = sets.select("id", "signature", F.col("id").alias("owner"))
+    found, scratch = None, []
+    for depth, trees in LEVELS:
+        sized = _regions(level, depth, trees)
+        dense = sized.where(F.col("size") > REGION_ROWS)
+        walked = _in_parts(sized) if found is None else sized.where(F.col("size") <= REGION_ROWS)
+        links = _walked(walked, sets)
+        scratch += [sized, links]
+        crowded = not dense.isEmpty()
+        if crowded and depth == LEVELS[-1][0]:
+            least = dense.groupBy("region").agg(F.min("owner").alias("a"))
+            joined = dense.join(least, "region").select("a", F.col("owner").alias("b"))
+            links = links.unionByName(joined.distinct())
+        if found is None:
+            found = written(components(links), "clusters")
+        elif not links.isEmpty():
+            scratch.append(found)
+            known = found.select(F.col("component").alias("a"), F.col("node").alias("b"))
+            found = written(components(known.unionByName(links)), "clusters")
+        if not crowded:
+            break
+        rest = level.drop("owner").join(dense.select("id").distinct(), "id", "left_semi")
+        owned = rest.join(found, F.col("id") == F.col("node"), "left")
+        level = written(owned.select("id", "signature", F.coalesce("component", "id").alias("owner")), "level")
+        scratch.append(level)
+    delete(spark, *scratch)
+    return found
 
 
 def _shingles(width: int):
@@ -323,16 +312,11 @@ def near_duplicates(
     sketches = written(texts.mapInArrow(_sketches(width), _SKETCH), "sketches")
 
     usable = F.col("digest").isNotNull() & F.col("id").isNotNull()
-    classes = sketches.where(usable).groupBy("digest").agg(F.min("id").alias("id"))
-    sets = written(
-        sketches.join(classes, ["digest", "id"], "left_semi")
-        .dropDuplicates(["digest", "id"])
-        .select("id", "signature", "n_shingles"),
-        "sets",
-    )
+    # Rows of one digest have one signature: the least id brings it along.
+    one = F.min(F.struct("id", "signature", "n_shingles")).alias("one")
+    sets = written(sketches.where(usable).groupBy("digest").agg(one).select("digest", "one.*"), "sets")
 
-    alike = _alike(sets)
-    clusters = written(components(alike).withColumnRenamed("component", "cluster"), "clusters")
+    clusters = _clusters(sets).withColumnRenamed("component", "cluster")
 
     counted = clusters.join(sets.select(F.col("id").alias("node"), "n_shingles"), "node")
     sizes = counted.groupBy("cluster").agg(
@@ -363,7 +347,7 @@ def near_duplicates(
     )
     found = components(links)
 
-    stands = classes.withColumnRenamed("id", "class")
+    stands = sets.select("digest", F.col("id").alias("class"))
     named_class = sketches.select("id", "digest", "n_shingles").join(stands, "digest", "left")
     joined = named_class.join(found, F.col("class") == F.col("node"), "left")
     component = F.coalesce("component", "class", "id")
@@ -376,11 +360,10 @@ def near_duplicates(
         ),
         "near_duplicates",
     )
-    delete(spark, sketches, sets, alike, clusters, members)
+    delete(spark, sketches, sets, clusters, members)
     return result
 
 
-
 def distinct_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One document of every group of near-duplicates, that with the smallest id, with all columns.
 

@@ -78,6 +78,24 @@ def test_links_inside_common_passages_are_found(spark, monkeypatch):
     assert sum(not kept for _, _, kept in found.values()) >= 120
 
 
+def test_near_copies_in_dense_regions_are_read_at_the_least_depth_only(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "REGION_ROWS", 20)
+    rng, made = random.Random(4), []
+    base = prose(rng, 150)
+    rows = [(number, changed(rng, base, 0.005)) for number in range(90)]
+    write = near_dedup.written
+
+    def counted(df, name):
+        table = write(df, name)
+        if name == "regions":
+            made.append(table.count())
+        return table
+
+    monkeypatch.setattr(near_dedup, "written", counted)
+    assert judged(documents(spark, rows)) == brute_force(rows)
+    assert 0 < sum(made) <= 90 * near_dedup.LEVELS[0][1]
+
+
 def test_links_join_owners_not_sets():
     links = near_dedup._owner_links([5, 9, 5, 7, 3], [(0, 1), (0, 2), (1, 2), (3, 4)])
     assert sorted(links) == [(3, 7), (5, 9)]
