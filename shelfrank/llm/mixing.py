@@ -30,6 +30,10 @@ MOST_EPOCHS = 3
 KEY_RANGES = 1024
 # A range of more rows is parted again before it is sorted.
 RANGE_ROWS = 100_000
+# Rounds of no more than this budget are found in one pass; of each source it looks at some
+# LAST_BUDGET * log(LAST_BUDGET) documents.
+LAST_BUDGET = 5_000
+KEY_PARTS = 64
 SEED = 17
 WORD = r"[^\x20\x09-\x0D]+"
 # Marks that ordinary prose hardly uses.
@@ -171,6 +175,44 @@ def _next_round(rows: DataFrame, sources: DataFrame) -> DataFrame:
     return result
 
 
+def _last_rounds(rows: DataFrame, sources: DataFrame) -> DataFrame:
+    """Sources with all rounds that are left, of budgets up to LAST_BUDGET, found in one pass.
+
+    The rounds walk the waiting documents in order of their keys, take what still fits and never come back
+    to what did not. Of one size they take budget / size documents at most and stop at one more, so
+    that the first of each size in order are all they look at.
+    """
+    waiting = rows.join(narrow_side(sources), "number").where(
+        F.col("open") & ~_taken() & (F.col("size") > 0) & (F.col("size") <= F.col("budget"))
+    )
+    few = waiting.select("number", "budget", "size", "key", "tie", F.pmod(F.xxhash64("tie"), F.lit(KEY_PARTS)).alias("part"))
+    # Sizes that very many documents share are cut in parts first.
+    for by in (["number", "size", "part"], ["number", "size"]):
+        place = F.row_number().over(Window.partitionBy(*by).orderBy("key", "tie"))
+        few = few.withColumn("place", place).where(F.col("place") <= F.floor(F.col("budget") / F.col("size")) + 1)
+    in_order = F.sort_array(F.collect_list(F.struct("key", "tie", "size")))
+
+    def step(state: Column, doc: Column) -> Column:
+        stop = F.struct(doc["key"].alias("key"), doc["tie"].alias("tie"))
+        fits = F.struct(state["budget"].alias("budget"), (state["left"] - doc["size"]).alias("left"), state["found"].alias("found"))
+        stopped = F.struct(
+            state["left"].alias("budget"), state["left"].alias("left"),
+            F.concat(state["found"], F.array(F.struct(state["budget"].alias("budget"), stop.alias("stop")))).alias("found"),
+        )
+        return F.when(doc["size"] > state["budget"], state).when(doc["size"] <= state["left"], fits).otherwise(stopped)
+
+    start = F.struct(F.col("budget"), F.col("budget").alias("left"), F.expr(f"cast(array() as {_ROUNDS})").alias("found"))
+    walked = few.groupBy("number", "budget").agg(in_order.alias("docs"))
+    ended = walked.select("number", F.aggregate("docs", start, step).alias("end"))
+    found = F.coalesce("end.found", F.expr(f"cast(array() as {_ROUNDS})"))
+    nothing = F.lit(None).cast("struct<key: double, tie: bigint>")
+    last = F.array(F.struct(F.coalesce("end.budget", "budget").alias("budget"), nothing.alias("stop")))
+    rounds = F.when(F.col("open"), F.concat("rounds", found, last)).otherwise(F.col("rounds"))
+    return written(
+        sources.join(ended, "number", "left").withColumn("rounds", rounds).drop("end", "open"), "sources"
+    )
+
+
 _ROUNDS = "array<struct<budget: double, stop: struct<key: double, tie: bigint>>>"
 
 
@@ -207,11 +249,14 @@ def _sources(rows: DataFrame, weights: tuple[float, ...], most: int) -> DataFram
     )
     scratch = [numbered]
     # A round takes a waiting document at least, and leaves less than the one it stopped at.
-    waits = True
-    while waits:
+    waits = float("inf")
+    while waits is not None and waits > LAST_BUDGET:
         scratch.append(sources)
         sources = _next_round(numbered, sources.drop("open"))
-        waits = not sources.where("open").isEmpty()
+        waits = sources.where("open").agg(F.max("budget")).first()[0]
+    if waits is not None:
+        scratch.append(sources)
+        sources = _last_rounds(numbered, sources)
     delete(spark, *scratch)
     return sources
 

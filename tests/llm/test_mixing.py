@@ -73,6 +73,18 @@ def test_no_document_that_still_fits_is_left(spark):
     assert all(min(sizes) > left[source] - 1e-6 for source, sizes in waiting.items() if left[source] > 1e-6)
 
 
+def test_one_pass_takes_what_round_after_round_takes(spark, monkeypatch):
+    rng = random.Random(6)
+    rows = [(k, prose(rng, rng.choice([0, 1, 2, 5, 12, 30, 80])), f"s{k % 9}") for k in range(900)]
+    docs, calls, step = documents(spark, rows), [], mixing._next_round
+    monkeypatch.setattr(mixing, "_next_round", lambda *args: calls.append(1) or step(*args))
+    found = sorted(mixed(docs))
+    assert len(calls) == 1
+    monkeypatch.setattr(mixing, "LAST_BUDGET", -1)
+    assert sorted(mixed(docs)) == found
+    assert len(calls) > 3
+
+
 def test_partitioning_changes_nothing(spark):
     rows = corpus()
     docs = documents(spark, rows)
