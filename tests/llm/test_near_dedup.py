@@ -1,5 +1,7 @@
 import random
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from corpus import changed, documents, edge_rows, prose, with_clashes, word
 
@@ -163,3 +165,15 @@ def test_one_document_of_each_group_stays_also_without_ids(spark):
     assert texts == [(0, ""), (0, "alone "), (0, "twice "), (4, base[:6])]
     whole = near_dedup.distinct_documents(documents(spark, rows[:1]))
     assert whole.count() == 1
+
+
+def test_sketches_of_a_batch_take_little_memory():
+    rng = random.Random(3)
+    texts = [prose(rng, 400) for _ in range(1500)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["id", "text"])
+    tracemalloc.start()
+    list(near_dedup._sketches(5)(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(map(len, texts)) > 3 << 20
+    assert peak < 50 << 20
