@@ -27,6 +27,7 @@ from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -38,8 +39,8 @@ MASK_DELTA = 0xA282EAD8
 NO_ID = -(1 << 63)
 # Words a worker keeps while it writes a shard; forgotten when they are more, and at its end.
 CACHED_WORDS = 600_000
-# Marks that a byte-level tokenizer keeps together, apart from the letters before them.
-MARKS = ".,;:!?&%$#*|"
+# Unknown words that are encoded as one text.
+JOINED_WORDS = 1000
 READ_BYTES = 8 << 20
 
 _MANIFEST = "shard int, data string, index string, records long, tokens long, bytes long"
@@ -106,10 +107,12 @@ class Encoder:
             and cutter.get("use_regex", True)
             and (parts.get("model") or {}).get("type") == "BPE"
             and not parts.get("normalizer")
-            and not any(set(t["content"]) <= set(MARKS) or t["content"].isalpha() for t in added)
             and not any(t["lstrip"] or t["rstrip"] or re.search(r"\s", t["content"]) for t in added)
         )
-        self.line_end = self._piece("\n") if self.by_word else []
+        # By token: whether it opens with a blank.
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.opens = np.zeros(max(self.tokenizer.get_vocab().values(), default=0) + 1, dtype=bool)
+        self.opens[[k for word, k in vocabulary.items() if word[:1] == BLANK_SIGN]] = True
         self.forget()
 
     def forget(self) -> None:
@@ -122,52 +125,41 @@ class Encoder:
     def _whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _piece(self, piece: str) -> list[int]:
-        """Tokens of what the tokenizer never cuts: letters or marks, with a blank before them or not."""
-        if piece.isascii() and piece.isprintable():
-            signs = BLANK_SIGN + piece[1:] if piece[0] == " " else piece
-        else:
-            signs = piece.encode().decode("latin-1").translate(BYTE_SIGNS)
-        return [token.id for token in self.tokenizer.model.tokenize(signs)]
-
-    def _word(self, key: str) -> list[int] | None:
-        """Tokens of letters with common marks behind them, on one line or several; nothing
-        for any other word."""
-        first = key[0] == " "
-        ids: list[int] = []
-        for k, part in enumerate((key[1:] if first else key).split("\n")):
-            stem = part.rstrip(MARKS)
-            if not stem.isalpha():
-                return None
-            if k:
-                ids += self.line_end
-            begins = first or k > 0
-            place = self.known.get(" " + stem if begins else stem)
-            if place is None:
-                ids += self._piece(stem if begins else " " + stem)
-            else:
-                ids += self.tokens[self.ends[place] : self.ends[place + 1]].tolist()
-            if len(stem) < len(part):
-                ids += self._piece(part[len(stem) :])
-        return ids
+    def _behind_blanks(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens of words with a blank before each, and how many each has.
 
-    def _learn(self, keys: list[str]) -> None:
-        runs = [self._word(key) for key in keys]
-        others = [k for k, run in enumerate(runs) if run is None]
-        texts = [keys[k][1:] if keys[k][0] == " " else " " + keys[k] for k in others]
-        for k, run in zip(others, self._whole(texts), strict=True):
-            runs[k] = run
-        count = len(self.known)
+        Many words make one text, as the tokenizer cuts before each blank: a token that opens
+        with a blank is the first of its word, and there is no other.
+        """
+        texts = [" " + " ".join(words[k : k + JOINED_WORDS]) for k in range(0, len(words), JOINED_WORDS)]
+        tokens, sizes = self._flat(self._whole(texts))
+        firsts = np.flatnonzero(self.opens[tokens])
+        # A vocabulary without a blank gives others: each word by itself.
+        if len(firsts) != len(words) or firsts[:1].any():
+            return self._flat(self._whole([" " + word for word in words]))
+        return tokens, np.diff(firsts, append=len(tokens))
+
+    @staticmethod
+    def _flat(runs: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
         sizes = np.fromiter(map(len, runs), dtype=np.int64, count=len(runs))
-        ends = self.ends[count] + np.cumsum(sizes)
-        while len(self.ends) <= count + len(keys):
-            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
-        while len(self.tokens) < ends[-1]:
-            self.tokens = np.concatenate([self.tokens, np.empty_like(self.tokens)])
-        new = np.fromiter(chain.from_iterable(runs), dtype=np.uint32, count=int(sizes.sum()))
-        self.tokens[self.ends[count] : ends[-1]] = new
-        self.ends[count + 1 : count + 1 + len(keys)] = ends
-        self.known.update(zip(keys, range(count, count + len(keys)), strict=True))
+        return np.fromiter(chain.from_iterable(runs), dtype=np.uint32, count=int(sizes.sum())), sizes
+
+    def _learn(self, keys: list[str]) -> None:
+        behind = [key for key in keys if key[0] != " "]
+        first = [key for key in keys if key[0] == " "]
+        for some, (new, sizes) in (
+            (behind, self._behind_blanks(behind)),
+            (first, self._flat(self._whole([key[1:] for key in first]))),
+        ):
+            count = len(self.known)
+            ends = self.ends[count] + np.cumsum(sizes)
+            while len(self.ends) <= count + len(some):
+                self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
+            while len(self.tokens) < self.ends[count] + len(new):
+                self.tokens = np.concatenate([self.tokens, np.empty_like(self.tokens)])
+            self.tokens[self.ends[count] : self.ends[count] + len(new)] = new
+            self.ends[count + 1 : count + 1 + len(some)] = ends
+            self.known.update(zip(some, range(count, count + len(some)), strict=True))
 
     @staticmethod
     def _cut_apart(key: str) -> bool:
@@ -175,26 +167,30 @@ class Encoder:
         word = key[1:] if key[:1] == " " else key
         return bool(word) and not word[-1].isspace() and (key[0] == " " or not word[0].isspace())
 
+    def _places(self, keys: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.known.get, keys, repeat(-1)), dtype=np.int64, count=len(keys))
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if not self.by_word:
             return [np.array(ids, dtype=np.uint32) for ids in self._whole(texts)]
         if len(self.known) > CACHED_WORDS:
             self.forget()
-        words: list[str] = []
-        bounds = [0]
-        for text in texts:
-            own = text.split(" ")
-            own[0] = " " + own[0]
-            words += own
-            bounds.append(len(words))
-        places = np.fromiter(map(self.known.get, words, repeat(-1)), dtype=np.int64, count=len(words))
-        unknown = np.flatnonzero(places < 0).tolist()
-        new = [key for key in dict.fromkeys(words[k] for k in unknown) if self._cut_apart(key)]
+        if not texts:
+            return []
+        # Arrow finds the distinct words; only those are looked up one by one.
+        lists = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        coded = lists.flatten().dictionary_encode()
+        listed = pa.ListArray.from_arrays([0, len(coded.dictionary)], coded.dictionary)
+        words = pc.binary_join(listed, pa.scalar(" ", pa.large_string()))[0].as_py().split(" ")
+        firsts = [" " + text.partition(" ")[0] for text in texts]
+        known = self.known
+        new = [key for key in words if key not in known and key and key.strip() == key]
+        new += [key for key in dict.fromkeys(firsts) if key not in known and self._cut_apart(key)]
         if new:
             self._learn(new)
-        for k in unknown:
-            places[k] = self.known.get(words[k], -1)
-        starts = np.array(bounds)
+        starts = lists.offsets.to_numpy().astype(np.int64)
+        places = self._places(words)[coded.indices.to_numpy()]
+        places[starts[:-1]] = self._places(firsts)
         odd = np.flatnonzero(places < 0)
         whole = np.unique(np.searchsorted(starts, odd, side="right") - 1).tolist()
         places[odd] = 0

@@ -37,6 +37,40 @@ def test_encoder_forgets_words_without_harm(monkeypatch):
     assert [ids.tolist() for ids in encoder.encode(texts())] == first
 
 
+def test_unknown_words_are_encoded_together_and_repeated_ones_once(monkeypatch):
+    encoder, asked = token_records.Encoder(TOKENIZER), []
+    whole = encoder._whole
+    monkeypatch.setattr(encoder, "_whole", lambda texts: asked.extend(texts) or whole(texts))
+    rows = [" ".join(f"w{k}-{k * k}" for k in range(low, low + 400)) for low in range(0, 2800, 200)]
+    library = Tokenizer.from_file(TOKENIZER)
+    for got, text in zip(encoder.encode(rows), rows, strict=True):
+        assert got.tolist() == library.encode(text, add_special_tokens=False).ids
+    # 3,000 distinct words, and the first of every text.
+    assert len(asked) == 3000 // token_records.JOINED_WORDS + len(rows)
+    encoder.encode(rows)
+    assert len(asked) == 3000 // token_records.JOINED_WORDS + len(rows)
+
+
+@pytest.mark.parametrize("joined", [1, 2, 1000])
+def test_joined_words_are_parted_where_they_begin(monkeypatch, joined):
+    monkeypatch.setattr(token_records, "JOINED_WORDS", joined)
+    odd = [
+        "Ġ Ġa ĠĠ aĠ", "<|endoftext|> a <|endoftext|><|endoftext|> b<|endoftext|> Ġ<|endoftext|>", "a\u3000b \u3000c d\u00a0 e",
+        "a\n\nb \n c\td", "1 22 333 4,4 ... !? a.\nB c'll 're", "é ñandú ß 漢字 \u0301x 😀😀", "\x00 \x01a b\x1f", " ", "  x", "x  ",
+    ]
+    library, encoder = Tokenizer.from_file(TOKENIZER), token_records.Encoder(TOKENIZER)
+    for rows in (odd + texts(), odd[::-1], []):
+        assert [ids.tolist() for ids in encoder.encode(rows)] == [library.encode(t, add_special_tokens=False).ids for t in rows]
+
+
+def test_a_vocabulary_without_the_blank_has_its_words_encoded_alone():
+    encoder = token_records.Encoder(TOKENIZER)
+    encoder.opens[:] = False
+    library = Tokenizer.from_file(TOKENIZER)
+    for got, text in zip(encoder.encode(texts()), texts(), strict=True):
+        assert got.tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 def test_frames_detect_damage():
     framed = token_records.frame(b"payload") + token_records.frame(b"")
     payload, place = token_records.unframe(framed, 0)
