@@ -262,6 +262,19 @@ def test_a_cluster_without_a_checkpoint_folder_uses_the_warehouse(spark, tmp_pat
     assert session.shared_folder(named) == "hdfs://cluster/checkpoints"
 
 
+def test_the_warehouse_stands_in_for_a_checkpoint_folder_of_single_machines(spark, tmp_path):
+    blocked = tmp_path / "file"
+    blocked.write_text("")
+    cluster = ClusterSession(spark, f"file:{blocked}", **{"spark.sql.warehouse.dir": f"file:{tmp_path}"})
+    assert session.shared_folder(cluster) == f"file:{tmp_path}"
+    found = [f"file:{blocked}/0f3a"]
+    cluster.sparkContext.getCheckpointDir = lambda: found[-1]
+    cluster.sparkContext.setCheckpointDir = lambda folder: found.append(f"{folder}/1b2c")
+    for _ in range(2):
+        session.use_checkpoints(cluster)
+        assert found == [f"file:{blocked}/0f3a", f"file:{tmp_path}/1b2c"]
+
+
 def scratch_tables(spark):
     return set(Path(session.shared_folder(spark).removeprefix("file:")).glob("shelfrank-*"))
 
