@@ -3,19 +3,8 @@
 from __future__ import annotations
 
 import os
-import re
 
-from pyarrow import fs
-
-
-def located(uri: str) -> tuple[fs.FileSystem, str]:
-    """File system and path of a Hadoop-style address or a plain path."""
-    if re.match(r"file:/(?!/)", uri):
-        uri = uri.replace("file:/", "file:///", 1)
-    uri = re.sub(r"^s3[an]://", "s3://", uri)
-    if "://" not in uri:
-        uri = os.path.abspath(uri)
-    return fs.FileSystem.from_uri(uri)
+from shelfrank.sources.parts import located
 
 
 def create(uri: str):

@@ -272,6 +272,31 @@ def test_split_groups_equal_brute_force(spark, data, part_rows):
         assert all(np.allclose(found[k], want[k], atol=1e-3) for k in want)
 
 
+@pytest.mark.parametrize("part_rows", [7, None])
+def test_factors_are_read_in_slices_of_bounded_size(data, monkeypatch, part_rows):
+    settings = rec.AlsSettings(max_iter=2, rank=3)
+    whole = split_als.fit_split_als(data[0], settings, part_rows)
+    monkeypatch.setattr(split_als, "FACTOR_BYTES", 4 * 3 * 11)
+    monkeypatch.setattr(split_als, "IDS_AT_ONCE", 5)
+    sliced = split_als.fit_split_als(data[0], settings, part_rows)
+    for a, b in ((whole.userFactors, sliced.userFactors), (whole.itemFactors, sliced.itemFactors)):
+        want = {r.id: r.features for r in a.collect()}
+        found = {r.id: r.features for r in b.collect()}
+        assert found.keys() == want.keys()
+        assert all(np.allclose(found[k], want[k], atol=1e-3) for k in want)
+
+
+def test_what_a_fit_keeps_does_not_grow_with_its_iterations(spark, data, monkeypatch):
+    made, deleted = [], []
+    kept, removed = split_als.checkpointed, split_als.delete_scratch
+    monkeypatch.setattr(split_als, "checkpointed", lambda df: made.append(1) or kept(df))
+    monkeypatch.setattr(split_als, "delete_scratch", lambda s, path: deleted.append(path) or removed(s, path))
+    split_als.fit_split_als(data[0], rec.AlsSettings(max_iter=3, rank=2))
+    assert len(made) == 2
+    # Seven tables of factors, two of numbers and two of blocks, each once.
+    assert len(deleted) == len(set(deleted)) == 11
+
+
 def test_the_method_is_the_callers_choice_alone(spark, data, monkeypatch):
     calls = []
     monkeypatch.setattr(rec, "fit_split_als", lambda *args: calls.append(args))
