@@ -306,6 +306,18 @@ def test_raw_check_keeps_every_line(spark, tmp_path):
         readers.read_files(spark, str(tmp_path / "raw.json"), schemas.REVIEWS, strict=True).collect()
 
 
+def test_a_dump_takes_less_room_than_its_lines(spark, tmp_path):
+    lines = [f'{{"asin": "{i}", "reviewerName": "reviewer {i % 7}", "overall": 5.0}}' for i in range(5000)]
+    (tmp_path / "raw.json").write_text("\n".join(lines) + "\n")
+    counts = jobs.check_raw_file(spark, str(tmp_path / "raw.json"), str(tmp_path / "dump"))
+    assert rows(counts) == [(5000, 0)]
+    assert sorted(r.value for r in spark.read.text(str(tmp_path / "dump")).collect()) == sorted(lines)
+    size = sum(file.stat().st_size for file in (tmp_path / "dump").iterdir())
+    assert size < (tmp_path / "raw.json").stat().st_size / 3
+    sinks.write_text_dump(spark.read.text(str(tmp_path / "raw.json")), str(tmp_path / "plain"), compression="none")
+    assert sum(len(f.read_text()) for f in (tmp_path / "plain").glob("*.txt")) == len("\n".join(lines)) + 1
+
+
 def test_visitor_with_the_id_of_a_reviewer_is_an_error(spark, ratings):
     raw = readers.feedback_from_rows(spark, [(7, "1", "5")])
     with pytest.raises(ValueError, match="visitor id 7"):
