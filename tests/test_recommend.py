@@ -102,6 +102,56 @@ def test_seen_books_are_passed_over(spark, data, model, slice_bytes, monkeypatch
         assert len(lists[0]) == sum((0, i) not in seen for i in items) <= 2
 
 
+def test_settled_users_take_no_part_in_the_rest():
+    """Products are counted: one user with a short reach must not make all others read every book."""
+
+    class Counted(np.ndarray):
+        products = 0
+
+        def __matmul__(self, other):
+            Counted.products += self.shape[0] * other.shape[1]
+            return np.asarray(self) @ np.asarray(other)
+
+    rng = np.random.default_rng(4)
+    factors = np.sort(rng.uniform(0.1, 3, 40_000))[::-1, None] * np.array([1.0, 0.0])
+    factors = factors.astype(np.float32)
+    users = np.tile(np.array([[1, 0.1]], dtype=np.float32), (200, 1))
+    users[7] = [0, 1]  # orthogonal to every book: never settled
+    items = (np.arange(40_000, dtype=np.int32), factors, np.linalg.norm(factors, axis=1))
+    nothing = np.empty((200, 0), np.int32), np.empty((200, 0), np.float32)
+    ids, scores = improve(users.view(Counted), items, 3, *nothing)
+    want = np.sort(users @ factors.T, axis=1)[:, :-4:-1]
+    assert np.allclose(scores, want, atol=1e-5)
+    assert (ids[np.arange(200) != 7] == [0, 1, 2]).all()
+    assert Counted.products < 200 * 40_000 / 4
+
+
+def test_a_slice_is_read_from_tables_with_row_groups_of_other_slices(tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from shelfrank.operators.scoring import arrays, stored_slice
+
+    f = np.random.default_rng(1).normal(size=(100, 3)).astype(np.float32)
+    table = pa.table({"number": np.arange(100), "id": np.arange(100, dtype=np.int32)[::-1], "features": arrays(f)})
+    for part, low in enumerate(range(0, 100, 50)):
+        pq.write_table(table.slice(low, 50), tmp_path / f"part-{part}.parquet", row_group_size=20)
+    ids, factors, norms, by_id = stored_slice(str(tmp_path), 45, 62)
+    assert ids.tolist() == list(range(99 - 45, 99 - 62, -1)) and (factors == f[45:62]).all()
+    assert np.allclose(norms, np.linalg.norm(f[45:62], axis=1)) and (ids[by_id] == np.sort(ids)).all()
+
+
+def test_book_factors_of_many_slices_are_not_shuffled(spark, model, monkeypatch):
+    from shelfrank.operators import scoring
+
+    planned, keep = [], scoring.checkpointed
+    monkeypatch.setattr(scoring, "USERS_PER_BUCKET", 30)
+    monkeypatch.setattr(scoring, "checkpointed", lambda df: planned.append(df._jdf.queryExecution().toString()) or keep(df))
+    got = rec.recommend_all(model, 5, 13 * 48)
+    assert got.count() == model.userFactors.count()
+    assert "MapInArrow" in planned[-1] and "CoGroup" not in planned[-1] and "Join" not in planned[-1]
+
+
 def test_fold_in_equals_numpy(spark, model):
     rng = np.random.default_rng(6)
     answers = [(2000000000 + u, int(i), float(rng.integers(1, 6))) for u in range(40) for i in rng.integers(0, 60, 1 + u % 5)]
