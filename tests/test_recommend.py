@@ -45,6 +45,22 @@ def test_als_beats_the_item_mean(data, model):
     assert error < 0.2 * item_mean_error(*data)
 
 
+def test_ratings_of_a_visitor_meet_before_they_are_summed(spark, model, settings, monkeypatch):
+    """Sums are five times the size of a rating: a visitor has few rows of them, however many tasks read the answers."""
+    answers = [(2000000000 + u, i, 3.0) for u in range(20) for i in range(50)]
+    feedback = spark.createDataFrame(answers, SCHEMA).repartition(16)
+    settings(autoBroadcastJoinThreshold=-1, adaptive__coalescePartitions__enabled="false")
+    moved, keep = [], type(feedback).repartition
+
+    def seen(df, *keys):
+        moved.append((keys, df.count() if keys == ("id",) else None))
+        return keep(df, *keys)
+
+    monkeypatch.setattr(type(feedback), "repartition", seen)
+    assert rec.fold_in(model, feedback).count() == 20
+    assert dict(moved)[("id",)] <= 25
+
+
 def test_recommendations_equal_brute_force(model):
     users = {r.id: np.array(r.features) for r in model.userFactors.collect()}
     items = {r.id: np.array(r.features) for r in model.itemFactors.collect()}
